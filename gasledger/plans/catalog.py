@@ -13,7 +13,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gasledger.operators import metrics
+from pyspark.sql import functions as F
+
+from gasledger.operators import decode, ingest, metrics
 from gasledger.session import apply_runtime_defaults
 from gasledger.sources import testdata as td
 
@@ -41,7 +43,78 @@ def _metric_queries() -> dict[str, Query]:
     }
 
 
+# Block range used by the range-scan operator (inclusive; the operator is the range).
+RANGE_LO = td.BLOCK_BASE + 100
+RANGE_HI = td.BLOCK_BASE + 499
+
+
+def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_runtime_defaults(spark)
+    return decode.decode_transfer_logs(td.raw_logs(spark, sf_dir))
+
+
+def _deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.dedup_last(ingest.transfers_union(_decoded(spark, sf_dir)))
+
+
+def _ingested_ledger(spark: SparkSession, sf_dir: str, updated_at: bool = True) -> DataFrame:
+    return ingest.ledger_rows(
+        _deduped(spark, sf_dir), td.raw_blocks(spark, sf_dir), td.raw_receipts(spark, sf_dir),
+        updated_at=updated_at,
+    )
+
+
+def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = ingest.enrich(_deduped(spark, sf_dir), td.raw_blocks(spark, sf_dir), td.raw_receipts(spark, sf_dir))
+    return e.select(
+        "wallet_address", "block_number", "transaction_hash", "log_index", "from_address", "to_address",
+        "value", "timestamp", F.col("gas_used").alias("receipt_gas_used"),
+        F.col("effective_gas_price").alias("receipt_effective_gas_price"),
+    )
+
+
+def _receipt_logs_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_runtime_defaults(spark)
+    r = td.raw_receipts(spark, sf_dir)
+    shaped = r.select("transaction_hash", ingest.receipt_logs(F.col("logs")).alias("logs"))
+    return shaped.select("transaction_hash", F.posexplode("logs").alias("pos", "log")).select(
+        "transaction_hash", "pos",
+        F.col("log.address").alias("address"),
+        F.col("log.logIndex").alias("log_index"),
+        F.col("log.blockNumber").alias("block_number"),
+        F.col("log.data").alias("data"),
+        F.col("log.topics").getItem(1).alias("topic1"),
+    )
+
+
+def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nested = ingest.nest(_deduped(spark, sf_dir), td.raw_blocks(spark, sf_dir), td.raw_receipts(spark, sf_dir))
+    return ingest.flatten(nested, updated_at=False)
+
+
+def _ingest_queries() -> dict[str, Query]:
+    return {
+        "decode_transfer_logs": _decoded,
+        "logs_by_sender": lambda s, d: decode.logs_by_sender(_decoded(s, d), LOG_WALLET),
+        "logs_by_receiver": lambda s, d: decode.logs_by_receiver(_decoded(s, d), LOG_WALLET),
+        "logs_in_block_range": lambda s, d: decode.decode_transfer_logs(
+            td.raw_logs(s, d), lo=RANGE_LO, hi=RANGE_HI),
+        "transfers_union": lambda s, d: ingest.transfers_union(_decoded(s, d)),
+        "wallet_transfers_dedup": lambda s, d: ingest.dedup_last(ingest.transfers_union(_decoded(s, d), LOG_WALLET)),
+        "transfers_dedup_last": _deduped,
+        "transfers_enriched": _enriched,
+        "missing_receipts": lambda s, d: ingest.missing_receipts(_deduped(s, d), td.raw_receipts(s, d)),
+        "receipt_logs_array": _receipt_logs_array,
+        "transfers_flat": _flat,
+        "quarantine_rows": lambda s, d: ingest.split_quarantine(td.dirty_transfers(s, d))[1].select(
+            "transaction_hash", "receipt_effective_gas_price", "reason"),
+        "ledger_metrics_from_logs": lambda s, d: metrics.combined_daily_metrics(
+            _ingested_ledger(s, d), ordered=False),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_metric_queries())
+    out.update(_ingest_queries())
     return out

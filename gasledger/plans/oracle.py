@@ -104,7 +104,139 @@ FROM priced GROUP BY address""",
     }
 
 
+# Raw logs, decoded straight from the rules (the Spark side slices topics/hex instead).
+LOGS = f"""
+logs AS (
+  SELECT CASE WHEN event_type = 'error' THEN '{OTHER_CONTRACT}' ELSE '{USDC_CONTRACT}' END AS address,
+         CASE WHEN event_type = 'signup' THEN '{APPROVAL_TOPIC}' ELSE '{TRANSFER_TOPIC}' END AS topic0,
+         {BLOCK_BASE} + cast(floor(event_id / 12) AS bigint) AS block_number,
+         '0x' || lpad(cast(cast(floor(event_id / 12) AS bigint) + {BLOCK_BASE} AS varchar), 64, 'b') AS block_hash,
+         '0x' || lpad(cast(cast(floor(event_id / 3) AS bigint) AS varchar), 64, '0') AS transaction_hash,
+         cast(cast(floor(event_id / 3) AS bigint) % 4 AS int) AS transaction_index,
+         cast(event_id % 3 AS int) AS log_index,
+         {_addr('user_id % 10')} AS from_address,
+         {_addr('(user_id * 7 + event_id) % 10')} AS to_address,
+         cast(cast(round(value * 100) AS bigint) AS varchar) AS value,
+         cast(round(value * 100) AS bigint) AS amount
+  FROM events
+)"""
+
+DECODED = f"""
+decoded AS (
+  SELECT address, block_number, block_hash, transaction_hash, transaction_index, log_index,
+         from_address, to_address, value
+  FROM logs WHERE address = '{USDC_CONTRACT}' AND topic0 = '{TRANSFER_TOPIC}'
+)"""
+
+UNION = """
+u AS (
+  SELECT *, from_address AS wallet_address, 0 AS src FROM decoded
+  UNION ALL
+  SELECT *, to_address AS wallet_address, 1 AS src FROM decoded
+)"""
+
+DEDUP = """
+dedup AS (
+  SELECT * EXCLUDE (rn, src) FROM (
+    SELECT *, row_number() OVER (PARTITION BY wallet_address, transaction_hash
+                                 ORDER BY src DESC, log_index DESC) AS rn
+    FROM u) WHERE rn = 1
+)"""
+
+RECEIPTS = f"""
+receipts AS (
+  SELECT '0x' || lpad(cast(tx AS varchar), 64, '0') AS transaction_hash, block_number,
+         cast(gas AS varchar) AS gas_used,
+         CASE WHEN tx % {NO_PRICE_MOD} <> 0 THEN cast(price AS varchar) END AS effective_gas_price
+  FROM (
+    SELECT cast(floor(event_id / 3) AS bigint) AS tx,
+           {BLOCK_BASE} + cast(floor(event_id / 12) AS bigint) AS block_number,
+           sum(21000 + event_id % 100000) AS gas,
+           max(cast(round(value * 100) AS bigint) * 10000000) AS price
+    FROM events GROUP BY 1, 2) WHERE tx % {NO_RECEIPT_MOD} <> 0
+)"""
+
+BLOCKS = f"""
+blocks AS (
+  SELECT {BLOCK_BASE} + cast(floor(event_id / 12) AS bigint) AS block_number, min(ts) AS "timestamp"
+  FROM events GROUP BY 1
+)"""
+
+ENRICHED = """
+enriched AS (
+  SELECT d.*, b."timestamp", r.gas_used, r.effective_gas_price
+  FROM dedup d JOIN receipts r ON r.transaction_hash = d.transaction_hash
+               JOIN blocks b ON b.block_number = d.block_number
+)"""
+
+INGEST_BASE = _with(LOGS, DECODED, UNION, DEDUP)
+ENRICHED_BASE = _with(LOGS, DECODED, UNION, DEDUP, RECEIPTS, BLOCKS, ENRICHED)
+
+DIRTY = f"""
+dirty AS (
+  SELECT transaction_hash,
+         CASE WHEN (block_number - {BLOCK_BASE}) % 50 = 0 THEN ''
+              WHEN (block_number - {BLOCK_BASE}) % 50 = 1 THEN 'abc'
+              WHEN (block_number - {BLOCK_BASE}) % 50 = 2 THEN '-1'
+              ELSE receipt_effective_gas_price END AS receipt_effective_gas_price
+  FROM transfers
+)"""
+
+LEDGER_FROM_LOGS = """
+ledger AS (
+  SELECT block_number, transaction_hash, from_address, to_address, "timestamp",
+         cast(gas_used AS bigint) AS receipt_gas_used,
+         coalesce(effective_gas_price, '0') AS receipt_effective_gas_price
+  FROM enriched
+)"""
+
+
+def _ingest_sql() -> dict[str, str]:
+    dec_cols = ("address, block_number, block_hash, transaction_hash, transaction_index, log_index, "
+                "from_address, to_address, value")
+    range_lo, range_hi = BLOCK_BASE + 100, BLOCK_BASE + 499
+    return {
+        "decode_transfer_logs": _with(LOGS, DECODED) + "SELECT * FROM decoded",
+        "logs_by_sender": _with(LOGS, DECODED) + f"SELECT * FROM decoded WHERE from_address = '{LOG_WALLET}'",
+        "logs_by_receiver": _with(LOGS, DECODED) + f"SELECT * FROM decoded WHERE to_address = '{LOG_WALLET}'",
+        "logs_in_block_range": _with(LOGS, DECODED)
+        + f"SELECT * FROM decoded WHERE block_number BETWEEN {range_lo} AND {range_hi}",
+        "transfers_union": _with(LOGS, DECODED, UNION) + f"SELECT {dec_cols}, wallet_address, src FROM u",
+        "wallet_transfers_dedup": INGEST_BASE + f"SELECT * FROM dedup WHERE wallet_address = '{LOG_WALLET}'",
+        "transfers_dedup_last": INGEST_BASE + "SELECT * FROM dedup",
+        "transfers_enriched": ENRICHED_BASE + """
+SELECT wallet_address, block_number, transaction_hash, log_index, from_address, to_address, value,
+       "timestamp", gas_used AS receipt_gas_used, effective_gas_price AS receipt_effective_gas_price
+FROM enriched""",
+        "missing_receipts": _with(LOGS, DECODED, UNION, DEDUP, RECEIPTS) + """
+SELECT * FROM dedup d WHERE NOT EXISTS (SELECT 1 FROM receipts r WHERE r.transaction_hash = d.transaction_hash)""",
+        "receipt_logs_array": _with(LOGS, RECEIPTS) + """
+SELECT r.transaction_hash, l.log_index AS pos, l.address, cast(l.log_index AS varchar) AS log_index,
+       cast(l.block_number AS varchar) AS block_number,
+       '0x' || lpad(lower(hex(l.amount)), 64, '0') AS data,
+       '0x' || lpad(substr(l.from_address, 3), 64, '0') AS topic1
+FROM receipts r JOIN logs l USING (transaction_hash)""",
+        "transfers_flat": ENRICHED_BASE + """
+SELECT block_number, transaction_hash, from_address, to_address, "timestamp",
+       cast(gas_used AS bigint) AS receipt_gas_used,
+       coalesce(effective_gas_price, '0') AS receipt_effective_gas_price
+FROM enriched""",
+        "quarantine_rows": _with(TRANSFERS, DIRTY) + """
+SELECT transaction_hash, receipt_effective_gas_price, 'bad effective_gas_price' AS reason
+FROM dirty WHERE try_cast(receipt_effective_gas_price AS decimal(20,0)) IS NULL
+              OR try_cast(receipt_effective_gas_price AS decimal(20,0)) < 0""",
+        "ledger_metrics_from_logs": _with(LOGS, DECODED, UNION, DEDUP, RECEIPTS, BLOCKS, ENRICHED, LEDGER_FROM_LOGS,
+                                          _priced("ledger"), DAILY) + f"""
+SELECT date, address, cast(wei AS varchar) AS gas_cost_wei, cast(wei AS double) / 1e18 AS gas_cost_eth,
+       avg(cast(price_sum AS double) / price_n) {W_MA} AS ma7_wei,
+       (avg(cast(price_sum AS double) / price_n) {W_MA}) / 1e9 AS ma7_gwei,
+       cast(sum(wei) {W_CUM} AS double) / 1e18 AS cum_eth
+FROM daily""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {}
     sql.update(_metric_sql())
+    sql.update(_ingest_sql())
     return sql
