@@ -9,14 +9,16 @@ sibling.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from gasledger.operators import decode, ingest, metrics
-from gasledger.session import apply_runtime_defaults
+from gasledger.operators import audit, decode, ingest, metrics, progress, report
+from gasledger.session import apply_runtime_defaults, scratch_path
+from gasledger.sinks import ledger as sink
 from gasledger.sources import testdata as td
 
 WALLET = td.test_wallet(13)
@@ -113,8 +115,66 @@ def _ingest_queries() -> dict[str, Query]:
     }
 
 
+# Date range of the pruned month scan (the operator is the range).
+SCAN_START, SCAN_END = "1995-01-01", "1995-06-30"
+CHUNK_STEP = 100
+
+
+def _month_table(spark: SparkSession, sf_dir: str) -> str:
+    """Write the many-month ledger to a fresh folder of the shared scratch space."""
+    apply_runtime_defaults(spark)
+    path = scratch_path(spark, f"month_partitions/{uuid.uuid4().hex}")
+    sink.write_ledger(td.orders_transfers(spark, sf_dir), path, mode="errorifexists")
+    return path
+
+
+def _month_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sink.read_ledger(spark, _month_table(spark, sf_dir))
+
+
+def _month_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sink.read_ledger(spark, _month_table(spark, sf_dir), SCAN_START, SCAN_END)
+
+
+def _block_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lo, hi = audit.block_span(_ledger(spark, sf_dir))
+    return audit.block_chunks(spark, lo, hi)
+
+
+def _events_per_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = _decoded(spark, sf_dir)
+    lo, hi = audit.block_span(logs)
+    return audit.events_per_chunk(spark, logs, lo, hi, CHUNK_STEP)
+
+
+def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_runtime_defaults(spark)
+    return td.processing_state(spark, sf_dir)
+
+
+def _storage_queries() -> dict[str, Query]:
+    return {
+        "transfers_final": lambda s, d: sink.final_rows(_reread(s, d)),
+        "duplicate_keys": lambda s, d: sink.duplicate_keys(_reread(s, d)),
+        "month_partitions": _month_partitions,
+        "ledger_month_scan": _month_scan,
+        "chain_head": lambda s, d: audit.chain_head(td.raw_blocks(s, d)),
+        "block_chunks": _block_chunks,
+        "events_per_chunk": _events_per_chunk,
+        "latest_progress": lambda s, d: progress.latest_progress(_state(s, d)),
+        "progress_lookup": lambda s, d: progress.progress_lookup(s, _state(s, d), WALLET),
+        "metrics_report": lambda s, d: report.report_json(report.metrics_report(_ledger(s, d))),
+    }
+
+
+def _reread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_runtime_defaults(spark)
+    return td.reread_transfers(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_metric_queries())
     out.update(_ingest_queries())
+    out.update(_storage_queries())
     return out

@@ -235,8 +235,79 @@ FROM daily""",
     }
 
 
+REREAD = """
+reread AS (
+  SELECT * FROM transfers
+  UNION ALL
+  SELECT * REPLACE ("timestamp" + INTERVAL 1 HOUR AS updated_at) FROM transfers WHERE block_number % 1000 = 0
+)"""
+
+ORDERS_LEDGER = f"""
+month_ledger AS (
+  SELECT o_orderkey + {BLOCK_BASE} AS block_number,
+         '0x' || lpad(cast(o_orderkey AS varchar), 64, '0') AS transaction_hash,
+         {_addr('o_custkey % 150')} AS from_address,
+         {_addr('o_orderkey % 150')} AS to_address,
+         o_orderdate AS "timestamp",
+         21000 + o_orderkey % 100000 AS receipt_gas_used,
+         cast(cast(round(o_totalprice / 1000 * 100) AS bigint) * 10000000 AS varchar) AS receipt_effective_gas_price,
+         o_orderdate AS updated_at,
+         cast(strftime(o_orderdate, '%Y%m') AS int) AS event_month
+  FROM orders
+)"""
+
+STATE = f"""
+state AS (
+  SELECT {_addr('user_id')} AS wallet_address, event_id AS last_processed_block, ts AS updated_at FROM events
+),
+latest AS (
+  SELECT wallet_address, last_processed_block, updated_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY wallet_address
+                                 ORDER BY updated_at DESC, last_processed_block DESC) AS rn
+    FROM state) WHERE rn = 1
+)"""
+
+
+def _storage_sql() -> dict[str, str]:
+    step = 100
+    return {
+        "transfers_final": _with(TRANSFERS, REREAD) + """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY transaction_hash, block_number ORDER BY updated_at DESC) AS rn
+  FROM reread) WHERE rn = 1""",
+        "duplicate_keys": _with(TRANSFERS, REREAD) + """
+SELECT transaction_hash, block_number, count(*) AS copies FROM reread
+GROUP BY transaction_hash, block_number HAVING count(*) > 1""",
+        "month_partitions": _with(ORDERS_LEDGER) + "SELECT * FROM month_ledger",
+        "ledger_month_scan": _with(ORDERS_LEDGER) + """
+SELECT * FROM month_ledger
+WHERE "timestamp" >= TIMESTAMP '1995-01-01' AND "timestamp" < TIMESTAMP '1995-07-01'""",
+        "chain_head": _with(BLOCKS) + "SELECT max(block_number) AS head FROM blocks",
+        "block_chunks": _with(TRANSFERS) + """
+SELECT cast((s - lo) / 1000 AS bigint) AS chunk_no, s AS chunk_from, least(s + 999, hi) AS chunk_to
+FROM (SELECT lo, hi, unnest(generate_series(lo, hi - 1, 1000)) AS s
+      FROM (SELECT min(block_number) AS lo, max(block_number) AS hi FROM transfers))""",
+        "events_per_chunk": _with(LOGS, DECODED) + f""",
+span AS (SELECT min(block_number) AS lo, max(block_number) AS hi FROM decoded),
+chunks AS (
+  SELECT cast((s - lo) / {step} AS bigint) AS chunk_no, s AS chunk_from, least(s + {step - 1}, hi) AS chunk_to
+  FROM (SELECT lo, hi, unnest(generate_series(lo, hi - 1, {step})) AS s FROM span)
+),
+counted AS (
+  SELECT cast(floor((d.block_number - span.lo) / {step}) AS bigint) AS chunk_no, count(*) AS events
+  FROM decoded d JOIN span ON d.block_number BETWEEN span.lo AND span.hi GROUP BY 1
+)
+SELECT c.chunk_no, c.chunk_from, c.chunk_to, coalesce(n.events, 0) AS events
+FROM chunks c LEFT JOIN counted n ON n.chunk_no = c.chunk_no""",
+        "latest_progress": _with(STATE) + "SELECT * FROM latest",
+        "progress_lookup": _with(STATE) + f"""
+SELECT last_processed_block FROM latest WHERE wallet_address = '{WALLET}' ORDER BY updated_at DESC LIMIT 1""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {}
     sql.update(_metric_sql())
     sql.update(_ingest_sql())
+    sql.update(_storage_sql())
     return sql
