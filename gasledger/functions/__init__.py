@@ -14,6 +14,7 @@ from gasledger.functions.units import (
     try_to_uint,
     uint256_text,
     utc_date,
+    utc_instant,
     wei,
     wei_to_eth,
     wei_to_gwei,
@@ -23,5 +24,5 @@ from gasledger.functions.units import (
 __all__ = [
     "address_from_topic", "block_ranges", "chunk_id", "double_text", "epoch_seconds_to_ts",
     "exact_mean", "hex_quantity", "iso_text", "js_default", "normalize_address", "to_uint",
-    "try_to_uint", "uint256_text", "utc_date", "wei", "wei_to_eth", "wei_to_gwei", "year_month",
+    "try_to_uint", "uint256_text", "utc_date", "utc_instant", "wei", "wei_to_eth", "wei_to_gwei", "year_month",
 ]

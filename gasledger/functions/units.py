@@ -85,6 +85,16 @@ def epoch_seconds_to_ts(seconds: Column | str) -> Column:
     return F.timestamp_add("SECOND", _c(seconds).cast("long"), epoch)
 
 
+def utc_instant(ts_ntz: Column | str) -> Column:
+    """UTC wall-clock ``timestamp_ntz`` -> ``timestamp`` instant (for watermarks).
+
+    Computed from microseconds since the epoch, so the session time zone plays
+    no part.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, _c(ts_ntz)))
+
+
 def iso_text(ts: Column | str) -> Column:
     """Zone-less ISO text with milliseconds, the ledger's insert format."""
     return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSS")

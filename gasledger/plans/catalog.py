@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from gasledger.operators import audit, decode, ingest, metrics, progress, report
 from gasledger.session import apply_runtime_defaults, scratch_path
 from gasledger.sinks import ledger as sink
+from gasledger.streaming import daily as live
+from gasledger.streaming import ingest as stream
 from gasledger.sources import testdata as td
 
 WALLET = td.test_wallet(13)
@@ -172,9 +174,45 @@ def _reread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return td.reread_transfers(spark, sf_dir)
 
 
+def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a file stream (one micro-batch per file)."""
+    schema = td.events(spark, sf_dir).schema
+    return stream.file_stream(spark, sf_dir, schema, files_per_trigger=1, glob="events.parquet")
+
+
+def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_runtime_defaults(spark)
+    run = scratch_path(spark, f"stream_ingest/{uuid.uuid4().hex}")
+    q = stream.start_ingest(
+        td.raw_logs_of(_events_stream(spark, sf_dir)),
+        td.raw_blocks(spark, sf_dir),
+        td.raw_receipts(spark, sf_dir),
+        table_path=f"{run}/table",
+        checkpoint=f"{run}/checkpoint",
+        trigger={"availableNow": True},
+    )
+    stream.run_to_end(q)
+    t = sink.read_ledger(spark, f"{run}/table")
+    return t.drop("updated_at", "event_month")
+
+
+def _stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_runtime_defaults(spark)
+    run = scratch_path(spark, f"stream_daily/{uuid.uuid4().hex}")
+    daily = live.live_daily_gas(td.transfers_of(_events_stream(spark, sf_dir)))
+    q = live.start_live_daily(daily, f"{run}/table", f"{run}/checkpoint", trigger={"availableNow": True})
+    stream.run_to_end(q)
+    return live.read_live_daily(spark, f"{run}/table")
+
+
+def _stream_queries() -> dict[str, Query]:
+    return {"stream_ingest": _stream_ingest, "stream_daily_gas": _stream_daily}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_metric_queries())
     out.update(_ingest_queries())
     out.update(_storage_queries())
+    out.update(_stream_queries())
     return out

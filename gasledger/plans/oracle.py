@@ -310,4 +310,7 @@ def oracle_sql() -> dict[str, str]:
     sql.update(_metric_sql())
     sql.update(_ingest_sql())
     sql.update(_storage_sql())
+    # the streams must land exactly the batch answers
+    sql["stream_ingest"] = sql["transfers_flat"]
+    sql["stream_daily_gas"] = sql["daily_gas_cost"]
     return sql

@@ -99,6 +99,8 @@ def read_ledger(
         fields.append(T.StructField("batch_id", T.LongType()))
     schema = T.StructType(fields)
     df = spark.read.schema(schema).parquet(path)
+    if not with_batch and "batch_id" in df.columns:
+        df = df.drop("batch_id")
     if start is not None:
         df = df.where(F.col(MONTH_COLUMN) >= int(start[:4] + start[5:7]))
         df = df.where(F.col("timestamp") >= F.lit(start).cast("timestamp_ntz"))

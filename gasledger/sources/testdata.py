@@ -64,7 +64,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored ledger, one row per event (8 columns)."""
-    e = events(spark, sf_dir)
+    return transfers_of(events(spark, sf_dir))
+
+
+def transfers_of(e: DataFrame) -> DataFrame:
+    """Ledger rows of an events DataFrame (batch or streaming)."""
     eid = F.col("event_id")
     return e.select(
         (eid + F.lit(BLOCK_BASE)).alias("block_number"),
@@ -112,7 +116,12 @@ def block_hash(block: Column) -> Column:
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw node logs (``schemas.RAW_LOGS``)."""
-    e = _log_columns(events(spark, sf_dir))
+    return raw_logs_of(events(spark, sf_dir))
+
+
+def raw_logs_of(events_df: DataFrame) -> DataFrame:
+    """Raw logs of an events DataFrame (batch or streaming)."""
+    e = _log_columns(events_df)
     topic0 = F.when(F.col("event_type") == "signup", F.lit(APPROVAL_TOPIC)).otherwise(F.lit(TRANSFER_TOPIC))
     contract = F.when(F.col("event_type") == "error", F.lit(OTHER_CONTRACT)).otherwise(F.lit(USDC_CONTRACT))
     return e.select(
