@@ -75,6 +75,12 @@ def _window(per_address: bool) -> Window:
     return Window.partitionBy("address").orderBy("date") if per_address else w
 
 
+def moving_average(col, per_address: bool = True):
+    """Mean of ``col`` over the current and the 6 preceding rows in date order."""
+    frame = _window(per_address).rowsBetween(-MA_ROWS_PRECEDING, Window.currentRow)
+    return F.avg(col).over(frame)
+
+
 def _ordered(df: DataFrame, ordered: bool, per_address: bool = True) -> DataFrame:
     if not ordered:
         return df
@@ -123,9 +129,8 @@ def ma7_gas_price(
     is one row per day.
     """
     daily = daily_avg_gas_price(transfers, wallets, normalize, per_address, ordered=False)
-    frame = _window(per_address).rowsBetween(-MA_ROWS_PRECEDING, Window.currentRow)
     keys = ["date", "address"] if per_address else ["date"]
-    out = daily.select(*keys, F.avg("avg_gas_price_wei").over(frame).alias("ma7_wei"))
+    out = daily.select(*keys, moving_average(F.col("avg_gas_price_wei"), per_address).alias("ma7_wei"))
     out = out.withColumn("ma7_gwei", wei_to_gwei("ma7_wei"))
     return _ordered(out, ordered, per_address)
 
@@ -183,9 +188,15 @@ def combined_daily_metrics(
     Both window frames share one partitioning and ordering, so Spark evaluates
     them in a single Window operator after a single exchange.
     """
-    d = daily_totals(transfers, wallets, normalize)
-    ma_frame = _window(True).rowsBetween(-MA_ROWS_PRECEDING, Window.currentRow)
-    d = d.withColumn("ma7_wei", F.avg(exact_mean(F.col("price_sum"), F.col("price_n"))).over(ma_frame))
+    return combined_from_totals(daily_totals(transfers, wallets, normalize), mode, ordered)
+
+
+def combined_from_totals(d: DataFrame, mode: str = "exact", ordered: bool = True) -> DataFrame:
+    """:func:`combined_daily_metrics` from precomputed daily totals.
+
+    ``d`` has the columns of :func:`daily_totals` (e.g. maintained by a stream).
+    """
+    d = d.withColumn("ma7_wei", moving_average(exact_mean(F.col("price_sum"), F.col("price_n"))))
     d = _cumulative(d, True, mode)
     out = d.select(
         "date",

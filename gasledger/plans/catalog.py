@@ -44,6 +44,12 @@ def _metric_queries() -> dict[str, Query]:
         "address_summary": lambda s, d: metrics.address_summary(_ledger(s, d)),
         "combined_daily_metrics": lambda s, d: metrics.combined_daily_metrics(_ledger(s, d), WALLET),
         "combined_all_wallets": lambda s, d: metrics.combined_daily_metrics(_ledger(s, d)),
+        # the tracked wallets are those with export progress: a semi join, any size
+        "metrics_for_wallet_set": lambda s, d: metrics.daily_gas_cost(
+            _ledger(s, d),
+            progress.latest_progress(td.processing_state(s, d)).select("wallet_address"),
+            ordered=False,
+        ),
     }
 
 
@@ -196,17 +202,21 @@ def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.drop("updated_at", "event_month")
 
 
-def _stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_runtime_defaults(spark)
     run = scratch_path(spark, f"stream_daily/{uuid.uuid4().hex}")
-    daily = live.live_daily_gas(td.transfers_of(_events_stream(spark, sf_dir)))
-    q = live.start_live_daily(daily, f"{run}/table", f"{run}/checkpoint", trigger={"availableNow": True})
+    ledger = td.transfers_of(_events_stream(spark, sf_dir))
+    q = live.start_daily_partials(ledger, f"{run}/table", f"{run}/checkpoint", trigger={"availableNow": True})
     stream.run_to_end(q)
-    return live.read_live_daily(spark, f"{run}/table")
+    return live.read_daily_totals(spark, f"{run}/table")
 
 
 def _stream_queries() -> dict[str, Query]:
-    return {"stream_ingest": _stream_ingest, "stream_daily_gas": _stream_daily}
+    return {
+        "stream_ingest": _stream_ingest,
+        "stream_daily_gas": lambda s, d: live.daily_cost_from_totals(_stream_totals(s, d)),
+        "stream_combined_metrics": lambda s, d: metrics.combined_from_totals(_stream_totals(s, d), ordered=False),
+    }
 
 
 def queries() -> dict[str, Query]:

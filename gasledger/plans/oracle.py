@@ -310,7 +310,13 @@ def oracle_sql() -> dict[str, str]:
     sql.update(_metric_sql())
     sql.update(_ingest_sql())
     sql.update(_storage_sql())
+    sql["metrics_for_wallet_set"] = _with(
+        STATE, TRANSFERS,
+        _priced(where="WHERE from_address IN (SELECT wallet_address FROM latest)"), DAILY,
+    ) + """
+SELECT date, address, cast(wei AS double) / 1e18 AS gas_cost_eth, cast(wei AS varchar) AS gas_cost_wei FROM daily"""
     # the streams must land exactly the batch answers
     sql["stream_ingest"] = sql["transfers_flat"]
     sql["stream_daily_gas"] = sql["daily_gas_cost"]
+    sql["stream_combined_metrics"] = sql["combined_all_wallets"]
     return sql

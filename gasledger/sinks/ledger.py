@@ -50,6 +50,9 @@ def _writer(df: DataFrame, layout: str, partitions: int | None, bloom: bool, ext
     d = d.sortWithinPartitions(MONTH_COLUMN, *cluster)
     w = d.write.partitionBy(MONTH_COLUMN, *extra_parts)
     if bloom:
+        # written for chunks that outgrow the dictionary (real address
+        # cardinality); adaptive sizing keeps each filter near its true NDV
+        w = w.option("parquet.bloom.filter.adaptive.enabled", "true")
         for c in BLOOM_COLUMNS:
             w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
     return w

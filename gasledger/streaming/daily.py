@@ -1,16 +1,22 @@
-"""Live daily gas cost over a growing ledger.
+"""Live daily gas metrics over a growing ledger.
 
-A watermarked, 1-day tumbling-window aggregate per address, kept in Spark's
-state store: state holds one row per (open day, address) and days older than
-the watermark are dropped.  Output runs in *update* mode -- every micro-batch
-emits the (day, address) totals it changed -- and each batch is stored under
-its ``batch_id`` with dynamic overwrite (replay-safe).  Reading the newest
-version of every (day, address) gives exactly the batch answer of
-``metrics.daily_gas_cost``, including the still-open day.
+Two forms:
+
+* :func:`start_daily_partials` (default, exact).  Every micro-batch is reduced
+  to one row per (date, address) -- event count, exact wei, price sum and
+  count -- and written under its ``batch_id`` with dynamic overwrite
+  (replay-safe).  Reading sums the partials per key, so rows arriving days
+  late still count; nothing is kept in state and nothing is dropped.  The
+  partial table is small (one row per touched key per batch) and can be
+  compacted by rewriting :func:`read_daily_totals` to a new folder.
+* :func:`live_daily_gas` (bounded lateness).  A watermarked 1-day window per
+  address in Spark's state store, emitted in update mode.  Spark drops rows
+  older than the watermark, so use it only when input arrives in time order
+  within ``delay`` (e.g. block-ordered landing).
 
 The moving average and the running sum are ROWS windows, which streams do not
-support; they are recomputed in batch from this daily table
-(``metrics`` on the ledger), where their input is one row per day.
+support; ``metrics.combined_from_totals`` computes them in batch from the daily
+totals, where their input is one row per (address, day).
 """
 
 from __future__ import annotations
@@ -20,13 +26,72 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gasledger.functions.units import utc_instant, wei, wei_to_eth
+from gasledger.operators import metrics
 from gasledger.operators.wallets import Wallets, select_wallets
 
+PARTIALS_SCHEMA = (
+    "address string, date date, events_collected long, wei decimal(38,0), "
+    "price_sum decimal(38,0), price_n long, batch_id long"
+)
 DAILY_SCHEMA = "date date, address string, wei decimal(38,0), events long, batch_id long"
 
 
+def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    (
+        df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(path)
+    )
+
+
+def start_daily_partials(
+    ledger_stream: DataFrame,
+    table_path: str,
+    checkpoint: str,
+    wallets: Wallets = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Stream ledger rows into per-batch daily partial totals (exact, no watermark)."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        totals = metrics.daily_totals(batch, wallets)
+        _write_batch(totals.select("address", "date", "events_collected", "wei", "price_sum", "price_n"),
+                     table_path, batch_id)
+
+    return (
+        ledger_stream.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "30 seconds"}))
+        .start()
+    )
+
+
+def read_daily_totals(spark: SparkSession, table_path: str) -> DataFrame:
+    """Daily totals (the shape of ``metrics.daily_totals``) from the partials."""
+    p = spark.read.schema(PARTIALS_SCHEMA).parquet(table_path)
+    return p.groupBy("address", "date").agg(
+        F.sum("events_collected").alias("events_collected"),
+        F.sum("wei").cast("decimal(38,0)").alias("wei"),
+        F.sum("price_sum").cast("decimal(38,0)").alias("price_sum"),
+        F.sum("price_n").alias("price_n"),
+    )
+
+
+def daily_cost_from_totals(totals: DataFrame) -> DataFrame:
+    return totals.select(
+        "date", "address", wei_to_eth("wei").alias("gas_cost_eth"), F.col("wei").cast("string").alias("gas_cost_wei")
+    )
+
+
 def live_daily_gas(ledger_stream: DataFrame, delay: str = "1 day", wallets: Wallets = None) -> DataFrame:
-    """Streaming (date, address, wei, events) with a watermark on event time."""
+    """Streaming (date, address, wei, events) with a watermark on event time.
+
+    Rows older than the watermark (``delay`` behind the newest event) are
+    dropped by Spark; prefer :func:`start_daily_partials` when order is not
+    guaranteed.
+    """
     t = select_wallets(ledger_stream, wallets, "from_address")
     p = t.select(
         utc_instant("timestamp").alias("event_time"),
@@ -46,18 +111,10 @@ def live_daily_gas(ledger_stream: DataFrame, delay: str = "1 day", wallets: Wall
 def start_live_daily(
     daily_stream: DataFrame, table_path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    def run(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(table_path)
-        )
-
+    """Run :func:`live_daily_gas` in update mode; each batch's updates are kept."""
     return (
         daily_stream.writeStream.outputMode("update")
-        .foreachBatch(run)
+        .foreachBatch(lambda df, bid: _write_batch(df, table_path, bid))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "30 seconds"}))
         .start()
