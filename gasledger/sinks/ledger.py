@@ -58,6 +58,19 @@ def _writer(df: DataFrame, layout: str, partitions: int | None, bloom: bool, ext
     return w
 
 
+def create_ledger_table(spark: SparkSession, name: str, path: str) -> None:
+    """Register the ledger as a catalog table at ``path`` unless it exists.
+
+    Same columns and month partitioning as :func:`write_ledger` writes, so
+    SQL users can query ``name`` and Spark prunes months from their predicates.
+    """
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TRANSFERS.fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({cols}, `{MONTH_COLUMN}` int) "
+        f"USING parquet PARTITIONED BY (`{MONTH_COLUMN}`) LOCATION '{path}'"
+    )
+
+
 def write_ledger(
     df: DataFrame,
     path: str,

@@ -209,3 +209,36 @@ def test_progress_roundtrip(spark, scratch):
     got = progress.progress_lookup(spark, state, W).collect()
     assert [r.last_processed_block for r in got] == [250]
     assert progress.progress_lookup(spark, state, "0xnone").count() == 0
+
+
+def test_scalar_conversions(spark):
+    from gasledger.functions.units import epoch_seconds_to_ts, hex_quantity, iso_text, uint256_text, utc_instant
+
+    df = spark.createDataFrame([(1759881600, "0x1671e5b", "0x" + "f" * 16)], "s long, h string, big string")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        r = df.select(
+            epoch_seconds_to_ts("s").alias("ts"),
+            iso_text(epoch_seconds_to_ts("s")).alias("iso"),
+            hex_quantity("h").alias("n"),
+            uint256_text(F.concat(F.lit("0x"), F.lpad(F.substring("big", 3, 16), 64, "0"))).alias("u"),
+            F.unix_seconds(utc_instant(epoch_seconds_to_ts("s"))).alias("back"),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r.ts == dt.datetime(2025, 10, 8, 0, 0, 0)
+    assert r.iso == "2025-10-08T00:00:00.000"
+    assert r.n == 0x1671E5B == 23535195
+    assert r.u == str(2**64 - 1)
+    assert r.back == 1759881600
+
+
+def test_create_table_if_absent(spark, scratch):
+    name = "ledger_" + scratch.rsplit("/", 1)[1][:8]
+    t = spark.createDataFrame([row(0, "2024-03-05T00:00:00", "2")], LEDGER)
+    sink.write_ledger(t, scratch)
+    sink.create_ledger_table(spark, name, scratch)
+    sink.create_ledger_table(spark, name, scratch)  # second call is a no-op
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    assert spark.sql(f"SELECT event_month FROM {name}").first().event_month == 202403
+    spark.sql(f"DROP TABLE {name}")
