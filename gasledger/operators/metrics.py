@@ -60,13 +60,16 @@ def priced(transfers: DataFrame, wallets: Wallets = None, normalize: bool = Fals
 def daily_totals(
     transfers: DataFrame, wallets: Wallets = None, normalize: bool = False, per_address: bool = True
 ) -> DataFrame:
-    """One row per (address, date): event count, exact wei, price sum and count."""
+    """One row per (address, date): event count, exact wei, price sum and count,
+    first and last block."""
     keys = ["address", "date"] if per_address else ["date"]
     return priced(transfers, wallets, normalize).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("events_collected"),
         F.sum("wei").alias("wei"),
         F.sum("price").alias("price_sum"),
         F.count("price").alias("price_n"),
+        F.min("block_number").alias("block_min"),
+        F.max("block_number").alias("block_max"),
     )
 
 
@@ -191,10 +194,13 @@ def combined_daily_metrics(
     return combined_from_totals(daily_totals(transfers, wallets, normalize), mode, ordered)
 
 
-def combined_from_totals(d: DataFrame, mode: str = "exact", ordered: bool = True) -> DataFrame:
+def combined_from_totals(
+    d: DataFrame, mode: str = "exact", ordered: bool = True, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """:func:`combined_daily_metrics` from precomputed daily totals.
 
-    ``d`` has the columns of :func:`daily_totals` (e.g. maintained by a stream).
+    ``d`` has the columns of :func:`daily_totals` (e.g. maintained by a stream);
+    ``keep`` carries more of its columns to the output.
     """
     d = d.withColumn("ma7_wei", moving_average(exact_mean(F.col("price_sum"), F.col("price_n"))))
     d = _cumulative(d, True, mode)
@@ -206,5 +212,6 @@ def combined_from_totals(d: DataFrame, mode: str = "exact", ordered: bool = True
         "ma7_wei",
         wei_to_gwei("ma7_wei").alias("ma7_gwei"),
         "cum_eth",
+        *keep,
     )
     return _ordered(out, ordered)

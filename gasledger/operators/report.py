@@ -36,9 +36,20 @@ def metrics_report(
     the published sample report was computed; ``"exact"`` divides the exact
     running wei instead.
     """
-    daily = metrics.combined_daily_metrics(transfers, wallets, normalize, mode=mode, ordered=False)
+    totals = metrics.daily_totals(transfers, wallets, normalize)
+    daily = metrics.combined_from_totals(
+        totals, mode=mode, ordered=False, keep=("events_collected", "block_min", "block_max")
+    )
     day = F.date_format("date", "yyyy-MM-dd")
+    # one aggregate per address on top of the window output, which is already
+    # partitioned by address: no further exchange, and the summary comes from
+    # the daily rows instead of a second pass over the ledger
     per_address = daily.groupBy("address").agg(
+        F.sum("events_collected").alias("events_collected"),
+        F.min("block_min").alias("blocks_scanned_start"),
+        F.max("block_max").alias("blocks_scanned_end"),
+        F.date_format(F.min("date"), "yyyy-MM-dd").alias("period_start"),
+        F.date_format(F.max("date"), "yyyy-MM-dd").alias("period_end"),
         F.array_sort(F.collect_list(F.struct(
             day.alias("date"),
             F.col("gas_cost_wei").alias("gas_cost_wei"),
@@ -54,17 +65,14 @@ def metrics_report(
             double_text("cum_eth").alias("cum_eth"),
         ))).alias("cumulative_gas_cost_eth"),
     )
-    summary = metrics.address_summary(transfers, wallets, normalize)
-    return summary.join(per_address, "address").select(
+    return per_address.select(
         "address",
         F.lit(network).alias("network"),
         F.lit(token).alias("token"),
         F.struct(
             F.col("events_collected"),
             F.array("blocks_scanned_start", "blocks_scanned_end").alias("blocks_scanned"),
-            F.array(
-                F.date_format("period_start", "yyyy-MM-dd"), F.date_format("period_end", "yyyy-MM-dd")
-            ).alias("period_utc"),
+            F.array("period_start", "period_end").alias("period_utc"),
         ).alias("summary"),
         "daily_gas_cost",
         "ma7_effective_gas_price",

@@ -31,7 +31,7 @@ from gasledger.operators.wallets import Wallets, select_wallets
 
 PARTIALS_SCHEMA = (
     "address string, date date, events_collected long, wei decimal(38,0), "
-    "price_sum decimal(38,0), price_n long, batch_id long"
+    "price_sum decimal(38,0), price_n long, block_min long, block_max long, batch_id long"
 )
 DAILY_SCHEMA = "date date, address string, wei decimal(38,0), events long, batch_id long"
 
@@ -57,8 +57,7 @@ def start_daily_partials(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         totals = metrics.daily_totals(batch, wallets)
-        _write_batch(totals.select("address", "date", "events_collected", "wei", "price_sum", "price_n"),
-                     table_path, batch_id)
+        _write_batch(totals, table_path, batch_id)
 
     return (
         ledger_stream.writeStream.foreachBatch(run)
@@ -76,6 +75,8 @@ def read_daily_totals(spark: SparkSession, table_path: str) -> DataFrame:
         F.sum("wei").cast("decimal(38,0)").alias("wei"),
         F.sum("price_sum").cast("decimal(38,0)").alias("price_sum"),
         F.sum("price_n").alias("price_n"),
+        F.min("block_min").alias("block_min"),
+        F.max("block_max").alias("block_max"),
     )
 
 
