@@ -10,9 +10,10 @@ Physical layout (what the table DDL of the original asks of its engine):
 * bloom filters on ``from_address`` and ``to_address`` so an equality lookup
   of one wallet skips row groups that cannot hold it.
 
-Before the write, rows are range-partitioned on (month, cluster key): Spark
-samples the keys, so a hot month or a hot wallet is split across many tasks
-instead of landing in one, and each task writes few, large, sorted files.
+Before the write, rows are range-partitioned on (month, full cluster key):
+Spark samples the keys, so a hot month -- or one wallet holding a third of all
+rows, which differs in its timestamps -- is split across many tasks instead of
+landing in one, and each task writes few, large, sorted files.
 
 Writes are idempotent per batch: :func:`write_batch` puts a batch in its own
 ``batch_id`` partition and uses dynamic partition overwrite, so replaying a
@@ -45,7 +46,9 @@ def _writer(df: DataFrame, layout: str, partitions: int | None, bloom: bool, ext
         raise ValueError(f"layout must be one of {sorted(LAYOUTS)}")
     cluster = LAYOUTS[layout]
     d = with_month(df) if MONTH_COLUMN not in df.columns else df
-    keys = [MONTH_COLUMN, cluster[0]]
+    # the full cluster key, not just the address: a wallet holding a third of a
+    # month is one address value but many timestamps, so its rows still split
+    keys = [MONTH_COLUMN, *cluster]
     d = d.repartitionByRange(partitions, *keys) if partitions else d.repartitionByRange(*keys)
     d = d.sortWithinPartitions(MONTH_COLUMN, *cluster)
     w = d.write.partitionBy(MONTH_COLUMN, *extra_parts)

@@ -83,3 +83,18 @@ def test_no_cartesian_or_nested_loop_joins(spark, name):
     p = plan(queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in p
     assert "BroadcastNestedLoopJoin" not in p
+
+
+def test_hot_wallet_is_split_across_write_tasks(spark, scratch):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from gasledger.session import local_path
+
+    # one wallet owns every row of one month
+    t = td.transfers(spark, SF_SMALL).withColumn("from_address", F.lit("0x" + "f" * 40))
+    sink.write_ledger(t, scratch, partitions=4)
+    files = glob.glob(local_path(scratch) + "/event_month=202401/*.parquet")
+    assert len(files) == 4
+    assert sink.read_ledger(spark, scratch).count() == t.count()
