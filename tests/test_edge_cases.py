@@ -242,3 +242,14 @@ def test_create_table_if_absent(spark, scratch):
     spark.sql(f"MSCK REPAIR TABLE {name}")
     assert spark.sql(f"SELECT event_month FROM {name}").first().event_month == 202403
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_global_running_sum_pools_selected_wallets(spark):
+    other = "0x" + "e" * 40
+    rows = [row(0, "2024-01-01T00:00:00", "10"), row(1, "2024-01-02T00:00:00", "20", frm=other),
+            row(2, "2024-01-03T00:00:00", "30")]
+    t = spark.createDataFrame(rows, LEDGER)
+    pooled = metrics.cumulative_gas_cost(t, [W, other], per_address=False).collect()
+    assert [round(r.cum_eth * 1e18) for r in pooled] == [10, 30, 60]
+    per = metrics.cumulative_gas_cost(t, [W, other]).where(F.col("address") == W).collect()
+    assert [round(r.cum_eth * 1e18) for r in per] == [10, 40]
