@@ -95,6 +95,12 @@ def utc_instant(ts_ntz: Column | str) -> Column:
     return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, _c(ts_ntz)))
 
 
+def utc_now() -> Column:
+    """Current UTC wall-clock time as ``timestamp_ntz``, whatever the session zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(F.current_timestamp()), epoch)
+
+
 def iso_text(ts: Column | str) -> Column:
     """Zone-less ISO text with milliseconds, the ledger's insert format."""
     return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSS")

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gasledger.functions.units import js_default, try_to_uint
+from gasledger.functions.units import js_default, try_to_uint, utc_now
 from gasledger.operators.decode import in_block_range
 from gasledger.operators.wallets import Wallets, select_wallets
 
@@ -165,7 +165,7 @@ def flatten(events: DataFrame, updated_at: bool = True) -> DataFrame:
         F.col("receipt.effectiveGasPrice").alias("receipt_effective_gas_price"),
     ]
     if updated_at:
-        cols.append(F.localtimestamp().alias("updated_at"))
+        cols.append(utc_now().alias("updated_at"))
     return events.select(*cols)
 
 
@@ -183,7 +183,7 @@ def ledger_rows(deduped: DataFrame, blocks: DataFrame, receipts: DataFrame,
         js_default("effective_gas_price", "0").alias("receipt_effective_gas_price"),
     ]
     if updated_at:
-        cols.append(F.localtimestamp().alias("updated_at"))
+        cols.append(utc_now().alias("updated_at"))
     return e.select(*cols)
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gasledger.functions.units import utc_now
 from gasledger.sources.schemas import PROCESSING_STATE
 
 
@@ -41,7 +42,7 @@ def progress_lookup(spark: SparkSession, state: DataFrame, wallet: str) -> DataF
 def save_progress(spark: SparkSession, path: str, wallet: str, block: int) -> None:
     """Append one progress version (never rewrites older ones)."""
     row = spark.createDataFrame([(wallet, int(block))], "wallet_address string, last_processed_block long")
-    row.select("wallet_address", "last_processed_block", F.localtimestamp().alias("updated_at")).write.mode(
+    row.select("wallet_address", "last_processed_block", utc_now().alias("updated_at")).write.mode(
         "append"
     ).parquet(path)
 

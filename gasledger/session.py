@@ -39,13 +39,12 @@ def get_session(
 
 
 def apply_runtime_defaults(spark: SparkSession) -> None:
-    """Set the runtime (non-static) defaults on a session built elsewhere."""
-    for key in (
-        "spark.sql.session.timeZone",
-        "spark.sql.adaptive.enabled",
-        "spark.sql.adaptive.skewJoin.enabled",
-        "spark.sql.sources.partitionOverwriteMode",
-    ):
+    """Turn on AQE and its skew-join split on a session built elsewhere.
+
+    Nothing else of the caller's session is changed: dates and timestamps are
+    zone-free by construction, and writers pass their overwrite mode per write.
+    """
+    for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
         spark.conf.set(key, DEFAULT_CONF[key])
 
 

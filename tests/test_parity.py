@@ -49,3 +49,17 @@ def test_report_rows(spark):
     rows = df.collect()
     assert len(rows) == df.select("address").distinct().count() > 0
     assert all(r.json.startswith('{"address":') for r in rows)
+
+
+@pytest.mark.parametrize("name", ["combined_all_wallets", "transfers_flat", "stream_daily_gas", "month_partitions"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        df = queries()[name](spark, SF_SMALL)
+        got, _ = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    rel = duck.sql(oracle_sql()[name])
+    want, _ = rows_of(rel.columns, rel.fetchall())
+    assert got == want
