@@ -21,6 +21,7 @@ from gasledger.session import apply_runtime_defaults, scratch_path
 from gasledger.sinks import ledger as sink
 from gasledger.streaming import daily as live
 from gasledger.streaming import ingest as stream
+from gasledger.sources import rpc_json
 from gasledger.sources import testdata as td
 
 WALLET = td.test_wallet(13)
@@ -102,9 +103,18 @@ def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.flatten(nested, updated_at=False)
 
 
+def _rpc_json_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the raw logs as node JSON (hex quantities), read them back, decode."""
+    apply_runtime_defaults(spark)
+    path = scratch_path(spark, f"rpc_logs/{uuid.uuid4().hex}")
+    rpc_json.to_rpc_logs(td.raw_logs(spark, sf_dir)).write.mode("errorifexists").json(path)
+    return decode.decode_transfer_logs(rpc_json.read_logs(spark, path))
+
+
 def _ingest_queries() -> dict[str, Query]:
     return {
         "decode_transfer_logs": _decoded,
+        "rpc_json_logs": _rpc_json_logs,
         "logs_by_sender": lambda s, d: decode.logs_by_sender(_decoded(s, d), LOG_WALLET),
         "logs_by_receiver": lambda s, d: decode.logs_by_receiver(_decoded(s, d), LOG_WALLET),
         "logs_in_block_range": lambda s, d: decode.decode_transfer_logs(

@@ -316,6 +316,7 @@ def oracle_sql() -> dict[str, str]:
     ) + """
 SELECT date, address, cast(wei AS double) / 1e18 AS gas_cost_eth, cast(wei AS varchar) AS gas_cost_wei FROM daily"""
     # the streams must land exactly the batch answers
+    sql["rpc_json_logs"] = sql["decode_transfer_logs"]
     sql["stream_ingest"] = sql["transfers_flat"]
     sql["stream_daily_gas"] = sql["daily_gas_cost"]
     sql["stream_combined_metrics"] = sql["combined_all_wallets"]
