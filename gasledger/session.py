@@ -53,19 +53,26 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster names a shared
     folder there).  Only when it is unset -- local runs and tests -- a folder
-    under the session's warehouse directory is registered instead.
+    under the session's warehouse directory is registered instead.  Works on
+    classic sessions and, without a SparkContext, from the session config.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current.rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        configured = warehouse.rstrip("/") + "/_checkpoints"
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    if sc is None:
+        return configured.rstrip("/")
     sc.setCheckpointDir(configured)
-    current = sc.getCheckpointDir() or configured
-    return current.rstrip("/")
+    return (sc.getCheckpointDir() or configured).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
