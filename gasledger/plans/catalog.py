@@ -176,6 +176,9 @@ def _storage_queries() -> dict[str, Query]:
         "duplicate_keys": lambda s, d: sink.duplicate_keys(_reread(s, d)),
         "month_partitions": _month_partitions,
         "ledger_month_scan": _month_scan,
+        # wallet equality reaches the Parquet reader (statistics + bloom filters)
+        "stored_wallet_daily_gas_cost": lambda s, d: metrics.daily_gas_cost(
+            sink.read_ledger(s, _month_table(s, d)), WALLET, ordered=False),
         "chain_head": lambda s, d: audit.chain_head(td.raw_blocks(s, d)),
         "block_chunks": _block_chunks,
         "events_per_chunk": _events_per_chunk,

@@ -282,6 +282,9 @@ GROUP BY transaction_hash, block_number HAVING count(*) > 1""",
         "ledger_month_scan": _with(ORDERS_LEDGER) + """
 SELECT * FROM month_ledger
 WHERE "timestamp" >= TIMESTAMP '1995-01-01' AND "timestamp" < TIMESTAMP '1995-07-01'""",
+        "stored_wallet_daily_gas_cost": _with(
+            ORDERS_LEDGER, _priced("month_ledger", f"WHERE from_address = '{WALLET}'"), DAILY) + """
+SELECT date, address, cast(wei AS double) / 1e18 AS gas_cost_eth, cast(wei AS varchar) AS gas_cost_wei FROM daily""",
         "chain_head": _with(BLOCKS) + "SELECT max(block_number) AS head FROM blocks",
         "block_chunks": _with(TRANSFERS) + """
 SELECT cast((s - lo) / 1000 AS bigint) AS chunk_no, s AS chunk_from, least(s + 999, hi) AS chunk_to
