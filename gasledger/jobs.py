@@ -4,6 +4,7 @@
     stream   landed raw log files          -> ledger table (Structured Streaming)
     metrics  ledger table                  -> one metric table (Parquet)
     report   ledger table                  -> nested JSON report per address
+    compact  batch-partitioned ledger      -> one row per key, month files, new folder
     audit    raw logs                      -> events per request chunk
 
 Raw inputs are Parquet in the raw schemas, or node JSON objects with
@@ -94,6 +95,10 @@ def cmd_report(spark: SparkSession, args) -> None:
     report.write_reports(rep, args.out)
 
 
+def cmd_compact(spark: SparkSession, args) -> None:
+    sink.compact(spark, args.table, args.out, args.layout)
+
+
 def cmd_audit(spark: SparkSession, args) -> None:
     logs = decode.decode_transfer_logs(_read(spark, args.logs, "logs", args.format), args.contract or None)
     audit.events_per_chunk(spark, logs, args.from_block, args.to_block, args.step, args.mode).write.mode(
@@ -141,6 +146,11 @@ def parser() -> argparse.ArgumentParser:
         if name == "metrics":
             sp.add_argument("--metric", choices=sorted(METRICS), required=True)
 
+    sp = sub.add_parser("compact")
+    sp.add_argument("--table", required=True)
+    sp.add_argument("--out", required=True)
+    sp.add_argument("--layout", choices=tuple(sink.LAYOUTS), default="address")
+
     sp = sub.add_parser("audit")
     common(sp)
     sp.add_argument("--logs", required=True)
@@ -155,9 +165,11 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     spark = spark or get_session()
-    {"ingest": cmd_ingest, "stream": cmd_stream, "metrics": cmd_metrics, "report": cmd_report, "audit": cmd_audit}[
-        args.cmd
-    ](spark, args)
+    commands = {
+        "ingest": cmd_ingest, "stream": cmd_stream, "metrics": cmd_metrics,
+        "report": cmd_report, "compact": cmd_compact, "audit": cmd_audit,
+    }
+    commands[args.cmd](spark, args)
 
 
 if __name__ == "__main__":

@@ -142,6 +142,19 @@ def final_rows(ledger: DataFrame) -> DataFrame:
     return out.select("transaction_hash", "block_number", *[F.col("v")[c].alias(c) for c in rest + ["updated_at"]])
 
 
+def compact(spark: SparkSession, src: str, dst: str, layout: str = "address", partitions: int | None = None) -> None:
+    """Rewrite a batch-partitioned ledger as one row per key into a new folder.
+
+    Streams leave one ``batch_id`` folder per micro-batch and month; this
+    resolves duplicate keys and writes large, clustered month files.  It never
+    writes where it reads: point readers at ``dst`` once it is complete.
+    """
+    if src.rstrip("/") == dst.rstrip("/"):
+        raise ValueError("compaction must write to a new folder")
+    rows = final_rows(read_ledger(spark, src).drop(MONTH_COLUMN))
+    write_ledger(rows, dst, mode="errorifexists", layout=layout, partitions=partitions)
+
+
 def duplicate_keys(ledger: DataFrame) -> DataFrame:
     """Table keys stored more than once, with the number of copies."""
     return (

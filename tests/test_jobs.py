@@ -38,3 +38,17 @@ def test_ingest_metrics_report_audit(spark, scratch):
                "--to-block", str(hi), "--step", "20"], spark)
     chunks = spark.read.parquet(f"{scratch}/a").orderBy("chunk_no").collect()
     assert [(c.chunk_from, c.chunk_to) for c in chunks][0] == (lo, lo + 19) and len(chunks) == 4
+
+
+def test_compact_resolves_duplicates(spark, scratch):
+    t = td.reread_transfers(spark, SF_SMALL)
+    sink.write_batch(t, f"{scratch}/batches", 0)
+    sink.write_batch(t.limit(50), f"{scratch}/batches", 1)
+    jobs.main(["compact", "--table", f"{scratch}/batches", "--out", f"{scratch}/compact"], spark)
+    c = sink.read_ledger(spark, f"{scratch}/compact")
+    assert c.count() == td.transfers(spark, SF_SMALL).count()
+    assert sink.duplicate_keys(c).count() == 0
+    import pytest
+
+    with pytest.raises(ValueError):
+        sink.compact(spark, f"{scratch}/compact", f"{scratch}/compact/")
