@@ -41,8 +41,17 @@ LOG_COLUMNS = [
 
 
 def transfers_union(decoded: DataFrame, wallets: Wallets = None) -> DataFrame:
-    """Sent and received logs per tracked wallet (``UNION ALL`` with a ``src`` tag)."""
+    """Sent and received logs per tracked wallet (``UNION ALL`` with a ``src`` tag).
+
+    Decoded addresses are lower-case hex, so wallets given in checksum
+    (mixed) case are lower-cased before matching.
+    """
     logs = decoded
+    normalize = isinstance(wallets, DataFrame)
+    if isinstance(wallets, str):
+        wallets = wallets.lower()
+    elif wallets is not None and not normalize:
+        wallets = [w.lower() for w in wallets]
     if isinstance(wallets, str):
         # prune to the wallet's logs before doubling them
         logs = logs.where((F.col("from_address") == wallets) | (F.col("to_address") == wallets))
@@ -51,7 +60,7 @@ def transfers_union(decoded: DataFrame, wallets: Wallets = None) -> DataFrame:
         F.struct(F.col("to_address").alias("wallet_address"), F.lit(1).alias("src")),
     )
     tagged = logs.select(*LOG_COLUMNS, F.inline(roles))
-    return select_wallets(tagged, wallets, "wallet_address")
+    return select_wallets(tagged, wallets, "wallet_address", normalize=normalize)
 
 
 def dedup_last(union: DataFrame) -> DataFrame:

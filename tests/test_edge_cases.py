@@ -253,3 +253,12 @@ def test_global_running_sum_pools_selected_wallets(spark):
     assert [round(r.cum_eth * 1e18) for r in pooled] == [10, 30, 60]
     per = metrics.cumulative_gas_cost(t, [W, other]).where(F.col("address") == W).collect()
     assert [round(r.cum_eth * 1e18) for r in per] == [10, 40]
+
+
+def test_checksum_case_wallet_finds_its_logs(spark):
+    mixed = "0xAaAa" + "a" * 36
+    other = "0x" + "c" * 40
+    logs = spark.createDataFrame([log(mixed.lower(), other, 0)], LOGS)
+    decoded = decode.decode_transfer_logs(logs)
+    for wallets in (mixed, [mixed], spark.createDataFrame([(mixed,)], "w string")):
+        assert ingest.dedup_last(ingest.transfers_union(decoded, wallets)).count() == 1
