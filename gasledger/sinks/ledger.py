@@ -13,7 +13,10 @@ Physical layout (what the table DDL of the original asks of its engine):
 Before the write, rows are range-partitioned on (month, full cluster key):
 Spark samples the keys, so a hot month -- or one wallet holding a third of all
 rows, which differs in its timestamps -- is split across many tasks instead of
-landing in one, and each task writes few, large, sorted files.
+landing in one, and each task writes few, large, sorted files.  The price is
+one sampling pass over the final stage before the shuffle; hash partitioning
+would avoid it but scatter every task over every month folder (many small
+files), which costs more on every later scan.
 
 Writes are idempotent per batch: :func:`write_batch` puts a batch in its own
 ``batch_id`` partition and uses dynamic partition overwrite, so replaying a
