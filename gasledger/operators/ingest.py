@@ -15,8 +15,8 @@ Steps (each a DataFrame -> DataFrame function):
 4. :func:`nest` / :func:`flatten` -- the nested event record and the 8-column ledger row.
 
 Scale notes.  The union is one ``Generate`` over a single scan (not two scans).
-The dedup is keyed by (wallet, hash); hashes are uniform, and the aggregate is
-partial-then-final, so a hot wallet does not pile onto one task.  The two joins
+The dedup is keyed by (wallet, hash); hashes are uniform, and the top-1 per key
+runs partially on the map side before the shuffle (``operators.keyed``).  The two joins
 are the large-large joins of the job: block headers are broadcast only when a
 block range bounds their number (one header per block), otherwise AQE chooses
 at run time from the real sizes and splits skewed partitions.
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from gasledger.functions.units import js_default, try_to_uint, utc_now
 from gasledger.operators.decode import in_block_range
+from gasledger.operators.keyed import first_per_key
 from gasledger.operators.wallets import Wallets, select_wallets
 
 # Broadcast block headers when the block range proves at most this many rows.
@@ -65,14 +66,10 @@ def transfers_union(decoded: DataFrame, wallets: Wallets = None) -> DataFrame:
 
 def dedup_last(union: DataFrame) -> DataFrame:
     """One row per (wallet, transaction hash); the largest (src, log_index) wins."""
-    payload = F.struct(*[F.col(c) for c in LOG_COLUMNS])
-    order = F.struct(F.col("src"), F.col("log_index"))
-    return (
-        union.groupBy("wallet_address", "transaction_hash")
-        .agg(F.max_by(payload, order).alias("w"))
-        .select("wallet_address", *[F.col("w")[c].alias(c) for c in LOG_COLUMNS if c != "transaction_hash"],
-                "transaction_hash")
+    kept = first_per_key(
+        union, ["wallet_address", "transaction_hash"], [F.col("src").desc(), F.col("log_index").desc()]
     )
+    return kept.select("wallet_address", *[c for c in LOG_COLUMNS if c != "transaction_hash"], "transaction_hash")
 
 
 def _range_blocks(blocks: DataFrame, lo: int | None, hi: int | None) -> DataFrame:

@@ -13,16 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gasledger.functions.units import utc_now
+from gasledger.operators.keyed import first_per_key
 from gasledger.sources.schemas import PROCESSING_STATE
 
 
 def latest_progress(state: DataFrame) -> DataFrame:
     """Newest version per wallet (ties on ``updated_at``: the higher block)."""
-    order = F.struct("updated_at", "last_processed_block")
-    return (
-        state.groupBy("wallet_address")
-        .agg(F.max_by(F.struct("last_processed_block", "updated_at"), order).alias("v"))
-        .select("wallet_address", "v.last_processed_block", "v.updated_at")
+    rows = state.select("wallet_address", "last_processed_block", "updated_at")
+    return first_per_key(
+        rows, ["wallet_address"], [F.col("updated_at").desc_nulls_last(), F.col("last_processed_block").desc()]
     )
 
 

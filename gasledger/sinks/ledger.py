@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gasledger.functions.units import year_month
+from gasledger.operators.keyed import first_per_key
 from gasledger.sources.schemas import MONTH_COLUMN, TRANSFER_COLUMNS, TRANSFERS
 
 LAYOUTS = {
@@ -138,11 +139,7 @@ def final_rows(ledger: DataFrame) -> DataFrame:
     ``updated_at`` decides (newest wins); equal versions fall back to the other
     columns so the answer never depends on row order.
     """
-    rest = [c for c in ledger.columns if c not in ("transaction_hash", "block_number", "updated_at")]
-    payload = F.struct(*[F.col(c) for c in rest + ["updated_at"]])
-    order = F.struct(F.col("updated_at"), *[F.col(c) for c in rest])
-    out = ledger.groupBy("transaction_hash", "block_number").agg(F.max_by(payload, order).alias("v"))
-    return out.select("transaction_hash", "block_number", *[F.col("v")[c].alias(c) for c in rest + ["updated_at"]])
+    return first_per_key(ledger, ["transaction_hash", "block_number"], [F.col("updated_at").desc_nulls_last()])
 
 
 def compact(spark: SparkSession, src: str, dst: str, layout: str = "address", partitions: int | None = None) -> None:
