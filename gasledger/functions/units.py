@@ -145,18 +145,22 @@ def normalize_address(col: Column | str) -> Column:
 
 
 def double_text(col: Column | str) -> Column:
-    """Plain (non-scientific) text of a double, e.g. 3823681772.9782143.
+    """Plain (non-scientific) text of a double, e.g. 3823681772.9782143 or 20.
 
-    Spark prints large and small doubles in scientific notation; the report
-    uses plain notation.  The shortest digits are kept and re-printed through
-    an exact decimal.
+    Spark prints doubles in plain notation between 1e-3 and 1e7 and in
+    scientific notation outside; the report uses plain notation throughout.
+    Only scientific or integral texts take the slower exact-decimal route.
     """
     c = _c(col)
+    text = c.cast("string")
     plain = F.regexp_replace(
-        F.regexp_replace(F.format_string("%s", c.cast("string").cast("decimal(38,18)")), r"0+$", ""),
+        F.regexp_replace(F.format_string("%s", text.cast("decimal(38,18)")), r"0+$", ""),
         r"\.$",
         "",
     )
-    return F.when(c.isNull(), F.lit(None)).when(
-        F.abs(c) < F.lit(1e19), plain
-    ).otherwise(c.cast("string"))
+    return (
+        F.when(c.isNull(), F.lit(None))
+        .when(F.instr(text, "E") == 0, F.regexp_replace(text, r"\.0$", ""))
+        .when(F.abs(c) < F.lit(1e19), plain)
+        .otherwise(text)
+    )
