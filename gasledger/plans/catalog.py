@@ -185,9 +185,32 @@ def _storage_queries() -> dict[str, Query]:
         "latest_progress": lambda s, d: progress.latest_progress(_state(s, d)),
         "progress_lookup": lambda s, d: progress.progress_lookup(s, _state(s, d), WALLET),
         "metrics_report": lambda s, d: report.report_json(report.metrics_report(_ledger(s, d))),
+        "metrics_report_flat": _report_flat,
     }
 
 
+def _report_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's summary and daily arrays back as rows (text parsed to numbers)."""
+    r = report.metrics_report(_ledger(spark, sf_dir))
+    days = F.arrays_zip(F.col("daily_gas_cost").alias("c"), F.col("ma7_effective_gas_price").alias("m"))
+    return r.select(
+        "address",
+        F.col("summary.events_collected").alias("events_collected"),
+        F.col("summary.blocks_scanned")[0].alias("blocks_scanned_start"),
+        F.col("summary.blocks_scanned")[1].alias("blocks_scanned_end"),
+        F.col("summary.period_utc")[0].alias("period_start"),
+        F.col("summary.period_utc")[1].alias("period_end"),
+        F.inline(days),
+    ).select(
+        "address", "events_collected", "blocks_scanned_start", "blocks_scanned_end", "period_start", "period_end",
+        F.col("c.date").alias("date"),
+        F.col("c.gas_cost_wei").alias("gas_cost_wei"),
+        F.col("c.gas_cost_eth").cast("double").alias("gas_cost_eth"),
+        F.col("m.ma7_wei").cast("double").alias("ma7_wei"),
+        F.col("m.ma7_gwei").cast("double").alias("ma7_gwei"),
+    )
+
+
 def _reread(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_runtime_defaults(spark)
     return td.reread_transfers(spark, sf_dir)

@@ -57,7 +57,8 @@ priced AS (
 DAILY = """
 daily AS (
   SELECT address, date, count(*) AS events_collected, sum(wei) AS wei,
-         sum(price) AS price_sum, count(price) AS price_n
+         sum(price) AS price_sum, count(price) AS price_n,
+         min(block_number) AS block_min, max(block_number) AS block_max
   FROM priced GROUP BY address, date
 )"""
 
@@ -320,6 +321,20 @@ def oracle_sql() -> dict[str, str]:
 SELECT date, address, cast(wei AS double) / 1e18 AS gas_cost_eth, cast(wei AS varchar) AS gas_cost_wei FROM daily"""
     # the streams must land exactly the batch answers
     sql["rpc_json_logs"] = sql["decode_transfer_logs"]
+    sql["metrics_report_flat"] = _with(TRANSFERS, _priced(), DAILY) + f""",
+summary AS (
+  SELECT address, sum(events_collected) AS events_collected,
+         min(block_min) AS blocks_scanned_start, max(block_max) AS blocks_scanned_end,
+         strftime(min(date), '%Y-%m-%d') AS period_start, strftime(max(date), '%Y-%m-%d') AS period_end
+  FROM daily GROUP BY address
+),
+ma AS (
+  SELECT address, date, wei, avg(cast(price_sum AS double) / price_n) {W_MA} AS ma7_wei FROM daily
+)
+SELECT s.address, s.events_collected, s.blocks_scanned_start, s.blocks_scanned_end, s.period_start, s.period_end,
+       strftime(m.date, '%Y-%m-%d') AS date, cast(m.wei AS varchar) AS gas_cost_wei,
+       cast(m.wei AS double) / 1e18 AS gas_cost_eth, m.ma7_wei, m.ma7_wei / 1e9 AS ma7_gwei
+FROM ma m JOIN summary s ON s.address = m.address"""
     sql["stream_ingest"] = sql["transfers_flat"]
     sql["stream_daily_gas"] = sql["daily_gas_cost"]
     sql["stream_combined_metrics"] = sql["combined_all_wallets"]
