@@ -15,6 +15,17 @@ from gasledger.constants import TRANSFER_TOPIC, USDC_CONTRACT
 from gasledger.functions.units import address_from_topic, uint256_text
 
 
+def _topic(raw_logs: DataFrame, i: int):
+    """Topic ``i``: the landed top-level column when present (pushable), else the array element."""
+    name = f"topic{i}"
+    return F.col(name) if name in raw_logs.columns else F.get(F.col("topics"), i)
+
+
+def address_topic(wallet: str) -> str:
+    """The 32-byte topic word of an indexed address argument."""
+    return "0x" + "0" * 24 + wallet.lower()[2:]
+
+
 def in_block_range(df: DataFrame, lo: int | None = None, hi: int | None = None) -> DataFrame:
     """Inclusive ``[lo, hi]`` on ``block_number``; a pushed-down Parquet filter."""
     if lo is not None:
@@ -41,7 +52,7 @@ def decode_transfer_logs(
     if contract is not None:
         logs = logs.where(F.col("address") == F.lit(contract.lower()))
     topics = F.col("topics")
-    logs = logs.where((F.get(topics, 0) == F.lit(TRANSFER_TOPIC)) & (F.size(topics) == 3))
+    logs = logs.where((_topic(logs, 0) == F.lit(TRANSFER_TOPIC)) & (F.size(topics) == 3))
     return logs.select(
         "address",
         "block_number",
@@ -63,3 +74,21 @@ def logs_by_sender(decoded: DataFrame, wallet: str, lo: int | None = None, hi: i
 def logs_by_receiver(decoded: DataFrame, wallet: str, lo: int | None = None, hi: int | None = None) -> DataFrame:
     """Transfers received by ``wallet`` in ``[lo, hi]``."""
     return in_block_range(decoded, lo, hi).where(F.col("to_address") == F.lit(wallet.lower()))
+
+
+def scan_sender(raw_logs: DataFrame, wallet: str, lo: int | None = None, hi: int | None = None,
+                contract: str | None = USDC_CONTRACT) -> DataFrame:
+    """Transfers sent by ``wallet``, filtered on the raw topic before decoding.
+
+    On landed logs (``sinks.raw_logs``) the predicate is a Parquet equality on
+    ``topic1``: row groups without the wallet are skipped by bloom filter.
+    """
+    raw = raw_logs.where(_topic(raw_logs, 1) == F.lit(address_topic(wallet)))
+    return decode_transfer_logs(raw, contract, lo, hi)
+
+
+def scan_receiver(raw_logs: DataFrame, wallet: str, lo: int | None = None, hi: int | None = None,
+                  contract: str | None = USDC_CONTRACT) -> DataFrame:
+    """Transfers received by ``wallet`` (predicate on ``topic2``)."""
+    raw = raw_logs.where(_topic(raw_logs, 2) == F.lit(address_topic(wallet)))
+    return decode_transfer_logs(raw, contract, lo, hi)

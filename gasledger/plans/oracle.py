@@ -321,6 +321,8 @@ def oracle_sql() -> dict[str, str]:
 SELECT date, address, cast(wei AS double) / 1e18 AS gas_cost_eth, cast(wei AS varchar) AS gas_cost_wei FROM daily"""
     # the streams must land exactly the batch answers
     sql["rpc_json_logs"] = sql["decode_transfer_logs"]
+    sql["landed_logs_by_sender"] = sql["logs_by_sender"]
+    sql["landed_logs_by_receiver"] = sql["logs_by_receiver"]
     sql["metrics_report_flat"] = _with(TRANSFERS, _priced(), DAILY) + f""",
 summary AS (
   SELECT address, sum(events_collected) AS events_collected,

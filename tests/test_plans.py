@@ -98,3 +98,19 @@ def test_hot_wallet_is_split_across_write_tasks(spark, scratch):
     files = glob.glob(local_path(scratch) + "/event_month=202401/*.parquet")
     assert len(files) == 4
     assert sink.read_ledger(spark, scratch).count() == t.count()
+
+
+def test_landed_logs_push_wallet_topic_and_prune_buckets(spark, scratch):
+    from gasledger.operators import decode
+    from gasledger.sinks import raw_logs as landing
+
+    landing.write_raw_logs(td.raw_logs(spark, SF_SMALL), scratch)
+    lo = td.BLOCK_BASE
+    df = decode.scan_sender(landing.read_raw_logs(spark, scratch, lo, lo + 50), td.test_wallet(3), lo, lo + 50)
+    p = plan(df)
+    assert "EqualTo(topic1,0x" + "0" * 63 + "3)" in p
+    assert "EqualTo(address," in p and "EqualTo(topic0," in p
+    assert "PartitionFilters: [isnotnull(block_bucket" in p
+    want = decode.logs_by_sender(decode.decode_transfer_logs(td.raw_logs(spark, SF_SMALL), lo=lo, hi=lo + 50),
+                                 td.test_wallet(3))
+    assert sorted(df.collect()) == sorted(want.collect())
