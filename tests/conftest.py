@@ -14,7 +14,11 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    conf = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "4g"}
+    conf = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "4g",
+        "spark.sql.maxMetadataStringLength": "1000",  # plan tests read pushed filters in full
+    }
     session = get_session("local[*]", "gasledger-tests", conf)
     session.sparkContext.setLogLevel("ERROR")
     if not session.sparkContext.getCheckpointDir() and not session.sparkContext.getConf().get(
