@@ -22,6 +22,7 @@ from gasledger.constants import MAX_BLOCKS_PER_REQUEST, USDC_CONTRACT
 from gasledger.operators import audit, decode, ingest, metrics, report
 from gasledger.session import get_session
 from gasledger.sinks import ledger as sink
+from gasledger.sinks import raw_logs as raw_landing
 from gasledger.sources import rpc_json
 from gasledger.sources.schemas import RAW_BLOCKS, RAW_LOGS, RAW_RECEIPTS
 from gasledger.streaming import ingest as stream
@@ -37,11 +38,13 @@ METRICS = {
 
 
 def _read(spark: SparkSession, path: str, kind: str, fmt: str) -> DataFrame:
+    if fmt == "landed" and kind == "logs":
+        return raw_landing.read_raw_logs(spark, path)
     if fmt == "rpc-json":
         return {"logs": rpc_json.read_logs, "blocks": rpc_json.read_blocks, "receipts": rpc_json.read_receipts}[
             kind
         ](spark, path)
-    schema = {"logs": RAW_LOGS, "blocks": RAW_BLOCKS, "receipts": RAW_RECEIPTS}[kind]
+    schema = {"logs": RAW_LOGS, "blocks": RAW_BLOCKS, "receipts": RAW_RECEIPTS}[kind]  # parquet / landed
     return spark.read.schema(schema).parquet(path)
 
 
@@ -53,8 +56,14 @@ def _wallets(args):
 
 def cmd_ingest(spark: SparkSession, args) -> None:
     logs = _read(spark, args.logs, "logs", args.format)
-    decoded = decode.decode_transfer_logs(logs, args.contract or None, args.from_block, args.to_block)
-    deduped = ingest.dedup_last(ingest.transfers_union(decoded, _wallets(args)))
+    wallets = _wallets(args)
+    if isinstance(wallets, str):
+        # the two per-wallet scans push the wallet into the reader
+        union = ingest.wallet_transfers(logs, wallets, args.from_block, args.to_block, args.contract or None)
+    else:
+        decoded = decode.decode_transfer_logs(logs, args.contract or None, args.from_block, args.to_block)
+        union = ingest.transfers_union(decoded, wallets)
+    deduped = ingest.dedup_last(union)
     rows = ingest.ledger_rows(
         deduped, _read(spark, args.blocks, "blocks", args.format), _read(spark, args.receipts, "receipts", args.format),
         args.from_block, args.to_block,
@@ -114,7 +123,8 @@ def parser() -> argparse.ArgumentParser:
         sp.add_argument("--wallet", action="append", default=[])
         sp.add_argument("--contract", default=USDC_CONTRACT, help="'' for every contract")
         if raw:
-            sp.add_argument("--format", choices=("parquet", "rpc-json"), default="parquet")
+            # landed: logs written by sinks.raw_logs (blocks/receipts as parquet)
+            sp.add_argument("--format", choices=("parquet", "rpc-json", "landed"), default="parquet")
 
     sp = sub.add_parser("ingest")
     common(sp)

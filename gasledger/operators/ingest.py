@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gasledger.functions.units import js_default, try_to_uint, utc_now
+from gasledger.constants import USDC_CONTRACT
+from gasledger.operators import decode
 from gasledger.operators.decode import in_block_range
 from gasledger.operators.keyed import first_per_key
 from gasledger.operators.wallets import Wallets, select_wallets
@@ -64,6 +66,22 @@ def transfers_union(decoded: DataFrame, wallets: Wallets = None) -> DataFrame:
     return select_wallets(tagged, wallets, "wallet_address", normalize=normalize)
 
 
+def wallet_transfers(raw_logs: DataFrame, wallet: str, lo: int | None = None, hi: int | None = None,
+                     contract: str | None = USDC_CONTRACT) -> DataFrame:
+    """One wallet's sent ∪ received Transfers, tagged, straight from raw logs.
+
+    The two scans filter on the raw topics, so on landed logs
+    (``sinks.raw_logs``) both wallet predicates reach the Parquet reader.
+    Same rows as ``transfers_union(decode_transfer_logs(raw), wallet)``.
+    """
+    w = wallet.lower()
+    sent = decode.scan_sender(raw_logs, w, lo, hi, contract).select(
+        *LOG_COLUMNS, F.lit(w).alias("wallet_address"), F.lit(0).alias("src"))
+    received = decode.scan_receiver(raw_logs, w, lo, hi, contract).select(
+        *LOG_COLUMNS, F.lit(w).alias("wallet_address"), F.lit(1).alias("src"))
+    return sent.unionByName(received)
+
+
 def dedup_last(union: DataFrame) -> DataFrame:
     """One row per (wallet, transaction hash); the largest (src, log_index) wins."""
     kept = first_per_key(

@@ -135,6 +135,9 @@ def _ingest_queries() -> dict[str, Query]:
         "transfers_union": lambda s, d: ingest.transfers_union(_decoded(s, d)),
         "wallet_transfers_dedup": lambda s, d: ingest.dedup_last(ingest.transfers_union(_decoded(s, d), LOG_WALLET)),
         "transfers_dedup_last": _deduped,
+        # one wallet's sent ∪ received scans over landed logs (both pushed down)
+        "landed_wallet_transfers_dedup": lambda s, d: ingest.dedup_last(
+            ingest.wallet_transfers(_landed_logs(s, d), LOG_WALLET)),
         "transfers_enriched": _enriched,
         "missing_receipts": lambda s, d: ingest.missing_receipts(_deduped(s, d), td.raw_receipts(s, d)),
         "receipt_logs_array": _receipt_logs_array,

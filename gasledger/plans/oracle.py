@@ -322,6 +322,7 @@ SELECT date, address, cast(wei AS double) / 1e18 AS gas_cost_eth, cast(wei AS va
     # the streams must land exactly the batch answers
     sql["rpc_json_logs"] = sql["decode_transfer_logs"]
     sql["landed_logs_by_sender"] = sql["logs_by_sender"]
+    sql["landed_wallet_transfers_dedup"] = sql["wallet_transfers_dedup"]
     sql["landed_logs_by_receiver"] = sql["logs_by_receiver"]
     sql["metrics_report_flat"] = _with(TRANSFERS, _priced(), DAILY) + f""",
 summary AS (

@@ -262,3 +262,14 @@ def test_checksum_case_wallet_finds_its_logs(spark):
     decoded = decode.decode_transfer_logs(logs)
     for wallets in (mixed, [mixed], spark.createDataFrame([(mixed,)], "w string")):
         assert ingest.dedup_last(ingest.transfers_union(decoded, wallets)).count() == 1
+
+
+def test_wallet_transfers_equal_union_path(spark):
+    from gasledger.sources import testdata as td
+
+    raw = td.raw_logs(spark, "/root/testdata/sf0.001")
+    w = td.test_wallet(3).upper().replace("0X", "0x")
+    a = ingest.dedup_last(ingest.wallet_transfers(raw, w))
+    b = ingest.dedup_last(ingest.transfers_union(decode.decode_transfer_logs(raw), w))
+    assert a.count() > 0
+    assert sorted(a.collect()) == sorted(b.collect())
