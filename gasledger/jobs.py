@@ -48,6 +48,13 @@ def _read(spark: SparkSession, path: str, kind: str, fmt: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def _tables_format(args) -> str:
+    """Format of the blocks and receipts inputs (defaults to the logs format)."""
+    if args.tables_format:
+        return args.tables_format
+    return "parquet" if args.format == "landed" else args.format
+
+
 def _wallets(args):
     if not args.wallet:
         return None
@@ -64,8 +71,9 @@ def cmd_ingest(spark: SparkSession, args) -> None:
         decoded = decode.decode_transfer_logs(logs, args.contract or None, args.from_block, args.to_block)
         union = ingest.transfers_union(decoded, wallets)
     deduped = ingest.dedup_last(union)
+    fmt = _tables_format(args)
     rows = ingest.ledger_rows(
-        deduped, _read(spark, args.blocks, "blocks", args.format), _read(spark, args.receipts, "receipts", args.format),
+        deduped, _read(spark, args.blocks, "blocks", fmt), _read(spark, args.receipts, "receipts", fmt),
         args.from_block, args.to_block,
     )
     sink.write_batch(rows, args.table, args.run_id, layout=args.layout)
@@ -80,8 +88,9 @@ def cmd_stream(spark: SparkSession, args) -> None:
     else:
         raw = stream.file_stream(spark, args.landing, RAW_LOGS, args.files_per_trigger)
     trigger = {"availableNow": True} if args.available_now else {"processingTime": f"{args.trigger_seconds} seconds"}
+    fmt = _tables_format(args)
     q = stream.start_ingest(
-        raw, _read(spark, args.blocks, "blocks", args.format), _read(spark, args.receipts, "receipts", args.format),
+        raw, _read(spark, args.blocks, "blocks", fmt), _read(spark, args.receipts, "receipts", fmt),
         args.table, args.checkpoint, args.first_block, args.contract or None, _wallets(args), trigger,
     )
     if args.available_now:
@@ -125,6 +134,8 @@ def parser() -> argparse.ArgumentParser:
         if raw:
             # landed: logs written by sinks.raw_logs (blocks/receipts as parquet)
             sp.add_argument("--format", choices=("parquet", "rpc-json", "landed"), default="parquet")
+            sp.add_argument("--tables-format", choices=("parquet", "rpc-json"), default=None,
+                            help="blocks and receipts; default: as --format")
 
     sp = sub.add_parser("ingest")
     common(sp)

@@ -52,3 +52,26 @@ def test_compact_resolves_duplicates(spark, scratch):
 
     with pytest.raises(ValueError):
         sink.compact(spark, f"{scratch}/compact", f"{scratch}/compact/")
+
+
+def test_stream_job_over_node_json(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from gasledger.sources import rpc_json
+
+    logs = td.raw_logs(spark, SF_SMALL)
+    # land the logs as node JSON in two drops, blocks/receipts as parquet
+    rpc = rpc_json.to_rpc_logs(logs)
+    rpc.where(F.col("blockNumber") < F.lit(hex(td.BLOCK_BASE + 40))).coalesce(1).write.json(f"{scratch}/landing/a")
+    rpc.where(F.col("blockNumber") >= F.lit(hex(td.BLOCK_BASE + 40))).coalesce(1).write.json(f"{scratch}/landing/b")
+    td.raw_blocks(spark, SF_SMALL).write.parquet(f"{scratch}/blocks")
+    td.raw_receipts(spark, SF_SMALL).write.parquet(f"{scratch}/receipts")
+    jobs.main(["stream", "--format", "rpc-json", "--tables-format", "parquet", "--landing", f"{scratch}/landing/*", "--blocks", f"{scratch}/blocks",
+               "--receipts", f"{scratch}/receipts", "--table", f"{scratch}/ledger", "--checkpoint", f"{scratch}/ckpt",
+               "--files-per-trigger", "1", "--available-now"], spark)
+    got = sink.read_ledger(spark, f"{scratch}/ledger").drop("updated_at", "event_month")
+    want = ingest.ledger_rows(
+        ingest.dedup_last(ingest.transfers_union(decode.decode_transfer_logs(logs))),
+        td.raw_blocks(spark, SF_SMALL), td.raw_receipts(spark, SF_SMALL), updated_at=False,
+    )
+    assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())
