@@ -19,6 +19,8 @@ MA_ROWS_PRECEDING = 6
 # largest block span of one log request, and the default blocks per export iteration
 MAX_BLOCKS_PER_REQUEST = 1000
 DEFAULT_BATCH_BLOCKS = 5000
+# blocks per landing folder of raw logs / headers / receipts (sinks.raw_logs)
+BUCKET_BLOCKS = 100_000
 # --- end of fixed values ----------------------------------------------------
 
 # Decimal types used for exact wei arithmetic: a uint64 needs 20 digits; the

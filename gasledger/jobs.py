@@ -1,5 +1,6 @@
 """Command-line jobs (``spark-submit`` or ``python -m gasledger.jobs``).
 
+    land     raw logs + blocks + receipts  -> block-bucketed landing layout (scan-friendly)
     ingest   raw logs + blocks + receipts  -> ledger table (batch, idempotent per run id)
     stream   landed raw log files          -> ledger table (Structured Streaming)
     metrics  ledger table                  -> one metric table (Parquet)
@@ -7,8 +8,8 @@
     compact  batch-partitioned ledger      -> one row per key, month files, new folder
     audit    raw logs                      -> events per request chunk
 
-Raw inputs are Parquet in the raw schemas, or node JSON objects with
-``--format rpc-json``.  Wallet options may repeat; none means every wallet.
+Raw inputs are Parquet in the raw schemas, node JSON objects with
+``--format rpc-json``, or the landing layout with ``--format landed``.  Wallet options may repeat; none means every wallet.
 """
 
 from __future__ import annotations
@@ -38,8 +39,9 @@ METRICS = {
 
 
 def _read(spark: SparkSession, path: str, kind: str, fmt: str) -> DataFrame:
-    if fmt == "landed" and kind == "logs":
-        return raw_landing.read_raw_logs(spark, path)
+    if fmt == "landed":
+        return {"logs": raw_landing.read_raw_logs, "blocks": raw_landing.read_raw_blocks,
+                "receipts": raw_landing.read_raw_receipts}[kind](spark, path)
     if fmt == "rpc-json":
         return {"logs": rpc_json.read_logs, "blocks": rpc_json.read_blocks, "receipts": rpc_json.read_receipts}[
             kind
@@ -50,9 +52,7 @@ def _read(spark: SparkSession, path: str, kind: str, fmt: str) -> DataFrame:
 
 def _tables_format(args) -> str:
     """Format of the blocks and receipts inputs (defaults to the logs format)."""
-    if args.tables_format:
-        return args.tables_format
-    return "parquet" if args.format == "landed" else args.format
+    return args.tables_format or args.format
 
 
 def _wallets(args):
@@ -113,6 +113,13 @@ def cmd_report(spark: SparkSession, args) -> None:
     report.write_reports(rep, args.out)
 
 
+def cmd_land(spark: SparkSession, args) -> None:
+    """Re-land raw inputs in the block-bucketed, scan-friendly layout."""
+    raw_landing.write_raw_logs(_read(spark, args.logs, "logs", args.format), f"{args.out}/logs")
+    raw_landing.write_raw_blocks(_read(spark, args.blocks, "blocks", args.format), f"{args.out}/blocks")
+    raw_landing.write_raw_receipts(_read(spark, args.receipts, "receipts", args.format), f"{args.out}/receipts")
+
+
 def cmd_compact(spark: SparkSession, args) -> None:
     sink.compact(spark, args.table, args.out, args.layout)
 
@@ -134,7 +141,7 @@ def parser() -> argparse.ArgumentParser:
         if raw:
             # landed: logs written by sinks.raw_logs (blocks/receipts as parquet)
             sp.add_argument("--format", choices=("parquet", "rpc-json", "landed"), default="parquet")
-            sp.add_argument("--tables-format", choices=("parquet", "rpc-json"), default=None,
+            sp.add_argument("--tables-format", choices=("parquet", "rpc-json", "landed"), default=None,
                             help="blocks and receipts; default: as --format")
 
     sp = sub.add_parser("ingest")
@@ -167,6 +174,11 @@ def parser() -> argparse.ArgumentParser:
         if name == "metrics":
             sp.add_argument("--metric", choices=sorted(METRICS), required=True)
 
+    sp = sub.add_parser("land")
+    sp.add_argument("--format", choices=("parquet", "rpc-json"), default="parquet")
+    for a in ("--logs", "--blocks", "--receipts", "--out"):
+        sp.add_argument(a, required=True)
+
     sp = sub.add_parser("compact")
     sp.add_argument("--table", required=True)
     sp.add_argument("--out", required=True)
@@ -188,7 +200,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     spark = spark or get_session()
     commands = {
         "ingest": cmd_ingest, "stream": cmd_stream, "metrics": cmd_metrics,
-        "report": cmd_report, "compact": cmd_compact, "audit": cmd_audit,
+        "report": cmd_report, "compact": cmd_compact, "audit": cmd_audit, "land": cmd_land,
     }
     commands[args.cmd](spark, args)
 

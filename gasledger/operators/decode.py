@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gasledger.constants import TRANSFER_TOPIC, USDC_CONTRACT
+from gasledger.constants import BUCKET_BLOCKS, TRANSFER_TOPIC, USDC_CONTRACT
 from gasledger.functions.units import address_from_topic, uint256_text
 
 
@@ -27,11 +27,20 @@ def address_topic(wallet: str) -> str:
 
 
 def in_block_range(df: DataFrame, lo: int | None = None, hi: int | None = None) -> DataFrame:
-    """Inclusive ``[lo, hi]`` on ``block_number``; a pushed-down Parquet filter."""
+    """Inclusive ``[lo, hi]`` on ``block_number``; a pushed-down Parquet filter.
+
+    On landed tables (a ``block_bucket`` partition column) the same range also
+    prunes bucket folders.
+    """
+    bucketed = "block_bucket" in df.columns
     if lo is not None:
         df = df.where(F.col("block_number") >= F.lit(lo))
+        if bucketed:
+            df = df.where(F.col("block_bucket") >= F.lit(lo // BUCKET_BLOCKS))
     if hi is not None:
         df = df.where(F.col("block_number") <= F.lit(hi))
+        if bucketed:
+            df = df.where(F.col("block_bucket") <= F.lit(hi // BUCKET_BLOCKS))
     return df
 
 

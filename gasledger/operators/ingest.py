@@ -91,7 +91,8 @@ def dedup_last(union: DataFrame) -> DataFrame:
 
 
 def _range_blocks(blocks: DataFrame, lo: int | None, hi: int | None) -> DataFrame:
-    b = in_block_range(blocks.select("block_number", "timestamp"), lo, hi)
+    bucket = [c for c in ("block_bucket",) if c in blocks.columns]
+    b = in_block_range(blocks.select("block_number", "timestamp", *bucket), lo, hi).select("block_number", "timestamp")
     if lo is not None and hi is not None and hi - lo + 1 <= BROADCAST_BLOCKS_MAX:
         # block numbers are unique: the range bounds the row count
         b = F.broadcast(b)
@@ -107,8 +108,9 @@ def enrich(
     receipt_columns: tuple[str, ...] = ("gas_used", "effective_gas_price"),
 ) -> DataFrame:
     """Join each event with its receipt (inner) and its block time (inner)."""
-    r = in_block_range(receipts.select("transaction_hash", "block_number", *receipt_columns), lo, hi)
-    r = r.drop("block_number")
+    bucket = [c for c in ("block_bucket",) if c in receipts.columns]
+    r = in_block_range(receipts.select("transaction_hash", "block_number", *receipt_columns, *bucket), lo, hi)
+    r = r.drop("block_number", *bucket)
     return deduped.join(r, "transaction_hash", "inner").join(_range_blocks(blocks, lo, hi), "block_number", "inner")
 
 

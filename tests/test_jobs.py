@@ -75,3 +75,23 @@ def test_stream_job_over_node_json(spark, scratch):
         td.raw_blocks(spark, SF_SMALL), td.raw_receipts(spark, SF_SMALL), updated_at=False,
     )
     assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())
+
+
+def test_land_then_ingest_one_wallet(spark, scratch):
+    logs, blocks, receipts = td.raw_logs(spark, SF_SMALL), td.raw_blocks(spark, SF_SMALL), td.raw_receipts(spark, SF_SMALL)
+    logs.write.parquet(f"{scratch}/logs")
+    blocks.write.parquet(f"{scratch}/blocks")
+    receipts.write.parquet(f"{scratch}/receipts")
+    jobs.main(["land", "--logs", f"{scratch}/logs", "--blocks", f"{scratch}/blocks", "--receipts",
+               f"{scratch}/receipts", "--out", f"{scratch}/landed"], spark)
+    w = td.test_wallet(3)
+    jobs.main(["ingest", "--format", "landed", "--logs", f"{scratch}/landed/logs", "--blocks", f"{scratch}/landed/blocks",
+               "--receipts", f"{scratch}/landed/receipts", "--table", f"{scratch}/ledger", "--run-id", "1",
+               "--wallet", w], spark)
+    got = sink.read_ledger(spark, f"{scratch}/ledger").drop("updated_at", "event_month")
+    want = ingest.ledger_rows(
+        ingest.dedup_last(ingest.transfers_union(decode.decode_transfer_logs(logs), w)), blocks, receipts,
+        updated_at=False,
+    )
+    assert got.count() > 0
+    assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())

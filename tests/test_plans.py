@@ -114,3 +114,20 @@ def test_landed_logs_push_wallet_topic_and_prune_buckets(spark, scratch):
     want = decode.logs_by_sender(decode.decode_transfer_logs(td.raw_logs(spark, SF_SMALL), lo=lo, hi=lo + 50),
                                  td.test_wallet(3))
     assert sorted(df.collect()) == sorted(want.collect())
+
+
+def test_landed_blocks_and_receipts_prune_by_block_range(spark, scratch):
+    from gasledger.operators import decode, ingest
+    from gasledger.sinks import raw_logs as landing
+
+    blocks, receipts = td.raw_blocks(spark, SF_SMALL), td.raw_receipts(spark, SF_SMALL)
+    landing.write_raw_blocks(blocks, f"{scratch}/b")
+    landing.write_raw_receipts(receipts, f"{scratch}/r")
+    lo, hi = td.BLOCK_BASE + 10, td.BLOCK_BASE + 60
+    deduped = ingest.dedup_last(ingest.transfers_union(decode.decode_transfer_logs(td.raw_logs(spark, SF_SMALL), lo=lo, hi=hi)))
+    got = ingest.ledger_rows(deduped, landing.read_raw_blocks(spark, f"{scratch}/b"),
+                             landing.read_raw_receipts(spark, f"{scratch}/r"), lo, hi, updated_at=False)
+    p = plan(got)
+    assert p.count("PartitionFilters: [isnotnull(block_bucket") == 2
+    want = ingest.ledger_rows(deduped, blocks, receipts, lo, hi, updated_at=False)
+    assert got.count() > 0 and sorted(got.collect()) == sorted(want.collect())
