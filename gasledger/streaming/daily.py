@@ -80,6 +80,17 @@ def read_daily_totals(spark: SparkSession, table_path: str) -> DataFrame:
     )
 
 
+def compact_daily_partials(spark: SparkSession, src: str, dst: str) -> None:
+    """Fold all partials into one row per (address, date), written to a new folder.
+
+    The result is itself a valid partials table (one batch, ``batch_id`` 0), so
+    :func:`read_daily_totals` reads either; never writes where it reads.
+    """
+    if src.rstrip("/") == dst.rstrip("/"):
+        raise ValueError("compaction must write to a new folder")
+    _write_batch(read_daily_totals(spark, src), dst, 0)
+
+
 def daily_cost_from_totals(totals: DataFrame) -> DataFrame:
     return totals.select(
         "date", "address", wei_to_eth("wei").alias("gas_cost_eth"), F.col("wei").cast("string").alias("gas_cost_wei")

@@ -110,3 +110,16 @@ def test_watermarked_daily_equals_batch_for_ordered_input(spark, scratch):
     stream.run_to_end(q)
     got = {(r.date, r.gas_cost_wei) for r in live.read_live_daily(spark, f"{scratch}/d").collect()}
     assert got == _batch_answer(ledger)
+
+
+def test_daily_partials_compaction(spark, scratch):
+    ledger = _ledger(spark)
+    ledger.repartition(3).write.parquet(f"{scratch}/landing")
+    s = stream.file_stream(spark, f"{scratch}/landing", ledger.schema, files_per_trigger=1)
+    q = live.start_daily_partials(s, f"{scratch}/d", f"{scratch}/c", trigger={"availableNow": True})
+    stream.run_to_end(q)
+    live.compact_daily_partials(spark, f"{scratch}/d", f"{scratch}/d2")
+    before = sorted(live.read_daily_totals(spark, f"{scratch}/d").collect())
+    after = sorted(live.read_daily_totals(spark, f"{scratch}/d2").collect())
+    assert before == after and len(after) == 6
+    assert spark.read.parquet(f"{scratch}/d2").count() == 6
