@@ -63,6 +63,12 @@ def _wallets(args):
 
 def cmd_ingest(spark: SparkSession, args) -> None:
     logs = _read(spark, args.logs, "logs", args.format)
+    fmt = _tables_format(args)
+    blocks = _read(spark, args.blocks, "blocks", fmt)
+    if args.confirmations:
+        # leave the newest blocks (possible re-organisation) for a later run
+        head = audit.chain_head(blocks, args.confirmations).first()["head"]
+        args.to_block = head if args.to_block is None else min(args.to_block, head)
     wallets = _wallets(args)
     if isinstance(wallets, str):
         # the two per-wallet scans push the wallet into the reader
@@ -71,10 +77,8 @@ def cmd_ingest(spark: SparkSession, args) -> None:
         decoded = decode.decode_transfer_logs(logs, args.contract or None, args.from_block, args.to_block)
         union = ingest.transfers_union(decoded, wallets)
     deduped = ingest.dedup_last(union)
-    fmt = _tables_format(args)
     rows = ingest.ledger_rows(
-        deduped, _read(spark, args.blocks, "blocks", fmt), _read(spark, args.receipts, "receipts", fmt),
-        args.from_block, args.to_block,
+        deduped, blocks, _read(spark, args.receipts, "receipts", fmt), args.from_block, args.to_block,
     )
     sink.write_batch(rows, args.table, args.run_id, layout=args.layout)
 
@@ -151,6 +155,7 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--from-block", type=int)
     sp.add_argument("--to-block", type=int)
     sp.add_argument("--run-id", type=int, required=True, help="re-running the same id replaces its output")
+    sp.add_argument("--confirmations", type=int, default=0, help="skip the newest N blocks")
     sp.add_argument("--layout", choices=tuple(sink.LAYOUTS), default="address")
 
     sp = sub.add_parser("stream")

@@ -95,3 +95,15 @@ def test_land_then_ingest_one_wallet(spark, scratch):
     )
     assert got.count() > 0
     assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())
+
+
+def test_ingest_leaves_unconfirmed_blocks(spark, scratch):
+    td.raw_logs(spark, SF_SMALL).write.parquet(f"{scratch}/logs")
+    blocks = td.raw_blocks(spark, SF_SMALL)
+    blocks.write.parquet(f"{scratch}/blocks")
+    td.raw_receipts(spark, SF_SMALL).write.parquet(f"{scratch}/receipts")
+    head = blocks.agg({"block_number": "max"}).first()[0]
+    jobs.main(["ingest", "--logs", f"{scratch}/logs", "--blocks", f"{scratch}/blocks", "--receipts",
+               f"{scratch}/receipts", "--table", f"{scratch}/ledger", "--run-id", "1", "--confirmations", "12"], spark)
+    top = sink.read_ledger(spark, f"{scratch}/ledger").agg({"block_number": "max"}).first()[0]
+    assert top <= head - 12
