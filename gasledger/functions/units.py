@@ -62,7 +62,8 @@ def exact_mean(sum_col: Column, count_col: Column) -> Column:
     ``avg(decimal)`` would keep only four decimals; the original engine returns
     a double mean.
     """
-    return sum_col.cast("double") / count_col.cast("double")
+    # no values -> NULL, as SQL avg() gives (and no division by zero under ANSI)
+    return F.when(count_col > 0, sum_col.cast("double") / count_col.cast("double"))
 
 
 def utc_date(ts: Column | str) -> Column:

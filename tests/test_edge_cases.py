@@ -273,3 +273,10 @@ def test_wallet_transfers_equal_union_path(spark):
     b = ingest.dedup_last(ingest.transfers_union(decode.decode_transfer_logs(raw), w))
     assert a.count() > 0
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_day_without_prices_has_null_mean(spark):
+    rows = [row(0, "2024-01-01T00:00:00", None), row(1, "2024-01-02T00:00:00", "4")]
+    got = metrics.ma7_gas_price(spark.createDataFrame(rows, LEDGER)).collect()
+    # day 1 has no price: its mean is NULL and the moving average skips it
+    assert [r.ma7_wei for r in got] == [None, 4.0]
