@@ -326,7 +326,7 @@ SELECT date, address, cast(wei AS double) / 1e18 AS gas_cost_eth, cast(wei AS va
     sql["landed_logs_by_receiver"] = sql["logs_by_receiver"]
     sql["metrics_report_flat"] = _with(TRANSFERS, _priced(), DAILY) + f""",
 summary AS (
-  SELECT address, sum(events_collected) AS events_collected,
+  SELECT address, cast(sum(events_collected) AS bigint) AS events_collected,
          min(block_min) AS blocks_scanned_start, max(block_max) AS blocks_scanned_end,
          strftime(min(date), '%Y-%m-%d') AS period_start, strftime(max(date), '%Y-%m-%d') AS period_end
   FROM daily GROUP BY address
