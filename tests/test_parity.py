@@ -27,6 +27,10 @@ def test_every_query_has_an_oracle_or_is_declared_rows_only():
     assert set(oracle_sql()) <= set(queries())
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF_SMALL)
@@ -34,6 +38,9 @@ def test_matches_oracle(spark, duck, name):
     rel = duck.sql(oracle_sql()[name])
     want, wcols = rows_of(rel.columns, rel.fetchall())
     assert gcols == wcols
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert len(got) == len(want)
     assert got == want
 
