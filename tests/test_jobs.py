@@ -48,6 +48,12 @@ def test_compact_resolves_duplicates(spark, scratch):
     c = sink.read_ledger(spark, f"{scratch}/compact")
     assert c.count() == td.transfers(spark, SF_SMALL).count()
     assert sink.duplicate_keys(c).count() == 0
+    # metrics on the compacted table without the dedup shuffle = metrics with it
+    jobs.main(["metrics", "--table", f"{scratch}/compact", "--out", f"{scratch}/m1", "--metric", "daily_gas_cost",
+               "--compacted"], spark)
+    jobs.main(["metrics", "--table", f"{scratch}/batches", "--out", f"{scratch}/m2", "--metric", "daily_gas_cost"],
+              spark)
+    assert sorted(spark.read.parquet(f"{scratch}/m1").collect()) == sorted(spark.read.parquet(f"{scratch}/m2").collect())
     import pytest
 
     with pytest.raises(ValueError):
