@@ -13,8 +13,12 @@ from gasledger.constants import TRANSFER_TOPIC, USDC_CONTRACT
 from gasledger.sources.testdata import (
     APPROVAL_TOPIC,
     BLOCK_BASE,
-    NO_PRICE_MOD,
-    NO_RECEIPT_MOD,
+    K_EMPTY_PRICE,
+    K_NEGATIVE_PRICE,
+    K_NO_PRICE,
+    K_NO_RECEIPT,
+    K_REREAD,
+    K_TEXT_PRICE,
     OTHER_CONTRACT,
     test_wallet,
 )
@@ -23,6 +27,9 @@ WALLET = test_wallet(13)
 LOG_WALLET = test_wallet(3)
 
 
+K = "cast(json_extract_string(props, '$.k') AS int)"
+
+
 def _addr(expr: str) -> str:
     return f"('0x' || lpad(cast({expr} AS varchar), 40, '0'))"
 
@@ -41,6 +48,21 @@ transfers AS (
 )"""
 
 
+TRANSFERS_K = f"""
+transfers_k AS (
+  SELECT event_id + {BLOCK_BASE} AS block_number,
+         '0x' || lpad(cast(event_id AS varchar), 64, '0') AS transaction_hash,
+         {_addr('user_id')} AS from_address,
+         {_addr('(user_id * 7 + event_id) % 150')} AS to_address,
+         ts AS "timestamp",
+         21000 + event_id % 100000 AS receipt_gas_used,
+         cast(cast(round(value * 100) AS bigint) * 10000000 AS varchar) AS receipt_effective_gas_price,
+         ts AS updated_at,
+         {K} AS k
+  FROM events
+)"""
+
+
 def _priced(source: str = "transfers", where: str = "") -> str:
     return f"""
 priced AS (
@@ -148,13 +170,15 @@ RECEIPTS = f"""
 receipts AS (
   SELECT '0x' || lpad(cast(tx AS varchar), 64, '0') AS transaction_hash, block_number,
          cast(gas AS varchar) AS gas_used,
-         CASE WHEN tx % {NO_PRICE_MOD} <> 0 THEN cast(price AS varchar) END AS effective_gas_price
+         CASE WHEN no_price = 0 THEN cast(price AS varchar) END AS effective_gas_price
   FROM (
     SELECT cast(floor(event_id / 3) AS bigint) AS tx,
            {BLOCK_BASE} + cast(floor(event_id / 12) AS bigint) AS block_number,
            sum(21000 + event_id % 100000) AS gas,
-           max(cast(round(value * 100) AS bigint) * 10000000) AS price
-    FROM events GROUP BY 1, 2) WHERE tx % {NO_RECEIPT_MOD} <> 0
+           max(cast(round(value * 100) AS bigint) * 10000000) AS price,
+           max(CASE WHEN {K} = {K_NO_RECEIPT} THEN 1 ELSE 0 END) AS lost,
+           max(CASE WHEN {K} = {K_NO_PRICE} THEN 1 ELSE 0 END) AS no_price
+    FROM events GROUP BY 1, 2) WHERE lost = 0
 )"""
 
 BLOCKS = f"""
@@ -176,11 +200,11 @@ ENRICHED_BASE = _with(LOGS, DECODED, UNION, DEDUP, RECEIPTS, BLOCKS, ENRICHED)
 DIRTY = f"""
 dirty AS (
   SELECT transaction_hash,
-         CASE WHEN (block_number - {BLOCK_BASE}) % 50 = 0 THEN ''
-              WHEN (block_number - {BLOCK_BASE}) % 50 = 1 THEN 'abc'
-              WHEN (block_number - {BLOCK_BASE}) % 50 = 2 THEN '-1'
+         CASE WHEN k = {K_EMPTY_PRICE} THEN ''
+              WHEN k = {K_TEXT_PRICE} THEN 'abc'
+              WHEN k = {K_NEGATIVE_PRICE} THEN '-1'
               ELSE receipt_effective_gas_price END AS receipt_effective_gas_price
-  FROM transfers
+  FROM transfers_k
 )"""
 
 LEDGER_FROM_LOGS = """
@@ -222,7 +246,7 @@ SELECT block_number, transaction_hash, from_address, to_address, "timestamp",
        cast(gas_used AS bigint) AS receipt_gas_used,
        coalesce(effective_gas_price, '0') AS receipt_effective_gas_price
 FROM enriched""",
-        "quarantine_rows": _with(TRANSFERS, DIRTY) + """
+        "quarantine_rows": _with(TRANSFERS_K, DIRTY) + """
 SELECT transaction_hash, receipt_effective_gas_price, 'bad effective_gas_price' AS reason
 FROM dirty WHERE try_cast(receipt_effective_gas_price AS decimal(20,0)) IS NULL
               OR try_cast(receipt_effective_gas_price AS decimal(20,0)) < 0""",
@@ -236,11 +260,11 @@ FROM daily""",
     }
 
 
-REREAD = """
+REREAD = f"""
 reread AS (
-  SELECT * FROM transfers
+  SELECT * EXCLUDE (k) FROM transfers_k
   UNION ALL
-  SELECT * REPLACE ("timestamp" + INTERVAL 1 HOUR AS updated_at) FROM transfers WHERE block_number % 1000 = 0
+  SELECT * EXCLUDE (k) REPLACE ("timestamp" + INTERVAL 1 HOUR AS updated_at) FROM transfers_k WHERE k = {K_REREAD}
 )"""
 
 ORDERS_LEDGER = f"""
@@ -272,11 +296,11 @@ latest AS (
 def _storage_sql() -> dict[str, str]:
     step = 100
     return {
-        "transfers_final": _with(TRANSFERS, REREAD) + """
+        "transfers_final": _with(TRANSFERS_K, REREAD) + """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY transaction_hash, block_number ORDER BY updated_at DESC) AS rn
   FROM reread) WHERE rn = 1""",
-        "duplicate_keys": _with(TRANSFERS, REREAD) + """
+        "duplicate_keys": _with(TRANSFERS_K, REREAD) + """
 SELECT transaction_hash, block_number, count(*) AS copies FROM reread
 GROUP BY transaction_hash, block_number HAVING count(*) > 1""",
         "month_partitions": _with(ORDERS_LEDGER) + "SELECT * FROM month_ledger",

@@ -19,8 +19,11 @@ Derivation rules (fixed values of the test fixture):
   of ``error`` events come from another contract, ``signup`` events carry the
   Approval signature: both must be filtered out by the decoder.
 - receipts: one per transaction, gas = sum of its events' gas, price = max of
-  their prices; transactions with ``tx % 97 = 0`` have no receipt and those
-  with ``tx % 89 = 0`` have no price (defaults to '0').
+  their prices.  Conditions come from each event's own attribute ``k`` (the
+  ``props`` JSON): a transaction with an event of ``k = 0`` has no receipt
+  (the node lost it), one with ``k = 1`` has no price (defaults to '0').
+- re-read rows: ledger rows of ``k = 99`` are written a second time, one hour
+  newer; dirty prices: ``k`` 2, 3, 4 give '', 'abc', '-1'.
 """
 
 from __future__ import annotations
@@ -36,8 +39,11 @@ ADDRESS_SPACE = 150
 LOG_ADDRESS_SPACE = 10
 OTHER_CONTRACT = "0x" + "0" * 36 + "beef"
 APPROVAL_TOPIC = "0x8c5be1e5ebec7d5bd14f71427d1e84f3dd0314c0f7b2291e5b200ac8c7c3b925"
-NO_RECEIPT_MOD = 97
-NO_PRICE_MOD = 89
+# conditions keyed on the events' own attribute k (props = {"k": 0..99})
+K_NO_RECEIPT = 0      # a transaction with such an event has no receipt
+K_NO_PRICE = 1        # ... its receipt has no effective gas price
+K_EMPTY_PRICE, K_TEXT_PRICE, K_NEGATIVE_PRICE = 2, 3, 4   # dirty ledger prices
+K_REREAD = 99         # ledger rows written twice (boundary block re-read)
 # --- end of fixed values ----------------------------------------------------
 
 
@@ -67,8 +73,8 @@ def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transfers_of(events(spark, sf_dir))
 
 
-def transfers_of(e: DataFrame) -> DataFrame:
-    """Ledger rows of an events DataFrame (batch or streaming)."""
+def transfers_of(e: DataFrame, extra: tuple[Column, ...] = ()) -> DataFrame:
+    """Ledger rows of an events DataFrame (batch or streaming), plus ``extra`` columns."""
     eid = F.col("event_id")
     return e.select(
         (eid + F.lit(BLOCK_BASE)).alias("block_number"),
@@ -79,6 +85,7 @@ def transfers_of(e: DataFrame) -> DataFrame:
         (F.lit(21000) + eid % 100000).cast("long").alias("receipt_gas_used"),
         _price_wei(F.col("value")).cast("string").alias("receipt_effective_gas_price"),
         F.col("ts").cast("timestamp_ntz").alias("updated_at"),
+        *extra,
     )
 
 
@@ -86,6 +93,11 @@ def test_wallet(n: int = 13) -> str:
     return "0x" + str(n).rjust(40, "0")
 
 
+def event_k(props: Column) -> Column:
+    """The ``k`` attribute of an event's ``props`` JSON."""
+    return F.get_json_object(props, "$.k").cast("int")
+
+
 def _log_columns(e: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     tx = F.floor(eid / 3).cast("long")
@@ -103,6 +115,7 @@ def _log_columns(e: DataFrame) -> DataFrame:
         amount.alias("amount"),
         (F.col("user_id") % LOG_ADDRESS_SPACE).alias("from_n"),
         ((F.col("user_id") * 7 + eid) % LOG_ADDRESS_SPACE).alias("to_n"),
+        event_k(F.col("props")).alias("k"),
     )
 
 
@@ -166,18 +179,20 @@ def raw_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("tx") % 4).cast("int").alias("transaction_index"),
     )
     per_tx = (
-        e.where(F.col("tx") % NO_RECEIPT_MOD != 0)
-        .groupBy("tx", "block_number")
+        e.groupBy("tx", "block_number")
         .agg(
             F.sum(F.lit(21000) + F.col("event_id") % 100000).alias("gas"),
             F.max(_price_wei(F.col("value"))).alias("price"),
             F.min("user_id").alias("sender_n"),
+            F.max((F.col("k") == K_NO_RECEIPT).cast("int")).alias("lost"),
+            F.max((F.col("k") == K_NO_PRICE).cast("int")).alias("no_price"),
             # ordered by log index: sort (index, log) pairs, keep the log
             F.transform(
                 F.array_sort(F.collect_list(F.struct(F.col("log_index").alias("k"), log.alias("v")))),
                 lambda p: p["v"],
             ).alias("logs"),
         )
+        .where(F.col("lost") == 0)
     )
     return per_tx.select(
         tx_hash(F.col("tx")).alias("transaction_hash"),
@@ -186,7 +201,7 @@ def raw_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("tx") % 4).cast("int").alias("transaction_index"),
         F.lit(None).cast("string").alias("contract_address"),
         F.col("gas").cast("string").alias("cumulative_gas_used"),
-        F.when(F.col("tx") % NO_PRICE_MOD != 0, F.col("price").cast("string")).alias("effective_gas_price"),
+        F.when(F.col("no_price") == 0, F.col("price").cast("string")).alias("effective_gas_price"),
         addr(F.col("sender_n")).alias("from"),
         F.lit(USDC_CONTRACT).alias("to"),
         F.col("gas").cast("string").alias("gas_used"),
@@ -208,28 +223,29 @@ def processing_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reread_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger rows where boundary blocks (``block % 1000 = 0``) were written twice.
+    """Ledger rows where some rows (events with ``k = 99``) were written twice.
 
     The second copy is one hour newer; key dedup must keep it.
     """
-    t = transfers(spark, sf_dir).withColumn("updated_at", F.col("timestamp"))
-    again = t.where(F.col("block_number") % 1000 == 0).withColumn(
+    t = transfers_of(events(spark, sf_dir), (event_k(F.col("props")).alias("k"),))
+    t = t.withColumn("updated_at", F.col("timestamp"))
+    again = t.where(F.col("k") == K_REREAD).withColumn(
         "updated_at", F.col("updated_at") + F.expr("INTERVAL 1 HOUR")
     )
-    return t.unionByName(again)
+    return t.unionByName(again).drop("k")
 
 
 def dirty_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger rows where 6% of prices are unusable ('', 'abc', '-1')."""
-    t = transfers(spark, sf_dir)
-    eid = F.col("block_number") - F.lit(BLOCK_BASE)
+    """Ledger rows where some prices are unusable ('', 'abc', '-1'; by ``k``)."""
+    t = transfers_of(events(spark, sf_dir), (event_k(F.col("props")).alias("k"),))
+    k = F.col("k")
     price = (
-        F.when(eid % 50 == 0, F.lit(""))
-        .when(eid % 50 == 1, F.lit("abc"))
-        .when(eid % 50 == 2, F.lit("-1"))
+        F.when(k == K_EMPTY_PRICE, F.lit(""))
+        .when(k == K_TEXT_PRICE, F.lit("abc"))
+        .when(k == K_NEGATIVE_PRICE, F.lit("-1"))
         .otherwise(F.col("receipt_effective_gas_price"))
     )
-    return t.withColumn("receipt_effective_gas_price", price)
+    return t.withColumn("receipt_effective_gas_price", price).drop("k")
 
 
 def orders_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
