@@ -95,3 +95,24 @@ def test_last_wins_dedup_ignores_log_order(spark, rows):
     # one row per (wallet, transaction) that the wallet appears in
     expected = {(w, tx) for tx, f, t, _ in rows for w in (f, t)}
     assert len(a) == len(expected)
+
+
+def _walk(lo, hi, step, last):
+    """Brute force: step from lo while below hi; each chunk ends at most at `last`."""
+    out, cur = [], lo
+    while cur < hi:
+        end = min(cur + step - 1, last)
+        out.append((cur, end))
+        cur += step
+    return out
+
+
+@SETTINGS
+@given(lo=st.integers(0, 5000), span=st.integers(-5, 5000), step=st.integers(1, 1500))
+def test_block_chunks_match_brute_force(spark, lo, span, step):
+    from gasledger.operators import audit
+
+    hi = lo + span
+    for mode, last in (("compat", hi), ("half_open", hi - 1)):
+        got = [(r.chunk_from, r.chunk_to) for r in audit.block_chunks(spark, lo, hi, step, mode).orderBy("chunk_no").collect()]
+        assert got == _walk(lo, hi, step, last)
