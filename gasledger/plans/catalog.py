@@ -106,8 +106,8 @@ def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _rpc_json_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the raw logs as node JSON (hex quantities), read them back, decode."""
     apply_runtime_defaults(spark)
-    path = scratch_path(spark, f"rpc_logs/{uuid.uuid4().hex}")
-    rpc_json.to_rpc_logs(td.raw_logs(spark, sf_dir)).write.mode("errorifexists").json(path)
+    path = _once(spark, sf_dir, "rpc_logs",
+                 lambda p: rpc_json.to_rpc_logs(td.raw_logs(spark, sf_dir)).write.mode("errorifexists").json(p))
     return decode.decode_transfer_logs(rpc_json.read_logs(spark, path))
 
 
@@ -116,8 +116,8 @@ def _landed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gasledger.sinks import raw_logs as landing
 
     apply_runtime_defaults(spark)
-    path = scratch_path(spark, f"landed_logs/{uuid.uuid4().hex}")
-    landing.write_raw_logs(td.raw_logs(spark, sf_dir), path, mode="errorifexists")
+    path = _once(spark, sf_dir, "landed_logs",
+                 lambda p: landing.write_raw_logs(td.raw_logs(spark, sf_dir), p, mode="errorifexists"))
     return landing.read_raw_logs(spark, path)
 
 
@@ -154,16 +154,41 @@ SCAN_START, SCAN_END = "1995-01-01", "1995-06-30"
 CHUNK_STEP = 100
 
 
-def _month_table(spark: SparkSession, sf_dir: str) -> str:
-    """Write the many-month ledger to a fresh folder of the shared scratch space."""
+# Tables that read queries need are written once per Spark application and input
+# folder (written once, read many times, as in production); the write operators
+# themselves always write afresh.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[str], None]) -> str:
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        app = spark.conf.get("spark.app.id", "session")
+    key = (app, sf_dir, kind)
+    if key not in _WRITTEN:
+        path = scratch_path(spark, f"{kind}/{uuid.uuid4().hex}")
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+def _month_table(spark: SparkSession, sf_dir: str, fresh: bool = False) -> str:
+    """The many-month ledger in the shared scratch space."""
     apply_runtime_defaults(spark)
-    path = scratch_path(spark, f"month_partitions/{uuid.uuid4().hex}")
-    sink.write_ledger(td.orders_transfers(spark, sf_dir), path, mode="errorifexists")
-    return path
+
+    def write(path: str) -> None:
+        sink.write_ledger(td.orders_transfers(spark, sf_dir), path, mode="errorifexists")
+
+    if fresh:
+        path = scratch_path(spark, f"month_partitions/{uuid.uuid4().hex}")
+        write(path)
+        return path
+    return _once(spark, sf_dir, "month_ledger", write)
 
 
 def _month_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sink.read_ledger(spark, _month_table(spark, sf_dir))
+    return sink.read_ledger(spark, _month_table(spark, sf_dir, fresh=True))
 
 
 def _month_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
