@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from gasledger.constants import MA_ROWS_PRECEDING
 from gasledger.functions.units import (
     exact_mean,
+    normalize_address,
     to_uint,
     utc_date,
     wei,
@@ -47,7 +48,7 @@ CUM_MODES = ("exact", "sequential")
 def priced(transfers: DataFrame, wallets: Wallets = None, normalize: bool = False) -> DataFrame:
     """Ledger rows reduced to what the metrics need (column pruning happens here)."""
     t = select_wallets(transfers, wallets, "from_address", normalize=normalize)
-    address = F.lower("from_address") if normalize else F.col("from_address")
+    address = normalize_address("from_address") if normalize else F.col("from_address")
     return t.select(
         utc_date("timestamp").alias("date"),
         address.alias("address"),

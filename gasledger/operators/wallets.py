@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gasledger.functions.units import normalize_address
+
 # Largest wallet list joined by broadcast (rows; ~100 bytes each).
 BROADCAST_WALLETS_MAX = 1_000_000
 
@@ -36,7 +38,7 @@ def select_wallets(
 ) -> DataFrame:
     if wallets is None:
         return df
-    target: Column = F.lower(F.col(column)) if normalize else F.col(column)
+    target: Column = normalize_address(column) if normalize else F.col(column)
     if isinstance(wallets, str):
         value = wallets.lower() if normalize else wallets
         return df.where(target == F.lit(value))
@@ -44,7 +46,7 @@ def select_wallets(
         key = wallets.columns[0]
         w = wallets.select(F.col(key).alias("_wallet"))
         if normalize:
-            w = w.select(F.lower("_wallet").alias("_wallet"))
+            w = w.select(normalize_address("_wallet").alias("_wallet"))
         w = w.distinct()
         if w.count() <= broadcast_max:
             w = F.broadcast(w)

@@ -280,3 +280,20 @@ def test_day_without_prices_has_null_mean(spark):
     got = metrics.ma7_gas_price(spark.createDataFrame(rows, LEDGER)).collect()
     # day 1 has no price: its mean is NULL and the moving average skips it
     assert [r.ma7_wei for r in got] == [None, 4.0]
+
+
+def test_small_scalar_helpers(spark):
+    from gasledger.functions.units import exact_mean, js_default, utc_date, wei, wei_to_eth, year_month
+
+    df = spark.createDataFrame(
+        [("", None, dt.datetime(2024, 2, 29, 23, 59, 59), "21000", "1000000000")],
+        "a string, b string, ts timestamp_ntz, gas string, price string",
+    )
+    r = df.select(
+        js_default("a", "0").alias("a"), js_default("b", "").alias("b"),
+        utc_date("ts").alias("d"), year_month("ts").alias("m"),
+        wei("gas", "price").cast("string").alias("w"), wei_to_eth(wei("gas", "price")).alias("eth"),
+        exact_mean(F.lit(0), F.lit(0)).alias("empty"),
+    ).first()
+    assert (r.a, r.b, r.d, r.m) == ("0", "", dt.date(2024, 2, 29), 202402)
+    assert r.w == "21000000000000" and r.eth == 21000000000000 / 1e18 and r.empty is None
