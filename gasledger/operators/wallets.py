@@ -6,7 +6,8 @@
 * ``str``        -- one address, an equality predicate pushed to the Parquet scan
                     (row-group statistics and bloom filters skip the rest);
 * list of str    -- an ``IN`` predicate, also pushed down;
-* ``DataFrame``  -- a column of addresses of any size: a left-semi join.  It is
+* ``DataFrame``  -- a column of addresses of any size: a left-semi join.  The
+                    distinct set is checkpointed to the shared folder once, then
                     broadcast only after a count proves it small; otherwise both
                     sides are shuffled on the address (sort-merge semi join).
 
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gasledger.functions.units import normalize_address
+from gasledger.session import checkpoint_root
 
 # Largest wallet list joined by broadcast (rows; ~100 bytes each).
 BROADCAST_WALLETS_MAX = 1_000_000
@@ -47,7 +49,10 @@ def select_wallets(
         w = wallets.select(F.col(key).alias("_wallet"))
         if normalize:
             w = w.select(normalize_address("_wallet").alias("_wallet"))
-        w = w.distinct()
+        # materialise the set once in the shared checkpoint folder: the size
+        # check and the join then read it instead of recomputing its lineage
+        checkpoint_root(df.sparkSession)
+        w = w.distinct().checkpoint(eager=True)
         if w.count() <= broadcast_max:
             w = F.broadcast(w)
         return df.join(w, target == F.col("_wallet"), "left_semi")
