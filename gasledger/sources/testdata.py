@@ -192,7 +192,7 @@ def raw_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max((F.col("k") == K_NO_PRICE).cast("int")).alias("no_price"),
             # ordered by log index: sort (index, log) pairs, keep the log
             F.transform(
-                F.array_sort(F.collect_list(F.struct(F.col("log_index").alias("k"), log.alias("v")))),
+                F.array_sort(F.collect_list(F.struct(F.col("log_index").alias("idx"), log.alias("v")))),
                 lambda p: p["v"],
             ).alias("logs"),
         )
