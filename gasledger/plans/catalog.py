@@ -42,6 +42,11 @@ def _metric_queries() -> dict[str, Query]:
         "ma7_gas_price": lambda s, d: metrics.ma7_gas_price(_ledger(s, d), ordered=False),
         "cumulative_gas_cost": lambda s, d: metrics.cumulative_gas_cost(_ledger(s, d), ordered=False),
         "address_summary": lambda s, d: metrics.address_summary(_ledger(s, d)),
+        # the original single-wallet statements, column for column
+        "wallet_ma7_gas_price": lambda s, d: metrics.ma7_gas_price(_ledger(s, d), WALLET, per_address=False),
+        "wallet_cumulative_gas_cost": lambda s, d: metrics.cumulative_gas_cost(
+            _ledger(s, d), WALLET, per_address=False).select("date", "cum_eth"),
+        "wallet_address_summary": lambda s, d: metrics.address_summary(_ledger(s, d), WALLET),
         "combined_daily_metrics": lambda s, d: metrics.combined_daily_metrics(_ledger(s, d), WALLET),
         # every wallet at once: no global ORDER BY (an extra range shuffle nobody reads)
         "combined_all_wallets": lambda s, d: metrics.combined_daily_metrics(_ledger(s, d), ordered=False),

@@ -121,6 +121,22 @@ FROM daily""",
 SELECT address, count(*) AS events_collected, min(block_number) AS blocks_scanned_start,
        max(block_number) AS blocks_scanned_end, min(date) AS period_start, max(date) AS period_end,
        cast(sum(wei) AS double) / 1e18 AS total_gas_cost_eth
+FROM priced GROUP BY address""",
+        "wallet_ma7_gas_price": _with(TRANSFERS, _priced(where=f"WHERE from_address = '{WALLET}'")) + """,
+daily_avg AS (SELECT date, cast(sum(price) AS double) / count(price) AS avg_gas_price_wei FROM priced GROUP BY date)
+SELECT date, ma7_wei, ma7_wei / 1e9 AS ma7_gwei FROM (
+  SELECT date, avg(avg_gas_price_wei) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS ma7_wei
+  FROM daily_avg)
+ORDER BY date""",
+        "wallet_cumulative_gas_cost": _with(TRANSFERS, _priced(where=f"WHERE from_address = '{WALLET}'")) + """,
+daily_wei AS (SELECT date, sum(wei) AS wei FROM priced GROUP BY date)
+SELECT date, cast(sum(wei) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS double) / 1e18
+       AS cum_eth
+FROM daily_wei ORDER BY date""",
+        "wallet_address_summary": _with(TRANSFERS, _priced(where=f"WHERE from_address = '{WALLET}'")) + """
+SELECT address, count(*) AS events_collected, min(block_number) AS blocks_scanned_start,
+       max(block_number) AS blocks_scanned_end, min(date) AS period_start, max(date) AS period_end,
+       cast(sum(wei) AS double) / 1e18 AS total_gas_cost_eth
 FROM priced GROUP BY address""",
         "combined_daily_metrics": one + combined,
         "combined_all_wallets": base + combined,
