@@ -84,8 +84,12 @@ def wallet_transfers(raw_logs: DataFrame, wallet: str, lo: int | None = None, hi
 
 def dedup_last(union: DataFrame) -> DataFrame:
     """One row per (wallet, transaction hash); the largest (src, log_index) wins."""
+    # (src, log_index) identifies one log of a transaction for one wallet; equal
+    # keys are the same log read twice, so no tie-break (and no extra shuffle
+    # columns) is needed
     kept = first_per_key(
-        union, ["wallet_address", "transaction_hash"], [F.col("src").desc(), F.col("log_index").desc()]
+        union, ["wallet_address", "transaction_hash"], [F.col("src").desc(), F.col("log_index").desc()],
+        tie_break=False,
     )
     return kept.select("wallet_address", *[c for c in LOG_COLUMNS if c != "transaction_hash"], "transaction_hash")
 

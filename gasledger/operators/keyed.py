@@ -16,12 +16,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def first_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], tie_break: bool = True
+) -> DataFrame:
     """The first row of every key in ``order``.
 
-    The order is made total by appending every other column, so ties never
-    make the answer depend on row order or partitioning.
+    With ``tie_break`` the order is made total by appending every other column,
+    so ties never make the answer depend on row order or partitioning.  Pass
+    ``tie_break=False`` when ``order`` is already unique within a key (or tied
+    rows are identical): then columns the caller does not use are pruned
+    before the shuffle instead of being carried as sort keys.
     """
-    tie_break = [F.col(c).desc_nulls_last() for c in df.columns if c not in keys]
+    tie_break = [F.col(c).desc_nulls_last() for c in df.columns if c not in keys] if tie_break else []
     w = Window.partitionBy(*keys).orderBy(*order, *tie_break)
     return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
