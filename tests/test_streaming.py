@@ -123,3 +123,26 @@ def test_daily_partials_compaction(spark, scratch):
     after = sorted(live.read_daily_totals(spark, f"{scratch}/d2").collect())
     assert before == after and len(after) == 6
     assert spark.read.parquet(f"{scratch}/d2").count() == 6
+
+
+def test_failed_batch_is_retried_after_restart(spark, scratch):
+    import pytest
+
+    landing, table, ckpt = f"{scratch}/landing", f"{scratch}/table", f"{scratch}/ckpt"
+    blocks, receipts = _static(spark, range(1, 21))
+    _logs(spark, range(1, 21)).coalesce(1).write.parquet(landing)
+    broken = blocks.withColumn("timestamp", F.raise_error(F.lit("header store unavailable")).cast("timestamp_ntz"))
+
+    def run(b):
+        q = stream.start_ingest(
+            stream.file_stream(spark, landing, RAW_LOGS), b, receipts, table, ckpt,
+            wallets=W, trigger={"availableNow": True},
+        )
+        stream.run_to_end(q)
+
+    with pytest.raises(Exception):
+        run(broken)  # the batch fails as a whole; nothing is skipped or committed
+    run(blocks)      # restart: the same batch runs again
+    t = sink.read_ledger(spark, table, with_batch=True)
+    assert t.count() == 20
+    assert {r.batch_id for r in t.select("batch_id").distinct().collect()} == {0}
