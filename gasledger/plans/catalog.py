@@ -36,7 +36,7 @@ def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _metric_queries() -> dict[str, Query]:
     return {
-        "daily_gas_cost": lambda s, d: metrics.daily_gas_cost(_ledger(s, d)),
+        "daily_gas_cost": lambda s, d: metrics.daily_gas_cost(_ledger(s, d), ordered=False),
         "wallet_daily_gas_cost": lambda s, d: metrics.daily_gas_cost(_ledger(s, d), WALLET),
         "daily_avg_gas_price": lambda s, d: metrics.daily_avg_gas_price(_ledger(s, d), ordered=False),
         "ma7_gas_price": lambda s, d: metrics.ma7_gas_price(_ledger(s, d), ordered=False),
