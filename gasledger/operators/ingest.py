@@ -27,8 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gasledger.functions.units import js_default, try_to_uint, utc_now
 from gasledger.constants import USDC_CONTRACT
+from gasledger.functions.units import js_default, try_to_uint, utc_now
 from gasledger.operators import decode
 from gasledger.operators.decode import in_block_range
 from gasledger.operators.keyed import first_per_key
@@ -98,7 +98,8 @@ def _range_blocks(blocks: DataFrame, lo: int | None, hi: int | None) -> DataFram
     bucket = [c for c in ("block_bucket",) if c in blocks.columns]
     b = in_block_range(blocks.select("block_number", "timestamp", *bucket), lo, hi).select("block_number", "timestamp")
     if lo is not None and hi is not None and hi - lo + 1 <= BROADCAST_BLOCKS_MAX:
-        # block numbers are unique: the range bounds the row count
+        # one canonical header per block number (the landing contract), so the
+        # range bounds the row count
         b = F.broadcast(b)
     return b
 
