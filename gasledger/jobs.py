@@ -15,9 +15,11 @@ Raw inputs are Parquet in the raw schemas, node JSON objects with
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gasledger.constants import MAX_BLOCKS_PER_REQUEST, USDC_CONTRACT
 from gasledger.operators import audit, decode, ingest, metrics, report
@@ -81,6 +83,10 @@ def cmd_ingest(spark: SparkSession, args) -> None:
         deduped, blocks, _read(spark, args.receipts, "receipts", fmt), args.from_block, args.to_block,
     )
     sink.write_batch(rows, args.table, args.run_id, layout=args.layout)
+    # events saved by this run, read back from its own partition (file footers)
+    written = sink.read_ledger(spark, args.table, with_batch=True).where(F.col("batch_id") == args.run_id).count()
+    print(json.dumps({"run_id": args.run_id, "events_saved": written}))
+    return written
 
 
 def cmd_stream(spark: SparkSession, args) -> None:
@@ -203,14 +209,14 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
+def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     args = parser().parse_args(argv)
     spark = spark or get_session()
     commands = {
         "ingest": cmd_ingest, "stream": cmd_stream, "metrics": cmd_metrics,
         "report": cmd_report, "compact": cmd_compact, "audit": cmd_audit, "land": cmd_land,
     }
-    commands[args.cmd](spark, args)
+    return commands[args.cmd](spark, args)
 
 
 if __name__ == "__main__":

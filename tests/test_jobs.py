@@ -15,8 +15,9 @@ def test_ingest_metrics_report_audit(spark, scratch):
     receipts.write.parquet(f"{scratch}/receipts")
     args = ["ingest", "--logs", f"{scratch}/logs", "--blocks", f"{scratch}/blocks",
             "--receipts", f"{scratch}/receipts", "--table", f"{scratch}/ledger", "--run-id", "7"]
-    jobs.main(args, spark)
-    jobs.main(args, spark)  # same run id: replaced, not doubled
+    first = jobs.main(args, spark)
+    again = jobs.main(args, spark)  # same run id: replaced, not doubled
+    assert first == again > 0
     expected = ingest.ledger_rows(
         ingest.dedup_last(ingest.transfers_union(decode.decode_transfer_logs(logs))), blocks, receipts
     )
