@@ -83,6 +83,8 @@ def test_no_cartesian_or_nested_loop_joins(spark, name):
     p = plan(queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in p
     assert "BroadcastNestedLoopJoin" not in p
+    # every expression runs in the JVM: no Python UDF evaluation anywhere
+    assert "EvalPython" not in p and "PythonUDF" not in p and "MapInPandas" not in p
 
 
 def test_hot_wallet_is_split_across_write_tasks(spark, scratch):
