@@ -133,3 +133,17 @@ def test_landed_blocks_and_receipts_prune_by_block_range(spark, scratch):
     assert p.count("PartitionFilters: [isnotnull(block_bucket") == 2
     want = ingest.ledger_rows(deduped, blocks, receipts, lo, hi, updated_at=False)
     assert got.count() > 0 and sorted(got.collect()) == sorted(want.collect())
+
+
+@pytest.mark.parametrize("name", ["combined_all_wallets", "transfers_enriched", "metrics_report", "transfers_final"])
+def test_hot_paths_run_in_whole_stage_codegen(spark, name):
+    df = queries()[name](spark, SF_SMALL)
+    df.collect()  # this DataFrame's own execution: its adaptive plan is now final
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    ops = [line.strip().lstrip(":+- ").split(" ")[0] for line in final.split("\n")]
+    # operators Spark has no code generation for, and plan wrappers
+    allowed = {"", "==", "AdaptiveSparkPlan", "ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage", "Exchange",
+               "BroadcastExchange", "AQEShuffleRead", "FileScan", "Window", "WindowGroupLimit",
+               "ObjectHashAggregate(keys=[address#", "Union"}
+    outside = {op for op in ops if not op.startswith("*(") and op not in allowed and not op.startswith("ObjectHash")}
+    assert outside == set(), outside
