@@ -57,7 +57,10 @@ def _tables_format(args) -> str:
     return args.tables_format or args.format
 
 
-def _wallets(args):
+def _wallets(args, spark: SparkSession | None = None):
+    """Wallet selection: ``--wallets-from`` (a Parquet table, any size), else ``--wallet``."""
+    if getattr(args, "wallets_from", None):
+        return spark.read.parquet(args.wallets_from)
     if not args.wallet:
         return None
     return args.wallet[0] if len(args.wallet) == 1 else args.wallet
@@ -116,12 +119,12 @@ def _ledger(spark: SparkSession, args) -> DataFrame:
 
 
 def cmd_metrics(spark: SparkSession, args) -> None:
-    out = METRICS[args.metric](_ledger(spark, args), _wallets(args), args.normalize)
+    out = METRICS[args.metric](_ledger(spark, args), _wallets(args, spark), args.normalize)
     out.write.mode("overwrite").parquet(args.out)
 
 
 def cmd_report(spark: SparkSession, args) -> None:
-    rep = report.metrics_report(_ledger(spark, args), _wallets(args), normalize=args.normalize)
+    rep = report.metrics_report(_ledger(spark, args), _wallets(args, spark), normalize=args.normalize)
     report.write_reports(rep, args.out)
 
 
@@ -181,6 +184,7 @@ def parser() -> argparse.ArgumentParser:
         sp.add_argument("--table", required=True)
         sp.add_argument("--out", required=True)
         sp.add_argument("--wallet", action="append", default=[])
+        sp.add_argument("--wallets-from", help="Parquet table whose first column lists the wallets")
         sp.add_argument("--normalize", action="store_true")
         sp.add_argument("--compacted", action="store_true", help="table written by `compact`: keys are unique")
         sp.add_argument("--start")

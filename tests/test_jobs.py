@@ -114,3 +114,15 @@ def test_ingest_leaves_unconfirmed_blocks(spark, scratch):
                f"{scratch}/receipts", "--table", f"{scratch}/ledger", "--run-id", "1", "--confirmations", "12"], spark)
     top = sink.read_ledger(spark, f"{scratch}/ledger").agg({"block_number": "max"}).first()[0]
     assert top <= head - 12
+
+
+def test_metrics_for_a_wallet_table(spark, scratch):
+    t = td.transfers(spark, SF_SMALL)
+    sink.write_batch(t, f"{scratch}/ledger", 0)
+    wallets = [td.test_wallet(n) for n in (3, 13, 42)]
+    spark.createDataFrame([(w,) for w in wallets], "wallet string").write.parquet(f"{scratch}/wallets")
+    jobs.main(["metrics", "--table", f"{scratch}/ledger", "--out", f"{scratch}/m", "--metric", "address_summary",
+               "--wallets-from", f"{scratch}/wallets"], spark)
+    got = sorted(r.address for r in spark.read.parquet(f"{scratch}/m").collect())
+    present = {r.from_address for r in t.select("from_address").distinct().collect()}
+    assert got == sorted(set(wallets) & present) and len(got) >= 2
