@@ -1,5 +1,6 @@
 """Command-line jobs (``spark-submit`` or ``python -m gasledger.jobs``).
 
+    import   exported ledger (JSON / CSV) -> ledger table
     land     raw logs + blocks + receipts  -> block-bucketed landing layout (scan-friendly)
     ingest   raw logs + blocks + receipts  -> ledger table (batch, idempotent per run id)
     stream   landed raw log files          -> ledger table (Structured Streaming)
@@ -26,7 +27,7 @@ from gasledger.operators import audit, decode, ingest, metrics, report
 from gasledger.session import get_session
 from gasledger.sinks import ledger as sink
 from gasledger.sinks import raw_logs as raw_landing
-from gasledger.sources import rpc_json
+from gasledger.sources import ledger_export, rpc_json
 from gasledger.sources.schemas import RAW_BLOCKS, RAW_LOGS, RAW_RECEIPTS
 from gasledger.streaming import ingest as stream
 
@@ -128,6 +129,13 @@ def cmd_report(spark: SparkSession, args) -> None:
     report.write_reports(rep, args.out)
 
 
+def cmd_import(spark: SparkSession, args) -> int:
+    """Load an exported ledger (JSON Lines / CSV) into the partitioned ledger table."""
+    rows = ledger_export.read_export(spark, args.source, args.format)
+    sink.write_batch(rows, args.table, args.run_id, layout=args.layout)
+    return sink.read_ledger(spark, args.table, with_batch=True).where(F.col("batch_id") == args.run_id).count()
+
+
 def cmd_land(spark: SparkSession, args) -> None:
     """Re-land raw inputs in the block-bucketed, scan-friendly layout."""
     raw_landing.write_raw_logs(_read(spark, args.logs, "logs", args.format), f"{args.out}/logs")
@@ -192,6 +200,13 @@ def parser() -> argparse.ArgumentParser:
         if name == "metrics":
             sp.add_argument("--metric", choices=sorted(METRICS), required=True)
 
+    sp = sub.add_parser("import")
+    sp.add_argument("--source", required=True)
+    sp.add_argument("--format", choices=("json", "csv"), default="json")
+    sp.add_argument("--table", required=True)
+    sp.add_argument("--run-id", type=int, default=0)
+    sp.add_argument("--layout", choices=tuple(sink.LAYOUTS), default="address")
+
     sp = sub.add_parser("land")
     sp.add_argument("--format", choices=("parquet", "rpc-json"), default="parquet")
     for a in ("--logs", "--blocks", "--receipts", "--out"):
@@ -219,6 +234,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     commands = {
         "ingest": cmd_ingest, "stream": cmd_stream, "metrics": cmd_metrics,
         "report": cmd_report, "compact": cmd_compact, "audit": cmd_audit, "land": cmd_land,
+        "import": cmd_import,
     }
     return commands[args.cmd](spark, args)
 

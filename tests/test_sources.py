@@ -57,3 +57,27 @@ def test_logs_blocks_receipts(spark, scratch):
     assert r.gas_used == "21000" and r.effective_gas_price == str(2**64 - 1)
     assert r.block_number == 16 and r.transaction_index == 2 and r.to is None
     assert len(r.logs) == 1 and r.logs[0].log_index == 0
+
+
+def test_ledger_export_roundtrip(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from gasledger import jobs
+    from gasledger.functions.units import iso_text
+    from gasledger.sinks import ledger as sink
+    from gasledger.sources import ledger_export
+    from gasledger.sources import testdata as td
+
+    t = td.transfers(spark, "/root/testdata/sf0.001")
+    # the original insert format: ISO text without zone, millisecond precision
+    exported = t.select(*[iso_text(c).alias(c) if c in ("timestamp", "updated_at") else F.col(c)
+                          for c in t.columns])
+    exported.write.json(f"{scratch}/json")
+    exported.write.option("header", "true").csv(f"{scratch}/csv")
+    for fmt in ("json", "csv"):
+        back = ledger_export.read_export(spark, f"{scratch}/{fmt}", fmt)
+        want = t.select(*[F.date_trunc("millisecond", F.col(c)).cast("timestamp_ntz").alias(c)
+                          if c in ("timestamp", "updated_at") else F.col(c) for c in t.columns])
+        assert sorted(back.collect()) == sorted(want.collect())
+    n = jobs.main(["import", "--source", f"{scratch}/json", "--table", f"{scratch}/ledger"], spark)
+    assert n == t.count() == sink.read_ledger(spark, f"{scratch}/ledger").count()
