@@ -126,3 +126,22 @@ def test_metrics_for_a_wallet_table(spark, scratch):
     got = sorted(r.address for r in spark.read.parquet(f"{scratch}/m").collect())
     present = {r.from_address for r in t.select("from_address").distinct().collect()}
     assert got == sorted(set(wallets) & present) and len(got) >= 2
+
+
+def test_stream_job_over_landed_logs(spark, scratch):
+    logs, blocks, receipts = td.raw_logs(spark, SF_SMALL), td.raw_blocks(spark, SF_SMALL), td.raw_receipts(spark, SF_SMALL)
+    logs.write.parquet(f"{scratch}/logs")
+    blocks.write.parquet(f"{scratch}/blocks")
+    receipts.write.parquet(f"{scratch}/receipts")
+    jobs.main(["land", "--logs", f"{scratch}/logs", "--blocks", f"{scratch}/blocks", "--receipts",
+               f"{scratch}/receipts", "--out", f"{scratch}/landed"], spark)
+    jobs.main(["stream", "--format", "landed", "--landing", f"{scratch}/landed/logs", "--blocks",
+               f"{scratch}/landed/blocks", "--receipts", f"{scratch}/landed/receipts", "--table", f"{scratch}/ledger",
+               "--checkpoint", f"{scratch}/ckpt", "--available-now"], spark)
+    got = sink.read_ledger(spark, f"{scratch}/ledger").drop("updated_at", "event_month")
+    want = ingest.ledger_rows(
+        ingest.dedup_last(ingest.transfers_union(decode.decode_transfer_logs(logs))), blocks, receipts,
+        updated_at=False,
+    )
+    assert got.count() > 0
+    assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())
