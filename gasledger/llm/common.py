@@ -8,18 +8,21 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gasledger.session import checkpoint_root
 
 SLICE_BYTES = 4 << 20    # text handled at once inside a Python task
-CACHE_WORDS = 400_000    # words whose hash a Python worker remembers
+CACHE_WORDS = 400_000    # words whose ids a Python worker remembers
 WHITE = "[\\x20\\x09-\\x0D]+"    # white space between words, as a pattern
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
+_BASE = np.uint64(0xD1342543DE82EF95)
+_BYTE_VALUE = np.random.default_rng(7).integers(0, 2**64, 256, dtype=np.uint64)
+_LOWER_VALUE = _BYTE_VALUE[[b + 32 if 65 <= b <= 90 else b for b in range(256)]]
+_IS_WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,23 +68,29 @@ def worker_cache() -> dict:
     return sys.__dict__.setdefault("_llm_worker_cache", {})
 
 
-class WordHashes(dict):
-    """Word -> 63-bit hash, remembered up to ``CACHE_WORDS`` words."""
+def hash_words(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts end to end, and each text's first index (with the total last).
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word) >> 1
-        return value
-
-
-def hash_words(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words end to end, and each document's first index (with the total last)."""
-    known = worker_cache().setdefault("words", WordHashes())
-    starts = np.zeros(len(words) + 1, np.int64)
-    np.cumsum([len(w) for w in words], out=starts[1:])
-    flat = (h for w in words for h in map(known.__getitem__, w))
-    return np.fromiter(flat, np.int64, int(starts[-1])).view(np.uint64), starts
+    Words are what is between ``[\\x20\\x09-\\x0D]``; ``lower`` hashes A-Z as a-z.  A word's
+    hash is a polynomial over random values of its bytes, for all words at once.
+    """
+    flat = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    inside = np.concatenate([[False], ~_IS_WHITE[flat]])
+    begin = np.flatnonzero(inside[1:] & ~inside[:-1])
+    begins = np.zeros(len(texts) + 1, np.int64)     # of the texts, in bytes
+    np.cumsum([len(t) + 1 for t in texts], out=begins[1:])
+    starts = np.searchsorted(begin, begins)
+    if not len(begin):
+        return np.zeros(0, np.uint64), starts
+    length = np.flatnonzero(inside[:-1] & ~inside[1:]) - begin
+    first = np.cumsum(length) - length
+    place = np.arange(int(length.sum())) - np.repeat(first, length)
+    terms = (_LOWER_VALUE if lower else _BYTE_VALUE)[flat[inside[1:]]] * _powers(int(length.max()))[place]
+    return mixed(np.add.reduceat(terms, first) + length.astype(np.uint64) * _MUL), starts
+
+
+def _powers(n: int) -> np.ndarray:
+    return np.cumprod(np.full(n, _BASE, np.uint64), dtype=np.uint64)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

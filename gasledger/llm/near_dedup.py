@@ -56,7 +56,7 @@ _ADD = _rng.integers(0, 2**63, BITS, dtype=np.uint64)
 
 def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
-    hashes, starts = hash_words([t.lower().split() for t in texts])
+    hashes, starts = hash_words(texts, lower=True)
     runs, out = rolled(hashes, k), []
     for a, b in zip(starts[:-1], starts[1:]):
         if b - a >= k:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gasledger.llm import decontaminate, line_dedup, near_dedup, packing, quality_rules, sql, tokens
+from gasledger.llm import decontaminate, line_dedup, near_dedup, packing, quality_rules, sql, substring_dedup, suffix_dedup, tokens
 from gasledger.llm.common import table
 
 
@@ -28,12 +28,23 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", "kept_sha256")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept")
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed",
+                        F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokens.default_path())
 
@@ -44,7 +55,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op3_minhash_near_dedup, op4_line_dedup, op5_decontamination, op7_quality_rules, op9_token_counts, op10_packing)}
+        op3_minhash_near_dedup, op4_line_dedup, op5_decontamination, op6_substring_dedup,
+        op7_quality_rules, op8_suffix_array_dedup, op9_token_counts, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
