@@ -7,10 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gasledger.llm import decontaminate, line_dedup, near_dedup, packing, quality_rules, sql, substring_dedup, suffix_dedup, tokens
+from gasledger.llm import (
+    decontaminate,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality_model,
+    quality_rules,
+    sql,
+    substring_dedup,
+    suffix_dedup,
+    tokens,
+    toxicity,
+)
 from gasledger.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_components(table(spark, sf_dir, "documents"), k=3, percent=85)
 
@@ -55,7 +76,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op3_minhash_near_dedup, op4_line_dedup, op5_decontamination, op6_substring_dedup,
+        op1_toxicity, op2_quality_classifier, op3_minhash_near_dedup, op4_line_dedup, op5_decontamination, op6_substring_dedup,
         op7_quality_rules, op8_suffix_array_dedup, op9_token_counts, op10_packing)}
 
 
