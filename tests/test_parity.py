@@ -5,7 +5,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from gasledger.plans.catalog import queries
+from gasledger.plans.oracle import oracle_sql
 from tools.compare import TABLES, rows_of
 
 from .conftest import SF_SMALL

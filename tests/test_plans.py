@@ -2,7 +2,7 @@
 
 import pytest
 
-from __spark_entry__ import queries
+from gasledger.plans.catalog import queries
 from gasledger.operators import metrics
 from gasledger.sinks import ledger as sink
 from gasledger.sources import testdata as td
