@@ -22,12 +22,12 @@ def _uint_max() -> Column:
 def to_uint(col: Column | str) -> Column:
     """``toUInt64(text)``: exact unsigned integer, as ``decimal(20,0)``.
 
-    Empty or non-numeric text fails the query (ANSI cast), as the SQL engine of
-    the original ledger does; negative or > 2^64-1 values fail with a clear
-    message.  Use :func:`try_to_uint` where bad rows must be set aside instead.
+    Empty, non-numeric, negative or > 2^64-1 values fail the query, as the SQL
+    engine of the original ledger does, whether the session is in ANSI mode or
+    not.  Use :func:`try_to_uint` where bad rows must be set aside instead.
     """
-    d = _c(col).cast(UINT_DECIMAL)
-    return F.when(d.isNull() | d.between(F.lit(0).cast(UINT_DECIMAL), _uint_max()), d).otherwise(
+    d = try_to_uint(col)
+    return F.when(d.isNotNull() | _c(col).isNull(), d).otherwise(
         F.raise_error(F.concat(F.lit("not an unsigned 64-bit integer: "), _c(col).cast("string")))
     ).cast(UINT_DECIMAL)
 
@@ -118,23 +118,46 @@ def address_from_topic(topic: Column | str) -> Column:
 
 
 def uint256_text(data: Column | str) -> Column:
-    """Decimal text of a 32-byte hex word (``0x`` + 64 hex digits).
+    """Decimal text of the first 32-byte word of hex ``data`` (``0x`` + digits), exact up to 2^256 - 1.
 
-    Exact for values below 2^120 (every real token amount), built from two
-    ``conv`` pieces and decimal arithmetic.  Larger words give NULL; the raw hex
-    stays available in ``data``.
+    Shorter words are read as if padded on the left; empty data and text that
+    is not hex give NULL.  Words below 2^120 (nearly all amounts) take two
+    ``conv`` pieces and decimal arithmetic, larger ones a long division by limbs.
     """
-    hexdigits = F.lower(F.substring(_c(data), 3, 64))
-    head = F.substring(hexdigits, 1, 34)
-    mid = F.conv(F.substring(hexdigits, 35, 14), 16, 10).cast("decimal(38,0)")
-    low = F.conv(F.substring(hexdigits, 49, 16), 16, 10).cast("decimal(38,0)")
-    value = (mid * F.lit(str(2**64)).cast("decimal(38,0)") + low).cast("decimal(38,0)")
+    given = F.lower(F.substring(_c(data), 3, 64))
+    digits = F.lpad(given, 64, "0")
+    mid = F.conv(F.substring(digits, 35, 14), 16, 10).cast("decimal(38,0)")
+    low = F.conv(F.substring(digits, 49, 16), 16, 10).cast("decimal(38,0)")
+    small = (mid * F.lit(str(2**64)).cast("decimal(38,0)") + low).cast("decimal(38,0)")
     return F.when(
-        (F.length(hexdigits) == 64) & (head == F.lit("0" * 34)),
-        value.cast("string"),
+        given.rlike("^[0-9a-f]+$"),
+        F.when(F.substring(digits, 1, 34) == F.lit("0" * 34), small.cast("string")).otherwise(_decimal_of_hex(digits)),
     )
 
 
+def _decimal_of_hex(digits: Column) -> Column:
+    """Decimal text of 64 hex digits: five limbs of 56 bits, recombined in base 1e18 with carries.
+
+    Plain decimal arithmetic (products and sums stay below 38 digits), so the
+    expression stays inside whole-stage codegen.
+    """
+    wide, base = "decimal(38,0)", 10**18
+    number = lambda n: F.lit(str(n)).cast(wide)
+    limbs = [F.conv(F.substring(digits, max(1, 51 - 14 * i), 14 if i < 4 else 8), 16, 10).cast("decimal(20,0)") for i in range(5)]
+    parts, carry = [], None
+    for j in range(5):
+        total = carry
+        for i, limb in enumerate(limbs):
+            factor = 2 ** (56 * i) // base**j % base
+            if factor:
+                term = (limb * F.lit(str(factor)).cast("decimal(18,0)")).cast(wide)
+                total = term if total is None else (total + term).cast(wide)
+        parts.append((total % number(base)).cast(wide))
+        carry = F.call_function("div", total, number(base)).cast(wide)
+    text = F.concat(*[F.lpad(p.cast("string"), 18, "0") for p in reversed(parts)])
+    return F.regexp_replace(text, "^0+(?=.)", "")
+
+
 def js_default(col: Column | str, default: str) -> Column:
     """``String(x || default)``: NULL and empty text fall back to ``default``."""
     c = _c(col).cast("string")
@@ -146,22 +169,20 @@ def normalize_address(col: Column | str) -> Column:
 
 
 def double_text(col: Column | str) -> Column:
-    """Plain (non-scientific) text of a double, e.g. 3823681772.9782143 or 20.
+    """Plain (non-scientific) text of a double with all its digits, e.g. 3823681772.9782143 or 20.
 
     Spark prints doubles in plain notation between 1e-3 and 1e7 and in
-    scientific notation outside; the report uses plain notation throughout.
-    Only scientific or integral texts take the slower exact-decimal route.
+    scientific notation outside; there the decimal point is shifted in the text.
     """
     c = _c(col)
     text = c.cast("string")
-    plain = F.regexp_replace(
-        F.regexp_replace(F.format_string("%s", text.cast("decimal(38,18)")), r"0+$", ""),
-        r"\.$",
-        "",
-    )
-    return (
-        F.when(c.isNull(), F.lit(None))
-        .when(F.instr(text, "E") == 0, F.regexp_replace(text, r"\.0$", ""))
-        .when(F.abs(c) < F.lit(1e19), plain)
-        .otherwise(text)
-    )
+    sign = F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), "^-", "")
+    power = F.substring_index(text, "E", -1).try_cast("int")
+    digits = F.regexp_replace(F.regexp_replace(mantissa, r"\.", ""), "0+$", "")
+    below = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    whole = F.rpad(digits, F.greatest(F.length(digits), power + 1), F.lit("0"))
+    above = F.regexp_replace(
+        F.concat(F.substr(whole, F.lit(1), power + 1), F.lit("."), F.substr(whole, power + 2)), r"\.$", "")
+    return F.when(F.instr(text, "E") == 0, F.regexp_replace(text, r"\.0$", "")).otherwise(
+        F.concat(sign, F.when(power < 0, below).otherwise(above)))

@@ -11,14 +11,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-_PRICED = """
+from gasledger.operators.metrics import own_rows
+
+
+
+def _uint(col: str) -> str:
+    """``col`` as an unsigned 64-bit integer; anything else fails, in ANSI mode or not."""
+    number = f"TRY_CAST({col} AS DECIMAL(20,0))"
+    return (f"CASE WHEN {col} IS NULL THEN NULL WHEN {number} BETWEEN 0 AND 18446744073709551615 THEN {number} "
+            f"ELSE CAST(raise_error(concat('not an unsigned 64-bit integer: ', {col})) AS DECIMAL(20,0)) END")
+
+
+_PRICED = f"""
   SELECT to_date(`timestamp`) AS date,
          from_address AS address,
          block_number,
-         CAST(receipt_effective_gas_price AS DECIMAL(20,0)) AS price,
-         CAST(CAST(receipt_gas_used AS DECIMAL(20,0)) * CAST(receipt_effective_gas_price AS DECIMAL(20,0))
-              AS DECIMAL(38,0)) AS wei
-  FROM {transfers}
+         {_uint('receipt_effective_gas_price')} AS price,
+         CAST({_uint('receipt_gas_used')} * {_uint('receipt_effective_gas_price')} AS DECIMAL(38,0)) AS wei
+  FROM {{transfers}}
   WHERE from_address = :wallet"""
 
 ANALYTICS_SQL = {
@@ -70,4 +80,4 @@ FROM windowed ORDER BY date""",
 
 def run_analytics(spark: SparkSession, ledger: DataFrame, name: str, wallet: str) -> DataFrame:
     """Run one of :data:`ANALYTICS_SQL` over ``ledger`` for ``wallet``."""
-    return spark.sql(ANALYTICS_SQL[name], args={"wallet": wallet}, transfers=ledger)
+    return spark.sql(ANALYTICS_SQL[name], args={"wallet": wallet}, transfers=own_rows(ledger))
