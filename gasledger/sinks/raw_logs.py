@@ -103,8 +103,10 @@ def read_raw_logs(spark: SparkSession, path: str, lo: int | None = None, hi: int
 
 
 def read_raw_blocks(spark: SparkSession, path: str, lo: int | None = None, hi: int | None = None) -> DataFrame:
-    return _read(spark, LANDED_BLOCKS, path, lo, hi)
+    """Landed headers, one per block: runs that overlap may hold the same one twice."""
+    return _read(spark, LANDED_BLOCKS, path, lo, hi).dropDuplicates(["block_number", BUCKET])
 
 
 def read_raw_receipts(spark: SparkSession, path: str, lo: int | None = None, hi: int | None = None) -> DataFrame:
-    return _read(spark, LANDED_RECEIPTS, path, lo, hi)
+    """Landed receipts, one per transaction and block."""
+    return _read(spark, LANDED_RECEIPTS, path, lo, hi).dropDuplicates(["block_number", "transaction_hash", BUCKET])

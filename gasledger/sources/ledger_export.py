@@ -22,15 +22,14 @@ EXPORT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in TRANSFER
 
 def _ts(col: str):
     text = F.regexp_replace(F.col(col), "T", " ")
-    return F.coalesce(
-        F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd HH:mm:ss.SSS")),
-        F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd HH:mm:ss")),
-    )
+    good = text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$")
+    return F.when(text.isNull() | good, text.cast("timestamp_ntz")).otherwise(
+        F.raise_error(F.concat(F.lit("not a ledger time: "), F.col(col))))
 
 
 def read_export(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Ledger rows (``schemas.TRANSFERS``) from a JSON Lines or CSV export."""
-    reader = spark.read.schema(EXPORT_SCHEMA)
+    reader = spark.read.schema(EXPORT_SCHEMA).option("mode", "FAILFAST")
     if fmt == "json":
         raw = reader.json(path)
     elif fmt == "csv":

@@ -76,8 +76,15 @@ def _log_struct(l) -> Column:
 
 
 def normalize_logs(rpc_logs: DataFrame) -> DataFrame:
-    """``eth_getLogs`` objects -> ``schemas.RAW_LOGS``; removed logs dropped."""
+    """``eth_getLogs`` objects -> ``schemas.RAW_LOGS``; removed logs dropped.
+
+    A node reports a reorganised log again with ``removed`` set; within a batch
+    read that notice also cancels the log it names (same block hash and index).
+    """
     kept = rpc_logs.where(F.coalesce(F.col("removed"), F.lit(False)) == F.lit(False))
+    if not rpc_logs.isStreaming:
+        gone = rpc_logs.where("removed").select("blockHash", "logIndex").distinct()
+        kept = kept.join(gone, ["blockHash", "logIndex"], "left_anti")
     return kept.select(_log_struct(F.struct(*[F.col(f.name) for f in RPC_LOG_FIELDS])).alias("l")).select("l.*")
 
 
@@ -110,16 +117,21 @@ def normalize_receipts(rpc_receipts: DataFrame) -> DataFrame:
     )
 
 
+def _read(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """JSON Lines; a line that is not a JSON object of this schema fails the read."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    return normalize_logs(spark.read.schema(RPC_LOG).json(path))
+    return normalize_logs(_read(spark, RPC_LOG, path))
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    return normalize_blocks(spark.read.schema(RPC_BLOCK).json(path))
+    return normalize_blocks(_read(spark, RPC_BLOCK, path))
 
 
 def read_receipts(spark: SparkSession, path: str) -> DataFrame:
-    return normalize_receipts(spark.read.schema(RPC_RECEIPT).json(path))
+    return normalize_receipts(_read(spark, RPC_RECEIPT, path))
 
 
 def to_rpc_logs(raw_logs: DataFrame) -> DataFrame:
