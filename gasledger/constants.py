@@ -16,9 +16,8 @@ WEI_PER_GWEI = 1e9
 UINT64_MAX = 18446744073709551615
 # moving-average frame: the current row and the 6 rows before it (rows, not days)
 MA_ROWS_PRECEDING = 6
-# largest block span of one log request, and the default blocks per export iteration
+# largest block span of one log request
 MAX_BLOCKS_PER_REQUEST = 1000
-DEFAULT_BATCH_BLOCKS = 5000
 # blocks per landing folder of raw logs / headers / receipts (sinks.raw_logs)
 BUCKET_BLOCKS = 100_000
 # --- end of fixed values ----------------------------------------------------
@@ -26,4 +25,3 @@ BUCKET_BLOCKS = 100_000
 # Decimal types used for exact wei arithmetic: a uint64 needs 20 digits; the
 # product of two of them and every sum of products stays exact in 38 digits.
 UINT_DECIMAL = "decimal(20,0)"
-WEI_DECIMAL = "decimal(38,0)"

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from gasledger.constants import MAX_BLOCKS_PER_REQUEST, USDC_CONTRACT
 from gasledger.operators import audit, decode, ingest, metrics, report
+from gasledger.operators.wallets import either_case, select_wallets
 from gasledger.session import get_session
 from gasledger.sinks import ledger as sink
 from gasledger.sinks import raw_logs as raw_landing
@@ -86,13 +87,25 @@ def cmd_ingest(spark: SparkSession, args) -> None:
     rows = ingest.ledger_rows(
         deduped, blocks, _read(spark, args.receipts, "receipts", fmt), args.from_block, args.to_block,
     )
-    sink.write_batch(rows, args.table, args.run_id, layout=args.layout)
-    # events saved by this run, read back from its own partition (file footers)
-    written = sink.read_ledger(spark, args.table, with_batch=True).where(F.col("batch_id") == args.run_id).count()
+    good, bad = ingest.split_quarantine(rows)
+    sink.write_batch(good, args.table, args.run_id, "ingest", layout=args.layout)
+    # what cannot be stored is set aside beside the table, under the same run
+    aside = f"{args.table.rstrip('/')}_aside"
+    bad.write.mode("overwrite").parquet(f"{aside}/malformed/run_id={args.run_id}")
+    receipts = _read(spark, args.receipts, "receipts", fmt)
+    ingest.unmatched(deduped, blocks, receipts, args.from_block, args.to_block).write.mode("overwrite").parquet(
+        f"{aside}/unmatched/run_id={args.run_id}")
+    written = _written(spark, args.table, "ingest", args.run_id)
     print(json.dumps({"run_id": args.run_id, "events_saved": written}))
     return written
 
 
+def _written(spark: SparkSession, table: str, source: str, run_id: int) -> int:
+    """Rows of one run, read back from its own folder (file footers)."""
+    owned = (F.col("source") == source) & (F.col("batch_id") == run_id)
+    return sink.read_ledger(spark, table, with_batch=True).where(owned).count()
+
+
 def cmd_stream(spark: SparkSession, args) -> None:
     if args.format == "rpc-json":
         raw = rpc_json.normalize_logs(
@@ -104,43 +117,51 @@ def cmd_stream(spark: SparkSession, args) -> None:
     trigger = {"availableNow": True} if args.available_now else {"processingTime": f"{args.trigger_seconds} seconds"}
     fmt = _tables_format(args)
     q = stream.start_ingest(
-        raw, _read(spark, args.blocks, "blocks", fmt), _read(spark, args.receipts, "receipts", fmt),
+        raw, lambda: _read(spark, args.blocks, "blocks", fmt), lambda: _read(spark, args.receipts, "receipts", fmt),
         args.table, args.checkpoint, args.first_block, args.contract or None, _wallets(args), trigger,
     )
     if args.available_now:
-        stream.run_to_end(q, args.timeout)
+        stream.run_to_end(q)
     else:
         q.awaitTermination()
 
 
 def _ledger(spark: SparkSession, args) -> DataFrame:
     ledger = sink.read_ledger(spark, args.table, args.start, args.end)
+    # the wallet is part of the key, so its predicate goes below the dedup, into the scan
+    ledger = select_wallets(ledger, _selected(args, spark), "wallet_address", normalize=args.normalize)
     # a compacted table already holds one row per key: skip the dedup shuffle
     return ledger if args.compacted else sink.final_rows(ledger)
 
 
+def _selected(args, spark: SparkSession):
+    return _wallets(args, spark) if args.normalize else either_case(_wallets(args, spark))
+
+
 def cmd_metrics(spark: SparkSession, args) -> None:
-    out = METRICS[args.metric](_ledger(spark, args), _wallets(args, spark), args.normalize)
+    out = METRICS[args.metric](_ledger(spark, args), None, args.normalize)
     out.write.mode("overwrite").parquet(args.out)
 
 
 def cmd_report(spark: SparkSession, args) -> None:
-    rep = report.metrics_report(_ledger(spark, args), _wallets(args, spark), normalize=args.normalize)
+    rep = report.metrics_report(_ledger(spark, args), None, normalize=args.normalize)
     report.write_reports(rep, args.out)
 
 
 def cmd_import(spark: SparkSession, args) -> int:
     """Load an exported ledger (JSON Lines / CSV) into the partitioned ledger table."""
     rows = ledger_export.read_export(spark, args.source, args.format)
-    sink.write_batch(rows, args.table, args.run_id, layout=args.layout)
-    return sink.read_ledger(spark, args.table, with_batch=True).where(F.col("batch_id") == args.run_id).count()
+    sink.write_batch(rows, args.table, args.run_id, "import", layout=args.layout)
+    return _written(spark, args.table, "import", args.run_id)
 
 
 def cmd_land(spark: SparkSession, args) -> None:
-    """Re-land raw inputs in the block-bucketed, scan-friendly layout."""
-    raw_landing.write_raw_logs(_read(spark, args.logs, "logs", args.format), f"{args.out}/logs")
-    raw_landing.write_raw_blocks(_read(spark, args.blocks, "blocks", args.format), f"{args.out}/blocks")
-    raw_landing.write_raw_receipts(_read(spark, args.receipts, "receipts", args.format), f"{args.out}/receipts")
+    """Re-land raw inputs in the block-bucketed, scan-friendly layout; a run replaces its own folder."""
+    run = f"run_id={args.run_id}"
+    raw_landing.write_raw_logs(_read(spark, args.logs, "logs", args.format), f"{args.out}/logs/{run}", "overwrite")
+    raw_landing.write_raw_blocks(_read(spark, args.blocks, "blocks", args.format), f"{args.out}/blocks/{run}", "overwrite")
+    raw_landing.write_raw_receipts(
+        _read(spark, args.receipts, "receipts", args.format), f"{args.out}/receipts/{run}", "overwrite")
 
 
 def cmd_compact(spark: SparkSession, args) -> None:
@@ -185,7 +206,6 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--files-per-trigger", type=int, default=100)
     sp.add_argument("--trigger-seconds", type=int, default=30)
     sp.add_argument("--available-now", action="store_true")
-    sp.add_argument("--timeout", type=int, default=3600)
 
     for name in ("metrics", "report"):
         sp = sub.add_parser(name)
@@ -204,13 +224,14 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--source", required=True)
     sp.add_argument("--format", choices=("json", "csv"), default="json")
     sp.add_argument("--table", required=True)
-    sp.add_argument("--run-id", type=int, default=0)
+    sp.add_argument("--run-id", type=int, required=True, help="re-running the same id replaces its output")
     sp.add_argument("--layout", choices=tuple(sink.LAYOUTS), default="address")
 
     sp = sub.add_parser("land")
     sp.add_argument("--format", choices=("parquet", "rpc-json"), default="parquet")
     for a in ("--logs", "--blocks", "--receipts", "--out"):
         sp.add_argument(a, required=True)
+    sp.add_argument("--run-id", type=int, required=True, help="re-running the same id replaces its output")
 
     sp = sub.add_parser("compact")
     sp.add_argument("--table", required=True)

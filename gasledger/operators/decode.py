@@ -72,6 +72,7 @@ def decode_transfer_logs(
         address_from_topic(F.get(topics, 1)).alias("from_address"),
         address_from_topic(F.get(topics, 2)).alias("to_address"),
         uint256_text("data").alias("value"),
+        "data",
     )
 
 

@@ -17,9 +17,9 @@ Steps (each a DataFrame -> DataFrame function):
 Scale notes.  The union is one ``Generate`` over a single scan (not two scans).
 The dedup is keyed by (wallet, hash); hashes are uniform, and the top-1 per key
 runs partially on the map side before the shuffle (``operators.keyed``).  The two joins
-are the large-large joins of the job: block headers are broadcast only when a
-block range bounds their number (one header per block), otherwise AQE chooses
-at run time from the real sizes and splits skewed partitions.
+are the large-large joins of the job: AQE chooses at run time from the real
+sizes and splits skewed partitions.  Receipts join on (block, hash), so a block
+range prunes both sides of the join.
 """
 
 from __future__ import annotations
@@ -34,12 +34,9 @@ from gasledger.operators.decode import in_block_range
 from gasledger.operators.keyed import first_per_key
 from gasledger.operators.wallets import Wallets, select_wallets
 
-# Broadcast block headers when the block range proves at most this many rows.
-BROADCAST_BLOCKS_MAX = 2_000_000
-
 LOG_COLUMNS = [
     "address", "block_number", "block_hash", "transaction_hash", "transaction_index",
-    "log_index", "from_address", "to_address", "value",
+    "log_index", "from_address", "to_address", "value", "data",
 ]
 
 
@@ -91,17 +88,12 @@ def dedup_last(union: DataFrame) -> DataFrame:
         union, ["wallet_address", "transaction_hash"], [F.col("src").desc(), F.col("log_index").desc()],
         tie_break=False,
     )
-    return kept.select("wallet_address", *[c for c in LOG_COLUMNS if c != "transaction_hash"], "transaction_hash")
+    return kept.select("wallet_address", "src", *LOG_COLUMNS)
 
 
 def _range_blocks(blocks: DataFrame, lo: int | None, hi: int | None) -> DataFrame:
     bucket = [c for c in ("block_bucket",) if c in blocks.columns]
-    b = in_block_range(blocks.select("block_number", "timestamp", *bucket), lo, hi).select("block_number", "timestamp")
-    if lo is not None and hi is not None and hi - lo + 1 <= BROADCAST_BLOCKS_MAX:
-        # one canonical header per block number (the landing contract), so the
-        # range bounds the row count
-        b = F.broadcast(b)
-    return b
+    return in_block_range(blocks.select("block_number", "timestamp", *bucket), lo, hi).select("block_number", "timestamp")
 
 
 def enrich(
@@ -115,13 +107,24 @@ def enrich(
     """Join each event with its receipt (inner) and its block time (inner)."""
     bucket = [c for c in ("block_bucket",) if c in receipts.columns]
     r = in_block_range(receipts.select("transaction_hash", "block_number", *receipt_columns, *bucket), lo, hi)
-    r = r.drop("block_number", *bucket)
-    return deduped.join(r, "transaction_hash", "inner").join(_range_blocks(blocks, lo, hi), "block_number", "inner")
+    r = r.drop(*bucket)
+    return deduped.join(r, ["block_number", "transaction_hash"], "inner").join(
+        _range_blocks(blocks, lo, hi), "block_number", "inner")
+
+
+def missing_receipts(deduped: DataFrame, receipts: DataFrame, lo: int | None = None, hi: int | None = None) -> DataFrame:
+    """Events whose transaction has no receipt (``NOT EXISTS``); ``lo``/``hi`` prune both sides."""
+    bucket = [c for c in ("block_bucket",) if c in receipts.columns]
+    r = in_block_range(receipts.select("transaction_hash", "block_number", *bucket), lo, hi).drop(*bucket)
+    return in_block_range(deduped, lo, hi).join(r, ["block_number", "transaction_hash"], "left_anti")
 
 
-def missing_receipts(deduped: DataFrame, receipts: DataFrame) -> DataFrame:
-    """Events whose transaction has no receipt (``NOT EXISTS``)."""
-    return deduped.join(receipts.select("transaction_hash"), "transaction_hash", "left_anti")
+def unmatched(deduped: DataFrame, blocks: DataFrame, receipts: DataFrame,
+              lo: int | None = None, hi: int | None = None) -> DataFrame:
+    """Events without a receipt or without a block header (yet)."""
+    headers = _range_blocks(blocks, lo, hi).select("block_number")
+    return (missing_receipts(deduped, receipts, lo, hi)
+            .unionByName(in_block_range(deduped, lo, hi).join(headers, "block_number", "left_anti")).distinct())
 
 
 def nest(deduped: DataFrame, blocks: DataFrame, receipts: DataFrame,
@@ -132,6 +135,7 @@ def nest(deduped: DataFrame, blocks: DataFrame, receipts: DataFrame,
     array is re-shaped element by element with ``transform`` (no explode).
     """
     r = in_block_range(receipts, lo, hi).select(
+        "block_number",
         "transaction_hash",
         F.struct(
             F.col("block_hash").alias("blockHash"),
@@ -150,9 +154,12 @@ def nest(deduped: DataFrame, blocks: DataFrame, receipts: DataFrame,
             F.col("type"),
         ).alias("receipt"),
     )
-    joined = deduped.join(r, "transaction_hash", "inner").join(_range_blocks(blocks, lo, hi), "block_number", "inner")
+    joined = deduped.join(r, ["block_number", "transaction_hash"], "inner").join(
+        _range_blocks(blocks, lo, hi), "block_number", "inner")
     return joined.select(
         "wallet_address",
+        "src",
+        F.col("log_index").alias("logIndex"),
         F.col("block_number").cast("string").alias("blockNumber"),
         F.col("transaction_hash").alias("transactionHash"),
         js_default("from_address", "").alias("from"),
@@ -181,7 +188,7 @@ def receipt_logs(logs):
 
 
 def flatten(events: DataFrame, updated_at: bool = True) -> DataFrame:
-    """Nested event -> the 8-column ledger row.
+    """Nested event -> the ledger row (``schemas.LEDGER``).
 
     ``from_address`` is the token sender from the event, not the receipt's
     ``from`` (the account that paid the gas).  A missing price becomes ``'0'``.
@@ -197,7 +204,7 @@ def flatten(events: DataFrame, updated_at: bool = True) -> DataFrame:
     ]
     if updated_at:
         cols.append(utc_now().alias("updated_at"))
-    return events.select(*cols)
+    return events.select(*cols, "wallet_address", "src", F.col("logIndex").alias("log_index"))
 
 
 def ledger_rows(deduped: DataFrame, blocks: DataFrame, receipts: DataFrame,
@@ -215,7 +222,7 @@ def ledger_rows(deduped: DataFrame, blocks: DataFrame, receipts: DataFrame,
     ]
     if updated_at:
         cols.append(utc_now().alias("updated_at"))
-    return e.select(*cols)
+    return e.select(*cols, "wallet_address", "src", "log_index")
 
 
 def split_quarantine(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -45,9 +45,21 @@ from gasledger.operators.wallets import Wallets, select_wallets
 CUM_MODES = ("exact", "sequential")
 
 
+def own_rows(transfers: DataFrame) -> DataFrame:
+    """Rows that count for the wallet they were exported for: those it sent.
+
+    A transfer between two tracked wallets is stored once for each; its gas
+    belongs to the sender's export only.  Tables without ``wallet_address``
+    are taken as they are.
+    """
+    if "wallet_address" not in transfers.columns:
+        return transfers
+    return transfers.where(F.col("from_address") == F.col("wallet_address"))
+
+
 def priced(transfers: DataFrame, wallets: Wallets = None, normalize: bool = False) -> DataFrame:
     """Ledger rows reduced to what the metrics need (column pruning happens here)."""
-    t = select_wallets(transfers, wallets, "from_address", normalize=normalize)
+    t = select_wallets(own_rows(transfers), wallets, "from_address", normalize=normalize)
     address = normalize_address("from_address") if normalize else F.col("from_address")
     return t.select(
         utc_date("timestamp").alias("date"),

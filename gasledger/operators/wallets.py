@@ -6,10 +6,8 @@
 * ``str``        -- one address, an equality predicate pushed to the Parquet scan
                     (row-group statistics and bloom filters skip the rest);
 * list of str    -- an ``IN`` predicate, also pushed down;
-* ``DataFrame``  -- a column of addresses of any size: a left-semi join.  The
-                    distinct set is checkpointed to the shared folder once, then
-                    broadcast only after a count proves it small; otherwise both
-                    sides are shuffled on the address (sort-merge semi join).
+* ``DataFrame``  -- a column of addresses of any size: a left-semi join with the
+                    distinct set; AQE picks the strategy from its real size.
 
 Addresses compare case-sensitively, as stored.  ``normalize=True`` lower-cases
 both sides (the predicate then cannot be pushed to the scan).
@@ -23,10 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gasledger.functions.units import normalize_address
-from gasledger.session import checkpoint_root
-
-# Largest wallet list joined by broadcast (rows; ~100 bytes each).
-BROADCAST_WALLETS_MAX = 1_000_000
 
 Wallets = None | str | Sequence[str] | DataFrame
 
@@ -36,7 +30,6 @@ def select_wallets(
     wallets: Wallets,
     column: str = "from_address",
     normalize: bool = False,
-    broadcast_max: int = BROADCAST_WALLETS_MAX,
 ) -> DataFrame:
     if wallets is None:
         return df
@@ -49,12 +42,15 @@ def select_wallets(
         w = wallets.select(F.col(key).alias("_wallet"))
         if normalize:
             w = w.select(normalize_address("_wallet").alias("_wallet"))
-        # materialise the set once in the shared checkpoint folder: the size
-        # check and the join then read it instead of recomputing its lineage
-        checkpoint_root(df.sparkSession)
-        w = w.distinct().checkpoint(eager=True)
-        if w.count() <= broadcast_max:
-            w = F.broadcast(w)
-        return df.join(w, target == F.col("_wallet"), "left_semi")
+        return df.join(w.distinct(), target == F.col("_wallet"), "left_semi")
     values = [v.lower() if normalize else v for v in wallets]
     return df.where(target.isin(values))
+
+
+def either_case(wallets: Wallets) -> Wallets:
+    """Given addresses as they are and in lower case: ingested ledgers hold lower case, imported
+    ones what the export held.  Stays a pushable predicate."""
+    if wallets is None or isinstance(wallets, DataFrame):
+        return wallets
+    given = [wallets] if isinstance(wallets, str) else list(wallets)
+    return sorted({v for w in given for v in (w, w.lower())})

@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gasledger.operators import audit, decode, ingest, metrics, progress, report
+from gasledger.plans import sql
 from gasledger.session import apply_runtime_defaults, scratch_path
 from gasledger.sinks import ledger as sink
 from gasledger.sources import rpc_json
 from gasledger.sources import testdata as td
+from gasledger.sources.schemas import MONTH_COLUMN, TRANSFER_COLUMNS
 from gasledger.streaming import daily as live
 from gasledger.streaming import ingest as stream
 
@@ -126,6 +128,25 @@ def _landed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.read_raw_logs(spark, path)
 
 
+def _large_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every log with its amount shifted by 2^104, which puts most beyond 2^120."""
+    apply_runtime_defaults(spark)
+    shifted = F.concat(F.lit("0x"), F.lpad(F.substring("data", 29, 38), 38, "0"), F.lit("0" * 26))
+    logs = td.raw_logs(spark, sf_dir).withColumn("data", shifted)
+    return decode.decode_transfer_logs(logs).select("block_number", "transaction_hash", "log_index", "value")
+
+
+def _ledger_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logs stored in two batches that split transactions, read back."""
+    apply_runtime_defaults(spark)
+    path = scratch_path(spark, f"ledger_batches/{uuid.uuid4().hex}")
+    logs = td.raw_logs(spark, sf_dir)
+    for batch in (0, 1):
+        stream.ingest_batch(logs.where(F.col("log_index") % 2 == 1 - batch), batch, td.raw_blocks(spark, sf_dir),
+                            td.raw_receipts(spark, sf_dir), path)
+    return sink.read_ledger(spark, path)
+
+
 def _ingest_queries() -> dict[str, Query]:
     return {
         "decode_transfer_logs": _decoded,
@@ -149,6 +170,9 @@ def _ingest_queries() -> dict[str, Query]:
         "transfers_flat": _flat,
         "quarantine_rows": lambda s, d: ingest.split_quarantine(td.dirty_transfers(s, d))[1].select(
             "transaction_hash", "receipt_effective_gas_price", "reason"),
+        "decode_large_amounts": _large_amounts,
+        "ledger_final_from_logs": lambda s, d: metrics.combined_daily_metrics(
+            sink.final_rows(_ledger_in_batches(s, d)), ordered=False),
         "ledger_metrics_from_logs": lambda s, d: metrics.combined_daily_metrics(
             _ingested_ledger(s, d), ordered=False),
     }
@@ -193,11 +217,12 @@ def _month_table(spark: SparkSession, sf_dir: str, fresh: bool = False) -> str:
 
 
 def _month_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sink.read_ledger(spark, _month_table(spark, sf_dir, fresh=True))
+    return sink.read_ledger(spark, _month_table(spark, sf_dir, fresh=True)).select(*TRANSFER_COLUMNS, MONTH_COLUMN)
 
 
 def _month_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sink.read_ledger(spark, _month_table(spark, sf_dir), SCAN_START, SCAN_END)
+    table = sink.read_ledger(spark, _month_table(spark, sf_dir), SCAN_START, SCAN_END)
+    return table.select(*TRANSFER_COLUMNS, MONTH_COLUMN)
 
 
 def _block_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,9 +326,14 @@ def _stream_queries() -> dict[str, Query]:
     }
 
 
+def _sql_queries() -> dict[str, Query]:
+    return {f"sql_{name}": lambda s, d, n=name: sql.run_analytics(s, _ledger(s, d), n, WALLET) for name in sql.ANALYTICS_SQL}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_metric_queries())
+    out.update(_sql_queries())
     out.update(_ingest_queries())
     out.update(_storage_queries())
     out.update(_stream_queries())

@@ -156,6 +156,7 @@ logs AS (
          {_addr('user_id % 10')} AS from_address,
          {_addr('(user_id * 7 + event_id) % 10')} AS to_address,
          cast(cast(round(value * 100) AS bigint) AS varchar) AS value,
+         '0x' || lpad(lower(hex(cast(round(value * 100) AS bigint))), 64, '0') AS data,
          cast(round(value * 100) AS bigint) AS amount
   FROM events
 )"""
@@ -163,7 +164,7 @@ logs AS (
 DECODED = f"""
 decoded AS (
   SELECT address, block_number, block_hash, transaction_hash, transaction_index, log_index,
-         from_address, to_address, value
+         from_address, to_address, value, data
   FROM logs WHERE address = '{USDC_CONTRACT}' AND topic0 = '{TRANSFER_TOPIC}'
 )"""
 
@@ -176,7 +177,7 @@ u AS (
 
 DEDUP = """
 dedup AS (
-  SELECT * EXCLUDE (rn, src) FROM (
+  SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY wallet_address, transaction_hash
                                  ORDER BY src DESC, log_index DESC) AS rn
     FROM u) WHERE rn = 1
@@ -228,13 +229,13 @@ ledger AS (
   SELECT block_number, transaction_hash, from_address, to_address, "timestamp",
          cast(gas_used AS bigint) AS receipt_gas_used,
          coalesce(effective_gas_price, '0') AS receipt_effective_gas_price
-  FROM enriched
+  FROM enriched WHERE from_address = wallet_address   -- each wallet's own export
 )"""
 
 
 def _ingest_sql() -> dict[str, str]:
     dec_cols = ("address, block_number, block_hash, transaction_hash, transaction_index, log_index, "
-                "from_address, to_address, value")
+                "from_address, to_address, value, data")
     range_lo, range_hi = BLOCK_BASE + 100, BLOCK_BASE + 499
     return {
         "decode_transfer_logs": _with(LOGS, DECODED) + "SELECT * FROM decoded",
@@ -260,8 +261,13 @@ FROM receipts r JOIN logs l USING (transaction_hash)""",
         "transfers_flat": ENRICHED_BASE + """
 SELECT block_number, transaction_hash, from_address, to_address, "timestamp",
        cast(gas_used AS bigint) AS receipt_gas_used,
-       coalesce(effective_gas_price, '0') AS receipt_effective_gas_price
+       coalesce(effective_gas_price, '0') AS receipt_effective_gas_price,
+       wallet_address, src, log_index
 FROM enriched""",
+        "decode_large_amounts": _with(LOGS, DECODED) + """
+SELECT block_number, transaction_hash, log_index,
+       cast(cast(value AS hugeint) * cast('20282409603651670423947251286016' AS hugeint) AS varchar) AS value
+FROM decoded""",
         "quarantine_rows": _with(TRANSFERS_K, DIRTY) + """
 SELECT transaction_hash, receipt_effective_gas_price, 'bad effective_gas_price' AS reason
 FROM dirty WHERE try_cast(receipt_effective_gas_price AS decimal(20,0)) IS NULL
@@ -378,6 +384,13 @@ SELECT s.address, s.events_collected, s.blocks_scanned_start, s.blocks_scanned_e
        strftime(m.date, '%Y-%m-%d') AS date, cast(m.wei AS varchar) AS gas_cost_wei,
        cast(m.wei AS double) / 1e18 AS gas_cost_eth, m.ma7_wei, m.ma7_wei / 1e9 AS ma7_gwei
 FROM ma m JOIN summary s ON s.address = m.address"""
+    sql["ledger_final_from_logs"] = sql["ledger_metrics_from_logs"]
+    # the statements as Spark SQL text, for one wallet
+    sql["sql_daily_gas_cost"] = sql["wallet_daily_gas_cost"]
+    sql["sql_ma7_gas_price"] = sql["wallet_ma7_gas_price"]
+    sql["sql_cumulative_gas_cost"] = sql["wallet_cumulative_gas_cost"]
+    sql["sql_address_summary"] = sql["wallet_address_summary"]
+    sql["sql_combined_daily_metrics"] = sql["combined_daily_metrics"]
     sql["stream_ingest"] = sql["transfers_flat"]
     sql["stream_daily_gas"] = sql["daily_gas_cost"]
     sql["stream_combined_metrics"] = sql["combined_all_wallets"]

@@ -68,6 +68,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is not None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     if sc is None:
         return configured.rstrip("/")

@@ -2,7 +2,8 @@
 
 Physical layout (what the table DDL of the original asks of its engine):
 
-* partitioned by ``event_month`` = yyyyMM of ``timestamp``;
+* partitioned by ``event_month`` = yyyyMM of ``timestamp``, below the owner of a
+  batch (``source``, ``batch_id``);
 * clustered inside each file -- by ``(from_address, timestamp)`` (default:
   serves the per-wallet analytics) or by ``(transaction_hash, block_number)``;
 * min/max statistics per row group and page on every column (Parquet writes
@@ -18,10 +19,11 @@ one sampling pass over the final stage before the shuffle; hash partitioning
 would avoid it but scatter every task over every month folder (many small
 files), which costs more on every later scan.
 
-Writes are idempotent per batch: :func:`write_batch` puts a batch in its own
-``batch_id`` partition and uses dynamic partition overwrite, so replaying a
-batch replaces exactly what it wrote before.  Key-level duplicates (re-read
-boundary blocks, retried exports) are resolved on read by :func:`final_rows`.
+Writes are idempotent per owner: :func:`write_batch` overwrites the whole folder
+of its (source, batch), so a replay replaces exactly what it wrote before, also
+when it now has fewer months or none, and sources never share batch numbers.
+Key-level duplicates (re-read boundary blocks, retried exports, a transaction
+whose logs arrived in several batches) are resolved on read by :func:`final_rows`.
 """
 
 from __future__ import annotations
@@ -32,20 +34,30 @@ from pyspark.sql import types as T
 
 from gasledger.functions.units import year_month
 from gasledger.operators.keyed import first_per_key
-from gasledger.sources.schemas import MONTH_COLUMN, TRANSFER_COLUMNS, TRANSFERS
+from gasledger.sources.schemas import LEDGER, LEDGER_COLUMNS, MONTH_COLUMN, OWNER_COLUMNS
 
 LAYOUTS = {
     "address": ("from_address", "timestamp"),
     "key": ("transaction_hash", "block_number"),
 }
-BLOOM_COLUMNS = ("from_address", "to_address")
+BLOOM_COLUMNS = ("wallet_address", "from_address", "to_address")
 
 
 def with_month(df: DataFrame) -> DataFrame:
     return df.withColumn(MONTH_COLUMN, year_month("timestamp"))
 
 
-def _writer(df: DataFrame, layout: str, partitions: int | None, bloom: bool, extra_parts: tuple[str, ...] = ()):
+def with_identity(df: DataFrame) -> DataFrame:
+    """``schemas.LEDGER`` columns of ``df``.
+
+    Plain 8-column rows (an export without identity) count as their sender's
+    own, as the first and only log of their transaction.
+    """
+    identity = {"wallet_address": F.col("from_address"), "src": F.lit(0), "log_index": F.lit(0)}
+    return df.withColumns({c: v for c, v in identity.items() if c not in df.columns}).select(*LEDGER_COLUMNS)
+
+
+def _writer(df: DataFrame, layout: str, partitions: int | None, bloom: bool):
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {sorted(LAYOUTS)}")
     cluster = LAYOUTS[layout]
@@ -55,7 +67,7 @@ def _writer(df: DataFrame, layout: str, partitions: int | None, bloom: bool, ext
     keys = [MONTH_COLUMN, *cluster]
     d = d.repartitionByRange(partitions, *keys) if partitions else d.repartitionByRange(*keys)
     d = d.sortWithinPartitions(MONTH_COLUMN, *cluster)
-    w = d.write.partitionBy(MONTH_COLUMN, *extra_parts)
+    w = d.write.partitionBy(MONTH_COLUMN)
     if bloom:
         # written for chunks that outgrow the dictionary (real address
         # cardinality); adaptive sizing keeps each filter near its true NDV
@@ -71,7 +83,7 @@ def create_ledger_table(spark: SparkSession, name: str, path: str) -> None:
     Same columns and month partitioning as :func:`write_ledger` writes, so
     SQL users can query ``name`` and Spark prunes months from their predicates.
     """
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TRANSFERS.fields)
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LEDGER.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({cols}, `{MONTH_COLUMN}` int) "
         f"USING parquet PARTITIONED BY (`{MONTH_COLUMN}`) LOCATION '{path}'"
@@ -86,22 +98,25 @@ def write_ledger(
     partitions: int | None = None,
     bloom: bool = True,
 ) -> None:
-    """Write ledger rows (``schemas.TRANSFERS`` columns) to ``path``."""
-    _writer(df.select(*TRANSFER_COLUMNS), layout, partitions, bloom).mode(mode).parquet(path)
+    """Write ledger rows (``schemas.TRANSFERS`` or ``LEDGER`` columns) to ``path``."""
+    _writer(with_identity(df), layout, partitions, bloom).mode(mode).parquet(path)
 
 
 def write_batch(
     df: DataFrame,
     path: str,
     batch_id: int,
+    source: str,
     layout: str = "address",
     partitions: int | None = None,
     bloom: bool = True,
 ) -> None:
-    """Idempotent write of one batch: replaces the ``batch_id`` partitions it owns."""
-    d = df.select(*TRANSFER_COLUMNS).withColumn("batch_id", F.lit(batch_id).cast("long"))
-    w = _writer(d, layout, partitions, bloom, ("batch_id",))
-    w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    """Idempotent write of one batch: replaces the whole folder of (``source``, ``batch_id``)."""
+    if not source.replace("-", "").replace("_", "").isalnum():
+        raise ValueError("source must be letters, digits, - and _")
+    w = _writer(with_identity(df), layout, partitions, bloom)
+    owner = f"{path.rstrip('/')}/source={source}/batch_id={int(batch_id)}"
+    w.mode("overwrite").option("partitionOverwriteMode", "static").parquet(owner)
 
 
 def read_ledger(
@@ -117,13 +132,11 @@ def read_ledger(
     predicate on ``event_month`` (whole months skipped) and a row predicate on
     ``timestamp`` (row groups skipped by statistics).
     """
-    fields = list(TRANSFERS.fields) + [T.StructField(MONTH_COLUMN, T.IntegerType())]
-    if with_batch:
-        fields.append(T.StructField("batch_id", T.LongType()))
-    schema = T.StructType(fields)
+    owner = [T.StructField(c, t) for c, t in zip(OWNER_COLUMNS, (T.StringType(), T.LongType()))]
+    schema = T.StructType([*LEDGER.fields, T.StructField(MONTH_COLUMN, T.IntegerType()), *owner])
     df = spark.read.schema(schema).parquet(path)
-    if not with_batch and "batch_id" in df.columns:
-        df = df.drop("batch_id")
+    if not with_batch:
+        df = df.drop(*OWNER_COLUMNS)
     if start is not None:
         df = df.where(F.col(MONTH_COLUMN) >= int(start[:4] + start[5:7]))
         df = df.where(F.col("timestamp") >= F.lit(start).cast("timestamp_ntz"))
@@ -134,18 +147,22 @@ def read_ledger(
 
 
 def final_rows(ledger: DataFrame) -> DataFrame:
-    """One row per table key (``transaction_hash``, ``block_number``): the newest.
+    """One row per table key (wallet, ``transaction_hash``, ``block_number``): the last log's newest row.
 
-    ``updated_at`` decides (newest wins); equal versions fall back to the other
-    columns so the answer never depends on row order.
+    The largest (``src``, ``log_index``) wins, as within one batch, then the
+    newest ``updated_at``; equal versions fall back to the other columns so the
+    answer never depends on row order.  Tables without identity columns are
+    keyed by transaction and block alone.
     """
-    return first_per_key(ledger, ["transaction_hash", "block_number"], [F.col("updated_at").desc_nulls_last()])
+    has = lambda *names: [c for c in names if c in ledger.columns]
+    keys = [*has("wallet_address"), "transaction_hash", "block_number"]
+    return first_per_key(ledger, keys, [F.col(c).desc_nulls_last() for c in (*has("src", "log_index"), "updated_at")])
 
 
 def compact(spark: SparkSession, src: str, dst: str, layout: str = "address", partitions: int | None = None) -> None:
     """Rewrite a batch-partitioned ledger as one row per key into a new folder.
 
-    Streams leave one ``batch_id`` folder per micro-batch and month; this
+    Streams leave one owner folder per micro-batch; this
     resolves duplicate keys and writes large, clustered month files.  It never
     writes where it reads: point readers at ``dst`` once it is complete.
     """

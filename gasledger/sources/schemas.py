@@ -46,20 +46,7 @@ RAW_RECEIPTS = T.StructType([
     T.StructField("type", T.StringType()),
 ])
 
-# Decoded Transfer logs (see operators.decode).
-DECODED_TRANSFERS = T.StructType([
-    T.StructField("address", T.StringType()),
-    T.StructField("block_number", T.LongType()),
-    T.StructField("block_hash", T.StringType()),
-    T.StructField("transaction_hash", T.StringType()),
-    T.StructField("transaction_index", T.IntegerType()),
-    T.StructField("log_index", T.IntegerType()),
-    T.StructField("from_address", T.StringType()),
-    T.StructField("to_address", T.StringType()),
-    T.StructField("value", T.StringType()),
-])
-
-# The stored ledger: eight columns, one row per (transaction, tracked wallet).
+# A ledger row: eight columns, one row per (transaction, tracked wallet).
 TRANSFERS = T.StructType([
     T.StructField("block_number", T.LongType()),
     T.StructField("transaction_hash", T.StringType()),
@@ -71,6 +58,29 @@ TRANSFERS = T.StructType([
     T.StructField("updated_at", T.TimestampNTZType()),
 ])
 TRANSFER_COLUMNS = [f.name for f in TRANSFERS.fields]
+
+# What the stored table adds: the wallet a row was exported for, and which of the
+# transaction's logs the row is (src 0 sent, 1 received), so that the last log still
+# wins when a transaction arrives in several batches.
+LEDGER = T.StructType([
+    *TRANSFERS.fields,
+    T.StructField("wallet_address", T.StringType()),
+    T.StructField("src", T.IntegerType()),
+    T.StructField("log_index", T.IntegerType()),
+])
+LEDGER_COLUMNS = [f.name for f in LEDGER.fields]
+# Decoded events of tracked wallets that wait for their receipt or block header.
+PENDING = T.StructType([
+    T.StructField("wallet_address", T.StringType()),
+    T.StructField("src", T.IntegerType()),
+    *[f for f in LOG_FIELDS if f.name not in ("topics", "data")],
+    T.StructField("from_address", T.StringType()),
+    T.StructField("to_address", T.StringType()),
+    T.StructField("value", T.StringType()),
+    T.StructField("data", T.StringType()),
+])
+# Who wrote a batch: a named source and its batch number.
+OWNER_COLUMNS = ("source", "batch_id")
 # Partition column of the stored ledger (yyyyMM of `timestamp`).
 MONTH_COLUMN = "event_month"
 
@@ -80,33 +90,3 @@ PROCESSING_STATE = T.StructType([
     T.StructField("last_processed_block", T.LongType()),
     T.StructField("updated_at", T.TimestampNTZType()),
 ])
-
-_DAILY_COST = T.StructType([
-    T.StructField("date", T.StringType()),
-    T.StructField("gas_cost_wei", T.StringType()),
-    T.StructField("gas_cost_eth", T.StringType()),
-])
-_MA7 = T.StructType([
-    T.StructField("date", T.StringType()),
-    T.StructField("ma7_wei", T.StringType()),
-    T.StructField("ma7_gwei", T.StringType()),
-])
-_CUM = T.StructType([
-    T.StructField("date", T.StringType()),
-    T.StructField("cum_eth", T.StringType()),
-])
-
-# Nested per-address report; metric values are strings.
-REPORT = T.StructType([
-    T.StructField("address", T.StringType()),
-    T.StructField("network", T.StringType()),
-    T.StructField("token", T.StringType()),
-    T.StructField("summary", T.StructType([
-        T.StructField("events_collected", T.LongType()),
-        T.StructField("blocks_scanned", T.ArrayType(T.LongType())),
-        T.StructField("period_utc", T.ArrayType(T.StringType())),
-    ])),
-    T.StructField("daily_gas_cost", T.ArrayType(_DAILY_COST)),
-    T.StructField("ma7_effective_gas_price", T.ArrayType(_MA7)),
-    T.StructField("cumulative_gas_cost_eth", T.ArrayType(_CUM)),
-])

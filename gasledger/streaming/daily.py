@@ -1,19 +1,14 @@
 """Live daily gas metrics over a growing ledger.
 
-Two forms:
-
-* :func:`start_daily_partials` (default, exact).  Every micro-batch is reduced
-  to one row per (date, address) -- event count, exact wei, price sum and
-  count -- and written under its ``batch_id`` with dynamic overwrite
-  (replay-safe).  Reading sums the partials per key, so rows arriving days
-  late still count; nothing is kept in state and nothing is dropped.  The
-  partial table is small (one row per touched key per batch) and can be
-  compacted by rewriting :func:`read_daily_totals` to a new folder.
-* :func:`live_daily_gas` (bounded lateness).  A watermarked 1-day window per
-  address in Spark's state store, emitted in update mode.  Spark drops rows
-  older than the watermark, so use it only when input arrives in time order
-  within ``delay`` (e.g. block-ordered landing).
-
+:func:`start_daily_partials` reduces every micro-batch to one row per
+(date, address) -- event count, exact wei, price sum and count -- and writes it
+under its ``batch_id`` with dynamic overwrite (replay-safe).  Reading sums the
+partials per key, so rows arriving days late still count; nothing is kept in
+state and nothing is dropped.  The partial table is small (one row per touched
+key per batch) and can be compacted by rewriting :func:`read_daily_totals` to a
+new folder.  The input must hold each ledger row once: rows that a re-read
+block or a replayed batch repeats are summed again, so a ledger with such rows
+is reduced by ``sinks.ledger.final_rows`` in batch instead.
 The moving average and the running sum are ROWS windows, which streams do not
 support; ``metrics.combined_from_totals`` computes them in batch from the daily
 totals, where their input is one row per (address, day).
@@ -25,15 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gasledger.functions.units import utc_instant, wei, wei_to_eth
+from gasledger.functions.units import wei_to_eth
 from gasledger.operators import metrics
-from gasledger.operators.wallets import Wallets, select_wallets
+from gasledger.operators.wallets import Wallets
 
 PARTIALS_SCHEMA = (
     "address string, date date, events_collected long, wei decimal(38,0), "
     "price_sum decimal(38,0), price_n long, block_min long, block_max long, batch_id long"
 )
-DAILY_SCHEMA = "date date, address string, wei decimal(38,0), events long, batch_id long"
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -95,48 +89,3 @@ def daily_cost_from_totals(totals: DataFrame) -> DataFrame:
     return totals.select(
         "date", "address", wei_to_eth("wei").alias("gas_cost_eth"), F.col("wei").cast("string").alias("gas_cost_wei")
     )
-
-
-def live_daily_gas(ledger_stream: DataFrame, delay: str = "1 day", wallets: Wallets = None) -> DataFrame:
-    """Streaming (date, address, wei, events) with a watermark on event time.
-
-    Rows older than the watermark (``delay`` behind the newest event) are
-    dropped by Spark; prefer :func:`start_daily_partials` when order is not
-    guaranteed.
-    """
-    t = select_wallets(ledger_stream, wallets, "from_address")
-    p = t.select(
-        utc_instant("timestamp").alias("event_time"),
-        F.col("from_address").alias("address"),
-        wei("receipt_gas_used", "receipt_effective_gas_price").alias("wei"),
-    )
-    agg = (
-        p.withWatermark("event_time", delay)
-        .groupBy(F.window("event_time", "1 day"), "address")
-        .agg(F.sum("wei").alias("wei"), F.count(F.lit(1)).alias("events"))
-    )
-    # window start is a UTC midnight instant; its day number is zone-free
-    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("window.start")) / 86400).cast("int"))
-    return agg.select(day.alias("date"), "address", "wei", "events")
-
-
-def start_live_daily(
-    daily_stream: DataFrame, table_path: str, checkpoint: str, trigger: dict | None = None
-) -> StreamingQuery:
-    """Run :func:`live_daily_gas` in update mode; each batch's updates are kept."""
-    return (
-        daily_stream.writeStream.outputMode("update")
-        .foreachBatch(lambda df, bid: _write_batch(df, table_path, bid))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "30 seconds"}))
-        .start()
-    )
-
-
-def read_live_daily(spark: SparkSession, table_path: str) -> DataFrame:
-    """Newest total of every (date, address): ``date, address, gas_cost_eth, gas_cost_wei``."""
-    d = spark.read.schema(DAILY_SCHEMA).parquet(table_path)
-    latest = d.groupBy("date", "address").agg(F.max_by(F.col("wei"), F.col("batch_id")).alias("wei"))
-    return latest.select(
-        "date", "address", wei_to_eth("wei").alias("gas_cost_eth"), F.col("wei").cast("string").alias("gas_cost_wei")
-    )

@@ -7,21 +7,24 @@ one export iteration).  Each micro-batch runs the batch operators of
 :func:`gasledger.sinks.ledger.write_batch`:
 
 * the stream offset lives in the checkpoint (restart resumes, nothing to code);
-* a batch is written to its own ``batch_id`` partitions with dynamic overwrite,
-  so a batch replayed after a failure replaces its earlier output instead of
-  adding to it;
+* a batch overwrites its own (source, batch) folder, so a batch replayed after a
+  failure replaces its earlier output instead of adding to it;
 * a failing batch fails the query -- it is never skipped -- and the restart
   retries the same batch;
 * an empty batch writes nothing.
 
-Receipts and block headers are static tables.  A micro-batch only needs the
-block range it covers, so both are read with that range as a pushed-down
-predicate (and the bounded block side is broadcast) instead of being joined in
-full on every batch.
+Receipts and block headers are opened anew for every micro-batch, so files that
+land while the query runs are seen, and read with the block range of the batch
+as a pushed-down predicate.  Events whose receipt or header has not landed yet
+go to ``<table>_pending`` under their batch, and the next batch takes them up
+again: nothing is lost when logs arrive first.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,35 +33,68 @@ from gasledger.constants import USDC_CONTRACT
 from gasledger.operators import decode, ingest
 from gasledger.operators.wallets import Wallets
 from gasledger.sinks import ledger as sink
+from gasledger.sources.schemas import PENDING
+
+
+Table = DataFrame | Callable[[], DataFrame]
+
+
+def _opened(table: Table) -> DataFrame:
+    return table() if callable(table) else table
+
+
+def _pending(spark: SparkSession, table_path: str, batch_id: int) -> DataFrame | None:
+    """Events that the batches before ``batch_id`` left without receipt or header."""
+    if batch_id == 0:
+        return None
+    path = f"{table_path.rstrip('/')}_pending/batch_id={batch_id - 1}"
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs):
+        return None
+    return spark.read.schema(PENDING).parquet(path)
 
 
 def ingest_batch(
     logs: DataFrame,
     batch_id: int,
-    blocks: DataFrame,
-    receipts: DataFrame,
+    blocks: Table,
+    receipts: Table,
     table_path: str,
     contract: str | None = USDC_CONTRACT,
     wallets: Wallets = None,
+    source: str = "stream",
 ) -> None:
     """Decode, dedup, enrich and write one micro-batch of raw logs."""
-    logs = logs.persist()
+    spark = logs.sparkSession
+    decoded = decode.decode_transfer_logs(logs, contract)
+    union = ingest.transfers_union(decoded, wallets).select(*PENDING.fieldNames())
+    waiting = _pending(spark, table_path, batch_id)
+    if waiting is not None:
+        union = union.unionByName(waiting)
+    union = union.persist()
     try:
-        span = logs.agg(F.min("block_number").alias("lo"), F.max("block_number").alias("hi")).first()
+        span = union.agg(F.min("block_number").alias("lo"), F.max("block_number").alias("hi")).first()
         if span is None or span["lo"] is None:
             return
-        decoded = decode.decode_transfer_logs(logs, contract)
-        deduped = ingest.dedup_last(ingest.transfers_union(decoded, wallets))
-        rows = ingest.ledger_rows(deduped, blocks, receipts, span["lo"], span["hi"])
-        sink.write_batch(rows, table_path, batch_id)
+        deduped = ingest.dedup_last(union)
+        tables = _opened(blocks), _opened(receipts)
+        ingest.unmatched(deduped, *tables, span["lo"], span["hi"]).select(*PENDING.fieldNames()).write.mode(
+            "overwrite").parquet(f"{table_path.rstrip('/')}_pending/batch_id={batch_id}")
+        rows = ingest.ledger_rows(deduped, *tables, span["lo"], span["hi"])
+        sink.write_batch(rows, table_path, batch_id, source)
     finally:
-        logs.unpersist()
+        union.unpersist()
+
+
+def source_name(checkpoint: str) -> str:
+    """The owner of a stream's batches: its checkpoint numbers them."""
+    return f"stream-{hashlib.sha256(checkpoint.rstrip('/').encode()).hexdigest()[:16]}"
 
 
 def start_ingest(
     raw_logs: DataFrame,
-    blocks: DataFrame,
-    receipts: DataFrame,
+    blocks: Table,
+    receipts: Table,
     table_path: str,
     checkpoint: str,
     first_block: int | None = None,
@@ -69,7 +105,9 @@ def start_ingest(
     """Start the ingest query over a streaming DataFrame of raw logs.
 
     ``first_block`` applies to the first run only in effect: later runs resume
-    from the checkpoint's offsets.  ``trigger`` defaults to
+    from the checkpoint's offsets.  ``blocks`` and ``receipts`` are best given as
+    functions that open the tables: a DataFrame of files keeps the list of files
+    it was made with.  ``trigger`` defaults to
     ``{"processingTime": "30 seconds"}``; tests use ``{"availableNow": True}``.
     """
     stream = raw_logs
@@ -77,7 +115,7 @@ def start_ingest(
         stream = stream.where(F.col("block_number") >= F.lit(first_block))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, blocks, receipts, table_path, contract, wallets)
+        ingest_batch(batch, batch_id, blocks, receipts, table_path, contract, wallets, source_name(checkpoint))
 
     return (
         stream.writeStream.foreachBatch(run)
@@ -106,12 +144,8 @@ def file_stream(
     return reader.parquet(directory)
 
 
-def run_to_end(query: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query and surface its failure, if any."""
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
-        query.stop()
-        raise TimeoutError(f"streaming query {query.name} did not finish in {timeout_s}s")
+def run_to_end(query: StreamingQuery) -> None:
+    """Wait for an ``availableNow`` query, however long it takes, and surface its failure, if any."""
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-
