@@ -28,10 +28,10 @@ def stored(spark):
 def test_wallet_predicate_reaches_the_scan(spark, stored):
     t = sink.read_ledger(spark, stored)
     p = plan(metrics.daily_gas_cost(t, td.test_wallet(13)))
-    assert "PushedFilters: [IsNotNull(from_address), EqualTo(from_address," in p
-    # only the four needed columns are read
+    assert "EqualTo(from_address," in p.split("PushedFilters:")[1].split("\n")[0]
+    # only the columns in need are read
     assert ("ReadSchema: struct<from_address:string,timestamp:timestamp_ntz,receipt_gas_used:bigint,"
-            "receipt_effective_gas_" in p)
+            "receipt_effective_gas_price:string,wallet_address:string>" in p)
     assert "to_address" not in p.split("ReadSchema:")[1].split("\n")[0]
 
 

@@ -79,5 +79,5 @@ def test_ledger_export_roundtrip(spark, scratch):
         want = t.select(*[F.date_trunc("millisecond", F.col(c)).cast("timestamp_ntz").alias(c)
                           if c in ("timestamp", "updated_at") else F.col(c) for c in t.columns])
         assert sorted(back.collect()) == sorted(want.collect())
-    n = jobs.main(["import", "--source", f"{scratch}/json", "--table", f"{scratch}/ledger"], spark)
+    n = jobs.main(["import", "--source", f"{scratch}/json", "--table", f"{scratch}/ledger", "--run-id", "1"], spark)
     assert n == t.count() == sink.read_ledger(spark, f"{scratch}/ledger").count()

@@ -56,7 +56,8 @@ def test_restart_resumes_and_replay_changes_nothing(spark, scratch):
     assert t.count() == 40
     assert t.select("batch_id").distinct().count() == 2
     # replaying batch 0 by hand replaces, never adds
-    stream.ingest_batch(spark.read.schema(RAW_LOGS).parquet(f"{landing}/part=1"), 0, blocks, receipts, table, wallets=W)
+    stream.ingest_batch(spark.read.schema(RAW_LOGS).parquet(f"{landing}/part=1"), 0, blocks, receipts, table, wallets=W,
+                        source=stream.source_name(ckpt))
     assert sink.read_ledger(spark, table).count() == 40
     assert sink.duplicate_keys(sink.read_ledger(spark, table)).count() == 0
 
@@ -101,17 +102,6 @@ def test_daily_partials_exact_for_out_of_order_input(spark, scratch):
     assert got == _batch_answer(ledger) and len(got) == 6
 
 
-def test_watermarked_daily_equals_batch_for_ordered_input(spark, scratch):
-    ledger = _ledger(spark)
-    for day in range(1, 7):  # one file per day, landed in time order
-        ledger.where(F.dayofmonth("timestamp") == day).coalesce(1).write.parquet(f"{scratch}/landing/day={day}")
-    s = stream.file_stream(spark, f"{scratch}/landing", ledger.schema, files_per_trigger=1)
-    q = live.start_live_daily(live.live_daily_gas(s), f"{scratch}/d", f"{scratch}/c", trigger={"availableNow": True})
-    stream.run_to_end(q)
-    got = {(r.date, r.gas_cost_wei) for r in live.read_live_daily(spark, f"{scratch}/d").collect()}
-    assert got == _batch_answer(ledger)
-
-
 def test_daily_partials_compaction(spark, scratch):
     ledger = _ledger(spark)
     ledger.repartition(3).write.parquet(f"{scratch}/landing")
@@ -146,3 +136,27 @@ def test_failed_batch_is_retried_after_restart(spark, scratch):
     t = sink.read_ledger(spark, table, with_batch=True)
     assert t.count() == 20
     assert {r.batch_id for r in t.select("batch_id").distinct().collect()} == {0}
+
+
+def test_receipts_that_land_later_are_taken_up(spark, scratch):
+    blocks, receipts = _static(spark, range(1, 41))
+    landing, table, ckpt = f"{scratch}/landing", f"{scratch}/table", f"{scratch}/ckpt"
+
+    def run():
+        q = stream.start_ingest(
+            stream.file_stream(spark, landing, RAW_LOGS, files_per_trigger=1).drop("part"),
+            lambda: spark.read.schema(blocks.schema).parquet(f"{scratch}/b"),
+            lambda: spark.read.schema(receipts.schema).parquet(f"{scratch}/r"),
+            table, ckpt, wallets=W, trigger={"availableNow": True})
+        stream.run_to_end(q)
+
+    blocks.write.parquet(f"{scratch}/b/n=1")
+    receipts.where("block_number <= 10").write.parquet(f"{scratch}/r/n=1")
+    _logs(spark, range(1, 21)).coalesce(1).write.parquet(f"{landing}/part=1")
+    run()
+    assert sink.read_ledger(spark, table).count() == 10
+    receipts.where("block_number > 10").write.parquet(f"{scratch}/r/n=2")
+    _logs(spark, range(21, 41)).coalesce(1).write.parquet(f"{landing}/part=2")
+    run()
+    assert sink.read_ledger(spark, table).count() == 40
+    assert spark.read.parquet(f"{table}_pending/batch_id=1").count() == 0
