@@ -81,4 +81,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_minhash_near_dedup": sql.NEAR_DEDUP, "op4_line_dedup": sql.LINE_DEDUP, "op5_decontamination": sql.DECONTAMINATION}
+    return {"op3_minhash_near_dedup": sql.NEAR_DEDUP, "op4_line_dedup": sql.LINE_DEDUP,
+            "op5_decontamination": sql.DECONTAMINATION, "op7_quality_rules": sql.QUALITY_RULES}

@@ -84,3 +84,55 @@ WITH RECURSIVE worded AS (
 SELECT d.doc_id, cast(coalesce(n, 0) AS bigint) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents AS d JOIN low ON low.id = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id
 """
+
+QUALITY_RULES = rf"""
+WITH worded AS (
+  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS l
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, w[i : i + 2] AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM worded)
+), again AS (
+  SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows) WHERE n > 1
+), inside AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM again) GROUP BY doc_id
+), measured AS (
+  SELECT d.doc_id, stratum, cast(len(w) AS bigint) AS n_words,
+         cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS bigint) AS word_chars,
+         cast(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS bigint) AS n_symbols, len(l) AS n_lines,
+         cast(len(l) - len(list_distinct(l)) AS bigint) AS n_dup_lines, cast(coalesce(n, 0) AS bigint) AS n_repeat_words
+  FROM worded AS d LEFT JOIN inside USING (doc_id)
+), failed AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured
+), binned AS (
+  SELECT doc_id, stratum, base_failed, unnest([
+    {{'rule': 'symbols', 'bin': least(200, floor(coalesce(n_symbols / nullif(cast(n_words AS double), 0), 0) * 50))}},
+    {{'rule': 'dup_lines', 'bin': least(100, floor(coalesce(n_dup_lines / nullif(cast(n_lines AS double), 0), 0) * 100))}},
+    {{'rule': 'repeats', 'bin': least(100, floor(coalesce(n_repeat_words / nullif(cast(n_words AS double), 0), 0) * 100))}},
+    {{'rule': 'word_length', 'bin': least(250, floor(coalesce(word_chars / nullif(cast(n_words AS double), 0), 0) * 5))}}],
+    recursive := true) FROM failed
+), counts AS (
+  SELECT stratum, rule, bin, sum(cast(good = 1 AS int)) AS good, sum(cast(good = 0 AS int)) AS bad
+  FROM binned JOIN (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) USING (doc_id)
+  WHERE NOT base_failed GROUP BY ALL
+), tails AS (
+  SELECT stratum, rule, bin, cast(sum(good) OVER (PARTITION BY stratum, rule) AS bigint) AS n,
+         cast(sum(good) OVER down AS bigint) AS k, sum(bad) OVER down AS hit,
+         (SELECT count(DISTINCT stratum) FROM counts) AS strata
+  FROM counts WINDOW down AS (PARTITION BY stratum, rule ORDER BY bin DESC)
+), tested AS (
+  SELECT *, CASE WHEN k >= n * 0.0025 THEN 1 ELSE list_sum(list_transform(range(0, k + 1), lambda j:
+    exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.0025) + (n - j) * ln(0.9975)))) END AS p FROM tails
+), certified AS (
+  SELECT *, bool_and(p <= 0.05 / (strata * 4)) OVER (PARTITION BY stratum, rule ORDER BY bin DESC) AS ok FROM tested
+), cutoffs AS (
+  SELECT stratum, rule, arg_max(bin, (hit - k, bin)) AS cutoff FROM certified
+  WHERE ok AND hit > k AND bin > 0 GROUP BY stratum, rule
+), rejected AS (
+  SELECT DISTINCT doc_id FROM binned JOIN cutoffs USING (stratum, rule) WHERE bin >= cutoff
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
+FROM failed
+"""
