@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from gasledger.llm.common import stored
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(id, comp) for every end of the links (a, b); comp is the smallest id reachable.
 
+    With ``rounds`` the search stops after so many: equal labels are still
+    connected, but a component may keep several.
+
     Each round takes the smallest label over a vertex's links (pre-aggregated,
     so a vertex of many links gathers nothing) and then the label's own label.
     """
@@ -24,5 +27,6 @@ def components(links: DataFrame) -> DataFrame:
         jump = labels.select(F.col("id").alias("comp"), F.col("comp").alias("far"))
         new = stored(hop.join(jump, "comp", "left").select("id", F.least("comp", "far").alias("comp"), "was"), "labels")
         labels = new.select("id", "comp")
-        if new.where("comp <> was").isEmpty():
+        rounds = None if rounds is None else rounds - 1
+        if rounds == 0 or new.where("comp <> was").isEmpty():
             return labels

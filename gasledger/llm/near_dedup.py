@@ -11,10 +11,15 @@ trees are repeated until the wanted recall (``trees_for``).
 Per level, over all trees at once:
 - nodes of one record, or whose records are known to be connected, are done;
 - nodes of at most ``SMALL`` records are compared exhaustively;
-- larger nodes compare all records with two of them that lie in different
-  components, and pass all records on to the next level.
+- of larger nodes, records with too many shingles that no other such record holds
+  cannot reach the similarity with any of them and are done;
+- the rest of a larger node is compared with its most typical record (the one
+  with most of its shingles shared) and one more, which connects what is close to
+  either; if then at most ``FEW`` records lie outside the node's largest
+  component, these are compared with all others and the node is done;
+- what is left passes its records on to the next level.
 A bit sketch of the minwise tokens screens pairs (it keeps a pair at the
-threshold but for a chance below 1e-10); links are confirmed on the full sets.
+threshold but for a chance below 1e-6); links are confirmed on the full sets.
 After ``MAX_LEVELS`` what is left of mixed nodes is compared exhaustively.
 
 Nodes are counted by pre-aggregation and joined back, so a node of any size is
@@ -47,6 +52,7 @@ COORDS = 64           # minwise tokens that trees choose from
 BITS = 128            # minwise tokens in the sketch
 BRANCH = 2
 SMALL = 48            # records that a node may have to be compared exhaustively
+FEW = 512             # records outside a node's largest component that are compared with all
 MAX_LEVELS = 10
 
 _rng = np.random.default_rng(20240229)
@@ -138,41 +144,75 @@ def _apart(x: Column, y: Column) -> Column:
 
 
 def _bits_allowed(percent: int) -> int:
-    """Differing bits beyond which a pair at the threshold is 7 deviations off."""
+    """Differing bits beyond which a pair at the threshold is 6 deviations off."""
     p = (1 - percent / 100) / 2
-    return math.ceil(BITS * p + 7 * math.sqrt(BITS * p * (1 - p)))
+    return math.ceil(BITS * p + 6 * math.sqrt(BITS * p * (1 - p)))
 
 
-def _pairs(live: DataFrame, most: int | None, percent: int) -> DataFrame:
-    """Candidate pairs (a, b), a < b, of one level's rows (id, node, s1, s2, comp, n, low, high)."""
-    near = _bits_allowed(percent)
-    me = F.struct("comp", "id", "s1", "s2")
-    small = live if most is None else live.where(F.col("n") <= most)
-    side = small.select("node", me.alias("x"))
-    inside = side.join(side.withColumnRenamed("x", "y"), "node").where(
-        (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")) & (_apart(F.col("x"), F.col("y")) <= near))
-    found = inside.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    if most is not None:
-        star = (live.where(F.col("n") > most).select(me.alias("x"), F.explode(F.array("low", "high")).alias("y"))
-                .where((F.col("x.comp") != F.col("y.comp")) & (_apart(F.col("x"), F.col("y")) <= near)))
-        found = found.union(star.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")))
-    return found.distinct()
+_ME = ("comp", "id", "s1", "s2")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the similarity."""
+def _close(x: Column, y: Column, percent: int) -> Column:
+    """Whether two records of different components may reach the similarity."""
+    return (x["comp"] != y["comp"]) & (_apart(x, y) <= _bits_allowed(percent))
+
+
+def _pair(df: DataFrame) -> DataFrame:
+    return df.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+
+
+def _within(small: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of the nodes of ``small``, all against all."""
+    side = small.select("node", F.struct(*_ME).alias("x"))
+    x, y = F.col("x"), F.col("y")
+    return _pair(side.join(side.withColumnRenamed("x", "y"), "node").where((x["id"] < y["id"]) & _close(x, y, percent)))
+
+
+def _against_two(large: DataFrame, ends: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of all records of a node with its most typical one and its first one."""
+    high = F.struct(*[F.col(f"high.{c}").alias(c) for c in _ME])
+    star = (large.select("node", F.struct(*_ME).alias("x")).join(ends, "node")
+            .select("x", F.explode(F.array(high, "low")).alias("y")))
+    return _pair(star.where(_close(F.col("x"), F.col("y"), percent)))
+
+
+def _against_all(few: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of the records outside a node's largest component (``top``) with all of the node.
+
+    What two records share lies inside the node's most typical record, where
+    each holds ``both`` shingles, or outside, where each shares ``shared - both``
+    with any other; pairs that cannot reach the similarity so are left out.
+    """
+    me = F.struct(*_ME, "all", "shared", "both")
+    x, y = F.col("x"), F.col("y")
+    outside = lambda r: F.greatest(r["shared"] - r["both"], F.lit(0))
+    most = F.least(x["both"], y["both"]) + F.least(outside(x), outside(y))
+    out = few.where(F.col("comp") != F.col("top")).select("node", me.alias("x"))
+    near = out.join(few.select("node", me.alias("y")), "node").where(
+        _close(x, y, percent) & (100 * most >= percent * (x["all"] + y["all"] - most)))
+    return _pair(near)
+
+
+def _overlap(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, both, either): shingles that both and that either of the full sets hold."""
     sides = (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
              .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b"))
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
-                both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-                keep.append(100 * both >= percent * ((len(x) + len(y)) // 8 - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            both = [np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True).size
+                    for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())]
+            sizes = [(len(x) + len(y)) // 8 for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())]
+            yield pa.RecordBatch.from_pydict({
+                "a": batch.column("a"), "b": batch.column("b"), "both": pa.array(both, pa.int64()),
+                "either": pa.array([s - n for s, n in zip(sizes, both)], pa.int64())})
+
+    return sides.mapInArrow(run, "a long, b long, both long, either long")
+
 
-    return sides.mapInArrow(run, "a long, b long")
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the similarity."""
+    return _overlap(pairs, sets).where(100 * F.col("both") >= percent * F.col("either")).select("a", "b")
 
 
 def near_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT, recall: float = RECALL,
@@ -194,29 +234,83 @@ def near_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERC
 def _joined(texts: DataFrame, records: DataFrame, k: int, percent: int, trees: int) -> DataFrame:
     """Components (id, comp) of the records that are linked with another."""
     rows = _expand(records, trees).withColumn("comp", F.col("id"))
-    sets = links = labels = None
+    sets = links = None
     for level in range(MAX_LEVELS + 1):
-        most = SMALL if level < MAX_LEVELS else None
-        me = F.struct("comp", "id", "s1", "s2")
-        nodes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min(me).alias("low"), F.max(me).alias("high"))
-        live = stored(rows.join(nodes.where("n > 1 and low.comp <> high.comp"), "node"), "nodes")
-        pairs = stored(_pairs(live, most, percent), "pairs")
+        nodes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+        # stored before it is joined: only a join of two plain exchanges has its hot partitions split
+        mixed_nodes = stored(nodes.where("n > 1 and low <> high").select("node", "n"), "nodes")
+        live = stored(rows.join(mixed_nodes, "node"), "live")
+        if level == MAX_LEVELS:
+            return components(links.union(_confirmed(_within(live, percent).distinct(), sets, percent)))
         large = live.where(F.col("n") > SMALL)
-        if sets is None:    # deeper levels hold records of the large nodes only
+        pairs = stored(_within(live.where(F.col("n") <= SMALL), percent).distinct(), "pairs")
+        if sets is None:    # whatever comes later is of records of the large nodes
             wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(large.select("id")).distinct()
+            sets = stored(_sets(texts, wanted, k), "sets")
+        large = stored(_able(large, _sharing(sets, large), percent), "large")
+        typical = F.struct((F.col("shared") / F.col("all")).alias("share"), *_ME)
+        ends = stored(large.groupBy("node").agg(F.max(typical).alias("high"), F.min(F.struct(*_ME)).alias("low")), "ends")
+        pairs = pairs.union(_against_two(large, ends, percent)).distinct()
+        found = _confirmed(pairs, sets, percent)
+        links = stored(found if links is None else links.union(found), "links")
+        if large.isEmpty():
+            return components(links)
+        labels = components(links, rounds=1)
+        large = large.join(ends.select("node", F.col("high.id").alias("typical")), "node")
+        inside = stored(_overlap(large.select(F.col("id").alias("a"), F.col("typical").alias("b")).distinct(), sets), "inside")
+        large = large.join(inside.withColumnsRenamed({"a": "id", "b": "typical"}), ["id", "typical"])
+        large = stored(_relabelled(large.select("id", "node", "s1", "s2", "all", "shared", "both"), labels), "large")
+        left = stored(_unsettled(large), "unsettled")
+        few = large.join(left.where(F.col("others") <= FEW), "node")
+        links = stored(links.union(_confirmed(stored(_against_all(few, percent).distinct(), "pairs"), sets, percent)), "links")
+        many = left.where(F.col("others") > FEW)
+        if many.isEmpty():
+            return components(links)
+        rows = large.join(many.select("node"), "node", "left_semi").select("id", "node").distinct()
+        rows = _relabelled(_expand(rows.join(records.select("id", "s1", "s2", "tokens"), "id"), trees), labels)
+    raise AssertionError("unreachable")
+
+
+def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+
+
+def _unsettled(large: DataFrame) -> DataFrame:
+    """(node, top, others) of the nodes that hold several components."""
+    sizes = large.groupBy("node", "comp").agg(F.count("*").alias("n"))
+    return (sizes.groupBy("node").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
+            .select("node", F.col("top.comp").alias("top"), (F.col("all") - F.col("top.n")).alias("others")).where("others > 0"))
+
+
+def _sharing(sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """(id, all, shared): shingles of each record of ``rows``, and those that another of them holds."""
+    def tokens(batches):
+        for batch in batches:
+            for id_, data in zip(batch.column("id").to_pylist(), batch.column("shingles").to_pylist()):
+                found = np.frombuffer(data, np.int64)
+                yield pa.RecordBatch.from_pydict({"id": pa.array(np.full(len(found), id_)), "token": pa.array(found)})
+
+    each = sets.join(rows.select("id").distinct(), "id", "left_semi").mapInArrow(tokens, "id long, token long")
+    alone = stored(each.groupBy("token").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+                   .where("n = 1").groupBy("id").agg(F.count("*").alias("alone")), "alone")
+    return (each.groupBy("id").agg(F.count("*").alias("all")).join(alone, "id", "left")
+            .select("id", "all", (F.col("all") - F.coalesce("alone", F.lit(0))).alias("shared")))
+
+
+def _able(large: DataFrame, sharing: DataFrame, percent: int) -> DataFrame:
+    """The rows whose shared shingles suffice for the similarity with a record of their node's sizes."""
+    sized = large.join(stored(sharing, "sharing"), "id")
+    least = stored(sized.groupBy("node").agg(F.min("all").alias("least")), "least")
+    shared, whole, other = F.col("shared"), F.col("all"), F.greatest("least", "shared")
+    return sized.join(least, "node").where(100 * shared >= percent * (whole + other - shared))
+
+
+def _sets(texts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    def shingles(ids, found):
+        return {"id": ids, "shingles": [s.tobytes() for s in shingle_sets(found, k)]}
 
-            def shingles(ids, found):
-                return {"id": ids, "shingles": [s.tobytes() for s in shingle_sets(found, k)]}
-
-            sets = stored(map_arrow(texts.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"),
-                                    "id long, shingles binary", shingles).dropDuplicates(["id"]), "sets")
-        new = stored(_confirmed(pairs, sets, percent), "links")
-        links = new if links is None else links.union(new)
-        labels = components(links)
-        if most is None or large.isEmpty():
-            return labels
-        rows = (_expand(large.select("id", "node").distinct().join(records.select("id", "s1", "s2", "tokens"), "id"), trees)
-                .join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")))
+    kept = texts.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+    return map_arrow(kept, "id long, shingles binary", shingles).dropDuplicates(["id"])
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
