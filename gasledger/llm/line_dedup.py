@@ -52,9 +52,11 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .select(F.col(id_col).alias("doc_id"), F.posexplode(chunks(F.col(text_col))).alias("k", "c"))
                 .where(F.col("c.worded") >= MIN_LINES)
                 .select("doc_id", "k", F.xxhash64("c.text").alias("h"), F.col("c.text").alias("chunk")))
-    often = exploded.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # aggregates are stored before they are joined: only a join whose two sides are plain
+    # exchanges has its hot partitions split
+    often = stored(exploded.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "hashes")
     again = stored(exploded.join(often, "h", "left_semi"), "chunks")
-    first = again.groupBy("h", "chunk").agg(F.min(F.struct("doc_id", "k")).alias("first"))
+    first = stored(again.groupBy("h", "chunk").agg(F.min(F.struct("doc_id", "k")).alias("first")), "first")
     # the join on the chunk itself is the byte comparison
     return (again.join(first, ["h", "chunk"])
             .where(F.struct("doc_id", "k") != F.col("first"))
