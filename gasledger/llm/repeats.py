@@ -142,7 +142,9 @@ def repeated(docs: DataFrame, kind: Kind, id_col: str = "doc_id", text_col: str
             .join(copies.select("rep").where("rep is not null"), F.col("doc_id") == F.col("rep"), "left_semi")
             .select("doc_id", F.explode(F.arrays_zip("hash", "first", "length", "weight")).alias("r"))
             .select("doc_id", "r.*"))
-    twice = each.groupBy("hash").agg(F.sum("weight").alias("n")).where("n > 1").select("hash")
+    # aggregates are stored before they are joined: only a join whose two sides are plain
+    # exchanges has its hot partitions split
+    twice = stored(each.groupBy("hash").agg(F.sum("weight").alias("n")).where("n > 1").select("hash"), "anchors")
     found = (each.join(twice, "hash", "left_semi").groupBy("doc_id")
              .agg(F.collect_list(F.struct("hash", "first", "length", "weight")).alias("runs")))
     held = stored(_compressed(texts).join(found, "doc_id").dropDuplicates(["doc_id"]), "held")
@@ -170,8 +172,8 @@ def _marked(held: DataFrame, kind: Kind) -> DataFrame:
         .agg(F.min(F.struct("doc_id", "first")).alias("src"), F.count("*").alias("n"),
              F.max("weight").alias("weight"), F.max("length").alias("length"), F.max("size").alias("size"))
         .select("hash", "src.doc_id", "src.first", "n", "weight", "length", "size"), "contexts")
-    several = (kinds.groupBy("hash").agg(F.count("*").alias("m"), F.max("weight").alias("w"))
-               .where("m > 1 or w > 1").select("hash", "m"))
+    several = stored(kinds.groupBy("hash").agg(F.count("*").alias("m"), F.max("weight").alias("w"))
+                     .where("m > 1 or w > 1").select("hash", "m"), "several")
     wanted = stored(kinds.join(several, "hash").select("hash", "doc_id", "first", "length", "m", "size"), "wanted")
     shards = max(1, (wanted.where(F.col("m") <= HOT).agg(F.sum("size")).first()[0] or 0) // SHARD_BYTES)
     wanted = wanted.withColumn("shard", F.pmod("hash", F.lit(shards)))
@@ -180,8 +182,8 @@ def _marked(held: DataFrame, kind: Kind) -> DataFrame:
     hot = wanted.where(F.col("m") > HOT)
     if not hot.isEmpty():
         single = stored(_texts_of(hot, held, kind, True), "windows")
-        same = (single.groupBy("f1", "f2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "first")).alias("src"))
-                .where("n > 1"))
+        same = stored(single.groupBy("f1", "f2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "first")).alias("src"))
+                      .where("n > 1"), "same")
         again = single.join(same, ["f1", "f2"])
         if kind.first_stays:
             again = again.where(F.struct("doc_id", "first") != F.col("src"))
