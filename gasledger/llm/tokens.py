@@ -84,7 +84,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """Per row of ``docs``: doc_id, n_bytes, n_tokens, over_limit (n_tokens > ``limit``)."""
     blocks = stored(
         two_columns(docs, id_col, text_col).mapInArrow(
-            _blocks, "block string, words array<string>, doc_id array<long>, n_bytes array<long>, "
+            _blocks, "block long, words array<string>, doc_id array<long>, n_bytes array<long>, "
                      "ends array<long>, used binary, times binary"), "tokens")
     words = blocks.select("block", F.posexplode("words").alias("at", "word"))
 
@@ -130,17 +130,18 @@ def _ints(data: bytes) -> np.ndarray:
 
 def _blocks(batches):
     """Documents of a split as block rows; ``used`` holds differences of word numbers."""
-    import uuid
+    from pyspark import TaskContext
 
     def row():
         used = np.concatenate(uses) if uses else np.zeros(0, np.int64)
         return pa.RecordBatch.from_pylist(
-            [{"block": uuid.uuid4().hex, "words": list(numbers), "doc_id": ids, "n_bytes": sizes, "ends": ends,
+            [{"block": block, "words": list(numbers), "doc_id": ids, "n_bytes": sizes, "ends": ends,
               "used": _packed([np.diff(used, prepend=0)]), "times": _packed(times)}],
-            schema=pa.schema([("block", pa.string()), ("words", pa.list_(pa.string())),
+            schema=pa.schema([("block", pa.int64()), ("words", pa.list_(pa.string())),
                               ("doc_id", pa.list_(pa.int64())), ("n_bytes", pa.list_(pa.int64())),
                               ("ends", pa.list_(pa.int64())), ("used", pa.binary()), ("times", pa.binary())]))
 
+    block = TaskContext.get().partitionId() << 32
     numbers, ids, sizes, ends, uses, times, size = Numbers(), [], [], [], [], [], 0
     for doc_ids, texts in text_slices(batches):
         for doc_id, text in zip(doc_ids, texts):
@@ -155,6 +156,7 @@ def _blocks(batches):
             size += len(text) + 64
             if size >= BLOCK_BYTES:
                 yield row()
+                block += 1
                 numbers, ids, sizes, ends, uses, times, size = Numbers(), [], [], [], [], [], 0
     if ids:
         yield row()
