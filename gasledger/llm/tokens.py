@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from gasledger.llm.common import CACHE_WORDS, stored, text_slices, two_columns, worker_cache
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 64 << 20
 
 # --- fixed values of the public tokenizer file word_bpe_49k.json ------------------
 SPECIAL = "<|startoftext|>|<|endoftext|>"
@@ -96,15 +96,15 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 [batch.column(0), pa.array([len(e.ids) for e in found], pa.int64())], names=["word", "n"])
 
     pieces = words.select("word").distinct().mapInArrow(count, "word string, n long")
-    sizes = (words.join(pieces, "word")
-             .select("block", F.struct("at", "n").alias("size"))
-             .groupBy("block").agg(F.array_sort(F.collect_list("size")).alias("sizes"))
-             .select("block", F.col("sizes.n").alias("sizes")))
+    # place and pieces of a word in one number: place * 2^32 + pieces
+    size = F.shiftleft(F.col("at").cast("long"), 32) + F.col("n")
+    sizes = (words.join(pieces, "word").select("block", size.alias("size"))
+             .groupBy("block").agg(F.sort_array(F.collect_list("size")).alias("sizes")))
 
     def add(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                n = np.array(row["sizes"] or [0], np.int64)
+                n = np.array(row["sizes"] or [0], np.int64) & 0xFFFFFFFF
                 used, times = _ints(row["used"]).cumsum(), _ints(row["times"])
                 total = np.zeros(len(used) + 1, np.int64)
                 np.cumsum(n[used] * times, out=total[1:])
