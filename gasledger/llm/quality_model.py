@@ -112,8 +112,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, la
     few, sizes = sampled(texts, known, PER_CLASS)
     model = None
     if len(sizes) == 2:
-        counts = feature_counts(texts.where(~held_out(F.col("doc_id"))).join(known, "doc_id").select("doc_id", "text", "label"),
-                                features, SIZE, "label")
+        # the labels grow with the documents: the same sort-merge join at every size
+        learnt = texts.where(~held_out(F.col("doc_id"))).join(known.hint("merge"), "doc_id")
+        counts = feature_counts(learnt.select("doc_id", "text", "label"), features, SIZE, "label")
         model = _fitted(few, log_ratios(counts), sizes)
     if model is None:
         constant = 0.5 if not sizes else (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 2)
