@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from gasledger.llm.common import map_arrow, stored, two_columns
 from gasledger.llm.tokens import encoder
 
-WINDOW = 16_384        # examples packed together
+WINDOW = 4096          # examples packed together
 MAX_TOKENS = 2048
 MAX_SEGMENTS = 256
 END_ID = 1
@@ -38,11 +38,13 @@ def pack_vectors(demand: np.ndarray, capacity: np.ndarray) -> tuple[np.ndarray,
         raise ValueError("an example exceeds a sequence's limits")
     n = len(demand)
     bins, order = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    scaled = demand / np.maximum(capacity, 1)
-    rows, want, share = np.arange(n), demand.copy(), scaled
-    gone = np.zeros(n, bool)
-    left, current, inside, taken = capacity.astype(np.int64), 0, 0, 0
-    for _ in range(n):
+    alone = (demand == capacity).any(axis=1) & (demand[:, 0] == capacity[0])    # nothing fits beside these
+    bins[alone] = np.arange(int(alone.sum()))
+    rows = np.flatnonzero(~alone)
+    want, share = demand[rows], demand[rows] / np.maximum(capacity, 1)
+    gone = np.zeros(len(rows), bool)
+    left, current, inside, taken = capacity.astype(np.int64), int(alone.sum()), 0, 0
+    for _ in range(len(rows)):
         while True:
             fits = ~gone & (want <= left).all(axis=1)
             dot = np.where(fits, share @ (left / np.maximum(capacity, 1)), -1.0)
@@ -120,7 +122,7 @@ def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     empty text is the end id alone; repeated rows give their pieces each.
     """
     def cut(ids, texts):
-        flat, sizes = encoder(path).encode([t.decode() for t in texts])
+        flat, sizes = encoder(path).encode(texts)
         flat, at, out = flat.astype("<u4"), 0, []
         for doc_id, size in zip(ids, sizes.tolist()):
             data = np.append(flat[at: at + size], np.uint32(end_id)).astype("<u4").tobytes()
