@@ -27,10 +27,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the runs of lines that an earlier one holds; ``n_chars`` follows the text."""
+    """Documents without the runs of two and more lines that occur before; ``n_chars`` follows the text."""
     from pyspark.sql import functions as F
 
-    out = line_dedup.dedup_lines(docs).drop("line_dedup")
+    out = line_dedup.drop_repeated_runs(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.length("text").cast(kind))

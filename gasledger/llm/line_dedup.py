@@ -7,6 +7,11 @@ but its neighbours.  Chunks of at least ``MIN_LINES`` lines with a word are
 compared across all documents: equal hashes meet first, then the chunks' bytes
 decide.  The first one (lowest doc_id, then place) stays, the others go.
 
+``dedup_lines`` removes what the chunks find: a run that its chunks cut elsewhere
+stays, and so does a chunk of one line.  ``drop_repeated_runs`` looks at every two
+lines that follow each other instead, and removes each run of at least two lines
+with a word that occurs before, wherever it begins.
+
 DataFrame functions only.  Chunk hashes are pre-aggregated before the shuffle
 and a hot chunk's rows meet only its one first row, so no group is gathered.
 
@@ -86,3 +91,41 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return (docs.join(gone, F.col(id_col) == F.col("_gone_id"), "left")
             .withColumn("b", F.when(F.col(text_col).isNotNull(), let(parts, rebuilt)))
             .select(*names, F.coalesce(F.col("b.figures"), zero).alias("line_dedup")))
+
+
+def pairs(text: Column) -> Column:
+    """Array of struct<i, j, text>: every line with a word, and the next such line."""
+    def piece(lines: Column, worded: Column) -> Column:
+        return F.transform(F.slice(worded, 1, F.greatest(F.size(worded) - 1, F.lit(0))), lambda i, k: let(
+            F.get(worded, k + 1), lambda j: F.struct(
+                i.alias("i"), j.alias("j"), F.concat(F.get(lines, i), F.lit("\n"), F.get(lines, j)).alias("text"))))
+
+    return let(F.split(text, "\n"), lambda lines: let(
+        F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(lines, i).rlike("[^\\x20\\x09-\\x0D]")),
+        lambda worded: piece(lines, worded)))
+
+
+def repeated_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, gone): each document's pairs of lines (struct<i, j>) that repeat an earlier one."""
+    exploded = (docs.where(F.col(text_col).isNotNull())
+                .select(F.col(id_col).alias("doc_id"), F.explode(pairs(F.col(text_col))).alias("p"))
+                .select("doc_id", "p.i", "p.j", F.xxhash64("p.text").alias("h"), F.col("p.text").alias("pair")))
+    often = stored(exploded.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "hashes")
+    again = stored(exploded.join(often, "h", "left_semi"), "pairs")
+    first = stored(again.groupBy("h", "pair").agg(F.min(F.struct("doc_id", "i")).alias("first")), "first")
+    return (again.join(first, ["h", "pair"])
+            .where(F.struct("doc_id", "i") != F.col("first"))
+            .groupBy("doc_id").agg(F.collect_set(F.struct("i", "j")).alias("gone")))
+
+
+def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the lines of runs that occur before (lowest doc_id, then place)."""
+    gone = repeated_pairs(docs, id_col, text_col)
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
+        gone.withColumnRenamed("doc_id", "gone_id"), F.col("id") == F.col("gone_id"), "left")
+    kept = let(F.split("text", "\n"), lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1),
+                       F.flatten(F.transform("gone", lambda p: F.sequence(p["i"], p["j"])))),
+        lambda i: F.get(lines, i)), "\n"))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept)
+    return rows.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

@@ -75,3 +75,19 @@ def measures(text):
         if times[w] > 1:
             inside |= {i, i + 1, i + 2}
     return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(inside))
+
+
+def line_runs(docs):
+    """doc_id -> text without the lines of any two worded lines in a row that occur before."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(docs):
+        lines = (text or "").split("\n")
+        worded = [i for i, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x)]
+        gone = set()
+        for i, j in zip(worded, worded[1:]):
+            key = (lines[i], lines[j])
+            if key in seen:
+                gone |= set(range(i, j + 1))
+            seen.add(key)
+        out[doc_id] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    return out
