@@ -1,8 +1,8 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
 Terms are lower-cased words and their first ``PREFIX`` bytes, hashed to
-``SIZE``; inverse document frequencies come from all documents, and a term that
-fewer than ``RARE`` or more than ``COMMON`` of them hold has no weight.  At most
+``SIZE``; inverse document frequencies come from all documents and weigh every
+term, however rare or common (only what all documents hold weighs nothing).  At most
 ``PER_CLASS`` labelled documents of each class are indexed.  The index is
 inverted and cut into blocks of ``BLOCK`` examples; for each term and block it
 knows the largest weight.  The sum of these maxima bounds the cosine of every
@@ -32,7 +32,6 @@ from gasledger.llm.labelled import feature_counts, held_out, learnable, logistic
 
 SIZE = 1 << 18
 PREFIX = 4
-RARE, COMMON = 0.0005, 0.3
 PER_CLASS = 1024        # labelled documents of each class that are indexed
 MAX_TERMS = 4_000_000   # terms of all indexed documents together
 BLOCK = 128
@@ -155,7 +154,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, l
     counts = feature_counts(texts, lambda found: [t for t, _ in term_lists(found)], SIZE)
     total = texts.count()
     idf = np.log((total + 1) / (counts + 1))
-    idf[(counts < RARE * total) | (counts > max(1, COMMON * total))] = 0
     voter = _voter(few, idf, sizes)
     shared = spark.sparkContext.broadcast(voter)
 
