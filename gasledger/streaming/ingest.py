@@ -16,8 +16,9 @@ one export iteration).  Each micro-batch runs the batch operators of
 Receipts and block headers are opened anew for every micro-batch, so files that
 land while the query runs are seen, and read with the block range of the batch
 as a pushed-down predicate.  Events whose receipt or header has not landed yet
-go to ``<table>_pending`` under their batch, and the next batch takes them up
-again: nothing is lost when logs arrive first.
+go to ``<table>_pending`` under their batch and source, and the next batch of
+that source takes them up again: nothing is lost when logs arrive first, and
+streams that write into one table keep their waiting events apart.
 """
 
 from __future__ import annotations
@@ -43,11 +44,15 @@ def _opened(table: Table) -> DataFrame:
     return table() if callable(table) else table
 
 
-def _pending(spark: SparkSession, table_path: str, batch_id: int) -> DataFrame | None:
-    """Events that the batches before ``batch_id`` left without receipt or header."""
+def _pending_path(table_path: str, batch_id: int, source: str) -> str:
+    return f"{table_path.rstrip('/')}_pending/batch_id={batch_id}/source={source}"
+
+
+def _pending(spark: SparkSession, table_path: str, batch_id: int, source: str) -> DataFrame | None:
+    """Events that the batches of ``source`` before ``batch_id`` left without receipt or header."""
     if batch_id == 0:
         return None
-    path = f"{table_path.rstrip('/')}_pending/batch_id={batch_id - 1}"
+    path = _pending_path(table_path, batch_id - 1, source)
     fs = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs):
         return None
@@ -68,7 +73,7 @@ def ingest_batch(
     spark = logs.sparkSession
     decoded = decode.decode_transfer_logs(logs, contract)
     union = ingest.transfers_union(decoded, wallets).select(*PENDING.fieldNames())
-    waiting = _pending(spark, table_path, batch_id)
+    waiting = _pending(spark, table_path, batch_id, source)
     if waiting is not None:
         union = union.unionByName(waiting)
     union = union.persist()
@@ -79,7 +84,7 @@ def ingest_batch(
         deduped = ingest.dedup_last(union)
         tables = _opened(blocks), _opened(receipts)
         ingest.unmatched(deduped, *tables, span["lo"], span["hi"]).select(*PENDING.fieldNames()).write.mode(
-            "overwrite").parquet(f"{table_path.rstrip('/')}_pending/batch_id={batch_id}")
+            "overwrite").option("partitionOverwriteMode", "static").parquet(_pending_path(table_path, batch_id, source))
         rows = ingest.ledger_rows(deduped, *tables, span["lo"], span["hi"])
         sink.write_batch(rows, table_path, batch_id, source)
     finally:
