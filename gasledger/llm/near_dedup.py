@@ -1,12 +1,14 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 A document is its set of distinct word shingles.  Sets that are equal are one
-record.  Every record is summarised by ``COORDS`` minwise tokens; a node of a
-tree chooses ``BRANCH`` of the coordinates by its own hash and passes a record
-on to the child of the token it holds there, so two records of similarity s
-stay together at a chosen coordinate with probability s.  A tree keeps a pair
-of similarity 0.85 together to any depth with probability 0.97; independent
-trees are repeated until the wanted recall (``trees_for``).
+record.  Every record is summarised by minwise tokens, ``POOL`` coordinates for
+each tree; a node chooses ``BRANCH`` of its tree's coordinates by its own hash and
+passes a record on to the child of the token it holds there, so two records of
+similarity s stay together at a chosen coordinate with probability s.  Nodes of
+one tree share its coordinates, which ``lost`` counts: a tree keeps a pair of
+similarity 0.85 together down to the last level with probability 0.96.  Trees
+share no coordinate, so their losses multiply; they are repeated until the wanted
+recall (``trees_for``).
 
 Per level, over all trees at once:
 - nodes of one record, or whose records are known to be connected, are done;
@@ -48,16 +50,14 @@ from gasledger.llm.components import components
 SHINGLE_WORDS = 5
 PERCENT = 80          # similarity, in hundredths, from which documents are linked
 RECALL = 0.99999
-COORDS = 64           # minwise tokens that trees choose from
+POOL = 16             # minwise tokens that one tree's nodes choose from
 BITS = 128            # minwise tokens in the sketch
 BRANCH = 2
 SMALL = 48            # records that a node may have to be compared exhaustively
 FEW = 512             # records outside a node's largest component that are compared with all
 MAX_LEVELS = 10
 
-_rng = np.random.default_rng(20240229)
-_MULTIPLY = _rng.integers(0, 2**63, BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _rng.integers(0, 2**63, BITS, dtype=np.uint64)
+_TREE = np.uint64(1023)     # the bits of a node that hold its tree
 
 
 def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
@@ -72,44 +72,77 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     return out
 
 
-def minwise(shingles: np.ndarray) -> np.ndarray:
-    """``BITS`` minwise tokens of a set that is not empty."""
-    low = np.full(BITS, np.iinfo(np.uint64).max, np.uint64)
+def factors(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Multipliers and addends of ``n`` minwise tokens; fewer are the first of more."""
+    drawn = np.random.default_rng(20240229).integers(0, 2**63, (n, 2), dtype=np.uint64)
+    return drawn[:, 0] * np.uint64(2) + np.uint64(1), drawn[:, 1].copy()
+
+
+def minwise(shingles: np.ndarray, multiply: np.ndarray, add: np.ndarray) -> np.ndarray:
+    """The minwise tokens of a set that is not empty."""
+    low = np.full(len(add), np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(shingles), 4096):
-        low = np.minimum(low, (shingles[i: i + 4096, None] * _MULTIPLY + _ADD).min(axis=0))
+        low = np.minimum(low, (shingles[i: i + 4096, None] * multiply + add).min(axis=0))
     return (mixed(low) >> np.uint64(32)).astype(np.uint32)
 
 
+def lost(similarity: float, levels: int) -> float:
+    """Chance that one tree separates a pair within ``levels`` levels.
+
+    Given that the pair agrees on m of the tree's ``POOL`` coordinates, nodes draw
+    theirs independently; m is binomial.
+    """
+    total = 0.0
+    for m in range(POOL + 1):
+        apart = 0.0
+        for _ in range(levels):
+            apart = sum(math.comb(m, j) * math.comb(POOL - m, BRANCH - j) * apart**j
+                        for j in range(BRANCH + 1)) / math.comb(POOL, BRANCH)
+        total += math.comb(POOL, m) * similarity**m * (1 - similarity) ** (POOL - m) * apart
+    return total
+
+
 def trees_for(recall: float, similarity: float) -> int:
-    """Independent trees until a pair at the threshold meets with probability ``recall``."""
-    lost = 0.0
-    for _ in range(200):
-        lost = (1 - similarity + similarity * lost) ** BRANCH
-    return max(1, math.ceil(math.log(1 - recall) / math.log(max(lost, 1e-9))))
+    """Trees until a pair at the threshold meets at the last level with probability ``recall``."""
+    trees = max(1, math.ceil(math.log(1 - recall) / math.log(max(lost(similarity, MAX_LEVELS + 2), 1e-9))))
+    if trees > int(_TREE):
+        raise ValueError(f"recall {recall} at similarity {similarity} takes {trees} trees; at most {int(_TREE)}")
+    return trees
 
 
 def children(nodes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """``BRANCH`` child nodes for each record: rows of ``tokens`` under ``nodes``."""
-    first = mixed(nodes)
+    """``BRANCH`` child nodes for each record: rows of ``tokens`` under ``nodes``, at different coordinates."""
+    tree, drawn = nodes & _TREE, mixed(nodes)
+    at = [drawn % np.uint64(POOL)]
+    at.append((at[0] + np.uint64(1) + (drawn >> np.uint64(32)) % np.uint64(POOL - 1)) % np.uint64(POOL))
     out, rows = [], np.arange(len(nodes))
-    for i in range(BRANCH):
-        at = ((first % np.uint64(COORDS)) + np.uint64(i * (COORDS // BRANCH))) % np.uint64(COORDS)
-        token = (at << np.uint64(32)) | tokens[rows, at.astype(np.int64)].astype(np.uint64)
-        out.append(mixed(mixed(nodes + np.uint64(0x51ED270B)) ^ token))
+    for place in at:
+        token = (place << np.uint64(32)) | tokens[rows, (tree * np.uint64(POOL) + place).astype(np.int64)].astype(np.uint64)
+        out.append((mixed(mixed(nodes + np.uint64(0x51ED270B)) ^ token) & ~_TREE) | tree)
     return np.stack(out, axis=1)
 
 
-def _summaries(docs: DataFrame, k: int) -> DataFrame:
+def second_level(tokens: np.ndarray, trees: int) -> np.ndarray:
+    """The nodes of each record at every tree's second level."""
+    def root(r):
+        return np.full(len(tokens), (mixed(np.array([r + 1], np.uint64))[0] & ~_TREE) | np.uint64(r))
+
+    return np.concatenate([children(child, tokens) for r in range(trees) for child in children(root(r), tokens).T], axis=1)
+
+
+def _summaries(docs: DataFrame, k: int, coords: int) -> DataFrame:
+    multiply, add = factors(max(BITS, coords))
+
     def run(ids, texts):
         sets = shingle_sets(texts, k)
         digests = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
-        tokens = [minwise(s) if len(s) else None for s in sets]
-        bits = [np.packbits((t & 1).astype(np.uint8)).view("<i8") if t is not None else (0, 0) for t in tokens]
+        tokens = [minwise(s, multiply, add) if len(s) else None for s in sets]
+        bits = [np.packbits((t[:BITS] & 1).astype(np.uint8)).view("<i8") if t is not None else (0, 0) for t in tokens]
         signed = lambda x: x - (1 << 64) if x >> 63 else x
         return {"doc_id": ids, "n_shingles": [len(s) for s in sets],
                 "d1": [signed(d >> 64) for d in digests], "d2": [signed(d & (2**64 - 1)) for d in digests],
                 "s1": [int(b[0]) for b in bits], "s2": [int(b[1]) for b in bits],
-                "tokens": [t[:COORDS].tobytes() if t is not None else None for t in tokens]}
+                "tokens": [t[:coords].tobytes() if t is not None else None for t in tokens]}
 
     return map_arrow(docs, "doc_id long, n_shingles long, d1 long, d2 long, s1 long, s2 long, tokens binary", run)
 
@@ -123,13 +156,11 @@ def _expand(records: DataFrame, trees: int) -> DataFrame:
             n = batch.num_rows
             if not n:
                 continue
-            tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.uint32).reshape(n, COORDS)
+            tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.uint32).reshape(n, trees * POOL)
             if rooted:
                 nodes = children(batch.column("node").to_numpy().view(np.uint64), tokens)
             else:
-                nodes = np.concatenate(
-                    [children(child, tokens) for r in range(trees)
-                     for child in children(np.full(n, mixed(np.array([r + 1], np.uint64))[0]), tokens).T], axis=1)
+                nodes = second_level(tokens, trees)
             per = nodes.shape[1]
             keep = {c: pa.array(np.repeat(batch.column(c).to_numpy(), per)) for c in ("id", "s1", "s2")}
             yield pa.RecordBatch.from_pydict({**keep, "node": pa.array(nodes.ravel().view(np.int64))})
@@ -219,11 +250,12 @@ def near_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERC
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (smallest id reachable), kept."""
     texts = two_columns(docs, id_col, text_col)
-    seen = stored(_summaries(texts, k), "summaries")
+    trees = trees_for(recall, percent / 100)
+    seen = stored(_summaries(texts, k, trees * POOL), "summaries")
     groups = seen.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2")
     records = stored(groups.agg(F.min(F.struct("doc_id", "s1", "s2", "tokens")).alias("r"))
                      .select("d1", "d2", F.col("r.doc_id").alias("id"), "r.s1", "r.s2", "r.tokens"), "records")
-    labels = _joined(texts, records, k, percent, trees_for(recall, percent / 100))
+    labels = _joined(texts, records, k, percent, trees)
     member = (seen.join(records.select("d1", "d2", F.col("id").alias("rep")), ["d1", "d2"], "left")
               .join(labels.withColumnRenamed("id", "rep"), "rep", "left"))
     linked = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("comp", "rep"))
