@@ -1,7 +1,7 @@
 """Operators for preparing language-model training data.
 
 One module per operator, each a function from DataFrames to a DataFrame; the
-registered queries (``op1_`` ... ``op10_``) and their SQL live in ``queries.py``.
+registered queries (``op1_`` ... ``op13_``) and their SQL live in ``queries.py``.
 Nothing outside this subpackage imports it.
 
 The helper code that runs inside Python tasks travels with the job (pickled by

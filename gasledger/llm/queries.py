@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gasledger.llm import (
+    bpe_prefix,
     decontaminate,
+    filter_audit,
     line_dedup,
+    merkle,
     near_dedup,
     packing,
     quality_model,
@@ -74,12 +77,30 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokens.default_path())
 
 
+def op11_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokens.default_path()
+    found = bpe_prefix.decode(bpe_prefix.encode(table(spark, sf_dir, "documents"), path), path)
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), merkle.without_newlines())
+    return merkle.verified(rows).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_quality_classifier, op3_minhash_near_dedup, op4_line_dedup, op5_decontamination, op6_substring_dedup,
-        op7_quality_rules, op8_suffix_array_dedup, op9_token_counts, op10_packing)}
+        op7_quality_rules, op8_suffix_array_dedup, op9_token_counts, op10_packing,
+        op11_filter_interaction, op12_bpe_round_trip, op13_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_minhash_near_dedup": sql.NEAR_DEDUP, "op4_line_dedup": sql.LINE_DEDUP,
-            "op5_decontamination": sql.DECONTAMINATION, "op7_quality_rules": sql.QUALITY_RULES}
+            "op5_decontamination": sql.DECONTAMINATION, "op7_quality_rules": sql.QUALITY_RULES,
+            "op11_filter_interaction": sql.FILTER_INTERACTION, "op13_merkle_manifest": sql.MERKLE_MANIFEST}

@@ -136,3 +136,108 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
 FROM failed
 """
+
+FILTER_INTERACTION = rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents
+), marked AS (
+  SELECT doc_id, part, min(doc_id) OVER (PARTITION BY t) AS low,
+         len(w) < 50 AS a, 100 * len(list_distinct(w)) < 65 * len(w) AS b,
+         100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t) AS c,
+         regexp_matches(t, '[#$%&*|]') AS d FROM worded
+), known AS (
+  SELECT doc_id, max(cast(quality = 1 AS int)) AS good, max(cast(toxic = 1 AS int)) AS toxic FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END
+         || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN coalesce(low < marked.doc_id, false) THEN 'E' ELSE '' END AS fails
+  FROM marked LEFT JOIN known ON known.doc_id = marked.doc_id
+), grouped AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, fails
+), orders AS (
+  SELECT '' AS o UNION ALL
+  SELECT o || f FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f) WHERE NOT contains(o, f)
+), steps AS (
+  SELECT o AS filter_order, cast(k AS int) AS step, left(o, k - 1) AS before, substr(o, k, 1) AS f
+  FROM orders, (SELECT unnest(range(1, 6)) AS k) WHERE length(o) = 5
+), applied AS (
+  SELECT part, filter_order, step, f, n, good, toxic, contains(fails, f) AS hit, fails = f AS alone,
+         regexp_matches(fails, '[' || before || '-]') AS gone
+  FROM grouped, steps
+), counted AS (
+  SELECT part, filter_order, step, f, sum(CASE WHEN NOT gone AND NOT hit THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS removed, sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN alone THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+  FROM applied GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, step, cast(kept AS bigint) AS kept, cast(removed AS bigint) AS removed,
+       cast(redundant AS bigint) AS redundant, cast(unique_fails AS bigint) AS unique_fails, cast(good_lost AS bigint) AS good_lost,
+       cast(toxic_lost AS bigint) AS toxic_lost, cast(sum(removed) OVER (PARTITION BY part, f) AS bigint) AS shapley
+FROM counted
+"""
+
+
+def _framed(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    whole = ["cast(doc_id AS varchar)", "source", "lang", "cast(n_chars AS varchar)", text]
+    return f"sha256({' || '.join(_framed(v) for v in whole)})"
+
+
+#: CRC-32 of the decimal id, bit by bit: each byte is added before the first of its eight shifts
+_CRC = """xor(4294967295, list_reduce(list_prepend(cast(4294967295 AS bigint), list_transform(range(0, 8 * length(id)), lambda i:
+  CASE WHEN i % 8 = 0 THEN cast(ascii(substr(id, cast(i // 8 + 1 AS bigint), 1)) AS bigint) ELSE 0 END)),
+  lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))))"""
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, coalesce('=' || source, '-') AS tree, {_leaf('text')} AS leaf,
+         CASE WHEN {_CRC} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS seen
+  FROM (SELECT *, cast(doc_id AS varchar) AS id FROM documents)
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS n FROM hashed
+), low AS (
+  SELECT tree, 0 AS lvl, pos, n, leaf AS node FROM leaves
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY pos)) FROM low WHERE n > 1
+  GROUP BY tree, lvl, pos // 3, n
+), subroots AS (
+  SELECT tree, node, lvl FROM low WHERE n = 1
+), high AS (
+  SELECT 100 AS lvl, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n, node FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY pos)) FROM high WHERE n > 1
+  GROUP BY lvl, pos // 3, n
+), places AS (
+  SELECT tree, row_number() OVER (ORDER BY tree) - 1 AS place FROM subroots
+), steps AS (
+  SELECT a.tree, a.lvl, a.pos, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM low AS a JOIN low AS b ON a.tree = b.tree AND a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 WHERE a.n > 1
+  GROUP BY a.tree, a.lvl, a.pos
+  UNION ALL
+  SELECT '', a.lvl, a.pos, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), ''),
+         coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '')
+  FROM high AS a JOIN high AS b ON a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 WHERE a.n > 1
+  GROUP BY a.lvl, a.pos
+), folded AS (
+  SELECT doc_id, tree, leaf, 0 AS lvl, pos, tree AS at_tree, seen AS h, '' AS proof FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.tree, f.leaf, CASE WHEN s.lvl IS NULL THEN 100 ELSE f.lvl + 1 END,
+         CASE WHEN s.lvl IS NULL THEN p.place ELSE f.pos // 3 END, CASE WHEN s.lvl IS NULL THEN '' ELSE at_tree END,
+         CASE WHEN s.lvl IS NULL THEN h ELSE sha256(s.l || h || s.r) END, CASE WHEN s.lvl IS NULL THEN proof ELSE proof || s.l || s.r END
+  FROM folded AS f JOIN places AS p ON p.tree = f.tree
+  LEFT JOIN steps AS s ON s.tree = at_tree AND s.lvl = f.lvl AND s.pos = f.pos
+  WHERE s.lvl IS NOT NULL OR at_tree <> ''
+), ends AS (
+  SELECT doc_id, tree, leaf, arg_max(h, lvl) AS h, arg_max(proof, lvl) AS proof FROM folded GROUP BY doc_id, tree, leaf
+)
+SELECT doc_id, leaf, subroots.node AS subroot, root.node AS root, sha256(proof) AS proof_sha256, h AS folded_root,
+       h = root.node AS verified
+FROM ends JOIN subroots USING (tree), (SELECT node FROM high WHERE n = 1) AS root
+"""
