@@ -31,12 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gasledger.llm.common import CACHE_WORDS, map_arrow, two_columns, worker_cache
+from gasledger.llm.common import map_arrow, two_columns, worker_cache
 from gasledger.llm.tokens import Numbers, pre_tokens
 
 END = "</w>"
 _NEVER = 1 << 60
-KNOWN_PAIRS = 4_000_000      # pairs of tokens whose compatibility a worker remembers
+# what a worker remembers at most; it begins anew beyond that
+KNOWN_PAIRS = KNOWN_PIECES = KNOWN_WORDS = 300_000
+DECODED = 1 << 18            # ids spelt out at a time
 
 
 def byte_letters() -> list[str]:
@@ -126,13 +128,16 @@ class Vocabulary:
             end = start[end]
         return ids[::-1]
 
-    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
-        """The tokens' text joined by spaces, for each run of ``counts`` ids."""
+    def _spelt(self, ids: np.ndarray) -> bytes:
+        """The tokens' text, with a space after each."""
         sizes = self.sizes[ids]
         ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = self.bytes[np.repeat(self.starts[ids] - (ends - sizes), sizes) + np.arange(total)].tobytes()
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        return self.bytes[np.repeat(self.starts[ids] - (ends - sizes), sizes) + np.arange(int(ends[-1]))].tobytes()
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The tokens' text joined by spaces, for each run of ``counts`` ids."""
+        flat = b"".join([self._spelt(ids[k: k + DECODED]) for k in range(0, len(ids), DECODED)])
+        bounds = np.concatenate([[0], np.cumsum(self.sizes[ids])])[np.concatenate([[0], np.cumsum(counts)])]
         return [flat[a: max(a, b - 1)] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
@@ -147,22 +152,24 @@ class _Words:
     """Ids of the words a worker has met; a word is what stands between ASCII white space."""
 
     def __init__(self, vocab: Vocabulary):
-        self.vocab = vocab
+        self.vocab, self.pieces = vocab, {}
         self.clear()
 
     def clear(self) -> None:
-        self.numbers, self.known, self.pieces = Numbers(), 0, {}
+        self.numbers, self.known = Numbers(), 0
         self.ids, self.counts, self.starts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _piece(self, piece: str) -> bytes:
         out = self.pieces.get(piece)
         if out is None:
+            if len(self.pieces) >= KNOWN_PIECES:
+                self.pieces.clear()
             out = self.pieces[piece] = array("I", self.vocab.encode_piece(piece)).tobytes()
         return out
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and the number of ids of each text."""
-        if self.known > CACHE_WORDS:
+        if self.known > KNOWN_WORDS:
             self.clear()
         words = [t.split() for t in texts]
         per_text = np.array([len(w) for w in words], np.int64)
@@ -182,17 +189,24 @@ class _Words:
         return ids, np.diff(bounds)
 
 
+def _words(path: str) -> _Words:
+    cache = worker_cache()
+    if ("prefix words", path) not in cache:
+        cache["prefix words", path] = _Words(vocabulary(path))
+    return cache["prefix words", path]
+
+
+def _packed(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    data, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens and ids (binary, little-endian unsigned 32-bit)."""
 
     def run(doc_ids, texts):
-        cache = worker_cache()
-        if ("prefix words", path) not in cache:
-            cache["prefix words", path] = _Words(vocabulary(path))
-        ids, counts = cache["prefix words", path].encode(texts)
-        data = ids.astype("<u4").tobytes()
-        ends = (4 * np.cumsum(counts)).tolist()
-        return {"doc_id": doc_ids, "n_tokens": counts, "ids": [data[a:b] for a, b in zip([0, *ends], ends)]}
+        ids, counts = _words(path).encode(texts)
+        return {"doc_id": doc_ids, "n_tokens": counts, "ids": _packed(ids, counts)}
 
     return map_arrow(two_columns(docs, id_col, text_col), "doc_id long, n_tokens long, ids binary", run)
 
@@ -202,9 +216,20 @@ def decode(rows: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "i
 
     def run(doc_ids, packed):
         counts = np.array([len(p) // 4 for p in packed], np.int64)
-        ids = np.frombuffer(b"".join(packed), "<u4").astype(np.int64)
-        texts = pa.array(vocabulary(path).decode(ids, counts), pa.binary()).cast(pa.string())
-        return {"doc_id": doc_ids, "n_tokens": counts, "ids": packed, "text": texts}
+        texts = vocabulary(path).decode(np.frombuffer(b"".join(packed), "<u4").astype(np.int64), counts)
+        return {"doc_id": doc_ids, "n_tokens": counts, "ids": packed, "text": pa.array(texts, pa.binary()).cast(pa.string())}
 
     given = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
     return map_arrow(given, "doc_id long, n_tokens long, ids binary, text string", run)
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What ``decode`` gives for ``encode``'s ids, by one Python worker with one vocabulary."""
+
+    def run(doc_ids, texts):
+        ids, counts = _words(path).encode(texts)
+        back = vocabulary(path).decode(ids.astype(np.int64), counts)
+        return {"doc_id": doc_ids, "n_tokens": counts, "ids": _packed(ids, counts),
+                "text": pa.array(back, pa.binary()).cast(pa.string())}
+
+    return map_arrow(two_columns(docs, id_col, text_col), "doc_id long, n_tokens long, ids binary, text string", run)

@@ -82,8 +82,7 @@ def op11_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokens.default_path()
-    found = bpe_prefix.decode(bpe_prefix.encode(table(spark, sf_dir, "documents"), path), path)
+    found = bpe_prefix.round_trip(table(spark, sf_dir, "documents"), tokens.default_path())
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("text", 256).alias("decoded_sha256"))
 

@@ -135,6 +135,8 @@ def test_ids_and_text_equal_the_library(spark, library):
         want.append((r.doc_id if r.doc_id is not None else -1, len(ids), np.array(ids, "<u4").tobytes(),
                      library.decode(ids, skip_special_tokens=False)))
     assert got == sorted(want)
+    both = bpe_prefix.round_trip(docs, PATH).collect()
+    assert sorted((r.doc_id if r.doc_id is not None else -1, r.n_tokens, bytes(r.ids), r.text) for r in both) == got
 
 
 def test_words_without_any_rule(library):
