@@ -20,12 +20,12 @@ import json
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gasledger.constants import MAX_BLOCKS_PER_REQUEST, USDC_CONTRACT
 from gasledger.operators import audit, decode, ingest, metrics, report
 from gasledger.operators.wallets import either_case, select_wallets
 from gasledger.session import get_session
+from gasledger.sinks import commits
 from gasledger.sinks import ledger as sink
 from gasledger.sinks import raw_logs as raw_landing
 from gasledger.sources import ledger_export, rpc_json
@@ -101,9 +101,8 @@ def cmd_ingest(spark: SparkSession, args) -> None:
 
 
 def _written(spark: SparkSession, table: str, source: str, run_id: int) -> int:
-    """Rows of one run, read back from its own folder (file footers)."""
-    owned = (F.col("source") == source) & (F.col("batch_id") == run_id)
-    return sink.read_ledger(spark, table, with_batch=True).where(owned).count()
+    """Rows of one run, as its commit counted them."""
+    return commits.state(spark, table).rows[source, run_id]
 
 
 def cmd_stream(spark: SparkSession, args) -> None:

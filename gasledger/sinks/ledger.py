@@ -19,9 +19,10 @@ one sampling pass over the final stage before the shuffle; hash partitioning
 would avoid it but scatter every task over every month folder (many small
 files), which costs more on every later scan.
 
-Writes are idempotent per owner: :func:`write_batch` overwrites the whole folder
-of its (source, batch), so a replay replaces exactly what it wrote before, also
-when it now has fewer months or none, and sources never share batch numbers.
+Batches are idempotent and atomic: :func:`write_batch` writes to a folder of its own and
+commits it as the live one of its (source, batch) (``sinks.commits``), so a replay
+replaces exactly what it wrote before, also when it now has fewer months or none, a
+reader never meets half a batch, and sources never share batch numbers.
 Key-level duplicates (re-read boundary blocks, retried exports, a transaction
 whose logs arrived in several batches) are resolved on read by :func:`final_rows`.
 """
@@ -34,6 +35,7 @@ from pyspark.sql import types as T
 
 from gasledger.functions.units import year_month
 from gasledger.operators.keyed import first_per_key
+from gasledger.sinks import commits
 from gasledger.sources.schemas import LEDGER, LEDGER_COLUMNS, MONTH_COLUMN, OWNER_COLUMNS
 
 LAYOUTS = {
@@ -57,7 +59,8 @@ def with_identity(df: DataFrame) -> DataFrame:
     return df.withColumns({c: v for c, v in identity.items() if c not in df.columns}).select(*LEDGER_COLUMNS)
 
 
-def _writer(df: DataFrame, layout: str, partitions: int | None, bloom: bool):
+def _dealt(df: DataFrame, layout: str, partitions: int | None) -> DataFrame:
+    """Rows dealt to tasks and sorted as they are to lie in the files."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {sorted(LAYOUTS)}")
     cluster = LAYOUTS[layout]
@@ -66,28 +69,52 @@ def _writer(df: DataFrame, layout: str, partitions: int | None, bloom: bool):
     # month is one address value but many timestamps, so its rows still split
     keys = [MONTH_COLUMN, *cluster]
     d = d.repartitionByRange(partitions, *keys) if partitions else d.repartitionByRange(*keys)
-    d = d.sortWithinPartitions(MONTH_COLUMN, *cluster)
-    w = d.write.partitionBy(MONTH_COLUMN)
-    if bloom:
-        # written for chunks that outgrow the dictionary (real address
-        # cardinality); adaptive sizing keeps each filter near its true NDV
-        w = w.option("parquet.bloom.filter.adaptive.enabled", "true")
-        for c in BLOOM_COLUMNS:
-            w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
-    return w
+    return d.sortWithinPartitions(MONTH_COLUMN, *cluster)
+
+
+def _bloom_options(bloom: bool) -> dict[str, str]:
+    """Bloom filters for chunks that outgrow the dictionary (real address cardinality);
+    adaptive sizing keeps each filter near its true NDV."""
+    if not bloom:
+        return {}
+    return {"parquet.bloom.filter.adaptive.enabled": "true",
+            **{f"parquet.bloom.filter.enabled#{c}": "true" for c in BLOOM_COLUMNS}}
 
 
 def create_ledger_table(spark: SparkSession, name: str, path: str) -> None:
-    """Register the ledger as a catalog table at ``path`` unless it exists.
+    """Register the ledger at ``path`` as a catalog table, or bring the registered one up to date.
 
-    Same columns and month partitioning as :func:`write_ledger` writes, so
-    SQL users can query ``name`` and Spark prunes months from their predicates.
+    A plain ledger (:func:`write_ledger`) is partitioned by month.  A committed one has one
+    partition per source, batch and month whose location is the live folder: calling this
+    again after a commit adds, moves and drops partitions, so that SQL users read exactly
+    the committed rows and their predicates prune partitions.
     """
+    committed = commits.is_committed(spark, path)
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LEDGER.fields)
+    owner = "`source` string, `batch_id` bigint, " if committed else ""
+    keys = ("`source`, `batch_id`, " if committed else "") + f"`{MONTH_COLUMN}`"
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({cols}, `{MONTH_COLUMN}` int) "
-        f"USING parquet PARTITIONED BY (`{MONTH_COLUMN}`) LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({cols}, {owner}`{MONTH_COLUMN}` int) "
+        f"USING parquet PARTITIONED BY ({keys}) LOCATION '{path}'"
     )
+    if not committed:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+        return
+    spec = lambda s, b, m: f"PARTITION (source='{s}', batch_id={b}, {MONTH_COLUMN}={m})"
+    live = commits.state(spark, path).live
+    known = set()
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        values = dict(v.split("=", 1) for v in row[0].split("/"))
+        known.add((values["source"], int(values["batch_id"]), values[MONTH_COLUMN]))
+    for key in known - set(live):
+        spark.sql(f"ALTER TABLE {name} DROP {spec(*key)}")
+    for key, folder in live.items():
+        place = f"'{path.rstrip('/')}/{folder}/{MONTH_COLUMN}={key[2]}'"
+        if key in known:
+            spark.sql(f"ALTER TABLE {name} {spec(*key)} SET LOCATION {place}")
+        else:
+            spark.sql(f"ALTER TABLE {name} ADD {spec(*key)} LOCATION {place}")
+    spark.sql(f"REFRESH TABLE {name}")
 
 
 def write_ledger(
@@ -99,7 +126,8 @@ def write_ledger(
     bloom: bool = True,
 ) -> None:
     """Write ledger rows (``schemas.TRANSFERS`` or ``LEDGER`` columns) to ``path``."""
-    _writer(with_identity(df), layout, partitions, bloom).mode(mode).parquet(path)
+    rows = _dealt(with_identity(df), layout, partitions)
+    rows.write.partitionBy(MONTH_COLUMN).options(**_bloom_options(bloom)).mode(mode).parquet(path)
 
 
 def write_batch(
@@ -110,13 +138,19 @@ def write_batch(
     layout: str = "address",
     partitions: int | None = None,
     bloom: bool = True,
-) -> None:
-    """Idempotent write of one batch: replaces the whole folder of (``source``, ``batch_id``)."""
-    if not source.replace("-", "").replace("_", "").isalnum():
-        raise ValueError("source must be letters, digits, - and _")
-    w = _writer(with_identity(df), layout, partitions, bloom)
-    owner = f"{path.rstrip('/')}/source={source}/batch_id={int(batch_id)}"
-    w.mode("overwrite").option("partitionOverwriteMode", "static").parquet(owner)
+    wallets: tuple[str, ...] = (),
+    block: int | None = None,
+) -> commits.State:
+    """Atomic, idempotent write of one batch: takes the place of what (``source``, ``batch_id``) stored before.
+
+    ``wallets``: whose progress moves to the highest block of the batch (or to ``block``) in the same commit.
+    """
+    def progress(highest: int | None) -> dict[str, int]:
+        reached = block if block is not None else highest
+        return {} if reached is None else {w: reached for w in wallets}
+
+    return commits.write(_dealt(with_identity(df), layout, partitions), path, source, batch_id, MONTH_COLUMN,
+                         "block_number", progress, _bloom_options(bloom))
 
 
 def read_ledger(
@@ -130,11 +164,17 @@ def read_ledger(
 
     ``start`` / ``end`` (inclusive ``yyyy-MM-dd``) become both a partition
     predicate on ``event_month`` (whole months skipped) and a row predicate on
-    ``timestamp`` (row groups skipped by statistics).
+    ``timestamp`` (row groups skipped by statistics).  Of a committed ledger the live
+    folders of the newest commit are read, months outside the range not even listed.
     """
-    owner = [T.StructField(c, t) for c, t in zip(OWNER_COLUMNS, (T.StringType(), T.LongType()))]
-    schema = T.StructType([*LEDGER.fields, T.StructField(MONTH_COLUMN, T.IntegerType()), *owner])
-    df = spark.read.schema(schema).parquet(path)
+    schema = T.StructType([*LEDGER.fields, T.StructField(MONTH_COLUMN, T.IntegerType())])
+    if commits.is_committed(spark, path):
+        first, last = (int(d[:4] + d[5:7]) if d else None for d in (start, end))
+        df = commits.read(spark, path, schema, MONTH_COLUMN, lambda m: (
+            not m.isdigit() or (first is None or int(m) >= first) and (last is None or int(m) <= last)))
+    else:
+        owner = [T.StructField(c, t) for c, t in zip(OWNER_COLUMNS, (T.StringType(), T.LongType()))]
+        df = spark.read.schema(T.StructType([*schema.fields, *owner])).parquet(path)
     if not with_batch:
         df = df.drop(*OWNER_COLUMNS)
     if start is not None:
@@ -172,10 +212,26 @@ def compact(spark: SparkSession, src: str, dst: str, layout: str = "address", pa
     write_ledger(rows, dst, mode="errorifexists", layout=layout, partitions=partitions)
 
 
+def compact_months(spark: SparkSession, path: str, months: list[int], layout: str = "address",
+                   partitions: int | None = None) -> commits.State:
+    """Fold the live batches of ``months`` into one row per key, published by one commit.
+
+    Readers see the months' batches until the commit and the folded rows from then on; a
+    batch that was replayed meanwhile makes the commit fail with ``commits.Conflict``.
+    Keys are folded within their months: a key's rows share block and thus time.
+    """
+    before = commits.state(spark, path)
+    wanted = {str(m) for m in months}
+    folded = {k: v for k, v in before.live.items() if k[2] in wanted}
+    if not folded:
+        return before
+    schema = T.StructType([*LEDGER.fields, T.StructField(MONTH_COLUMN, T.IntegerType())])
+    rows = commits.read(spark, path, schema, MONTH_COLUMN, wanted.__contains__, before.version).drop(*OWNER_COLUMNS)
+    return commits.write(_dealt(final_rows(rows.drop(MONTH_COLUMN)), layout, partitions), path, "compacted",
+                         before.version, MONTH_COLUMN, "block_number", None, _bloom_options(True), folded)
+
+
 def duplicate_keys(ledger: DataFrame) -> DataFrame:
-    """Table keys stored more than once, with the number of copies."""
-    return (
-        ledger.groupBy("transaction_hash", "block_number")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .where(F.col("copies") > 1)
-    )
+    """Table keys (those of :func:`final_rows`) stored more than once, with the number of copies."""
+    keys = [c for c in ("wallet_address", "transaction_hash", "block_number") if c in ledger.columns]
+    return ledger.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
