@@ -3,11 +3,12 @@
     import   exported ledger (JSON / CSV) -> ledger table
     land     raw logs + blocks + receipts  -> block-bucketed landing layout (scan-friendly)
     ingest   raw logs + blocks + receipts  -> ledger table (batch, idempotent per run id)
-    stream   landed raw log files          -> ledger table (Structured Streaming)
+    stream   landed raw logs               -> ledger table (Structured Streaming; --format landed: batches of blocks)
     metrics  ledger table                  -> one metric table (Parquet)
     report   ledger table                  -> nested JSON report per address
     compact  batch-partitioned ledger      -> one row per key, month files, new folder
     audit    raw logs                      -> events per request chunk
+    gaps     recorded landing runs         -> block ranges that no run covered
 
 Raw inputs are Parquet in the raw schemas, node JSON objects with
 ``--format rpc-json``, or the landing layout with ``--format landed``.  Wallet options may repeat; none means every wallet.
@@ -22,13 +23,13 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from gasledger.constants import MAX_BLOCKS_PER_REQUEST, USDC_CONTRACT
-from gasledger.operators import audit, decode, ingest, metrics, report
+from gasledger.operators import audit, coverage, decode, ingest, metrics, report
 from gasledger.operators.wallets import either_case, select_wallets
 from gasledger.session import get_session
 from gasledger.sinks import commits
 from gasledger.sinks import ledger as sink
 from gasledger.sinks import raw_logs as raw_landing
-from gasledger.sources import ledger_export, rpc_json
+from gasledger.sources import block_stream, ledger_export, rpc_json
 from gasledger.sources.schemas import RAW_BLOCKS, RAW_LOGS, RAW_RECEIPTS
 from gasledger.streaming import ingest as stream
 
@@ -69,6 +70,12 @@ def _wallets(args, spark: SparkSession | None = None):
 
 
 def cmd_ingest(spark: SparkSession, args) -> None:
+    if args.resume:
+        # go on where the commits say every tracked wallet has come to, that block once more
+        done = commits.state(spark, args.table).progress
+        reached = [done.get(w) for w in stream.tracked(_wallets(args))]
+        if None not in reached:
+            args.from_block = min(reached)
     logs = _read(spark, args.logs, "logs", args.format)
     fmt = _tables_format(args)
     blocks = _read(spark, args.blocks, "blocks", fmt)
@@ -88,7 +95,8 @@ def cmd_ingest(spark: SparkSession, args) -> None:
         deduped, blocks, _read(spark, args.receipts, "receipts", fmt), args.from_block, args.to_block,
     )
     good, bad = ingest.split_quarantine(rows)
-    sink.write_batch(good, args.table, args.run_id, "ingest", layout=args.layout)
+    sink.write_batch(good, args.table, args.run_id, "ingest", layout=args.layout,
+                     wallets=stream.tracked(_wallets(args)), block=args.to_block)
     # what cannot be stored is set aside beside the table, under the same run
     aside = f"{args.table.rstrip('/')}_aside"
     bad.write.mode("overwrite").parquet(f"{aside}/malformed/run_id={args.run_id}")
@@ -106,21 +114,28 @@ def _written(spark: SparkSession, table: str, source: str, run_id: int) -> int:
 
 
 def cmd_stream(spark: SparkSession, args) -> None:
-    if args.format == "rpc-json":
+    by_blocks = args.format == "landed"
+    if by_blocks:
+        raw = block_stream.block_log_stream(spark, args.landing, args.blocks, args.blocks_per_batch, args.confirmations,
+                                            args.first_block, MAX_BLOCKS_PER_REQUEST)
+    elif args.format == "rpc-json":
         raw = rpc_json.normalize_logs(
             spark.readStream.schema(rpc_json.RPC_LOG).option("maxFilesPerTrigger", args.files_per_trigger)
-            .json(args.landing)
+            .option("mode", "FAILFAST").json(args.landing)
         )
     else:
         raw = stream.file_stream(spark, args.landing, RAW_LOGS, args.files_per_trigger)
-    trigger = {"availableNow": True} if args.available_now else {"processingTime": f"{args.trigger_seconds} seconds"}
+    trigger = {"processingTime": f"{args.trigger_seconds} seconds"}
+    if args.available_now:
+        trigger = {"processingTime": "0 seconds"} if by_blocks else {"availableNow": True}
     fmt = _tables_format(args)
     q = stream.start_ingest(
         raw, lambda: _read(spark, args.blocks, "blocks", fmt), lambda: _read(spark, args.receipts, "receipts", fmt),
-        args.table, args.checkpoint, args.first_block, args.contract or None, _wallets(args), trigger,
+        args.table, args.checkpoint, None if by_blocks else args.first_block, args.contract or None, _wallets(args), trigger,
+        args.patience,
     )
     if args.available_now:
-        stream.run_to_end(q)
+        (block_stream.run_to_head if by_blocks else stream.run_to_end)(q)
     else:
         q.awaitTermination()
 
@@ -161,6 +176,15 @@ def cmd_land(spark: SparkSession, args) -> None:
     raw_landing.write_raw_blocks(_read(spark, args.blocks, "blocks", args.format), f"{args.out}/blocks/{run}", "overwrite")
     raw_landing.write_raw_receipts(
         _read(spark, args.receipts, "receipts", args.format), f"{args.out}/receipts/{run}", "overwrite")
+    if args.from_block is not None and args.to_block is not None:
+        # what was asked for, whether or not it held an event
+        raw_landing.write_coverage(spark, f"{args.out}/coverage/{run}", args.run_id, args.from_block, args.to_block)
+
+
+def cmd_gaps(spark: SparkSession, args) -> None:
+    """Blocks of a range that no landing run covered."""
+    runs = raw_landing.read_coverage(spark, args.coverage)
+    coverage.coverage_gaps(runs, args.from_block, args.to_block).write.mode("overwrite").parquet(args.out)
 
 
 def cmd_compact(spark: SparkSession, args) -> None:
@@ -195,6 +219,7 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--to-block", type=int)
     sp.add_argument("--run-id", type=int, required=True, help="re-running the same id replaces its output")
     sp.add_argument("--confirmations", type=int, default=0, help="skip the newest N blocks")
+    sp.add_argument("--resume", action="store_true", help="from the progress committed with the table, else --from-block")
     sp.add_argument("--layout", choices=tuple(sink.LAYOUTS), default="address")
 
     sp = sub.add_parser("stream")
@@ -203,6 +228,9 @@ def parser() -> argparse.ArgumentParser:
         sp.add_argument(a, required=True)
     sp.add_argument("--first-block", type=int)
     sp.add_argument("--files-per-trigger", type=int, default=100)
+    sp.add_argument("--blocks-per-batch", type=int, default=block_stream.DEFAULT_BATCH, help="with --format landed")
+    sp.add_argument("--confirmations", type=int, default=0, help="with --format landed: stay N blocks behind the head")
+    sp.add_argument("--patience", type=int, default=stream.PATIENCE, help="blocks an event waits for its receipt or header")
     sp.add_argument("--trigger-seconds", type=int, default=30)
     sp.add_argument("--available-now", action="store_true")
 
@@ -231,6 +259,14 @@ def parser() -> argparse.ArgumentParser:
     for a in ("--logs", "--blocks", "--receipts", "--out"):
         sp.add_argument(a, required=True)
     sp.add_argument("--run-id", type=int, required=True, help="re-running the same id replaces its output")
+    sp.add_argument("--from-block", type=int, help="with --to-block: the range that was asked for, recorded for `gaps`")
+    sp.add_argument("--to-block", type=int)
+
+    sp = sub.add_parser("gaps")
+    for a in ("--coverage", "--out"):
+        sp.add_argument(a, required=True)
+    for a in ("--from-block", "--to-block"):
+        sp.add_argument(a, type=int, required=True)
 
     sp = sub.add_parser("compact")
     sp.add_argument("--table", required=True)
@@ -254,7 +290,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     commands = {
         "ingest": cmd_ingest, "stream": cmd_stream, "metrics": cmd_metrics,
         "report": cmd_report, "compact": cmd_compact, "audit": cmd_audit, "land": cmd_land,
-        "import": cmd_import,
+        "import": cmd_import, "gaps": cmd_gaps,
     }
     return commands[args.cmd](spark, args)
 

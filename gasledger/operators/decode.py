@@ -44,6 +44,26 @@ def in_block_range(df: DataFrame, lo: int | None = None, hi: int | None = None)
     return df
 
 
+def block_spans(df: DataFrame) -> list[tuple[int, int, int]]:
+    """(bucket, lowest block, highest block) of each block bucket that ``df`` touches."""
+    bucket = F.floor(F.col("block_number") / BUCKET_BLOCKS).cast("long").alias("bucket")
+    found = df.groupBy(bucket).agg(F.min("block_number").alias("lo"), F.max("block_number").alias("hi"))
+    return sorted((r["bucket"], r["lo"], r["hi"]) for r in found.collect())
+
+
+def in_block_spans(df: DataFrame, spans: list[tuple[int, int, int]]) -> DataFrame:
+    """Rows whose block lies in one of ``spans``: far-apart blocks do not read what is between them.
+
+    Row groups are skipped by block statistics and, on landed tables, whole bucket folders.
+    """
+    wanted = F.lit(False)
+    for _, lo, hi in spans:
+        wanted = wanted | F.col("block_number").between(lo, hi)
+    if "block_bucket" in df.columns:
+        df = df.where(F.col("block_bucket").isin([b for b, _, _ in spans]))
+    return df.where(wanted)
+
+
 def decode_transfer_logs(
     raw_logs: DataFrame,
     contract: str | None = USDC_CONTRACT,

@@ -112,6 +112,19 @@ def enrich(
         _range_blocks(blocks, lo, hi), "block_number", "inner")
 
 
+def matched(deduped: DataFrame, blocks: DataFrame, receipts: DataFrame) -> DataFrame:
+    """Each event once with its receipt and block time, or nulls where one is missing.
+
+    ``complete`` tells whether both are there: one pair of joins serves the rows to
+    store and the events that wait.
+    """
+    r = receipts.select("transaction_hash", "block_number", "gas_used", "effective_gas_price", F.lit(True).alias("has_receipt"))
+    h = blocks.select("block_number", "timestamp", F.lit(True).alias("has_header"))
+    both = F.coalesce(F.col("has_receipt") & F.col("has_header"), F.lit(False))
+    return (deduped.join(r, ["block_number", "transaction_hash"], "left").join(h, "block_number", "left")
+            .withColumn("complete", both).drop("has_receipt", "has_header"))
+
+
 def missing_receipts(deduped: DataFrame, receipts: DataFrame, lo: int | None = None, hi: int | None = None) -> DataFrame:
     """Events whose transaction has no receipt (``NOT EXISTS``); ``lo``/``hi`` prune both sides."""
     bucket = [c for c in ("block_bucket",) if c in receipts.columns]
@@ -210,19 +223,23 @@ def flatten(events: DataFrame, updated_at: bool = True) -> DataFrame:
 def ledger_rows(deduped: DataFrame, blocks: DataFrame, receipts: DataFrame,
                 lo: int | None = None, hi: int | None = None, updated_at: bool = True) -> DataFrame:
     """Ledger rows straight from the joins, without building the nested record."""
-    e = enrich(deduped, blocks, receipts, lo, hi)
+    return as_ledger(enrich(deduped, blocks, receipts, lo, hi), updated_at)
+
+
+def as_ledger(enriched: DataFrame, updated_at: bool = True) -> DataFrame:
+    """Events with receipt and block time -> ledger rows."""
     cols = [
         F.col("block_number"),
         F.col("transaction_hash"),
         js_default("from_address", "").alias("from_address"),
         js_default("to_address", "").alias("to_address"),
         F.col("timestamp"),
-        F.col("gas_used").cast("long").alias("receipt_gas_used"),
+        F.col("gas_used").try_cast("long").alias("receipt_gas_used"),
         js_default("effective_gas_price", "0").alias("receipt_effective_gas_price"),
     ]
     if updated_at:
         cols.append(utc_now().alias("updated_at"))
-    return e.select(*cols, "wallet_address", "src", "log_index")
+    return enriched.select(*cols, "wallet_address", "src", "log_index")
 
 
 def split_quarantine(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:

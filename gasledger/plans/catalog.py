@@ -15,11 +15,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gasledger.operators import audit, decode, ingest, metrics, progress, report
+from gasledger.operators import audit, coverage, decode, ingest, metrics, progress, report
 from gasledger.plans import sql
 from gasledger.session import apply_runtime_defaults, scratch_path
 from gasledger.sinks import ledger as sink
-from gasledger.sources import rpc_json
+from gasledger.sinks import raw_logs as landing
+from gasledger.sources import block_stream, rpc_json
 from gasledger.sources import testdata as td
 from gasledger.sources.schemas import MONTH_COLUMN, TRANSFER_COLUMNS
 from gasledger.streaming import daily as live
@@ -120,8 +121,6 @@ def _rpc_json_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _landed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw logs landed in the scan-friendly layout (topic columns, block buckets)."""
-    from gasledger.sinks import raw_logs as landing
-
     apply_runtime_defaults(spark)
     path = _once(spark, sf_dir, "landed_logs",
                  lambda p: landing.write_raw_logs(td.raw_logs(spark, sf_dir), p, mode="errorifexists"))
@@ -236,6 +235,12 @@ def _events_per_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.events_per_chunk(spark, logs, lo, hi, CHUNK_STEP)
 
 
+def _coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_runtime_defaults(spark)
+    lo, hi = audit.block_span(td.raw_logs(spark, sf_dir))
+    return coverage.coverage_gaps(td.fetch_runs(spark, sf_dir), lo, hi)
+
+
 def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_runtime_defaults(spark)
     return td.processing_state(spark, sf_dir)
@@ -253,6 +258,7 @@ def _storage_queries() -> dict[str, Query]:
         "chain_head": lambda s, d: audit.chain_head(td.raw_blocks(s, d)),
         "block_chunks": _block_chunks,
         "events_per_chunk": _events_per_chunk,
+        "coverage_gaps": _coverage_gaps,
         "latest_progress": lambda s, d: progress.latest_progress(_state(s, d)),
         "progress_lookup": lambda s, d: progress.progress_lookup(s, _state(s, d), WALLET),
         "metrics_report": lambda s, d: report.report_json(report.metrics_report(_ledger(s, d))),
@@ -287,35 +293,46 @@ def _reread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return td.reread_transfers(spark, sf_dir)
 
 
-def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream (one micro-batch per file)."""
-    schema = td.events(spark, sf_dir).schema
-    return stream.file_stream(spark, sf_dir, schema, files_per_trigger=1, glob="events.parquet")
+def _landed_chain(spark: SparkSession, sf_dir: str) -> str:
+    """Logs, headers and receipts in the landing layout."""
+    def write(path: str) -> None:
+        landing.write_raw_logs(td.raw_logs(spark, sf_dir), f"{path}/logs", mode="errorifexists")
+        landing.write_raw_blocks(td.raw_blocks(spark, sf_dir), f"{path}/blocks", mode="errorifexists")
+        landing.write_raw_receipts(td.raw_receipts(spark, sf_dir), f"{path}/receipts", mode="errorifexists")
+
+    return _once(spark, sf_dir, "landed_chain", write)
 
 
 def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed chain through the block-offset stream, in three batches cut by blocks."""
     apply_runtime_defaults(spark)
     run = scratch_path(spark, f"stream_ingest/{uuid.uuid4().hex}")
+    path = _landed_chain(spark, sf_dir)
+    lo, hi = audit.block_span(landing.read_raw_blocks(spark, f"{path}/blocks"))
     q = stream.start_ingest(
-        td.raw_logs_of(_events_stream(spark, sf_dir)),
-        td.raw_blocks(spark, sf_dir),
-        td.raw_receipts(spark, sf_dir),
+        block_stream.block_log_stream(spark, f"{path}/logs", f"{path}/blocks", blocks_per_batch=(hi - lo) // 3 + 1),
+        lambda: landing.read_raw_blocks(spark, f"{path}/blocks"),
+        lambda: landing.read_raw_receipts(spark, f"{path}/receipts"),
         table_path=f"{run}/table",
         checkpoint=f"{run}/checkpoint",
-        trigger={"availableNow": True},
+        trigger={"processingTime": "0 seconds"},
     )
-    stream.run_to_end(q)
+    block_stream.run_to_head(q)
     t = sink.read_ledger(spark, f"{run}/table")
     return t.drop("updated_at", "event_month")
 
 
 def _stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger rows with re-read ones, four files and batches, into daily totals."""
     apply_runtime_defaults(spark)
     run = scratch_path(spark, f"stream_daily/{uuid.uuid4().hex}")
-    ledger = td.transfers_of(_events_stream(spark, sf_dir))
-    q = live.start_daily_partials(ledger, f"{run}/table", f"{run}/checkpoint", trigger={"availableNow": True})
+    rows = td.reread_transfers(spark, sf_dir)
+    files = _once(spark, sf_dir, "reread_files", lambda p: rows.repartitionByRange(4, "updated_at", "block_number")
+                  .write.mode("errorifexists").parquet(p))
+    ledger = stream.file_stream(spark, files, rows.schema, files_per_trigger=1)
+    q = live.start_daily_totals(ledger, f"{run}/table", f"{run}/checkpoint", trigger={"availableNow": True})
     stream.run_to_end(q)
-    return live.read_daily_totals(spark, f"{run}/table")
+    return live.read_totals(spark, f"{run}/table")
 
 
 def _stream_queries() -> dict[str, Query]:

@@ -13,12 +13,15 @@ from gasledger.constants import TRANSFER_TOPIC, USDC_CONTRACT
 from gasledger.sources.testdata import (
     APPROVAL_TOPIC,
     BLOCK_BASE,
+    K_BLOCK_FETCH,
     K_EMPTY_PRICE,
+    K_FAILED_FETCH,
     K_NEGATIVE_PRICE,
     K_NO_PRICE,
     K_NO_RECEIPT,
     K_REREAD,
     K_TEXT_PRICE,
+    K_WIDE_FETCH,
     OTHER_CONTRACT,
     test_wallet,
 )
@@ -349,6 +352,24 @@ counted AS (
 )
 SELECT c.chunk_no, c.chunk_from, c.chunk_to, coalesce(n.events, 0) AS events
 FROM chunks c LEFT JOIN counted n ON n.chunk_no = c.chunk_no""",
+        "coverage_gaps": f"""
+WITH chunks AS (
+  SELECT chunk, count(*) FILTER (k = {K_FAILED_FETCH}) AS failed, count(*) FILTER (k = {K_WIDE_FETCH}) AS wide,
+         count(*) FILTER (k = {K_BLOCK_FETCH}) AS single
+  FROM (SELECT event_id // 24 AS chunk, {K} AS k FROM events) GROUP BY chunk
+),
+span AS (SELECT min(event_id) // 12 + {BLOCK_BASE} AS lo, max(event_id) // 12 + {BLOCK_BASE} AS hi FROM events),
+runs AS (
+  SELECT {BLOCK_BASE} + 2 * chunk AS a, {BLOCK_BASE} + 2 * chunk + 1 + CASE WHEN wide > 0 THEN 3 ELSE 0 END AS b
+  FROM chunks WHERE failed = 0
+  UNION ALL SELECT {BLOCK_BASE} + 2 * chunk, {BLOCK_BASE} + 2 * chunk FROM chunks WHERE single > 0
+  UNION ALL SELECT hi + 1, hi + 1 FROM span
+),
+followed AS (
+  SELECT a, coalesce(max(b) OVER (ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1, lo) AS free, hi
+  FROM runs, span
+)
+SELECT free AS gap_from, least(a - 1, hi) AS gap_to, least(a - 1, hi) - free + 1 AS blocks FROM followed WHERE free < a AND free <= hi""",
         "latest_progress": _with(STATE) + "SELECT * FROM latest",
         "progress_lookup": _with(STATE) + f"""
 SELECT last_processed_block FROM latest WHERE wallet_address = '{WALLET}' ORDER BY updated_at DESC LIMIT 1""",

@@ -61,7 +61,8 @@ def land_by_block(
         w = w.option("parquet.bloom.filter.adaptive.enabled", "true")
         for c in bloom:
             w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
-    w.mode(mode).parquet(path)
+    # an overwrite replaces the whole folder and marks its end with _SUCCESS
+    w.mode(mode).option("partitionOverwriteMode", "static").parquet(path)
 
 
 def with_topic_columns(raw_logs: DataFrame) -> DataFrame:
@@ -110,3 +111,16 @@ def read_raw_blocks(spark: SparkSession, path: str, lo: int | None = None, hi: i
 def read_raw_receipts(spark: SparkSession, path: str, lo: int | None = None, hi: int | None = None) -> DataFrame:
     """Landed receipts, one per transaction and block."""
     return _read(spark, LANDED_RECEIPTS, path, lo, hi).dropDuplicates(["block_number", "transaction_hash", BUCKET])
+
+
+COVERAGE = T.StructType([T.StructField(c, T.LongType()) for c in ("run_id", "block_from", "block_to")])
+
+
+def write_coverage(spark: SparkSession, path: str, run_id: int, block_from: int, block_to: int) -> None:
+    """Record the inclusive block range that a landing run asked for."""
+    row = spark.createDataFrame([(run_id, block_from, block_to)], COVERAGE)
+    row.drop("run_id").write.mode("overwrite").parquet(path)
+
+
+def read_coverage(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(COVERAGE).parquet(path)

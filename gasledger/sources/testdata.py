@@ -24,6 +24,9 @@ Derivation rules (fixed values of the test fixture):
   (the node lost it), one with ``k = 1`` has no price (defaults to '0').
 - re-read rows: ledger rows of ``k = 99`` are written a second time, one hour
   newer; dirty prices: ``k`` 2, 3, 4 give '', 'abc', '-1'.
+- fetch runs: requests of two blocks (run = request / 50); one with an event of ``k = 5``
+  failed, ``k = 6`` makes it reach three blocks further, ``k = 7`` adds a run over its
+  first block alone.
 """
 
 from __future__ import annotations
@@ -43,6 +46,9 @@ APPROVAL_TOPIC = "0x8c5be1e5ebec7d5bd14f71427d1e84f3dd0314c0f7b2291e5b200ac8c7c3
 K_NO_RECEIPT = 0      # a transaction with such an event has no receipt
 K_NO_PRICE = 1        # ... its receipt has no effective gas price
 K_EMPTY_PRICE, K_TEXT_PRICE, K_NEGATIVE_PRICE = 2, 3, 4   # dirty ledger prices
+K_FAILED_FETCH = 5    # a two-block request with such an event was never fetched
+K_WIDE_FETCH = 6      # ... reached three blocks further than asked
+K_BLOCK_FETCH = 7     # ... whose first block another run fetched on its own
 K_REREAD = 99         # ledger rows written twice (boundary block re-read)
 # --- end of fixed values ----------------------------------------------------
 
@@ -239,6 +245,20 @@ def reread_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.unionByName(again).drop("k")
 
 
+def fetch_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block ranges that export runs fetched: requests of two blocks, some failed, overlapping or nested."""
+    e = _log_columns(events(spark, sf_dir)).withColumn("chunk", F.floor((F.col("block_number") - BLOCK_BASE) / 2).cast("long"))
+    has = lambda k: F.max((F.col("k") == k).cast("int")).alias(f"k{k}")
+    chunks = e.groupBy("chunk").agg(has(K_FAILED_FETCH), has(K_WIDE_FETCH), has(K_BLOCK_FETCH))
+    start = F.lit(BLOCK_BASE) + F.col("chunk") * 2
+    run = F.floor(F.col("chunk") / 50).cast("long")
+    asked = chunks.where(F.col(f"k{K_FAILED_FETCH}") == 0).select(
+        run.alias("run_id"), start.alias("block_from"), (start + 1 + 3 * F.col(f"k{K_WIDE_FETCH}")).alias("block_to"))
+    single = chunks.where(F.col(f"k{K_BLOCK_FETCH}") == 1).select(
+        (run + 1000).alias("run_id"), start.alias("block_from"), start.alias("block_to"))
+    return asked.unionByName(single)
+
+
 def dirty_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger rows where some prices are unusable ('', 'abc', '-1'; by ``k``)."""
     t = transfers_of(events(spark, sf_dir), (event_k(F.col("props")).alias("k"),))

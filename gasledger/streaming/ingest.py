@@ -7,18 +7,22 @@ one export iteration).  Each micro-batch runs the batch operators of
 :func:`gasledger.sinks.ledger.write_batch`:
 
 * the stream offset lives in the checkpoint (restart resumes, nothing to code);
-* a batch overwrites its own (source, batch) folder, so a batch replayed after a
-  failure replaces its earlier output instead of adding to it;
+* a batch is committed as the live one of its (source, batch), so a batch replayed after
+  a failure takes the place of its earlier output instead of adding to it;
 * a failing batch fails the query -- it is never skipped -- and the restart
   retries the same batch;
 * an empty batch writes nothing.
 
 Receipts and block headers are opened anew for every micro-batch, so files that
-land while the query runs are seen, and read with the block range of the batch
-as a pushed-down predicate.  Events whose receipt or header has not landed yet
-go to ``<table>_pending`` under their batch and source, and the next batch of
-that source takes them up again: nothing is lost when logs arrive first, and
-streams that write into one table keep their waiting events apart.
+land while the query runs are seen, and read with the block spans of the batch,
+one per block bucket, as pushed-down predicates.  Events whose receipt or header has
+not landed yet go to ``<table>_pending`` under their batch and source, and the next
+batch of that source takes them up again: nothing is lost when logs arrive first, and
+streams that write into one table keep their waiting events apart.  Events that are
+still incomplete ``patience`` blocks behind the batch's highest block are set aside
+under ``<table>_aside/unmatched``, and rows whose gas or price is no uint64 under
+``<table>_aside/malformed``, by source and batch; one receipt that never comes thus
+costs a bounded time.
 """
 
 from __future__ import annotations
@@ -37,6 +41,9 @@ from gasledger.sinks import ledger as sink
 from gasledger.sources.schemas import PENDING
 
 
+#: blocks behind a batch's highest one after which an event without receipt or header is set aside
+PATIENCE = 50_000
+
 Table = DataFrame | Callable[[], DataFrame]
 
 
@@ -59,6 +66,18 @@ def _pending(spark: SparkSession, table_path: str, batch_id: int, source: str) -
     return spark.read.schema(PENDING).parquet(path)
 
 
+def _set_aside(rows: DataFrame, table_path: str, kind: str, batch_id: int, source: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+        f"{table_path.rstrip('/')}_aside/{kind}/source={source}/batch_id={batch_id}")
+
+
+def tracked(wallets: Wallets) -> tuple[str, ...]:
+    """The names under which progress is kept: each wallet of a list, else '*'."""
+    if isinstance(wallets, str):
+        return (wallets.lower(),)
+    return ("*",) if wallets is None or isinstance(wallets, DataFrame) else tuple(w.lower() for w in wallets)
+
+
 def ingest_batch(
     logs: DataFrame,
     batch_id: int,
@@ -68,6 +87,7 @@ def ingest_batch(
     contract: str | None = USDC_CONTRACT,
     wallets: Wallets = None,
     source: str = "stream",
+    patience: int = PATIENCE,
 ) -> None:
     """Decode, dedup, enrich and write one micro-batch of raw logs."""
     spark = logs.sparkSession
@@ -78,15 +98,23 @@ def ingest_batch(
         union = union.unionByName(waiting)
     union = union.persist()
     try:
-        span = union.agg(F.min("block_number").alias("lo"), F.max("block_number").alias("hi")).first()
-        if span is None or span["lo"] is None:
+        spans = decode.block_spans(union)
+        if not spans:
             return
-        deduped = ingest.dedup_last(union)
-        tables = _opened(blocks), _opened(receipts)
-        ingest.unmatched(deduped, *tables, span["lo"], span["hi"]).select(*PENDING.fieldNames()).write.mode(
-            "overwrite").option("partitionOverwriteMode", "static").parquet(_pending_path(table_path, batch_id, source))
-        rows = ingest.ledger_rows(deduped, *tables, span["lo"], span["hi"])
-        sink.write_batch(rows, table_path, batch_id, source)
+        tables = [decode.in_block_spans(_opened(t), spans) for t in (blocks, receipts)]
+        found = ingest.matched(ingest.dedup_last(union), *tables).persist()
+        try:
+            # in the order of what a later reader needs: a replay overwrites all of them
+            late = F.col("block_number") < F.lit(spans[-1][2] - patience)
+            missing = found.where("not complete").select(*PENDING.fieldNames())
+            missing.where(~late).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+                _pending_path(table_path, batch_id, source))
+            good, bad = ingest.split_quarantine(ingest.as_ledger(found.where("complete")))
+            _set_aside(missing.where(late), table_path, "unmatched", batch_id, source)
+            _set_aside(bad, table_path, "malformed", batch_id, source)
+            sink.write_batch(good, table_path, batch_id, source, wallets=tracked(wallets), block=spans[-1][2])
+        finally:
+            found.unpersist()
     finally:
         union.unpersist()
 
@@ -106,6 +134,7 @@ def start_ingest(
     contract: str | None = USDC_CONTRACT,
     wallets: Wallets = None,
     trigger: dict | None = None,
+    patience: int = PATIENCE,
 ) -> StreamingQuery:
     """Start the ingest query over a streaming DataFrame of raw logs.
 
@@ -120,7 +149,7 @@ def start_ingest(
         stream = stream.where(F.col("block_number") >= F.lit(first_block))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, blocks, receipts, table_path, contract, wallets, source_name(checkpoint))
+        ingest_batch(batch, batch_id, blocks, receipts, table_path, contract, wallets, source_name(checkpoint), patience)
 
     return (
         stream.writeStream.foreachBatch(run)
