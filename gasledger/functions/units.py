@@ -121,40 +121,47 @@ def uint256_text(data: Column | str) -> Column:
     """Decimal text of the first 32-byte word of hex ``data`` (``0x`` + digits), exact up to 2^256 - 1.
 
     Shorter words are read as if padded on the left; empty data and text that
-    is not hex give NULL.  Words below 2^120 (nearly all amounts) take two
-    ``conv`` pieces and decimal arithmetic, larger ones a long division by limbs.
+    is not hex give NULL.  Words below 2^64 (nearly all amounts) are one ``conv``,
+    those below 2^120 two and a decimal product, larger ones limb arithmetic.
     """
     given = F.lower(F.substring(_c(data), 3, 64))
     digits = F.lpad(given, 64, "0")
     mid = F.conv(F.substring(digits, 35, 14), 16, 10).cast("decimal(38,0)")
     low = F.conv(F.substring(digits, 49, 16), 16, 10).cast("decimal(38,0)")
     small = (mid * F.lit(str(2**64)).cast("decimal(38,0)") + low).cast("decimal(38,0)")
+    upper = F.substring(digits, 1, 48)
     return F.when(
-        given.rlike("^[0-9a-f]+$"),
-        F.when(F.substring(digits, 1, 34) == F.lit("0" * 34), small.cast("string")).otherwise(_decimal_of_hex(digits)),
+        (given != "") & (F.translate(given, "0123456789abcdef", "") == ""),
+        F.when(upper == F.lit("0" * 48), F.conv(F.substring(digits, 49, 16), 16, 10))
+        .when(F.substring(upper, 1, 34) == F.lit("0" * 34), small.cast("string"))
+        .otherwise(_decimal_of_hex(digits)),
     )
 
 
 def _decimal_of_hex(digits: Column) -> Column:
-    """Decimal text of 64 hex digits: five limbs of 56 bits, recombined in base 1e18 with carries.
+    """Decimal text of 64 hex digits, by Horner's rule over limbs of nine decimal digits.
 
-    Plain decimal arithmetic (products and sums stay below 38 digits), so the
-    expression stays inside whole-stage codegen.
+    Seven hex digits at a time are added to the number so far times 2^28; a limb times
+    2^28 plus its carry stays below 2^63.  Lambda functions keep the expression small: it
+    is evaluated for the few amounts beyond 2^120 and must not swell the generated code
+    of the others beyond what the JVM compiles.
     """
-    wide, base = "decimal(38,0)", 10**18
-    number = lambda n: F.lit(str(n)).cast(wide)
-    limbs = [F.conv(F.substring(digits, max(1, 51 - 14 * i), 14 if i < 4 else 8), 16, 10).cast("decimal(20,0)") for i in range(5)]
-    parts, carry = [], None
-    for j in range(5):
-        total = carry
-        for i, limb in enumerate(limbs):
-            factor = 2 ** (56 * i) // base**j % base
-            if factor:
-                term = (limb * F.lit(str(factor)).cast("decimal(18,0)")).cast(wide)
-                total = term if total is None else (total + term).cast(wide)
-        parts.append((total % number(base)).cast(wide))
-        carry = F.call_function("div", total, number(base)).cast(wide)
-    text = F.concat(*[F.lpad(p.cast("string"), 18, "0") for p in reversed(parts)])
+    base, shift = F.lit(10**9).cast("long"), F.lit(2**28).cast("long")
+    padded = F.lpad(digits, 70, "0")
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(9)),
+                         lambda i: F.conv(F.substr(padded, i * 7 + 1, F.lit(7)), 16, 10).cast("long"))
+
+    def add(limbs: Column, piece: Column) -> Column:
+        def carried(s: Column, limb: Column) -> Column:
+            value = limb * shift + s["carry"]
+            return F.struct(F.call_function("div", value, base).alias("carry"),
+                            F.concat(s["limbs"], F.array(value % base)).alias("limbs"))
+
+        none = F.array().cast("array<bigint>")
+        return F.aggregate(limbs, F.struct(piece.alias("carry"), none.alias("limbs")), carried, lambda s: s["limbs"])
+
+    limbs = F.aggregate(pieces, F.array_repeat(F.lit(0).cast("long"), 9), add)
+    text = F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(x.cast("string"), 9, "0")), "")
     return F.regexp_replace(text, "^0+(?=.)", "")
 
 
