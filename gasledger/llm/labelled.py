@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gasledger.llm.common import text_slices
+from gasledger.llm.common import stored, text_slices
 
 FOLDS = 5
 
@@ -28,13 +28,20 @@ def learnable(labels: DataFrame, label_col: str, id_col: str = "doc_id") -> Data
 
 def sampled(docs: DataFrame, known: DataFrame, per_class: int) -> tuple[DataFrame, dict[int, int]]:
     """At most ``per_class`` labelled documents of each class as (doc_id, text, label), chosen by
-    hash of the id, and the size of each class."""
-    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    hash of the id, and the size of each class.
+
+    Labels of ids that no document has are neither chosen nor counted.  Rows that share an
+    id count once, with the lowest of their texts.
+    """
+    ids = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
+    present = stored(known.join(ids, "doc_id", "left_semi"), "labelled")
+    sizes = {r["label"]: r["n"] for r in present.groupBy("label").agg(F.count("*").alias("n")).collect()}
     spark = docs.sparkSession
     chosen = [(r["doc_id"], r["label"]) for label in sorted(sizes)
-              for r in known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).collect()]
+              for r in present.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).collect()]
     few = spark.createDataFrame(chosen, "doc_id long, label int")     # at most 2 * per_class rows
-    return docs.join(F.broadcast(few), "doc_id"), sizes
+    return (docs.join(F.broadcast(few), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+            .select("doc_id", "text", "label")), sizes
 
 
 def feature_counts(docs: DataFrame, features: Callable[[list[bytes]], list[np.ndarray]], size: int,

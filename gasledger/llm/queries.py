@@ -28,7 +28,7 @@ from gasledger.llm.common import table
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", "held_out", "score", "predicted")
+    return scored.select("doc_id", "held_out", "score", "predicted", "evidence")
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,10 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are lower-cased words and their first ``PREFIX`` bytes, hashed to
-``SIZE``; inverse document frequencies come from all documents and weigh every
-term, however rare or common (only what all documents hold weighs nothing).  At most
-``PER_CLASS`` labelled documents of each class are indexed.  The index is
-inverted and cut into blocks of ``BLOCK`` examples; for each term and block it
+Terms are lower-cased words and their first ``PREFIX`` bytes, as 64-bit hashes.  At most
+``PER_CLASS`` labelled documents of each class are indexed, and their terms are the
+vocabulary: vectors lie in its space, and a text's other terms have no part in them.
+Each term's document frequency is counted over all documents and weighs it, however rare
+or common (only what all documents hold weighs nothing).  The index is inverted and cut into blocks of ``BLOCK`` examples; for each term and block it
 knows the largest weight.  The sum of these maxima bounds the cosine of every
 example in a block, so blocks are opened from the most promising on until none
 left can reach the ``NEAREST`` best: the result is that of comparing all.
@@ -17,7 +17,8 @@ examples themselves, each left out of its own.
 Defined results: null or empty texts and texts that share no term with any
 example have no neighbours and get the score of the overall share; without
 labels every score is 0.5; ties in similarity go to the lower example id;
-repeated labels count once (the lower one); empty tables give empty results.
+repeated labels count once (the lower one), and so do rows that repeat a labelled id
+(their lowest text is the example); empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -30,25 +31,44 @@ from pyspark.sql import functions as F
 from gasledger.llm.common import hash_words, map_arrow, mixed, text_slices, two_columns
 from gasledger.llm.labelled import feature_counts, held_out, learnable, logistic, sampled, squashed
 
-SIZE = 1 << 18
 PREFIX = 4
 PER_CLASS = 1024        # labelled documents of each class that are indexed
-MAX_TERMS = 4_000_000   # terms of all indexed documents together
 BLOCK = 128
 NEAREST = 24
 EVIDENCE = 5            # neighbours reported with each score
 
 
-def term_lists(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(distinct terms, their counts) of each text."""
+def terms_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of all texts end to end (two a word), and the number of each text's first word."""
     lowered = [t.lower() for t in texts]
     words, starts = hash_words(lowered)
-    heads, _ = hash_words([b" ".join(w[:PREFIX] for w in t.split()) for t in lowered])
-    terms = np.stack([words, mixed(heads + np.uint64(99))], axis=1) & np.uint64(SIZE - 1)
-    out = []
-    for a, b in zip(starts[:-1], starts[1:]):
-        out.append(np.unique(terms[a:b].ravel().astype(np.int64), return_counts=True))
-    return out
+    heads, _ = hash_words([b" ".join([w[:PREFIX] for w in t.split()]) for t in lowered])
+    return np.stack([words, mixed(heads + np.uint64(99))], axis=1).ravel(), starts
+
+
+class Vocabulary:
+    """The terms of the examples, numbered; terms are looked up behind a table of their first bits."""
+
+    def __init__(self, terms: np.ndarray):
+        self.terms = np.unique(terms)
+        bits = max(10, int(8 * len(self.terms)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.held = np.zeros(1 << bits, bool)
+        self.held[self.terms >> self.shift] = True
+
+    def lists(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(numbers of the distinct known terms, their counts) of each text."""
+        terms, starts = terms_of(texts)
+        at = np.flatnonzero(self.held[terms >> self.shift])
+        if not len(at):
+            return [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(texts)
+        number = np.minimum(np.searchsorted(self.terms, terms[at]), len(self.terms) - 1)
+        known = self.terms[number] == terms[at]
+        text = np.searchsorted(2 * starts[1:], at[known], side="right")
+        found, counts = np.unique(text * len(self.terms) + number[known], return_counts=True)
+        text, number = np.divmod(found, len(self.terms))
+        bounds = np.searchsorted(text, np.arange(len(texts) + 1)).tolist()
+        return [(number[a:b], counts[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def weights(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -67,8 +87,8 @@ def vector(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> tuple[np.n
 class BlockMaxIndex:
     """Inverted lists of unit vectors in blocks, with each list's largest weight per block."""
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]]):
-        self.size = len(vectors)
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, ids: np.ndarray):
+        self.size, self.ids = len(vectors), ids
         term = np.concatenate([t for t, _ in vectors]) if vectors else np.zeros(0, np.int64)
         weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
         doc = np.repeat(np.arange(self.size), [len(t) for t, _ in vectors])
@@ -79,7 +99,7 @@ class BlockMaxIndex:
         self.cell_start = np.append(first, len(cell))
         self.cell_block = self.doc[first] // BLOCK
         self.cell_max = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
-        self.term_start = np.searchsorted(term[first], np.arange(SIZE + 1))
+        self.term_start = np.searchsorted(term[first], np.arange(n_terms + 1))
         self.blocks = -(-self.size // BLOCK)
 
     def nearest(self, terms: np.ndarray, weight: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
@@ -92,9 +112,10 @@ class BlockMaxIndex:
         order = np.argsort(-bound, kind="stable")
         score, at, floor, step = np.zeros(self.size), 0, 0.0, 4
         opened = np.zeros(self.blocks, bool)
-        while at < self.blocks and bound[order[at]] > floor:
+        # a block that can only reach the floor may still hold a tie with a lower id
+        while at < self.blocks and bound[order[at]] >= floor and bound[order[at]] > 0:
             now = order[at: at + step]
-            now = now[bound[now] > floor]
+            now = now[(bound[now] >= floor) & (bound[now] > 0)]
             opened[:] = False
             opened[now] = True
             mine = np.flatnonzero(opened[block])
@@ -105,8 +126,9 @@ class BlockMaxIndex:
                 score[without] = 0
             if self.size > k:
                 floor = np.partition(score, self.size - k)[self.size - k]
-        best = np.argsort(-score, kind="stable")[:k]
+        best = np.flatnonzero(score >= floor) if floor else np.flatnonzero(score)
         best = best[score[best] > 0]
+        best = best[np.lexsort((self.ids[best], -score[best]))][:k]
         return best, score[best]
 
 
@@ -131,7 +153,7 @@ class Voter:
         self.stands = np.array([sizes.get(c, 0) / max(1, have[c]) for c in (0, 1)])[self.labels]
         self.share = (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 2)
         vectors = [vectors[i] for i in by]
-        self.index = BlockMaxIndex(vectors)
+        self.index = BlockMaxIndex(vectors, len(idf), self.ids)
         self.a, self.b = 1.0, 0.0
         votes = np.array([self.vote(t, w, i)[0] for i, (t, w) in enumerate(vectors)])
         if have.min() > 0:
@@ -151,10 +173,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, l
     evidence (the nearest examples with similarity and label)."""
     spark, texts = docs.sparkSession, two_columns(docs, id_col, text_col)
     few, sizes = sampled(texts, learnable(labels, label_col, id_col), PER_CLASS)
-    counts = feature_counts(texts, lambda found: [t for t, _ in term_lists(found)], SIZE)
-    total = texts.count()
-    idf = np.log((total + 1) / (counts + 1))
-    voter = _voter(few, idf, sizes)
+    examples = _examples(few)
+    vocabulary = Vocabulary(np.concatenate([e[2] for e in examples])) if examples else None
+    voter = None
+    if examples:
+        known = spark.sparkContext.broadcast(vocabulary)
+        counts = feature_counts(texts, lambda found: [t for t, _ in known.value.lists(found)], len(vocabulary.terms))
+        idf = np.log((texts.count() + 1) / (counts + 1))
+        lists = [(np.searchsorted(vocabulary.terms, terms), count) for _, _, terms, count in examples]
+        voter = Voter([e[0] for e in examples], [e[1] for e in examples], lists, idf, sizes)
+        voter.vocabulary = vocabulary
     shared = spark.sparkContext.broadcast(voter)
 
     def score(ids, found):
@@ -162,7 +190,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, l
         if v is None:
             return {"doc_id": ids, "score": [0.5] * len(ids), "evidence": [[] for _ in ids]}
         logits, evidence = [], []
-        for terms, count in term_lists(found):
+        for terms, count in v.vocabulary.lists(found):
             x, near, similar = v.vote(*vector(terms, count, v.idf))
             logits.append(x)
             evidence.append([{"doc_id": int(v.ids[i]), "similarity": float(s), "label": int(v.labels[i])}
@@ -175,27 +203,21 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, l
         (F.col("score") >= F.lit(threshold)).cast("int").alias("predicted"), "evidence")
 
 
-def _voter(few: DataFrame, idf: np.ndarray, sizes: dict[int, int]) -> Voter | None:
-    """The index over the bounded sample; terms are counted in the tasks."""
+def _examples(few: DataFrame) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(id, label, distinct terms, counts) of the bounded sample; terms are counted in the tasks."""
     def run(batches):
         for batch in batches:
             labels, seen = batch.column("label").to_pylist(), 0
             for ids, found in text_slices([batch]):
-                lists = term_lists(found)
+                terms, starts = terms_of(found)
+                lists = [np.unique(terms[2 * a: 2 * b], return_counts=True) for a, b in zip(starts[:-1], starts[1:])]
                 yield pa.RecordBatch.from_pydict({
                     "id": pa.array(ids, pa.int64()), "label": pa.array(labels[seen: seen + len(ids)], pa.int32()),
-                    "terms": pa.array([t.astype(np.int32).tobytes() for t, _ in lists], pa.binary()),
+                    "terms": pa.array([t.tobytes() for t, _ in lists], pa.binary()),
                     "counts": pa.array([c.astype(np.int32).tobytes() for _, c in lists], pa.binary())})
                 seen += len(ids)
 
     rows = (few.select("doc_id", "text", "label").mapInArrow(run, "id long, label int, terms binary, counts binary")
-            .withColumn("order", F.xxhash64("id")).orderBy("order", "id"))
-    ids, labels, found, size = [], [], [], 0
-    for r in rows.toLocalIterator():        # at most 2 * PER_CLASS rows and MAX_TERMS terms
-        size += len(r["terms"]) // 4
-        if size > MAX_TERMS:
-            break
-        ids.append(r["id"])
-        labels.append(r["label"])
-        found.append((np.frombuffer(r["terms"], np.int32).astype(np.int64), np.frombuffer(r["counts"], np.int32).astype(np.int64)))
-    return Voter(ids, labels, found, idf, sizes) if ids else None
+            .orderBy(F.xxhash64("id"), "id"))
+    return [(r["id"], r["label"], np.frombuffer(r["terms"], np.uint64), np.frombuffer(r["counts"], np.int32).astype(np.int64))
+            for r in rows.toLocalIterator()]        # at most 2 * PER_CLASS rows

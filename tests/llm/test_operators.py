@@ -198,7 +198,7 @@ def test_block_max_search_equals_comparing_all():
         terms = np.unique(rng.zipf(1.4, rng.integers(0, 60)) % 900)
         w = rng.random(len(terms))
         vectors.append((terms, w / np.sqrt(w @ w) if len(w) else w))
-    index = toxicity.BlockMaxIndex(vectors)
+    index = toxicity.BlockMaxIndex(vectors, 900, np.arange(700))
     dense = np.zeros((700, 900))
     for i, (t, w) in enumerate(vectors):
         dense[i, t] = w

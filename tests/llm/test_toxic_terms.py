@@ -1,6 +1,10 @@
-"""Rare and common terms both count towards toxicity's cosine."""
+"""Rare and common terms both count towards toxicity's cosine, and the cosine is exact."""
 
-from gasledger.llm import toxicity
+import math
+from collections import Counter
+
+from gasledger.llm import quality_model, toxicity
+from gasledger.llm.labelled import sampled
 from gasledger.llm.labelled import FOLDS
 
 
@@ -36,3 +40,53 @@ def test_a_hot_source_s_terms_keep_their_weight(spark):
     out = scores(spark, texts, toxic)
     assert out[1499].evidence and all(e.label == 1 for e in out[1499].evidence)
     assert out[1499].score > out[next(i for i in range(300, 1100))].score
+
+
+def test_evidence_is_the_exact_cosine_over_the_examples_vocabulary(spark):
+    known = learnt(40)
+    texts = {i: " ".join(f"Word{(i * k) % 23}x{k % 5}" for k in range(1, 4 + i % 9)) for i in range(120)}
+    toxic = {i: i % 2 for i in known}
+    out = scores(spark, texts, toxic)
+
+    def bag(text):
+        words = text.lower().split()
+        return Counter([("w", w) for w in words] + [("h", w[:toxicity.PREFIX]) for w in words])
+
+    bags = {i: bag(t) for i, t in texts.items()}
+    vocabulary = {t for i in known for t in bags[i]}
+    idf = {t: math.log((len(texts) + 1) / (sum(t in b for b in bags.values()) + 1)) for t in vocabulary}
+
+    def unit(b):
+        v = {t: (1 + math.log(c)) * idf[t] for t, c in b.items() if t in vocabulary}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()} if size else v
+
+    units = {i: unit(b) for i, b in bags.items()}
+    for i in texts:
+        cosines = {e: sum(x * units[e].get(t, 0) for t, x in units[i].items()) for e in known}
+        want = sorted((round(-c, 9), e) for e, c in cosines.items() if c > 0)[:toxicity.EVIDENCE]
+        assert [(round(-e.similarity, 9), e.doc_id) for e in out[i].evidence] == want
+
+
+def test_equal_examples_are_told_in_the_order_of_their_ids(spark):
+    known = learnt(400)
+    texts = {i: "always the same words" if i in known[10:60] else f"other{i}" for i in range(400)}
+    out = scores(spark, texts, {i: i % 2 for i in known})
+    assert [e.doc_id for e in out[known[20]].evidence] == known[10:10 + toxicity.EVIDENCE]
+
+
+def test_labels_of_absent_documents_are_not_sampled(spark):
+    """100 documents, 20,000 labels: the sample is taken from the documents that exist."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(100)], "doc_id long, text string")
+    known = spark.range(20_000).selectExpr("id as doc_id", "cast(id % 2 as int) as label")
+    few, sizes = sampled(docs, known, 100)
+    assert few.count() == 100 and sizes == {0: 50, 1: 50}
+
+
+def test_a_repeated_id_is_one_example(spark):
+    docs = spark.createDataFrame([(7, f"text {i % 3}") for i in range(5000)] + [(8, "other")], "doc_id long, text string")
+    known = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, label int")
+    few, sizes = sampled(docs, known, 1024)
+    assert sorted(tuple(r) for r in few.collect()) == [(7, "text 0", 1), (8, "other", 0)] and sizes == {0: 1, 1: 1}
+    labels = known.withColumnRenamed("label", "quality")
+    assert quality_model.score_quality(docs, labels).count() == 5001
