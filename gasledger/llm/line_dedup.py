@@ -16,8 +16,9 @@ DataFrame functions only.  Chunk hashes are pre-aggregated before the shuffle
 and a hot chunk's rows meet only its one first row, so no group is gathered.
 
 Defined results: null text stays null and has no lines; an empty text is one
-empty line; documents with the same id are told apart by nothing, so ids should
-be unique; an empty table gives an empty result.
+empty line; rows are known by id and a hash of their text, so rows that share an id
+but not a text are told apart, and rows that repeat both count as one document; a null
+id comes before all others; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -52,28 +53,28 @@ def chunks(text: Column) -> Column:
 
 
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, gone): the numbers of each document's chunks that repeat an earlier one."""
+    """(id, key, gone): the numbers of each document's chunks that repeat an earlier one."""
     exploded = (docs.where(F.col(text_col).isNotNull())
-                .select(F.col(id_col).alias("doc_id"), F.posexplode(chunks(F.col(text_col))).alias("k", "c"))
+                .select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"),
+                        F.posexplode(chunks(F.col(text_col))).alias("k", "c"))
                 .where(F.col("c.worded") >= MIN_LINES)
-                .select("doc_id", "k", F.xxhash64("c.text").alias("h"), F.col("c.text").alias("chunk")))
+                .select("id", "key", "k", F.xxhash64("c.text").alias("h"), F.col("c.text").alias("chunk")))
     # aggregates are stored before they are joined: only a join whose two sides are plain
     # exchanges has its hot partitions split
     often = stored(exploded.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "hashes")
     again = stored(exploded.join(often, "h", "left_semi"), "chunks")
-    first = stored(again.groupBy("h", "chunk").agg(F.min(F.struct("doc_id", "k")).alias("first")), "first")
+    first = stored(again.groupBy("h", "chunk").agg(F.min(F.struct("id", "key", "k")).alias("first")), "first")
     # the join on the chunk itself is the byte comparison
     return (again.join(first, ["h", "chunk"])
-            .where(F.struct("doc_id", "k") != F.col("first"))
-            .groupBy("doc_id").agg(F.collect_set("k").alias("gone")))
+            .where(~F.struct("id", "key", "k").eqNullSafe(F.col("first")))
+            .groupBy("id", "key").agg(F.collect_set("k").alias("gone")))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated chunks cut out of the text, plus a struct ``line_dedup`` of
     n_lines, n_chunks, n_removed_chunks and n_removed_lines."""
     gone = repeated_chunks(docs, id_col, text_col)
-    gone = gone.select(F.col("doc_id").alias("_gone_id"), "gone")
-    parts = F.transform(chunks(F.col(text_col)), lambda c, k: F.struct(
+    parts = F.transform(chunks(F.col("text")), lambda c, k: F.struct(
         c["text"].alias("text"), c["lines"].alias("lines"),
         F.coalesce(F.array_contains(F.col("gone"), k), F.lit(False)).alias("out")))
 
@@ -87,10 +88,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                      count(out).alias("n_removed_lines")).alias("figures"))
 
     zero = F.struct(*[F.lit(0).cast("long").alias(c) for c in ("n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines")])
-    names = [F.col("b.text").alias(text_col) if c == text_col else F.col(c) for c in docs.columns]
-    return (docs.join(gone, F.col(id_col) == F.col("_gone_id"), "left")
-            .withColumn("b", F.when(F.col(text_col).isNotNull(), let(parts, rebuilt)))
-            .select(*names, F.coalesce(F.col("b.figures"), zero).alias("line_dedup")))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"),
+                       F.col(text_col).alias("text"))
+    out = rows.join(gone, _same_row(rows, gone), "left").select(
+        "row", F.when(F.col("text").isNotNull(), let(parts, rebuilt)).alias("b"))
+    names = [F.col("b.text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
+    return out.select(*names, F.coalesce(F.col("b.figures"), zero).alias("line_dedup"))
 
 
 def pairs(text: Column) -> Column:
@@ -106,23 +109,40 @@ def pairs(text: Column) -> Column:
 
 
 def repeated_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, gone): each document's pairs of lines (struct<i, j>) that repeat an earlier one."""
-    exploded = (docs.where(F.col(text_col).isNotNull())
-                .select(F.col(id_col).alias("doc_id"), F.explode(pairs(F.col(text_col))).alias("p"))
-                .select("doc_id", "p.i", "p.j", F.xxhash64("p.text").alias("h"), F.col("p.text").alias("pair")))
-    often = stored(exploded.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "hashes")
-    again = stored(exploded.join(often, "h", "left_semi"), "pairs")
-    first = stored(again.groupBy("h", "pair").agg(F.min(F.struct("doc_id", "i")).alias("first")), "first")
-    return (again.join(first, ["h", "pair"])
-            .where(F.struct("doc_id", "i") != F.col("first"))
-            .groupBy("doc_id").agg(F.collect_set(F.struct("i", "j")).alias("gone")))
+    """(id, key, gone): each document's pairs of lines (struct<i, j>) that repeat an earlier one.
+
+    Only hashes of pairs are shuffled; the lines themselves are fetched for pairs whose hash
+    repeats, and compared.
+    """
+    text = F.col(text_col)
+    rows = docs.where(text.isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    hashed = rows.select("id", "key", F.explode(pairs(F.col("text"))).alias("p")).select(
+        "id", "key", "p.i", "p.j", F.xxhash64("p.text").alias("h"))
+    # aggregates are stored before they are joined, as above
+    often = stored(hashed.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "hashes")
+    again = hashed.join(often.hint("merge"), "h", "left_semi")
+    places = stored(again.groupBy("id", "key").agg(F.collect_set(F.struct("i", "j", "h")).alias("places")), "places")
+    found = rows.join(places.hint("merge"), _same_row(rows, places)).select(
+        rows["id"], rows["key"], F.explode(let(F.split("text", "\n"), lambda lines: F.transform("places", lambda p: F.struct(
+            p["i"].alias("i"), p["j"].alias("j"), p["h"].alias("h"),
+            F.concat(F.get(lines, p["i"]), F.lit("\n"), F.get(lines, p["j"])).alias("pair"))))).alias("p"))
+    found = stored(found.select("id", "key", "p.*").distinct(), "pairs")
+    first = stored(found.groupBy("h", "pair").agg(F.min(F.struct("id", "key", "i")).alias("first")), "first")
+    return (found.join(first.hint("merge"), ["h", "pair"])
+            .where(~F.struct("id", "key", "i").eqNullSafe(F.col("first")))
+            .groupBy("id", "key").agg(F.collect_set(F.struct("i", "j")).alias("gone")))
+
+
+def _same_row(a: DataFrame, b: DataFrame) -> Column:
+    return a["id"].eqNullSafe(b["id"]) & (a["key"] == b["key"])
 
 
 def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the lines of runs that occur before (lowest doc_id, then place)."""
-    gone = repeated_pairs(docs, id_col, text_col)
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        gone.withColumnRenamed("doc_id", "gone_id"), F.col("id") == F.col("gone_id"), "left")
+    gone = stored(repeated_pairs(docs, id_col, text_col), "gone")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"),
+                       F.col(text_col).alias("text"))
+    rows = rows.join(gone.hint("merge"), _same_row(rows, gone), "left").select("row", "text", "gone")
     kept = let(F.split("text", "\n"), lambda lines: F.array_join(F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(lines) - 1),
                        F.flatten(F.transform("gone", lambda p: F.sequence(p["i"], p["j"])))),
