@@ -147,24 +147,3 @@ def test_hot_paths_run_in_whole_stage_codegen(spark, name):
                "ObjectHashAggregate(keys=[address#", "Union"}
     outside = {op for op in ops if not op.startswith("*(") and op not in allowed and not op.startswith("ObjectHash")}
     assert outside == set(), outside
-
-
-#: the JVM does not compile methods beyond this many bytes of bytecode
-JIT_LIMIT = 8000
-
-
-@pytest.mark.parametrize("name", ["decode_transfer_logs", "decode_large_amounts", "rpc_json_logs", "transfers_union", "transfers_enriched",
-                                  "quarantine_rows", "combined_all_wallets", "metrics_report_flat"])
-def test_generated_methods_are_small_enough_to_be_compiled(spark, name):
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    try:
-        df = queries()[name](spark, SF_SMALL)
-        spark.conf.set("spark.sql.adaptive.enabled", "false")      # the whole plan at once, without running it
-        df = df.select("*")
-        plan = df._jdf.queryExecution().executedPlan()
-        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
-        stages = debug.codegenStringSeq(plan)
-        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.length())]
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
-    assert sizes and max(sizes) < JIT_LIMIT
