@@ -192,9 +192,18 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta:
 
     Texts are measured twice, for the cutoffs and for the verdict, rather than shuffled.
     """
-    cuts = stored(_wide(cutoffs(measured(docs), labels, risk, delta)), "cutoffs")
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("lang"), F.lit("")).alias("stratum"),
-                       measures(F.col("text")).alias("m"))
-    rows = _binned(rows.select("row", "stratum", *[F.col(f"m.{c}").alias(c) for c in MEASURES]))
-    rows = rows.withColumn("base_failed", base_failed()).join(cuts, "stratum", "left")
-    return rows.where(verdict()).select("row.*")
+    m = _once(docs.select("doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("stratum"), "text"))
+    cuts = stored(_wide(cutoffs(m, labels, risk, delta)), "cutoffs")
+    rows = _once(docs.select(F.struct("*").alias("row"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("stratum"), "text"))
+    return rows.join(cuts, "stratum", "left").where(verdict()).select("row.*")
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """``rows`` with the measures of ``text`` in its place, bins and base_failed.
+
+    The measures come out of a generator: filters on them stay above it, where a
+    projection would repeat the measuring expression in each filter pushed below.
+    """
+    kept = [c for c in rows.columns if c != "text"]
+    m = rows.select(*kept, F.inline(F.array(measures(F.col("text")))))
+    return _binned(m).withColumn("base_failed", base_failed())
