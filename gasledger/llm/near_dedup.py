@@ -18,7 +18,8 @@ Per level, over all trees at once:
 - the rest of a larger node is compared with its most typical record (the one
   with most of its shingles shared) and one more, which connects what is close to
   either; if then at most ``FEW`` records lie outside the node's largest
-  component, these are compared with all others and the node is done;
+  component, these are compared with all others and the node is done (what two
+  records lack of the typical one bounds what they share, so few pairs remain);
 - what is left passes its records on to the next level.
 A bit sketch of the minwise tokens screens pairs (it keeps a pair at the
 threshold but for a chance below 1e-6); links are confirmed on the full sets.
@@ -148,7 +149,7 @@ def _summaries(docs: DataFrame, k: int, coords: int) -> DataFrame:
 
 
 def _expand(records: DataFrame, trees: int) -> DataFrame:
-    """Node rows (id, node, s1, s2): of every tree's second level, or the children of ``node``."""
+    """Node rows (id, node, s1, s2, size): of every tree's second level, or the children of ``node``."""
     rooted = "node" in records.columns
 
     def run(batches):
@@ -162,11 +163,11 @@ def _expand(records: DataFrame, trees: int) -> DataFrame:
             else:
                 nodes = second_level(tokens, trees)
             per = nodes.shape[1]
-            keep = {c: pa.array(np.repeat(batch.column(c).to_numpy(), per)) for c in ("id", "s1", "s2")}
+            keep = {c: pa.array(np.repeat(batch.column(c).to_numpy(), per)) for c in ("id", "s1", "s2", "size")}
             yield pa.RecordBatch.from_pydict({**keep, "node": pa.array(nodes.ravel().view(np.int64))})
 
-    columns = ["id", "s1", "s2", "tokens"] + (["node"] if rooted else [])
-    return records.select(*columns).mapInArrow(run, "id long, s1 long, s2 long, node long")
+    columns = ["id", "s1", "s2", "size", "tokens"] + (["node"] if rooted else [])
+    return records.select(*columns).mapInArrow(run, "id long, s1 long, s2 long, size long, node long")
 
 
 def _apart(x: Column, y: Column) -> Column:
@@ -180,12 +181,13 @@ def _bits_allowed(percent: int) -> int:
     return math.ceil(BITS * p + 6 * math.sqrt(BITS * p * (1 - p)))
 
 
-_ME = ("comp", "id", "s1", "s2")
+_ME = ("comp", "id", "s1", "s2", "size")
 
 
 def _close(x: Column, y: Column, percent: int) -> Column:
-    """Whether two records of different components may reach the similarity."""
-    return (x["comp"] != y["comp"]) & (_apart(x, y) <= _bits_allowed(percent))
+    """Whether two records of different components may reach the similarity, by their sizes and sketches."""
+    sized = 100 * F.least(x["size"], y["size"]) >= percent * F.greatest(x["size"], y["size"])
+    return (x["comp"] != y["comp"]) & sized & (_apart(x, y) <= _bits_allowed(percent))
 
 
 def _pair(df: DataFrame) -> DataFrame:
@@ -210,35 +212,58 @@ def _against_two(large: DataFrame, ends: DataFrame, percent: int) -> DataFrame:
 def _against_all(few: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs of the records outside a node's largest component (``top``) with all of the node.
 
-    What two records share lies inside the node's most typical record, where
-    each holds ``both`` shingles, or outside, where each shares ``shared - both``
-    with any other; pairs that cannot reach the similarity so are left out.
+    What two records share lies inside the node's most typical record, less what either
+    of them lacks of it, or outside, where each shares ``shared - both`` with any other;
+    pairs that cannot reach the similarity so are left out.
     """
-    me = F.struct(*_ME, "all", "shared", "both")
+    me = F.struct(*_ME, "all", "shared", "both", "lacks")
     x, y = F.col("x"), F.col("y")
     outside = lambda r: F.greatest(r["shared"] - r["both"], F.lit(0))
-    most = F.least(x["both"], y["both"]) + F.least(outside(x), outside(y))
-    out = few.where(F.col("comp") != F.col("top")).select("node", me.alias("x"))
+    reaches = lambda inside: _reaches(inside + F.least(outside(x), outside(y)), x["all"] + y["all"], percent)
+    lack = F.aggregate(F.zip_with(x["lacks"], y["lacks"], lambda a, b: F.bit_count(a.bitwiseOR(b))), F.lit(0), lambda a, n: a + n)
+    out = few.where(F.col("comp") != F.col("top")).select("node", "whole", me.alias("x"))
     near = out.join(few.select("node", me.alias("y")), "node").where(
-        _close(x, y, percent) & (100 * most >= percent * (x["all"] + y["all"] - most)))
+        _close(x, y, percent) & reaches(F.least(x["both"], y["both"])) & reaches(F.col("whole") - lack))
     return _pair(near)
 
 
+def _reaches(most: Column, sizes: Column, percent: int) -> Column:
+    """Whether sets of ``sizes`` together with at most ``most`` in common can reach the similarity."""
+    return 100 * most >= percent * (sizes - most)
+
+
 def _overlap(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, both, either): shingles that both and that either of the full sets hold."""
-    sides = (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
-             .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b"))
+    """(a, b, both, either, lacks): shingles that both and that either of the full sets hold, and
+    a bit for each place of b's shingles that a lacks.
+
+    Places are hashes over at least twice as many bits as b has shingles, so the bits set in the
+    ``lacks`` of either of two records never exceed the shingles of b that they lack together.
+    """
+    pairs = stored(pairs, "compared")
+
+    def side(end: str) -> DataFrame:    # only sets that are asked for cross the shuffle of the pairs
+        mine = sets.select(F.col("id").alias(end), F.col("shingles").alias(f"s{end}"))
+        return mine.join(pairs.select(end).distinct(), end, "left_semi")
+
+    sides = pairs.join(side("a"), "a").join(side("b"), "b")
+
+    def compared(x, y):
+        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        held = np.isin(y, x, assume_unique=True)
+        bits = np.zeros(64 * (len(y) // 32 + 1), np.uint8)
+        bits[mixed(y[~held]) % np.uint64(len(bits))] = 1
+        both = int(held.sum())
+        return both, len(x) + len(y) - both, np.packbits(bits).view(np.int64)
 
     def run(batches):
         for batch in batches:
-            both = [np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True).size
-                    for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())]
-            sizes = [(len(x) + len(y)) // 8 for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())]
+            found = [compared(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("sa"), batch.column("sb"))]
             yield pa.RecordBatch.from_pydict({
-                "a": batch.column("a"), "b": batch.column("b"), "both": pa.array(both, pa.int64()),
-                "either": pa.array([s - n for s, n in zip(sizes, both)], pa.int64())})
+                "a": batch.column("a"), "b": batch.column("b"), "both": pa.array([f[0] for f in found], pa.int64()),
+                "either": pa.array([f[1] for f in found], pa.int64()),
+                "lacks": pa.array([f[2] for f in found], pa.list_(pa.int64()))})
 
-    return sides.mapInArrow(run, "a long, b long, both long, either long")
+    return sides.mapInArrow(run, "a long, b long, both long, either long, lacks array<long>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -253,8 +278,8 @@ def near_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERC
     trees = trees_for(recall, percent / 100)
     seen = stored(_summaries(texts, k, trees * POOL), "summaries")
     groups = seen.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2")
-    records = stored(groups.agg(F.min(F.struct("doc_id", "s1", "s2", "tokens")).alias("r"))
-                     .select("d1", "d2", F.col("r.doc_id").alias("id"), "r.s1", "r.s2", "r.tokens"), "records")
+    records = stored(groups.agg(F.min(F.struct("doc_id", "s1", "s2", F.col("n_shingles").alias("size"), "tokens")).alias("r"))
+                     .select("d1", "d2", F.col("r.doc_id").alias("id"), "r.s1", "r.s2", "r.size", "r.tokens"), "records")
     labels = _joined(texts, records, k, percent, trees)
     member = (seen.join(records.select("d1", "d2", F.col("id").alias("rep")), ["d1", "d2"], "left")
               .join(labels.withColumnRenamed("id", "rep"), "rep", "left"))
@@ -291,15 +316,17 @@ def _joined(texts: DataFrame, records: DataFrame, k: int, percent: int, trees: i
         large = large.join(ends.select("node", F.col("high.id").alias("typical")), "node")
         inside = stored(_overlap(large.select(F.col("id").alias("a"), F.col("typical").alias("b")).distinct(), sets), "inside")
         large = large.join(inside.withColumnsRenamed({"a": "id", "b": "typical"}), ["id", "typical"])
-        large = stored(_relabelled(large.select("id", "node", "s1", "s2", "all", "shared", "both"), labels), "large")
+        whole = (F.col("either") + F.col("both") - F.col("all")).alias("whole")    # of the typical record
+        large = large.select("id", "node", "s1", "s2", "size", "all", "shared", "both", "lacks", whole)
+        large = stored(_relabelled(large, labels), "large")
         left = stored(_unsettled(large), "unsettled")
         few = large.join(left.where(F.col("others") <= FEW), "node")
-        links = stored(links.union(_confirmed(stored(_against_all(few, percent).distinct(), "pairs"), sets, percent)), "links")
+        links = stored(links.union(_confirmed(_against_all(few, percent).distinct(), sets, percent)), "links")
         many = left.where(F.col("others") > FEW)
         if many.isEmpty():
             return components(links)
         rows = large.join(many.select("node"), "node", "left_semi").select("id", "node").distinct()
-        rows = _relabelled(_expand(rows.join(records.select("id", "s1", "s2", "tokens"), "id"), trees), labels)
+        rows = _relabelled(_expand(rows.join(records.select("id", "s1", "s2", "size", "tokens"), "id"), trees), labels)
     raise AssertionError("unreachable")
 
 
@@ -350,5 +377,6 @@ def drop_near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int =
 
     Of rows that repeat an id all stay, as nothing tells them apart; a null id stays.
     """
-    gone = near_components(docs, k, percent).where("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = near_components(docs, k, percent).where("not kept").select(F.col("doc_id").alias("gone"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))    # whatever the columns are called
+    return rows.join(gone, F.col("id") == F.col("gone"), "left_anti").select("row.*")

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gasledger.llm import near_dedup
 
@@ -43,3 +44,31 @@ def test_a_tree_loses_what_is_stated(similarity):
     together = np.mean([(missed[:, a] & missed[:, b]).mean() for a in range(trees) for b in range(a)])
     assert together < missed.mean() ** 2 + 5 * missed.mean() / np.sqrt(missed.size)
     assert stated ** near_dedup.trees_for(0.99999, similarity) <= 1e-5
+
+
+def test_what_records_lack_bounds_what_they_share(spark):
+    rng = np.random.default_rng(5)
+    whole = rng.integers(0, 2**64, 300, dtype=np.uint64)
+    sets = {0: whole, 1: whole[:0]} | {i: np.concatenate([whole[rng.random(300) < keep], rng.integers(0, 2**64, 9, dtype=np.uint64)])
+                                      for i, keep in enumerate([1, 0.98, 0.95, 0.9, 0.8, 0.5, 0.1, 0], 2)}
+    stored = spark.createDataFrame([(i, np.sort(s).tobytes()) for i, s in sets.items()], "id long, shingles binary")
+    pairs = spark.createDataFrame([(i, 0) for i in sets if i], "a long, b long")
+    found = {r["a"]: r for r in near_dedup._overlap(pairs, stored).collect()}
+    held = {i: set(s.tolist()) for i, s in sets.items()}
+    for i, r in found.items():
+        assert (r["both"], r["either"]) == (len(held[i] & held[0]), len(held[i] | held[0]))
+    for i, x in found.items():
+        for j, y in found.items():
+            bound = 300 - sum((((a | b) & (2**64 - 1)).bit_count()) for a, b in zip(x["lacks"], y["lacks"]))
+            assert bound >= len(held[i] & held[j] & held[0])
+            if i != j and {i, j} <= {3, 4, 5, 6}:     # those that lack a twentieth to a fifth, each its own
+                assert bound < min(x["both"], y["both"])
+
+
+def test_rows_keep_columns_of_any_name(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text), (2, text), (3, "other words here")], "doc_id long, text string")
+    docs = docs.select("doc_id", "text", *[F.lit(7).alias(c) for c in ("gone", "_gone", "id", "row", "comp", "size")])
+    kept = near_dedup.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
