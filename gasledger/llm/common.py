@@ -69,7 +69,13 @@ def worker_cache() -> dict:
 
 
 def hash_words(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts end to end, and each text's first index (with the total last).
+    """Hashes of the words of all texts end to end, and each text's first index (with the total last)."""
+    hashes, _, starts = hash_words_and_heads(texts, lower, 0)
+    return hashes, starts
+
+
+def hash_words_and_heads(texts: list[bytes], lower: bool, head: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts end to end, of their first ``head`` bytes, and each text's first index.
 
     Words are what is between ``[\\x20\\x09-\\x0D]``; ``lower`` hashes A-Z as a-z.  A word's
     hash is a polynomial over random values of its bytes, for all words at once.
@@ -81,12 +87,16 @@ def hash_words(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.
     np.cumsum([len(t) + 1 for t in texts], out=begins[1:])
     starts = np.searchsorted(begin, begins)
     if not len(begin):
-        return np.zeros(0, np.uint64), starts
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), starts
     length = np.flatnonzero(inside[:-1] & ~inside[1:]) - begin
     first = np.cumsum(length) - length
     place = np.arange(int(length.sum())) - np.repeat(first, length)
     terms = (_LOWER_VALUE if lower else _BYTE_VALUE)[flat[inside[1:]]] * _powers(int(length.max()))[place]
-    return mixed(np.add.reduceat(terms, first) + length.astype(np.uint64) * _MUL), starts
+    heads = np.minimum(length, head).astype(np.uint64) * _MUL
+    for i in range(head):
+        long = np.flatnonzero(length > i)
+        heads[long] += terms[first[long] + i]
+    return mixed(np.add.reduceat(terms, first) + length.astype(np.uint64) * _MUL), mixed(heads), starts
 
 
 def _powers(n: int) -> np.ndarray:

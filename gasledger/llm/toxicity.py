@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gasledger.llm.common import hash_words, map_arrow, mixed, text_slices, two_columns
+from gasledger.llm.common import hash_words_and_heads, map_arrow, mixed, text_slices, two_columns
 from gasledger.llm.labelled import feature_counts, held_out, learnable, logistic, sampled, squashed
 
 PREFIX = 4
@@ -40,9 +40,7 @@ EVIDENCE = 5            # neighbours reported with each score
 
 def terms_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The terms of all texts end to end (two a word), and the number of each text's first word."""
-    lowered = [t.lower() for t in texts]
-    words, starts = hash_words(lowered)
-    heads, _ = hash_words([b" ".join([w[:PREFIX] for w in t.split()]) for t in lowered])
+    words, heads, starts = hash_words_and_heads(texts, True, PREFIX)
     return np.stack([words, mixed(heads + np.uint64(99))], axis=1).ravel(), starts
 
 
