@@ -33,7 +33,7 @@ from gasledger.llm.labelled import feature_counts, held_out, learnable, logistic
 
 PREFIX = 4
 PER_CLASS = 1024        # labelled documents of each class that are indexed
-BLOCK = 128
+BLOCK = 256
 NEAREST = 24
 EVIDENCE = 5            # neighbours reported with each score
 
