@@ -42,9 +42,20 @@ def wei(gas_used: Column | str, gas_price: Column | str) -> Column:
     """``gas_used * effective_gas_price`` in wei, exact (``decimal(38,0)``).
 
     Two uint64 factors need at most 40 digits, but real gas costs are far below
-    1e38; ANSI mode turns an overflow into an error, never a silent wrap.
+    1e38; an overflow is an error in either ANSI mode, never a wrap or a lost row.
     """
-    return (to_uint(gas_used) * to_uint(gas_price)).cast("decimal(38,0)")
+    gas, price = to_uint(gas_used), to_uint(gas_price)
+    product = (gas * price).cast("decimal(38,0)")
+    return F.coalesce(product, F.when(gas.isNotNull() & price.isNotNull(), _too_large()))
+
+
+def _too_large() -> Column:
+    return F.raise_error(F.lit("an amount of wei exceeds 38 digits")).cast("decimal(38,0)")
+
+
+def wei_sum(col: Column | str) -> Column:
+    """Sum of exact wei; a sum beyond 38 digits is an error in either ANSI mode (NULL only without values)."""
+    return F.coalesce(F.sum(_c(col)).cast("decimal(38,0)"), F.when(F.count(_c(col)) > 0, _too_large()))
 
 
 def wei_to_eth(wei_col: Column | str) -> Column:

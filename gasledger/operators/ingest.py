@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gasledger.constants import USDC_CONTRACT
+from gasledger.constants import BUCKET_BLOCKS, USDC_CONTRACT
 from gasledger.functions.units import js_default, try_to_uint, utc_now
 from gasledger.operators import decode
 from gasledger.operators.decode import in_block_range
@@ -103,8 +103,15 @@ def enrich(
     lo: int | None = None,
     hi: int | None = None,
     receipt_columns: tuple[str, ...] = ("gas_used", "effective_gas_price"),
+    prune: bool = False,
 ) -> DataFrame:
-    """Join each event with its receipt (inner) and its block time (inner)."""
+    """Join each event with its receipt (inner) and its block time (inner).
+
+    ``prune`` first limits landed receipts and headers to the events' block buckets
+    (:func:`in_buckets_of`): for few wallets, whose events lie in few buckets.
+    """
+    if prune:
+        blocks, receipts = in_buckets_of(deduped, blocks), in_buckets_of(deduped, receipts)
     bucket = [c for c in ("block_bucket",) if c in receipts.columns]
     r = in_block_range(receipts.select("transaction_hash", "block_number", *receipt_columns, *bucket), lo, hi)
     r = r.drop(*bucket)
@@ -112,6 +119,18 @@ def enrich(
         _range_blocks(blocks, lo, hi), "block_number", "inner")
 
 
+def in_buckets_of(events: DataFrame, landed: DataFrame) -> DataFrame:
+    """Rows of a landed table whose block bucket holds an event; other folders are not read.
+
+    The buckets prune the scan at run time.  They are broadcast: one number per
+    ``BUCKET_BLOCKS`` blocks of the chain at most, a few hundred in all.
+    """
+    if "block_bucket" not in landed.columns:
+        return landed
+    buckets = events.select(F.floor(F.col("block_number") / BUCKET_BLOCKS).cast("long").alias("block_bucket")).distinct()
+    return landed.join(F.broadcast(buckets), "block_bucket", "left_semi")
+
+
 def matched(deduped: DataFrame, blocks: DataFrame, receipts: DataFrame) -> DataFrame:
     """Each event once with its receipt and block time, or nulls where one is missing.
 

@@ -37,6 +37,7 @@ from gasledger.functions.units import (
     to_uint,
     utc_date,
     wei,
+    wei_sum,
     wei_to_eth,
     wei_to_gwei,
 )
@@ -78,7 +79,7 @@ def daily_totals(
     keys = ["address", "date"] if per_address else ["date"]
     return priced(transfers, wallets, normalize).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("events_collected"),
-        F.sum("wei").alias("wei"),
+        wei_sum("wei").alias("wei"),
         F.sum("price").alias("price_sum"),
         F.count("price").alias("price_n"),
         F.min("block_number").alias("block_min"),
@@ -188,7 +189,7 @@ def address_summary(transfers: DataFrame, wallets: Wallets = None, normalize: bo
         F.max("block_number").alias("blocks_scanned_end"),
         F.min("date").alias("period_start"),
         F.max("date").alias("period_end"),
-        wei_to_eth(F.sum("wei")).alias("total_gas_cost_eth"),
+        wei_to_eth(wei_sum("wei")).alias("total_gas_cost_eth"),
     )
 
 

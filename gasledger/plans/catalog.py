@@ -25,6 +25,7 @@ from gasledger.sources import testdata as td
 from gasledger.sources.schemas import MONTH_COLUMN, TRANSFER_COLUMNS
 from gasledger.streaming import daily as live
 from gasledger.streaming import ingest as stream
+from gasledger.streaming import windows
 
 WALLET = td.test_wallet(13)
 LOG_WALLET = td.test_wallet(3)
@@ -83,13 +84,23 @@ def _ingested_ledger(spark: SparkSession, sf_dir: str, updated_at: bool = True)
     )
 
 
+ENRICHED = ["wallet_address", "block_number", "transaction_hash", "log_index", "from_address", "to_address", "value", "timestamp",
+            "gas_used as receipt_gas_used", "effective_gas_price as receipt_effective_gas_price"]
+
+
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = ingest.enrich(_deduped(spark, sf_dir), td.raw_blocks(spark, sf_dir), td.raw_receipts(spark, sf_dir))
-    return e.select(
-        "wallet_address", "block_number", "transaction_hash", "log_index", "from_address", "to_address",
-        "value", "timestamp", F.col("gas_used").alias("receipt_gas_used"),
-        F.col("effective_gas_price").alias("receipt_effective_gas_price"),
-    )
+    return e.selectExpr(*ENRICHED)
+
+
+def _landed_wallet_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One wallet's events over landed logs; their block buckets prune receipts and headers at run time."""
+    apply_runtime_defaults(spark)
+    path = _landed_chain(spark, sf_dir)
+    events = ingest.dedup_last(ingest.wallet_transfers(landing.read_raw_logs(spark, f"{path}/logs"), LOG_WALLET))
+    e = ingest.enrich(events, landing.read_raw_blocks(spark, f"{path}/blocks"),
+                      landing.read_raw_receipts(spark, f"{path}/receipts"), prune=True)
+    return e.selectExpr(*ENRICHED)
 
 
 def _receipt_logs_array(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,6 +175,7 @@ def _ingest_queries() -> dict[str, Query]:
         "landed_wallet_transfers_dedup": lambda s, d: ingest.dedup_last(
             ingest.wallet_transfers(_landed_logs(s, d), LOG_WALLET)),
         "transfers_enriched": _enriched,
+        "landed_wallet_enriched": _landed_wallet_enriched,
         "missing_receipts": lambda s, d: ingest.missing_receipts(_deduped(s, d), td.raw_receipts(s, d)),
         "receipt_logs_array": _receipt_logs_array,
         "transfers_flat": _flat,
@@ -335,11 +347,24 @@ def _stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.read_totals(spark, f"{run}/table")
 
 
+def _stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows dealt so that every batch brings days before those of the last one."""
+    apply_runtime_defaults(spark)
+    run = scratch_path(spark, f"stream_windows/{uuid.uuid4().hex}")
+    rows = td.reread_transfers(spark, sf_dir)
+    files = _once(spark, sf_dir, "reread_late", lambda p: rows.repartition(3, "transaction_hash", "updated_at")
+                  .write.mode("errorifexists").parquet(p))
+    ledger = stream.file_stream(spark, files, rows.schema, files_per_trigger=1)
+    stream.run_to_end(windows.start_window_metrics(ledger, f"{run}/table", f"{run}/checkpoint", trigger={"availableNow": True}))
+    return windows.read_metrics(spark, f"{run}/table")
+
+
 def _stream_queries() -> dict[str, Query]:
     return {
         "stream_ingest": _stream_ingest,
         "stream_daily_gas": lambda s, d: live.daily_cost_from_totals(_stream_totals(s, d)),
         "stream_combined_metrics": lambda s, d: metrics.combined_from_totals(_stream_totals(s, d), ordered=False),
+        "stream_window_metrics": _stream_windows,
     }
 
 

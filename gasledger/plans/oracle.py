@@ -253,6 +253,10 @@ def _ingest_sql() -> dict[str, str]:
 SELECT wallet_address, block_number, transaction_hash, log_index, from_address, to_address, value,
        "timestamp", gas_used AS receipt_gas_used, effective_gas_price AS receipt_effective_gas_price
 FROM enriched""",
+        "landed_wallet_enriched": ENRICHED_BASE + f"""
+SELECT wallet_address, block_number, transaction_hash, log_index, from_address, to_address, value,
+       "timestamp", gas_used AS receipt_gas_used, effective_gas_price AS receipt_effective_gas_price
+FROM enriched WHERE wallet_address = '{LOG_WALLET}'""",
         "missing_receipts": _with(LOGS, DECODED, UNION, DEDUP, RECEIPTS) + """
 SELECT * FROM dedup d WHERE NOT EXISTS (SELECT 1 FROM receipts r WHERE r.transaction_hash = d.transaction_hash)""",
         "receipt_logs_array": _with(LOGS, RECEIPTS) + """
@@ -415,4 +419,5 @@ FROM ma m JOIN summary s ON s.address = m.address"""
     sql["stream_ingest"] = sql["transfers_flat"]
     sql["stream_daily_gas"] = sql["daily_gas_cost"]
     sql["stream_combined_metrics"] = sql["combined_all_wallets"]
+    sql["stream_window_metrics"] = sql["combined_all_wallets"]
     return sql

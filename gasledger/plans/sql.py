@@ -27,16 +27,22 @@ _PRICED = f"""
          from_address AS address,
          block_number,
          {_uint('receipt_effective_gas_price')} AS price,
-         CAST({_uint('receipt_gas_used')} * {_uint('receipt_effective_gas_price')} AS DECIMAL(38,0)) AS wei
+         coalesce(CAST({_uint('receipt_gas_used')} * {_uint('receipt_effective_gas_price')} AS DECIMAL(38,0)),
+                  CASE WHEN receipt_gas_used IS NOT NULL AND receipt_effective_gas_price IS NOT NULL
+                  THEN CAST(raise_error('an amount of wei exceeds 38 digits') AS DECIMAL(38,0)) END) AS wei
   FROM {{transfers}}
   WHERE from_address = :wallet"""
 
+# a sum beyond 38 digits fails, in ANSI mode or not
+_TOTAL = """coalesce(CAST(sum(wei) AS DECIMAL(38,0)), CASE WHEN count(wei) > 0
+       THEN CAST(raise_error('an amount of wei exceeds 38 digits') AS DECIMAL(38,0)) END)"""
+
 ANALYTICS_SQL = {
     "daily_gas_cost": f"""
 WITH priced AS ({_PRICED})
 SELECT date, address,
-       CAST(sum(wei) AS DOUBLE) / 1e18 AS gas_cost_eth,
-       CAST(sum(wei) AS STRING) AS gas_cost_wei
+       CAST({_TOTAL} AS DOUBLE) / 1e18 AS gas_cost_eth,
+       CAST({_TOTAL} AS STRING) AS gas_cost_wei
 FROM priced GROUP BY date, address ORDER BY date""",
     "ma7_gas_price": f"""
 WITH priced AS ({_PRICED}),
@@ -48,7 +54,7 @@ SELECT date, ma7_wei, ma7_wei / 1e9 AS ma7_gwei FROM (
 ORDER BY date""",
     "cumulative_gas_cost": f"""
 WITH priced AS ({_PRICED}),
-daily AS (SELECT date, sum(wei) AS wei FROM priced GROUP BY date)
+daily AS (SELECT date, {_TOTAL} AS wei FROM priced GROUP BY date)
 SELECT date,
        CAST(sum(wei) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) / 1e18 AS cum_eth
 FROM daily ORDER BY date""",
@@ -57,12 +63,12 @@ WITH priced AS ({_PRICED})
 SELECT address, count(*) AS events_collected,
        min(block_number) AS blocks_scanned_start, max(block_number) AS blocks_scanned_end,
        min(date) AS period_start, max(date) AS period_end,
-       CAST(sum(wei) AS DOUBLE) / 1e18 AS total_gas_cost_eth
+       CAST({_TOTAL} AS DOUBLE) / 1e18 AS total_gas_cost_eth
 FROM priced GROUP BY address""",
     "combined_daily_metrics": f"""
 WITH priced AS ({_PRICED}),
 daily AS (
-  SELECT date, address, count(*) AS events_collected, sum(wei) AS wei,
+  SELECT date, address, count(*) AS events_collected, {_TOTAL} AS wei,
          CAST(sum(price) AS DOUBLE) / count(price) AS avg_price
   FROM priced GROUP BY date, address),
 windowed AS (

@@ -1,6 +1,7 @@
 """Plan shape: pushdown, pruning, one Window node, no cartesian joins."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from gasledger.plans.catalog import queries
 from gasledger.operators import metrics
@@ -135,6 +136,36 @@ def test_landed_blocks_and_receipts_prune_by_block_range(spark, scratch):
     assert got.count() > 0 and sorted(got.collect()) == sorted(want.collect())
 
 
+def test_events_prune_receipt_and_header_buckets(spark, scratch):
+    """Folders of buckets without an event are not opened: here their files hold no Parquet."""
+    import glob
+
+    from gasledger.operators import decode, ingest
+    from gasledger.session import local_path
+    from gasledger.sinks import raw_logs as landing
+
+    # a few hundred blocks spread over many buckets
+    spread = lambda df: df.withColumn("block_number", F.lit(td.BLOCK_BASE) + (F.col("block_number") - td.BLOCK_BASE) * 20000)
+    logs, blocks, receipts = (spread(f(spark, SF_SMALL)) for f in (td.raw_logs, td.raw_blocks, td.raw_receipts))
+    landing.write_raw_logs(logs, f"{scratch}/l")
+    landing.write_raw_blocks(blocks, f"{scratch}/b")
+    landing.write_raw_receipts(receipts, f"{scratch}/r")
+    events = ingest.dedup_last(ingest.transfers_union(decode.decode_transfer_logs(logs)))
+    want = ingest.enrich(events, blocks, receipts)
+    one = want.orderBy("block_number", "transaction_hash").first()
+    bucket = landing.bucket_of(one["block_number"])
+    for f in glob.glob(f"{local_path(scratch)}/[br]/block_bucket=*/*.parquet"):
+        if f"block_bucket={bucket}/" not in f:
+            with open(f, "wb") as out:
+                out.write(b"unread")
+    few = ingest.dedup_last(ingest.transfers_union(decode.decode_transfer_logs(landing.read_raw_logs(spark, f"{scratch}/l"))))
+    few = few.where(F.col("transaction_hash") == one["transaction_hash"])
+    got = ingest.enrich(few, landing.read_raw_blocks(spark, f"{scratch}/b"), landing.read_raw_receipts(spark, f"{scratch}/r"), prune=True)
+    assert plan(got).count("dynamicpruning") >= 2
+    expected = want.where(F.col("transaction_hash") == one["transaction_hash"])
+    assert sorted(got.collect()) == sorted(expected.select(*got.columns).collect()) != []
+
+
 @pytest.mark.parametrize("name", ["combined_all_wallets", "transfers_enriched", "metrics_report", "transfers_final"])
 def test_hot_paths_run_in_whole_stage_codegen(spark, name):
     df = queries()[name](spark, SF_SMALL)
