@@ -91,16 +91,18 @@ def cmd_ingest(spark: SparkSession, args) -> None:
         decoded = decode.decode_transfer_logs(logs, args.contract or None, args.from_block, args.to_block)
         union = ingest.transfers_union(decoded, wallets)
     deduped = ingest.dedup_last(union)
-    rows = ingest.ledger_rows(
-        deduped, blocks, _read(spark, args.receipts, "receipts", fmt), args.from_block, args.to_block,
-    )
+    receipts = _read(spark, args.receipts, "receipts", fmt)
+    if isinstance(wallets, str) and fmt == "landed":
+        # one wallet's events lie in few buckets: only theirs are read of headers and receipts
+        buckets = ingest.event_buckets(deduped)
+        blocks, receipts = ingest.in_buckets(blocks, buckets), ingest.in_buckets(receipts, buckets)
+    rows = ingest.ledger_rows(deduped, blocks, receipts, args.from_block, args.to_block)
     good, bad = ingest.split_quarantine(rows)
     sink.write_batch(good, args.table, args.run_id, "ingest", layout=args.layout,
                      wallets=stream.tracked(_wallets(args)), block=args.to_block)
     # what cannot be stored is set aside beside the table, under the same run
     aside = f"{args.table.rstrip('/')}_aside"
     bad.write.mode("overwrite").parquet(f"{aside}/malformed/run_id={args.run_id}")
-    receipts = _read(spark, args.receipts, "receipts", fmt)
     ingest.unmatched(deduped, blocks, receipts, args.from_block, args.to_block).write.mode("overwrite").parquet(
         f"{aside}/unmatched/run_id={args.run_id}")
     written = _written(spark, args.table, "ingest", args.run_id)

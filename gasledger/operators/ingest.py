@@ -108,10 +108,11 @@ def enrich(
     """Join each event with its receipt (inner) and its block time (inner).
 
     ``prune`` first limits landed receipts and headers to the events' block buckets
-    (:func:`in_buckets_of`): for few wallets, whose events lie in few buckets.
+    (:func:`event_buckets`): for few wallets, whose events lie in few buckets.
     """
     if prune:
-        blocks, receipts = in_buckets_of(deduped, blocks), in_buckets_of(deduped, receipts)
+        buckets = event_buckets(deduped)
+        blocks, receipts = (in_buckets(d, buckets) for d in (blocks, receipts))
     bucket = [c for c in ("block_bucket",) if c in receipts.columns]
     r = in_block_range(receipts.select("transaction_hash", "block_number", *receipt_columns, *bucket), lo, hi)
     r = r.drop(*bucket)
@@ -119,16 +120,19 @@ def enrich(
         _range_blocks(blocks, lo, hi), "block_number", "inner")
 
 
-def in_buckets_of(events: DataFrame, landed: DataFrame) -> DataFrame:
-    """Rows of a landed table whose block bucket holds an event; other folders are not read.
+def in_buckets(landed: DataFrame, buckets: list[int]) -> DataFrame:
+    """Rows of a landed table in the given block buckets; other folders are not read."""
+    return landed.where(F.col("block_bucket").isin(buckets)) if "block_bucket" in landed.columns else landed
 
-    The buckets prune the scan at run time.  They are broadcast: one number per
-    ``BUCKET_BLOCKS`` blocks of the chain at most, a few hundred in all.
+
+def event_buckets(events: DataFrame) -> list[int]:
+    """The block buckets that hold an event: one number per ``BUCKET_BLOCKS`` blocks of the chain at most, a few hundred in all.
+
+    Found by a pass of its own over the events' block numbers.  A broadcast semi join would not do: above
+    the dedup's window Spark does not find its broadcast again for dynamic pruning and reads every folder.
     """
-    if "block_bucket" not in landed.columns:
-        return landed
-    buckets = events.select(F.floor(F.col("block_number") / BUCKET_BLOCKS).cast("long").alias("block_bucket")).distinct()
-    return landed.join(F.broadcast(buckets), "block_bucket", "left_semi")
+    bucket = F.call_function("div", F.col("block_number"), F.lit(BUCKET_BLOCKS))
+    return sorted(r[0] for r in events.where(F.col("block_number").isNotNull()).select(bucket).distinct().collect())
 
 
 def matched(deduped: DataFrame, blocks: DataFrame, receipts: DataFrame) -> DataFrame:
