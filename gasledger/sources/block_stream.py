@@ -8,7 +8,8 @@ in batches cut by blocks, as an export walks the chain:
 * a batch goes up to ``blocks_per_batch`` blocks further, and never beyond the head, the
   highest landed block header less ``confirmations``;
 * a batch is dealt as ranges of at most ``step`` blocks, one task each, which opens only
-  the bucket folders of its range and skips row groups by block statistics.
+  the bucket folders of its range, skips row groups by block statistics and decodes the
+  others a few thousand rows at a time.
 
 A transaction lies in one block, so no batch splits one.  Only folders whose write has
 ended (``_SUCCESS``) are read: land corrections as a new run instead of rewriting one
@@ -37,6 +38,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])     # executors need
 NAME = "block_logs"
 DEFAULT_BATCH = 5_000
 BUCKET = "block_bucket"
+BATCH_ROWS = 4_096
+BUFFER_BYTES = 256 << 10    # read at once of each column
 
 
 class BlockRange(InputPartition):
@@ -96,6 +99,37 @@ def _bucket_blocks(path: str, newest: bool) -> int | None:
     return None
 
 
+def _parts(files, folder: str) -> list[str]:
+    """The data files in a folder."""
+    from pyarrow import fs
+
+    found = files.get_file_info(fs.FileSelector(folder))
+    return sorted(f.path for f in found if f.type == fs.FileType.File and not f.base_name.startswith(("_", ".")))
+
+
+def _rows(files, path: str, first: int, last: int, columns: list[str]) -> Iterator:
+    """The rows of blocks ``first`` to ``last`` of a file, decoded ``BATCH_ROWS`` at a time.
+
+    A dataset scan decodes whole row groups, and several ahead; what this holds does not
+    grow with the file, its row groups or the logs of a block.
+    """
+    import pyarrow.compute as pc
+    import pyarrow.parquet as pq
+
+    with files.open_input_file(path) as opened:
+        file = pq.ParquetFile(opened, pre_buffer=False, buffer_size=BUFFER_BYTES)
+        place = next(i for i in range(file.metadata.num_columns) if file.metadata.schema.column(i).path == "block_number")
+        for group in range(file.metadata.num_row_groups):
+            seen = file.metadata.row_group(group).column(place).statistics
+            if seen is not None and seen.has_min_max and (seen.max < first or seen.min > last):
+                continue
+            for batch in file.iter_batches(BATCH_ROWS, [group], columns, use_threads=False):
+                block = batch.column("block_number")
+                kept = batch.select(columns).filter(pc.and_(pc.greater_equal(block, first), pc.less_equal(block, last)))
+                if kept.num_rows:
+                    yield kept
+
+
 class BlockLogReader(DataSourceStreamReader):
     def __init__(self, options: dict[str, str], schema: StructType):
         self.logs, self.headers = options["path"].rstrip("/"), options["headers"].rstrip("/")
@@ -127,19 +161,13 @@ class BlockLogReader(DataSourceStreamReader):
         return [BlockRange(a, min(a + self.step, end["block"]) - 1) for a in range(start["block"], end["block"], self.step)]
 
     def read(self, partition: BlockRange) -> Iterator:
-        import pyarrow as pa
-        import pyarrow.dataset as ds
-
         files, folder = _files(self.logs)
         buckets = {f"{BUCKET}={b}" for b in range(partition.first // BUCKET_BLOCKS, partition.last // BUCKET_BLOCKS + 1)}
-        wanted = (ds.field("block_number") >= partition.first) & (ds.field("block_number") <= partition.last)
         for root in _roots(files, folder):
             for name in _names(files, root):
                 if name in buckets:
-                    data = ds.dataset(f"{root}/{name}", filesystem=files, format="parquet")
-                    for batch in data.to_batches(columns=self.columns, filter=wanted):
-                        if batch.num_rows:
-                            yield pa.RecordBatch.from_arrays(batch.columns, names=self.columns)
+                    for path in _parts(files, f"{root}/{name}"):
+                        yield from _rows(files, path, partition.first, partition.last, self.columns)
 
     def commit(self, end: dict) -> None:
         pass
