@@ -4,10 +4,13 @@ Terms are lower-cased words and their first ``PREFIX`` bytes, as 64-bit hashes.
 ``PER_CLASS`` labelled documents of each class are indexed, and their terms are the
 vocabulary: vectors lie in its space, and a text's other terms have no part in them.
 Each term's document frequency is counted over all documents and weighs it, however rare
-or common (only what all documents hold weighs nothing).  The index is inverted and cut into blocks of ``BLOCK`` examples; for each term and block it
-knows the largest weight.  The sum of these maxima bounds the cosine of every
-example in a block, so blocks are opened from the most promising on until none
-left can reach the ``NEAREST`` best: the result is that of comparing all.
+or common (only what all documents hold weighs nothing).  The weights of the ``COMMON`` terms that most
+examples hold lie in a table, which a matrix product applies to many texts at once.  For
+all other terms the index is inverted and cut into blocks of ``BLOCK`` examples; for each
+term and block it knows the largest weight.  The most that the table gives in a block and the
+sum of these maxima bound the cosine of every example in it, so blocks are opened from the
+most promising on until none left can reach the ``NEAREST`` best.  What may be among them is
+compared once more, all in the same order: the result is that of comparing all.
 
 The neighbours vote with weights that grow as their distance shrinks, each
 example counting for the labelled documents it stands for, and the share of
@@ -23,6 +26,8 @@ repeated labels count once (the lower one), and so do rows that repeat a labelle
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,6 +39,9 @@ from gasledger.llm.labelled import feature_counts, held_out, learnable, logistic
 PREFIX = 4
 PER_CLASS = 1024        # labelled documents of each class that are indexed
 BLOCK = 256
+COMMON = 1024           # terms whose weights lie in a table
+CHUNK = 256             # vectors compared with the table at once
+ROUNDING = 1e-11        # more than sums of products of two unit vectors differ by their order
 NEAREST = 24
 EVIDENCE = 5            # neighbours reported with each score
 
@@ -83,13 +91,29 @@ def vector(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> tuple[np.n
 
 
 class BlockMaxIndex:
-    """Inverted lists of unit vectors in blocks, with each list's largest weight per block."""
+    """Unit vectors: the ``COMMON`` terms most of them hold as a table, all others as inverted lists
+    in blocks with each list's largest weight per block.
+
+    The table is applied to many queries at once by a matrix product, and lists of rare terms
+    are short.  A product may round equal examples differently, by less than ``ROUNDING``, so it
+    only chooses: whatever may be among the best gets its sum over the common terms once more,
+    each example by the same steps.
+    """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, ids: np.ndarray):
         self.size, self.ids = len(vectors), ids
         term = np.concatenate([t for t, _ in vectors]) if vectors else np.zeros(0, np.int64)
         weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
         doc = np.repeat(np.arange(self.size), [len(t) for t, _ in vectors])
+        held = np.bincount(term, minlength=n_terms)
+        common = np.argsort(-held, kind="stable")[:COMMON]
+        self.column = np.full(n_terms, -1)
+        self.column[common] = np.arange(len(common))
+        self.table = np.zeros((self.size, len(common)))
+        column = self.column[term]
+        listed = column < 0
+        self.table[doc[~listed], column[~listed]] = weight[~listed]
+        term, weight, doc = term[listed], weight[listed], doc[listed]
         order = np.lexsort((doc, term))
         term, self.weight, self.doc = term[order], weight[order], doc[order]
         cell = term * (self.size // BLOCK + 1) + self.doc // BLOCK
@@ -100,15 +124,33 @@ class BlockMaxIndex:
         self.term_start = np.searchsorted(term[first], np.arange(n_terms + 1))
         self.blocks = -(-self.size // BLOCK)
 
-    def nearest(self, terms: np.ndarray, weight: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` most similar examples with a positive similarity, and the similarities."""
-        cells, query = _ranges(self.term_start[terms], self.term_start[terms + 1], weight)
-        if not len(cells):
+    def screened(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the common terms add to the similarity of each of ``vectors`` with each example."""
+        queries = np.zeros((len(vectors), self.table.shape[1]))
+        for query, (terms, weight) in zip(queries, vectors):
+            column = self.column[terms]
+            query[column[column >= 0]] = weight[column >= 0]
+        return queries @ self.table.T
+
+    def nearest(self, terms: np.ndarray, weight: np.ndarray, k: int, without: int = -1,
+                screen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ``k`` most similar examples with a positive similarity, and the similarities.
+
+        ``screen`` is the vector's row of ``screened``, if it is at hand.
+        """
+        if not len(terms) or not self.size:
             return np.zeros(0, np.int64), np.zeros(0)
+        score = (self.screened([(terms, weight)])[0] if screen is None else screen).copy()
+        if without >= 0:
+            score[without] = 0
+        column = self.column[terms]
+        listed, common = column < 0, column >= 0
+        cells, query = _ranges(self.term_start[terms[listed]], self.term_start[terms[listed] + 1], weight[listed])
         block = self.cell_block[cells]
-        bound = np.bincount(block, query * self.cell_max[cells], self.blocks) * (1 + 1e-9)
+        bound = np.maximum.reduceat(score, np.arange(0, self.size, BLOCK))
+        bound = (bound + np.bincount(block, query * self.cell_max[cells], self.blocks)) * (1 + 1e-9)
         order = np.argsort(-bound, kind="stable")
-        score, at, floor, step = np.zeros(self.size), 0, 0.0, 4
+        rest, at, floor, step = np.zeros(self.size), 0, self._floor(score, k), 4
         opened = np.zeros(self.blocks, bool)
         # a block that can only reach the floor may still hold a tie with a lower id
         while at < self.blocks and bound[order[at]] >= floor and bound[order[at]] > 0:
@@ -119,15 +161,19 @@ class BlockMaxIndex:
             mine = np.flatnonzero(opened[block])
             at, step = at + len(now), step * 2
             places, value = _ranges(self.cell_start[cells[mine]], self.cell_start[cells[mine] + 1], query[mine])
-            score += np.bincount(self.doc[places], value * self.weight[places], self.size)
+            rest += np.bincount(self.doc[places], value * self.weight[places], self.size)
             if without >= 0:
-                score[without] = 0
-            if self.size > k:
-                floor = np.partition(score, self.size - k)[self.size - k]
-        best = np.flatnonzero(score >= floor) if floor else np.flatnonzero(score)
-        best = best[score[best] > 0]
-        best = best[np.lexsort((self.ids[best], -score[best]))][:k]
-        return best, score[best]
+                rest[without] = 0
+            floor = self._floor(score + rest, k)
+        score += rest
+        best = np.flatnonzero((score >= floor) & (score > 0))
+        similar = rest[best] + (self.table[best[:, None], column[common]] * weight[common]).sum(axis=1)
+        first = np.lexsort((self.ids[best], -similar))[:k]
+        return best[first], similar[first]
+
+    def _floor(self, score: np.ndarray, k: int) -> float:
+        """What an example must reach to be among the ``k`` best, rounding allowed for."""
+        return np.partition(score, self.size - k)[self.size - k] - ROUNDING if self.size > k else 0.0
 
 
 def _ranges(start: np.ndarray, end: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,13 +199,21 @@ class Voter:
         vectors = [vectors[i] for i in by]
         self.index = BlockMaxIndex(vectors, len(idf), self.ids)
         self.a, self.b = 1.0, 0.0
-        votes = np.array([self.vote(t, w, i)[0] for i, (t, w) in enumerate(vectors)])
+        votes = np.array([logit for logit, _, _ in self.votes(vectors, leave_out=True)])
         if have.min() > 0:
             self.a, self.b = logistic(votes, self.labels, self.stands)
 
-    def vote(self, terms: np.ndarray, weight: np.ndarray, without: int = -1):
-        """Log odds of toxic votes among the neighbours, the neighbours and their similarities."""
-        near, similar = self.index.nearest(terms, weight, NEAREST, without)
+    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]], leave_out: bool = False) -> Iterator[tuple]:
+        """Of each vector: log odds of toxic votes among the neighbours, the neighbours and their similarities.
+
+        ``leave_out``: the vectors are the examples, none a neighbour of its own.
+        """
+        for begin in range(0, len(vectors), CHUNK):
+            part = vectors[begin: begin + CHUNK]
+            for i, ((terms, weight), screen) in enumerate(zip(part, self.index.screened(part)), begin):
+                yield self._vote(*self.index.nearest(terms, weight, NEAREST, i if leave_out else -1, screen))
+
+    def _vote(self, near: np.ndarray, similar: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         force = self.stands[near] / np.maximum(1.02 - similar, 0.02) ** 2
         toxic = float(force[self.labels[near] == 1].sum()) + self.share * 0.5
         return np.log(toxic / (float(force[self.labels[near] == 0].sum()) + (1 - self.share) * 0.5)), near, similar
@@ -188,8 +242,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, l
         if v is None:
             return {"doc_id": ids, "score": [0.5] * len(ids), "evidence": [[] for _ in ids]}
         logits, evidence = [], []
-        for terms, count in v.vocabulary.lists(found):
-            x, near, similar = v.vote(*vector(terms, count, v.idf))
+        for x, near, similar in v.votes([vector(t, c, v.idf) for t, c in v.vocabulary.lists(found)]):
             logits.append(x)
             evidence.append([{"doc_id": int(v.ids[i]), "similarity": float(s), "label": int(v.labels[i])}
                              for i, s in zip(near[:EVIDENCE], similar[:EVIDENCE])])
