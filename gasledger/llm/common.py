@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gasledger.session import checkpoint_root
 
-SLICE_BYTES = 4 << 20    # text handled at once inside a Python task
+SLICE_BYTES = 1 << 20    # text handled at once inside a Python task
 CACHE_WORDS = 1_000_000    # words whose ids a Python worker remembers
 WHITE = "[\\x20\\x09-\\x0D]+"    # white space between words, as a pattern
 
