@@ -48,7 +48,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+def text_slices(batches: Iterable[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[tuple[list, list[bytes]]]:
     """(ids, UTF-8 texts) of bounded size out of Arrow batches of (doc_id, text)."""
     for batch in batches:
         ids = batch.column(0).to_pylist()
@@ -58,7 +58,7 @@ def text_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[
             if len(texts) else np.zeros(0, np.int32)
         for i, n in enumerate(lengths):
             size += int(n) + 64
-            if size >= SLICE_BYTES or i + 1 == len(lengths):
+            if size >= most or i + 1 == len(lengths):
                 yield ids[start: i + 1], texts.slice(start, i + 1 - start).to_pylist()
                 start, size = i + 1, 0
 
@@ -131,15 +131,16 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def map_arrow(df: DataFrame, schema: str, fn: Callable[[list, list[bytes]], dict | None]) -> DataFrame:
-    """``mapInArrow`` over slices of (doc_id, text); ``fn`` returns columns or None."""
+def map_arrow(df: DataFrame, schema: str, fn: Callable[[list, list[bytes]], dict | None],
+              most: int = SLICE_BYTES) -> DataFrame:
+    """``mapInArrow`` over slices of (doc_id, text) of ``most`` bytes; ``fn`` returns columns or None."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
-        for ids, texts in text_slices(batches):
+        for ids, texts in text_slices(batches, most):
             columns = fn(ids, texts)
             if columns is not None:
                 yield pa.RecordBatch.from_arrays(

@@ -14,6 +14,7 @@ nothing is shuffled; a window leaves at most its last sequences part-filled.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,7 @@ from gasledger.llm.common import map_arrow, stored, two_columns
 from gasledger.llm.tokens import encoder
 
 WINDOW = 4096          # examples packed together
+SLICE_BYTES = 8 << 20    # text cut into words at once: a slice's repeated words are looked up once
 MAX_TOKENS = 2048
 MAX_SEGMENTS = 256
 END_ID = 1
@@ -41,6 +43,11 @@ def pack_vectors(demand: np.ndarray, capacity: np.ndarray) -> tuple[np.ndarray,
     alone = (demand == capacity).any(axis=1) & (demand[:, 0] == capacity[0])    # nothing fits beside these
     bins[alone] = np.arange(int(alone.sum()))
     rows = np.flatnonzero(~alone)
+    kinds, kind = np.unique(demand[rows], axis=0, return_inverse=True)
+    if (np.diff(kinds, axis=0) >= 0).all():
+        bins[rows], order[rows] = _pack_chain(kinds, kind.ravel(), capacity)
+        bins[rows] += int(alone.sum())
+        return bins, order
     want, share = demand[rows], demand[rows] / np.maximum(capacity, 1)
     gone = np.zeros(len(rows), bool)
     left, current, inside, taken = capacity.astype(np.int64), int(alone.sum()), 0, 0
@@ -64,6 +71,38 @@ def pack_vectors(demand: np.ndarray, capacity: np.ndarray) -> tuple[np.ndarray,
     return bins, order
 
 
+def _pack_chain(kinds: np.ndarray, kind: np.ndarray, capacity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``pack_vectors`` of rows whose different demands (``kinds``) grow in every dimension together.
+
+    Of those the largest that fits has the largest dot product, so it is looked up.
+    """
+    columns, limits = kinds.T.tolist(), capacity.tolist()
+    by = np.argsort(kind, kind="stable")
+    rows, sizes = by.tolist(), kinds.tolist()
+    after = np.cumsum(np.bincount(kind, minlength=len(kinds))).tolist()
+    first = [0, *after[:-1]]
+    # places count from 1: one with rows left points to itself, another to a smaller one, 0 is none
+    below = list(range(len(kinds) + 1))
+    bins, order = np.zeros(len(kind), np.int64), np.zeros(len(kind), np.int64)
+    left, current, inside = limits, 0, 0
+    for _ in rows:
+        while True:
+            at = min(map(bisect_right, columns, left))
+            while below[at] != at:
+                below[at] = at = below[below[at]]
+            if at:
+                break
+            left, current, inside = limits, current + 1, 0
+        row = rows[first[at - 1]]
+        first[at - 1] += 1
+        if first[at - 1] == after[at - 1]:
+            below[at] = at - 1
+        bins[row], order[row] = current, inside
+        left = [x - y for x, y in zip(left, sizes[at - 1])]
+        inside += 1
+    return bins, order
+
+
 def pack(examples: DataFrame, max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS,
          max_loss_tokens: int | None = None, tokens_col: str = "length", loss_col: str | None = None) -> DataFrame:
     """``examples`` with ``sequence_id`` and ``offset`` (its place in the sequence, gapless from 0).
@@ -132,7 +171,7 @@ def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         return dict(zip(("doc_id", "start", "length", "ids_crc32", "doc_tokens"), zip(*out)))
 
     return map_arrow(two_columns(docs, id_col, text_col),
-                     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long", cut)
+                     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long", cut, SLICE_BYTES)
 
 
 def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",

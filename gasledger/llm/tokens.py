@@ -17,10 +17,11 @@ from __future__ import annotations
 
 import os
 import unicodedata
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import DataFrame
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from gasledger.llm.common import CACHE_WORDS, stored, text_slices, two_columns, worker_cache
 
 BLOCK_BYTES = 64 << 20
+READ_WORDS = 256       # new words that the library reads as one text
 
 # --- fixed values of the public tokenizer file word_bpe_49k.json ------------------
 SPECIAL = "<|startoftext|>|<|endoftext|>"
@@ -167,38 +169,59 @@ class WordIds:
 
     Words are what is between ASCII white space.  No piece of the tokenizer
     reaches across white space, so a text's ids are those of its words in turn.
+    For the same reason the library reads ``READ_WORDS`` new words as one text,
+    with a null character alone between two; its id tells where a word ends.
     """
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
+        mark = self._read("\0")
+        self.mark = int(mark[0]) if len(mark) == 1 else -1
         self.clear()
 
     def clear(self) -> None:
         self.numbers, self.known = Numbers(), 0
-        self.flat, self.lengths, self.starts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _read(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        flat, lengths = [], []
+        for k in range(0, len(words), READ_WORDS):
+            group = words[k: k + READ_WORDS]
+            ids = self._read(" \0 ".join(group))
+            marks = np.flatnonzero(ids == self.mark)
+            if len(marks) + 1 == len(group):
+                flat.append(ids[ids != self.mark])
+                lengths.append(np.diff(marks, prepend=-1, append=len(ids)) - 1)
+            else:                                       # words that hold the mark's id themselves
+                alone = [self._read(w) for w in group]
+                flat += alone
+                lengths.append(np.array([len(x) for x in alone], np.int64))
+        self.flat = np.concatenate([self.flat, *flat], dtype=np.uint32, casting="unsafe")
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(lengths))])
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and the number of ids of each text."""
         if self.known > CACHE_WORDS:
             self.clear()
-        words = [t.split() for t in texts]
-        sizes = np.array([len(w) for w in words], np.int64)
-        codes = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+        found = words.flatten().dictionary_encode()
+        distinct = found.dictionary.to_numpy(zero_copy_only=False)
+        codes = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))
         if len(self.numbers) > self.known:
-            new = [w.decode() for w in islice(self.numbers, self.known, None)]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            lengths = np.array([len(x) for x in found], np.int64)
-            self.lengths = np.concatenate([self.lengths, lengths])
-            ids = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
-            self.flat = np.concatenate([self.flat, ids])
-            self.starts = np.cumsum(self.lengths) - self.lengths
+            self._learn(list(islice(self.numbers, self.known, None)))
             self.known = len(self.numbers)
-        lengths = self.lengths[codes]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.starts[codes] - (ends - lengths), lengths) + np.arange(total)]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
-        return ids, np.diff(bounds)
+        codes = codes[found.indices.to_numpy()]
+        # a word's ids as bytes: Arrow copies them in the order of the words
+        store = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), self.known, [None, pa.py_buffer(4 * self.ends), pa.py_buffer(self.flat)])
+        taken = store.take(pa.array(codes))
+        _, bounds, data = taken.buffers()
+        ends = np.frombuffer(bounds, np.int64, len(codes) + 1) // 4 if len(codes) else np.zeros(1, np.int64)
+        ids = np.frombuffer(data, np.uint32, int(ends[-1])) if ends[-1] else np.zeros(0, np.uint32)
+        return ids, np.diff(ends[words.offsets.to_numpy()])
 
 
 def encoder(path: str) -> WordIds:
