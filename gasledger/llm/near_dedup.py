@@ -17,13 +17,14 @@ Per level, over all trees at once:
   cannot reach the similarity with any of them and are done;
 - the rest of a larger node is compared with its most typical record (the one
   with most of its shingles shared) and one more, which connects what is close to
-  either; if then at most ``FEW`` records lie outside the node's largest
-  component, these are compared with all others and the node is done (what two
-  records lack of the typical one bounds what they share, so few pairs remain);
+  either; the records that then lie outside the node's largest component are
+  compared with all others and the node is done, if that is at most ``PAIRS``
+  pairs (what two records lack of the typical one bounds what they share, so few
+  remain; records more than half alike would meet as often on the next levels);
 - what is left passes its records on to the next level.
 A bit sketch of the minwise tokens screens pairs (it keeps a pair at the
 threshold but for a chance below 1e-6); links are confirmed on the full sets.
-After ``MAX_LEVELS`` what is left of mixed nodes is compared exhaustively.
+After ``MAX_LEVELS`` any number of pairs is compared so.
 
 Nodes are counted by pre-aggregation and joined back, so a node of any size is
 spread over tasks; groups of copies shrink to one component after their first
@@ -38,6 +39,7 @@ smallest id; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +57,10 @@ POOL = 16             # minwise tokens that one tree's nodes choose from
 BITS = 128            # minwise tokens in the sketch
 BRANCH = 2
 SMALL = 48            # records that a node may have to be compared exhaustively
-FEW = 512             # records outside a node's largest component that are compared with all
+PAIRS = 1 << 32       # pairs of a node's records outside its largest component with all that are compared
+OUTSIDE, INSIDE = 512, 1024    # records outside and of all of a node in a block of such pairs
+WORDS = 64            # of 64 places; records of more make smaller blocks
+TILE = 1 << 18        # pairs, or words of pairs, that are looked at at once
 MAX_LEVELS = 10
 
 _TREE = np.uint64(1023)     # the bits of a node that hold its tree
@@ -82,8 +87,10 @@ def factors(n: int) -> tuple[np.ndarray, np.ndarray]:
 def minwise(shingles: np.ndarray, multiply: np.ndarray, add: np.ndarray) -> np.ndarray:
     """The minwise tokens of a set that is not empty."""
     low = np.full(len(add), np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(shingles), 4096):
-        low = np.minimum(low, (shingles[i: i + 4096, None] * multiply + add).min(axis=0))
+    for i in range(0, len(shingles), 512):
+        held = shingles[i: i + 512, None] * multiply
+        held += add
+        low = np.minimum(low, held.min(axis=0))
     return (mixed(low) >> np.uint64(32)).astype(np.uint32)
 
 
@@ -201,6 +208,26 @@ def _within(small: DataFrame, percent: int) -> DataFrame:
     return _pair(side.join(side.withColumnRenamed("x", "y"), "node").where((x["id"] < y["id"]) & _close(x, y, percent)))
 
 
+def _ends(large: DataFrame) -> DataFrame:
+    """(node, high, low): the most typical record of each node and its first one.
+
+    The most typical one differs least from the bits that most of the node's sketches have;
+    among many records nearly all share every shingle with some other, typical or not.
+    """
+    two = F.lit((1 << 32) | 1)      # bits i and i + 32 of a sketch are counted in the halves of one sum
+    sums = [F.sum(F.shiftright(s, i).bitwiseAND(two)).alias(f"{s}_{i}") for s in ("s1", "s2") for i in range(32)]
+
+    def usual(s: str) -> Column:
+        bits = [F.when(2 * count > F.col("n"), F.lit(1 << (i + up) if i + up < 63 else -(1 << 63))).otherwise(0)
+                for i in range(32) for up, count in ((0, F.col(f"{s}_{i}").bitwiseAND((1 << 32) - 1)), (32, F.shiftright(f"{s}_{i}", 32)))]
+        return reduce(Column.bitwiseOR, bits)
+
+    counts = large.groupBy("node").agg(F.count("*").alias("n"), *sums)
+    most = stored(counts.select("node", F.struct(usual("s1").alias("s1"), usual("s2").alias("s2")).alias("usual")), "usual")
+    typical = F.struct((-_apart(F.struct("s1", "s2"), F.col("usual"))).alias("near"), (F.col("shared") / F.col("all")).alias("share"), *_ME)
+    return large.join(most, "node").groupBy("node").agg(F.max(typical).alias("high"), F.min(F.struct(*_ME)).alias("low"))
+
+
 def _against_two(large: DataFrame, ends: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs of all records of a node with its most typical one and its first one."""
     high = F.struct(*[F.col(f"high.{c}").alias(c) for c in _ME])
@@ -214,22 +241,59 @@ def _against_all(few: DataFrame, percent: int) -> DataFrame:
 
     What two records share lies inside the node's most typical record, less what either
     of them lacks of it, or outside, where each shares ``shared - both`` with any other;
-    pairs that cannot reach the similarity so are left out.
+    pairs that cannot reach the similarity so are left out.  A node is cut into blocks of
+    about ``OUTSIDE`` by ``INSIDE`` records (fewer of long ones), each compared on arrays.
     """
-    me = F.struct(*_ME, "all", "shared", "both", "lacks")
-    x, y = F.col("x"), F.col("y")
-    outside = lambda r: F.greatest(r["shared"] - r["both"], F.lit(0))
-    reaches = lambda inside: _reaches(inside + F.least(outside(x), outside(y)), x["all"] + y["all"], percent)
-    lack = F.aggregate(F.zip_with(x["lacks"], y["lacks"], lambda a, b: F.bit_count(a.bitwiseOR(b))), F.lit(0), lambda a, n: a + n)
-    out = few.where(F.col("comp") != F.col("top")).select("node", "whole", me.alias("x"))
-    near = out.join(few.select("node", me.alias("y")), "node").where(
-        _close(x, y, percent) & reaches(F.least(x["both"], y["both"])) & reaches(F.col("whole") - lack))
-    return _pair(near)
-
-
-def _reaches(most: Column, sizes: Column, percent: int) -> Column:
-    """Whether sets of ``sizes`` together with at most ``most`` in common can reach the similarity."""
-    return 100 * most >= percent * (sizes - most)
+    words = F.greatest(F.size("lacks"), F.lit(WORDS))    # as many for all records of a node
+    of = lambda n, most: F.ceil(F.col(n) * words / (WORDS * most))
+    place = lambda blocks: F.pmod(F.xxhash64("id"), blocks)
+    every = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    columns = ["node", *_ME, "top", "whole", "all", "shared", "both", "lacks"]
+    outside, inside = of("others", OUTSIDE), of("n", INSIDE)
+    x = few.where("comp <> top").select(*columns, F.lit(True).alias("outer"), place(outside).alias("row"), every(inside).alias("column"))
+    y = few.select(*columns, F.lit(False).alias("outer"), every(outside).alias("row"), place(inside).alias("column"))
+
+    def run(block):
+        kinds = np.asarray(block.column("outer"))
+        rows, others = (_arrays(block.filter(pa.array(kind))) for kind in (kinds, ~kinds))
+        a, b = _may_reach(rows, others, percent)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return x.union(y).groupBy("node", "row", "column").applyInArrow(run, "a long, b long")
+
+
+def _arrays(block: pa.Table) -> dict[str, np.ndarray]:
+    out = {c: block.column(c).to_numpy() for c in (*_ME, "top", "whole", "all", "shared", "both")}
+    lacks = block.column("lacks").combine_chunks().flatten().to_numpy().reshape(block.num_rows, -1 if block.num_rows else 1)
+    return out | {"s1": out["s1"].view(np.uint64), "s2": out["s2"].view(np.uint64), "lacks": lacks.view(np.uint64)}
+
+
+def _may_reach(x: dict[str, np.ndarray], y: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the pairs of ``x`` and ``y``, of one node, that sketches, sizes and what they lack leave possible."""
+    found_a, found_b = [x["id"][:0]], [y["id"][:0]]
+    extra_x, extra_y = (np.maximum(r["shared"] - r["both"], 0) for r in (x, y))
+    step, some = max(1, TILE // max(1, len(y["id"]))), max(1, TILE // x["lacks"].shape[1])
+    for start in range(0, len(x["id"]), step):
+        r = slice(start, start + step)
+        of = lambda c: x[c][r, None]  # noqa: B023, E731
+        # at most so many shared reach the similarity if 100 * most >= percent * (sizes - most)
+        spare = (100 + percent) * (np.minimum(of("both"), y["both"]) + np.minimum(extra_x[r, None], extra_y)) >= percent * (of("all") + y["all"])
+        spare &= of("comp") != y["comp"]
+        spare &= (y["comp"] == y["top"]) | (of("id") < y["id"])     # else seen from the other side
+        i, j = np.nonzero(spare)
+        i += start
+        low, high = np.minimum(x["size"][i], y["size"][j]), np.maximum(x["size"][i], y["size"][j])
+        apart = sum(np.bitwise_count(x[s][i] ^ y[s][j]).astype(np.int64) for s in ("s1", "s2"))
+        close = (100 * low >= percent * high) & (apart <= _bits_allowed(percent))
+        i, j = i[close], j[close]
+        for part in range(0, len(i), some):
+            k, m = i[part: part + some], j[part: part + some]
+            lack = np.bitwise_count(x["lacks"][k] | y["lacks"][m]).sum(axis=1, dtype=np.int64)
+            most = x["whole"][k] - lack + np.minimum(extra_x[k], extra_y[m])
+            reach = (100 + percent) * most >= percent * (x["all"][k] + y["all"][m])
+            found_a.append(x["id"][k[reach]])
+            found_b.append(y["id"][m[reach]])
+    return np.concatenate(found_a), np.concatenate(found_b)
 
 
 def _overlap(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -293,20 +357,18 @@ def _joined(texts: DataFrame, records: DataFrame, k: int, percent: int, trees: i
     rows = _expand(records, trees).withColumn("comp", F.col("id"))
     sets = links = None
     for level in range(MAX_LEVELS + 1):
+        last = level == MAX_LEVELS
         nodes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
         # stored before it is joined: only a join of two plain exchanges has its hot partitions split
         mixed_nodes = stored(nodes.where("n > 1 and low <> high").select("node", "n"), "nodes")
         live = stored(rows.join(mixed_nodes, "node"), "live")
-        if level == MAX_LEVELS:
-            return components(links.union(_confirmed(_within(live, percent).distinct(), sets, percent)))
         large = live.where(F.col("n") > SMALL)
         pairs = stored(_within(live.where(F.col("n") <= SMALL), percent).distinct(), "pairs")
         if sets is None:    # whatever comes later is of records of the large nodes
             wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(large.select("id")).distinct()
             sets = stored(_sets(texts, wanted, k), "sets")
         large = stored(_able(large, _sharing(sets, large), percent), "large")
-        typical = F.struct((F.col("shared") / F.col("all")).alias("share"), *_ME)
-        ends = stored(large.groupBy("node").agg(F.max(typical).alias("high"), F.min(F.struct(*_ME)).alias("low")), "ends")
+        ends = stored(_ends(large), "ends")
         pairs = pairs.union(_against_two(large, ends, percent)).distinct()
         found = _confirmed(pairs, sets, percent)
         links = stored(found if links is None else links.union(found), "links")
@@ -320,9 +382,10 @@ def _joined(texts: DataFrame, records: DataFrame, k: int, percent: int, trees: i
         large = large.select("id", "node", "s1", "s2", "size", "all", "shared", "both", "lacks", whole)
         large = stored(_relabelled(large, labels), "large")
         left = stored(_unsettled(large), "unsettled")
-        few = large.join(left.where(F.col("others") <= FEW), "node")
+        done = F.lit(last) | (F.col("others").cast("double") * F.col("n") <= PAIRS)
+        few = large.join(left.where(done), "node")
         links = stored(links.union(_confirmed(_against_all(few, percent).distinct(), sets, percent)), "links")
-        many = left.where(F.col("others") > FEW)
+        many = left.where(~done)
         if many.isEmpty():
             return components(links)
         rows = large.join(many.select("node"), "node", "left_semi").select("id", "node").distinct()
@@ -335,10 +398,10 @@ def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _unsettled(large: DataFrame) -> DataFrame:
-    """(node, top, others) of the nodes that hold several components."""
+    """(node, top, n, others) of the nodes that hold several components: their rows, and those outside the largest."""
     sizes = large.groupBy("node", "comp").agg(F.count("*").alias("n"))
-    return (sizes.groupBy("node").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
-            .select("node", F.col("top.comp").alias("top"), (F.col("all") - F.col("top.n")).alias("others")).where("others > 0"))
+    return (sizes.groupBy("node").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"))
+            .select("node", F.col("top.comp").alias("top"), "n", (F.col("n") - F.col("top.n")).alias("others")).where("others > 0"))
 
 
 def _sharing(sets: DataFrame, rows: DataFrame) -> DataFrame:
